@@ -105,23 +105,29 @@ split AS (
   FROM ranked r JOIN alloc a ON r.label = a.label
 )"""
 
-# deterministic scorecard (G4) on the raw fixture: additive rule points,
-# clipped; the high-charge cut is the 75th percentile of monthly_spend
+
+def score_expr(q: str, t: str = "") -> str:
+    """Scorecard (G4) in SQL: additive rule points, clipped; ``q`` is the
+    high-spend cut (75th percentile of monthly_spend of the fitting rows)."""
+    d = "CAST({} AS DOUBLE)"
+    z = d.format("0.0")
+
+    def term(cond, pts):
+        return f"CASE WHEN {cond} THEN {d.format(pts)} ELSE {z} END"
+    terms = [term(f"{t}tenure < 48", "0.35"), term(f"{t}tenure < 54", "0.15"), term(f"{t}tenure > 64", "-0.15"),
+             term(f"{t}commitment = 'Low'", "0.25"), term(f"{t}commitment = 'High'", "-0.20"),
+             term(f"{t}monthly_spend > {q}", "0.15"), term(f"{t}urgent_user = 'No'", "0.10"),
+             term(f"{t}bulk_buyer = 'No'", "0.10"), term(f"{t}in_debt = 'Yes'", "0.10"),
+             f"{t}batch_month * {d.format('0.015')}"]
+    return f"least(greatest({' + '.join(terms)}, {d.format('0.05')}), {d.format('0.85')})"
+
+
+# deterministic scorecard (G4) on the raw fixture; the high-spend cut is the
+# 75th percentile of monthly_spend over the whole table
 SCORE_CTE = SUBS_CTE + """,
 p75 AS (SELECT quantile_cont(monthly_spend, 0.75) AS q FROM subs),
 scored AS (
-  SELECT s.*,
-         CAST(churn = 'Yes' AS INTEGER) AS label,
-         least(greatest(
-             CASE WHEN tenure < 48 THEN CAST(0.35 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END
-           + CASE WHEN tenure < 54 THEN CAST(0.15 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END
-           + CASE WHEN tenure > 64 THEN CAST(-0.15 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END
-           + CASE WHEN commitment = 'Low' THEN CAST(0.25 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END
-           + CASE WHEN commitment = 'High' THEN CAST(-0.20 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END
-           + CASE WHEN monthly_spend > p75.q THEN CAST(0.15 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END
-           + CASE WHEN urgent_user = 'No' THEN CAST(0.10 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END
-           + CASE WHEN bulk_buyer = 'No' THEN CAST(0.10 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END
-           + CASE WHEN in_debt = 'Yes' THEN CAST(0.10 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END
-           + batch_month * CAST(0.015 AS DOUBLE), CAST(0.05 AS DOUBLE)), CAST(0.85 AS DOUBLE)) AS score
+  SELECT s.*, CAST(churn = 'Yes' AS INTEGER) AS label, """ + score_expr("p75.q", "s.") + """ AS score
   FROM subs s, p75
-)"""
+),
+pred AS (SELECT *, CAST(score > 0.5 AS INTEGER) AS pred FROM scored)"""

@@ -370,3 +370,7 @@ SELECT segment_order, segment, n, {R('rate')} AS churn_rate,
 FROM g"""))
 def e10_segments(spark, d):
     return E.segment_rate(subs(spark, d), SPEC, "tenure", S.SUBS_TENURE_EDGES, S.SUBS_TENURE_LABELS)
+
+
+# further sections register themselves on import
+from churnlab.plans import q_prepare  # noqa: E402,F401

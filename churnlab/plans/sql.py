@@ -78,10 +78,12 @@ enc AS (
   FROM subs
 )"""
 
-# exact stratified split: per class, train size by largest remainder over
-# n_train = n - ceil(0.2 n); the lowest md5('42|key') ranks go to test
-SPLIT_CTE = ENC_CTE + """,
-cls AS (SELECT label, count(*) AS n_c FROM enc GROUP BY label),
+def split_sql(src: str) -> str:
+    """Exact stratified split over CTE ``src`` (needs ``c_custkey`` and
+    ``label``): per class, train size by largest remainder over
+    n_train = n - ceil(0.2 n); the lowest md5('42|key') ranks go to test."""
+    return f"""
+cls AS (SELECT label, count(*) AS n_c FROM {src} GROUP BY label),
 tot AS (SELECT sum(n_c) AS n, sum(n_c) - CAST(ceil(0.2 * sum(n_c)) AS BIGINT) AS n_train FROM cls),
 alloc0 AS (
   SELECT c.label, c.n_c, t.n_train,
@@ -98,14 +100,21 @@ alloc AS (
 ranked AS (
   SELECT e.*, row_number() OVER (PARTITION BY e.label ORDER BY md5('42|' || CAST(e.c_custkey AS VARCHAR)),
                                                              e.c_custkey) - 1 AS h_rank
-  FROM enc e
+  FROM {src} e
 ),
 split AS (
-  SELECT r.*, CASE WHEN r.h_rank < a.n_c - a.train_c THEN 'test' ELSE 'train' END AS split
+  SELECT r.* EXCLUDE (h_rank), CASE WHEN r.h_rank < a.n_c - a.train_c THEN 'test' ELSE 'train' END AS split
   FROM ranked r JOIN alloc a ON r.label = a.label
 )"""
 
 
+SPLIT_CTE = ENC_CTE + "," + split_sql("enc")
+
+# raw subscriber columns + label + split (for the scorecard and the retrain rounds)
+RAW_SPLIT_CTE = SUBS_CTE + """,
+lab AS (SELECT *, CAST(churn = 'Yes' AS INTEGER) AS label FROM subs),""" + split_sql("lab")
+
+
 def score_expr(q: str, t: str = "") -> str:
     """Scorecard (G4) in SQL: additive rule points, clipped; ``q`` is the
     high-spend cut (75th percentile of monthly_spend of the fitting rows)."""

@@ -8,7 +8,7 @@ and never sort the table in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlab import spec as S
@@ -102,11 +102,13 @@ def roc_auc(df: DataFrame, label_col: str = "label", score_col: str = "score") -
 def _curve_base(df: DataFrame, label_col: str, score_col: str) -> DataFrame:
     units = _score_units(df, label_col, score_col)
     pref = ordered_prefix(units, ["threshold"], ["n0", "n1", "one"])
-    tot = units.agg(F.sum("n0").alias("N0"), F.sum("n1").alias("N1"), F.count(F.lit(1)).alias("M"))
+    # totals named apart from n0/n1: column resolution is case-insensitive
+    tot = units.agg(F.sum("n0").alias("total_neg"), F.sum("n1").alias("total_pos"),
+                    F.count(F.lit(1)).alias("n_units"))
     # at threshold t: rows with score >= t are predicted positive
     return pref.join(F.broadcast(tot), how="cross").select(
-        "threshold", "n0", "n1", F.col("before_one").alias("rank_asc"), "M", "N0", "N1",
-        (F.col("N0") - F.col("before_n0")).alias("fp"), (F.col("N1") - F.col("before_n1")).alias("tp"))
+        "threshold", "n0", "n1", F.col("before_one").alias("rank_asc"), "n_units", "total_neg", "total_pos",
+        (F.col("total_neg") - F.col("before_n0")).alias("fp"), (F.col("total_pos") - F.col("before_n1")).alias("tp"))
 
 
 def roc_curve(df: DataFrame, label_col: str = "label", score_col: str = "score",
@@ -120,10 +122,10 @@ def roc_curve(df: DataFrame, label_col: str = "label", score_col: str = "score",
         nxt = base.select((F.col("rank_asc") + 1).alias("rank_asc"), F.col("n0").alias("_ln0"),
                           F.col("n1").alias("_ln1"))
         base = base.join(nxt, on="rank_asc", how="left").where(
-            (F.col("rank_asc") == 0) | (F.col("rank_asc") == F.col("M") - 1) |
+            (F.col("rank_asc") == 0) | (F.col("rank_asc") == F.col("n_units") - 1) |
             (F.col("_ln0") != F.col("n0")) | (F.col("_ln1") != F.col("n1")))
-    pts = base.select("threshold", r6(F.try_divide(F.col("fp"), F.col("N0"))).alias("fpr"),
-                      r6(F.try_divide(F.col("tp"), F.col("N1"))).alias("tpr"))
+    pts = base.select("threshold", r6(F.try_divide(F.col("fp"), F.col("total_neg"))).alias("fpr"),
+                      r6(F.try_divide(F.col("tp"), F.col("total_pos"))).alias("tpr"))
     start = df.sparkSession.createDataFrame([(float("inf"), 0.0, 0.0)], "threshold double, fpr double, tpr double")
     return start.unionByName(pts)
 
@@ -132,7 +134,7 @@ def pr_curve(df: DataFrame, label_col: str = "label", score_col: str = "score")
     """(threshold, precision, recall) for every distinct score."""
     base = _curve_base(df, label_col, score_col)
     return base.select("threshold", r6(F.try_divide(F.col("tp"), F.col("tp") + F.col("fp"))).alias("precision"),
-                       r6(F.try_divide(F.col("tp"), F.col("N1"))).alias("recall"))
+                       r6(F.try_divide(F.col("tp"), F.col("total_pos"))).alias("recall"))
 
 
 def risk_level(score_col: str = "score", edges=S.RISK_EDGES, labels=S.RISK_LABELS):
@@ -189,5 +191,9 @@ def grouped_evaluate(df: DataFrame, group_col: str, label_col: str = "label", sc
         r6(F.when(den > 0, F.col("_s") / den)).alias("auc"), r6((F.col("tp") + F.col("tn")) / n).alias("accuracy"))
 
 
-def rank_window():
-    return Window.orderBy("threshold")
+def prediction_table(df: DataFrame, id_col: str, label_col: str = "label", score_col: str = "score",
+                     pred_col: str = "pred", keep=()) -> DataFrame:
+    """keyed rows with actual label, probability, decision and risk level
+    (all on the same row -- nothing is attached by position)."""
+    return df.select(id_col, *keep, F.col(label_col).alias("actual_churn"), r6(score_col).alias("churn_prob"),
+                     F.col(pred_col).alias("predicted_churn"), risk_level(score_col).alias("risk_level"))

@@ -374,3 +374,5 @@ def e10_segments(spark, d):
 
 # further sections register themselves on import
 from churnlab.plans import q_prepare  # noqa: E402,F401
+from churnlab.plans import q_evaluate  # noqa: E402,F401
+from churnlab.plans import q_drift  # noqa: E402,F401

@@ -376,3 +376,4 @@ def e10_segments(spark, d):
 from churnlab.plans import q_prepare  # noqa: E402,F401
 from churnlab.plans import q_evaluate  # noqa: E402,F401
 from churnlab.plans import q_drift  # noqa: E402,F401
+from churnlab.plans import q_cluster  # noqa: E402,F401

@@ -378,3 +378,4 @@ from churnlab.plans import q_evaluate  # noqa: E402,F401
 from churnlab.plans import q_drift  # noqa: E402,F401
 from churnlab.plans import q_cluster  # noqa: E402,F401
 from churnlab.plans import q_model  # noqa: E402,F401
+from churnlab.plans import q_stream  # noqa: E402,F401

@@ -60,17 +60,19 @@ def ordered_prefix(units: DataFrame, order_cols: Sequence[str], sum_cols: Sequen
 
 
 def exact_quantiles(long: DataFrame, value_col: str, probs: Sequence[float],
-                    group_cols: Sequence[str] = ()) -> DataFrame:
+                    group_cols: Sequence[str] = (), weight_col: str | None = None) -> DataFrame:
     """Linear-interpolation quantiles (numpy 'linear', SQL percentile_cont).
 
-    ``long`` holds one value per row; nulls are ignored.  Returns one row per
-    group with columns ``q_<i>`` for each requested probability and ``n``.
+    ``long`` holds one value per row (or, with ``weight_col``, a value and
+    its integer multiplicity); nulls are ignored.  Returns one row per group
+    with columns ``q_<i>`` for each requested probability and ``n``.
     Identical values are collapsed first, so a value held by a third of all
     rows is one unit; the rest is :func:`ordered_prefix`.
     """
     group_cols = list(group_cols)
+    w = F.sum(F.col(weight_col)).cast("long") if weight_col else F.count(F.lit(1))
     units = (long.where(F.col(value_col).isNotNull())
-             .groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("_c")))
+             .groupBy(*group_cols, value_col).agg(w.alias("_c")))
     pref = ordered_prefix(units, [value_col], ["_c"], group_cols)
     sizes = units.groupBy(*group_cols).agg(F.sum("_c").alias("n"))
     # one row per (group, probability): the probabilities are a short fixed list

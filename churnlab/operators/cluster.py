@@ -93,10 +93,11 @@ def array_profile(df: DataFrame, cluster_col: str, vec_col: str, prefix: str = "
 def cluster_target_rate(df: DataFrame, cluster_col: str, label_col: str) -> DataFrame:
     """K6: rows and positive rate (%) per cluster, with the overall rate."""
     g = df.groupBy(F.col(cluster_col).alias("cluster")).agg(
-        F.count(F.lit(1)).alias("n"), F.avg(F.col(label_col).cast("double")).alias("_r"))
-    ov = df.agg(F.avg(F.col(label_col).cast("double")).alias("_o"))
-    return attach_scalars(g, ov).select("cluster", "n", r6(F.col("_r") * 100.0).alias("churn_rate"),
-                                        r6(F.col("_o") * 100.0).alias("overall_rate"))
+        F.count(F.lit(1)).alias("n"), F.sum(F.col(label_col).cast("long")).alias("_pos"))
+    every = Window.partitionBy()  # over the cluster table (k rows)
+    overall = F.sum("_pos").over(every) / F.sum("n").over(every)
+    return g.select("cluster", "n", r6(F.col("_pos") / F.col("n") * 100.0).alias("churn_rate"),
+                    r6(overall * 100.0).alias("overall_rate"))
 
 
 def name_clusters(df: DataFrame, cluster_col: str, features: Sequence[str], top: int = S.TOP_K_SHORT) -> DataFrame:
@@ -104,10 +105,18 @@ def name_clusters(df: DataFrame, cluster_col: str, features: Sequence[str], top:
     global mean, in units of the global (population) std."""
     long = df.select(F.col(cluster_col).alias("cluster"), F.inline(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x")) for c in features])))
-    glob = long.groupBy("feature").agg(F.avg("x").alias("_gm"), F.stddev_pop("x").alias("_gs"))
-    per = long.groupBy("cluster", "feature").agg(F.avg("x").alias("_cm"))
-    z = per.join(F.broadcast(glob), "feature").select(
-        "cluster", "feature", F.try_divide(F.col("_cm") - F.col("_gm"), F.col("_gs")).alias("_z"))
+    # one pass over the data: per (cluster, feature) count, mean and squared
+    # deviations; the global mean and population std are combined from that
+    # small table (pooled-variance formula, numerically stable)
+    per = long.where(F.col("x").isNotNull()).groupBy("cluster", "feature").agg(
+        F.count("x").alias("_n"), F.avg("x").alias("_cm"), (F.var_pop("x") * F.count("x")).alias("_m2"))
+    by_f = Window.partitionBy("feature")  # clusters of one feature
+    gm = F.sum(F.col("_n") * F.col("_cm")).over(by_f) / F.sum("_n").over(by_f)
+    per = per.select("*", gm.alias("_gm"))
+    m2 = F.sum(F.col("_m2") + F.col("_n") * (F.col("_cm") - F.col("_gm")) * (F.col("_cm") - F.col("_gm"))).over(by_f)
+    gs = F.sqrt(m2 / F.sum("_n").over(by_f))
+    z = per.select("cluster", "feature",
+                   F.try_divide(F.col("_cm") - F.col("_gm"), F.when(gs > 0, gs)).alias("_z"))
     w = Window.partitionBy("cluster").orderBy(F.abs(F.col("_z")).desc_nulls_last(), "feature")  # features per cluster
     ranked = z.select("*", F.row_number().over(w).alias("rank")).where(F.col("rank") <= top)
     return ranked.select("cluster", "rank", "feature", r6("_z").alias("z"),

@@ -144,9 +144,8 @@ def category_drift(a: DataFrame, b: DataFrame, col: str) -> DataFrame:
     def shares(df, tag):
         g = df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("string").alias("value")).agg(
             F.count(F.lit(1)).alias(f"_n_{tag}"))
-        t = df.agg(F.count(F.col(col)).alias(f"_t_{tag}"))
-        return attach_scalars(g, t).select("value", (F.col(f"_n_{tag}") * 100.0 / F.col(f"_t_{tag}")).alias(f"_s_{tag}"),
-                                           F.col(f"_n_{tag}"))
+        total = F.sum(f"_n_{tag}").over(Window.partitionBy())  # category table only
+        return g.select("value", (F.col(f"_n_{tag}") * 100.0 / total).alias(f"_s_{tag}"), F.col(f"_n_{tag}"))
     sa, sb = shares(a, "a"), shares(b, "b")
     j = sa.join(sb.drop("_n_b"), on="value", how="left")
     w = Window.orderBy(F.col("_n_a").desc(), F.col("value"))  # category table only

@@ -13,6 +13,9 @@ from churnlab.functions.prefix import exact_quantiles
 from churnlab.operators.profile import attach_scalars
 
 
+_ALL = "\u0000all"  # sentinel group name; cannot collide with a column name
+
+
 def _is_pos(spec: S.FeatureSpec):
     return F.col(spec.target).eqNullSafe(spec.positive).cast("int")
 
@@ -33,8 +36,8 @@ def histogram(df: DataFrame, col: str, by: str | None = None, bins: int = S.FEAT
     rng = data.groupBy(*g).agg(F.min("_x").alias("_mn"), F.max("_x").alias("_mx"),
                                F.count(F.lit(1)).alias("_N"))
     if shared_edges and g:
-        allr = data.agg(F.min("_x").alias("_amn"), F.max("_x").alias("_amx"))
-        rng = attach_scalars(rng, allr).select(*g, F.col("_amn").alias("_mn"), F.col("_amx").alias("_mx"), "_N")
+        every = Window.partitionBy()  # over the group table (one row per group)
+        rng = rng.select(*g, F.min("_mn").over(every).alias("_mn"), F.max("_mx").over(every).alias("_mx"), "_N")
     same = F.col("_mn") == F.col("_mx")
     rng = rng.select(*g, "_N",
                      F.when(same, F.col("_mn") - 0.5).otherwise(F.col("_mn")).alias("_lo"),
@@ -89,16 +92,20 @@ def target_rate_by(df: DataFrame, spec: S.FeatureSpec, features: Sequence[str],
     band, and position in ascending-rate order.  One unpivot, one shuffle
     whose size is the number of categories; null categories are dropped."""
     pos = _is_pos(spec)
-    long = df.select(pos.alias("_y"), F.inline(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in features])))
+    # the overall rate rides along as one more (sentinel) group of the same
+    # aggregation, so the input is scanned once
+    long = df.select(pos.alias("_y"), F.inline(F.array(
+        *[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in features],
+        F.struct(F.lit(_ALL).alias("feature"), F.lit(_ALL).alias("value")))))
     g = (long.where(F.col("value").isNotNull()).groupBy("feature", "value")
          .agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("_pos")))
-    overall = df.agg((F.sum(pos) * F.lit(100.0) / F.count(F.lit(1))).alias("_overall"))
     rate = F.col("_pos") * F.lit(100.0) / F.col("n")
+    everything = Window.partitionBy()  # over the category table (sum of categories of all features)
+    overall = F.max(F.when(F.col("feature") == _ALL, rate)).over(everything)
     w = Window.partitionBy("feature").orderBy(rate, F.col("value"))  # bounded by categories per feature
-    return attach_scalars(g, overall).select(
-        "feature", "value", "n", r6(rate).alias("churn_rate"), r6("_overall").alias("overall_rate"),
-        bands(rate, *band).alias("band"), F.row_number().over(w).alias("rate_order"))
+    out = g.select("feature", "value", "n", r6(rate).alias("churn_rate"), r6(overall).alias("overall_rate"),
+                   bands(rate, *band).alias("band"), F.row_number().over(w).alias("rate_order"))
+    return out.where(F.col("feature") != _ALL)
 
 
 def category_spread(rates: DataFrame, min_spread: float = S.MIN_SPREAD) -> DataFrame:

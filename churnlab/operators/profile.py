@@ -74,11 +74,10 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
     position in frequency order (ties by value)."""
     g = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("value")).agg(
         F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.col(col)).alias("_total"))
-    w = Window.orderBy(F.col("n").desc(), F.col("value"))  # over the category table only
-    return (attach_scalars(g, total)
-            .select("value", "n", r6(F.col("n") / F.col("_total")).alias("share"),
-                    F.row_number().over(w).alias("freq_rank")))
+    # both windows run over the category table only (one row per value)
+    total = F.sum("n").over(Window.partitionBy())
+    w = Window.orderBy(F.col("n").desc(), F.col("value"))
+    return g.select("value", "n", r6(F.col("n") / total).alias("share"), F.row_number().over(w).alias("freq_rank"))
 
 
 def imbalance_check(df: DataFrame, spec: S.FeatureSpec, threshold: float = S.IMBALANCE_THRESHOLD) -> DataFrame:

@@ -30,11 +30,12 @@ from churnlab.session import ensure_checkpoint_dir
 
 def ordered_prefix(units: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str],
                    group_cols: Sequence[str] = (), num_buckets: int | None = None,
-                   prefix: str = "before_") -> DataFrame:
+                   prefix: str = "before_", keep_bucket: bool = False) -> DataFrame:
     """Add ``before_<c>``: sum of ``c`` over earlier rows of the same group.
 
     Rows must be unique in (group, order) for a strict order; ties in the
-    order columns are broken arbitrarily but consistently.
+    order columns are broken arbitrarily but consistently.  ``keep_bucket``
+    also returns the frozen range bucket ``_bucket`` of every row.
     """
     spark = units.sparkSession
     ensure_checkpoint_dir(spark)
@@ -54,7 +55,7 @@ def ordered_prefix(units: DataFrame, order_cols: Sequence[str], sum_cols: Sequen
             .rowsBetween(Window.unboundedPreceding, -1))
     joined = bucketed.join(offsets, on=[*group_cols, "_bucket"], how="inner")
     return joined.select(
-        *units.columns,
+        *units.columns, *(["_bucket"] if keep_bucket else []),
         *[(F.col(f"_off_{c}") + F.coalesce(F.sum(c).over(w_in), F.lit(0))).alias(prefix + c)
           for c in sum_cols])
 
@@ -73,8 +74,11 @@ def exact_quantiles(long: DataFrame, value_col: str, probs: Sequence[float],
     w = F.sum(F.col(weight_col)).cast("long") if weight_col else F.count(F.lit(1))
     units = (long.where(F.col(value_col).isNotNull())
              .groupBy(*group_cols, value_col).agg(w.alias("_c")))
-    pref = ordered_prefix(units, [value_col], ["_c"], group_cols)
-    sizes = units.groupBy(*group_cols).agg(F.sum("_c").alias("n"))
+    pref = ordered_prefix(units, [value_col], ["_c"], group_cols, keep_bucket=True)
+    # first position and size of every (group, bucket): about groups x P rows
+    spans = pref.groupBy(*group_cols, "_bucket").agg(F.min("before__c").alias("_start"),
+                                                      F.sum("_c").alias("_cnt"))
+    sizes = spans.groupBy(*group_cols).agg(F.sum("_cnt").alias("n"))
     # one row per (group, probability): the probabilities are a short fixed list
     p_arr = F.array(*[F.struct(F.lit(i).alias("_qi"), F.lit(float(p)).alias("_p"))
                       for i, p in enumerate(probs)])
@@ -84,21 +88,36 @@ def exact_quantiles(long: DataFrame, value_col: str, probs: Sequence[float],
                              F.floor(pos).cast("long").alias("_lo"),
                              F.ceil(pos).cast("long").alias("_hi"),
                              (pos - F.floor(pos)).alias("_frac"))
-    # rename the small side so the join never resolves columns across a shared lineage
+    # rename the small sides so joins never resolve columns across a shared lineage
     t_names = {g: f"_t{i}" for i, g in enumerate(group_cols)}
+    s_names = {g: f"_s{i}" for i, g in enumerate(group_cols)}
     targets = targets.select(*[F.col(g).alias(t_names[g]) for g in group_cols],
                              "n", "_qi", "_lo", "_hi", "_frac")
+    spans = spans.select(*[F.col(g).alias(s_names[g]) for g in group_cols], F.col("_bucket").alias("_sb"),
+                         "_start", "_cnt")
+
+    def all_of(conds):
+        out = F.lit(True)
+        for c in conds:
+            out = out & c
+        return out
+
     picks = []
     for side in ("_lo", "_hi"):
-        cond = [F.col(g).eqNullSafe(F.col(t_names[g])) for g in group_cols]
-        cond += [F.col("before__c") <= F.col(side), F.col(side) < F.col("before__c") + F.col("_c")]
-        cond_all = cond[0]
-        for c in cond[1:]:
-            cond_all = cond_all & c
-        j = pref.join(targets, on=cond_all, how="inner").select(
-            *[F.col(t_names[g]).alias(g) for g in group_cols], "_qi", "_frac", "n",
-            F.col(value_col).alias("_v" + side))
-        picks.append(j)
+        # locate the bucket holding each target position (small x small), then
+        # join the units on (group, bucket): equi-keys with about P distinct
+        # values per group, so no task receives a whole group
+        loc = targets.join(spans, all_of(
+            [F.col(t_names[g]).eqNullSafe(F.col(s_names[g])) for g in group_cols] +
+            [F.col("_start") <= F.col(side), F.col(side) < F.col("_start") + F.col("_cnt")]))
+        loc = loc.select(*[t_names[g] for g in group_cols], "_qi", "_frac", "n",
+                         F.col(side).alias("_pos"), F.col("_sb"))
+        j = pref.join(loc, all_of(
+            [F.col(g).eqNullSafe(F.col(t_names[g])) for g in group_cols] +
+            [F.col("_bucket") == F.col("_sb"),
+             F.col("before__c") <= F.col("_pos"), F.col("_pos") < F.col("before__c") + F.col("_c")]))
+        picks.append(j.select(*[F.col(t_names[g]).alias(g) for g in group_cols], "_qi", "_frac", "n",
+                              F.col(value_col).alias("_v" + side)))
     both = picks[0].join(picks[1].drop("_frac", "n"), on=[*group_cols, "_qi"], how="inner")
     q = both.select(*group_cols, "n", "_qi",
                     (F.col("_v_lo") + (F.col("_v_hi") - F.col("_v_lo")) * F.col("_frac")).alias("_q"))

@@ -42,8 +42,10 @@ def histogram(df: DataFrame, col: str, by: str | None = None, bins: int = S.FEAT
     rng = rng.select(*g, "_N",
                      F.when(same, F.col("_mn") - 0.5).otherwise(F.col("_mn")).alias("_lo"),
                      F.when(same, F.col("_mx") + 0.5).otherwise(F.col("_mx")).alias("_hi"))
-    # one row per group: Spark broadcasts it after its own size check
-    binned = data.join(rng, on=g, how="inner") if g else attach_scalars(data, rng)
+    # one row per group; the output has groups x bins rows, so the group
+    # table is small by construction and is broadcast explicitly (a shuffle
+    # join on a class label would send each class to one task)
+    binned = data.join(F.broadcast(rng), on=g, how="inner") if g else attach_scalars(data, rng)
     b = F.least(F.floor((F.col("_x") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * bins),
                 F.lit(bins - 1)).cast("int")
     counts = binned.groupBy(*g, b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
@@ -65,7 +67,9 @@ def box_stats(df: DataFrame, col: str, by: str) -> DataFrame:
     q = q.select("*", (F.col("q3") - F.col("q1")).alias("iqr"))
     lo_f = F.col("q1") - 1.5 * F.col("iqr")
     hi_f = F.col("q3") + 1.5 * F.col("iqr")
-    j = long.join(q, on=by, how="inner")  # one row per group on the right
+    # one row per group (small by construction: one box per group); broadcast
+    # so a group holding most rows is not shuffled into one task
+    j = long.join(F.broadcast(q), on=by, how="inner")
     return j.groupBy(by).agg(
         *[r6(F.first(c)).alias(c) for c in ("q1", "median", "q3", "iqr")],
         r6(F.min(F.when(F.col("x") >= lo_f, F.col("x")))).alias("whisker_low"),

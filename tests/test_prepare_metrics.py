@@ -90,3 +90,36 @@ def test_prepare_model_freezes_categories(spark):
     out = model.encode(new).collect()
     assert [c for c in model.feature_names] == ["c_a", "c_b"]
     assert all(r["c_a"] == 0.0 and r["c_b"] == 0.0 for r in out)
+
+
+def test_f1_matches_spark_evaluator_for_label_one(spark):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    rng = np.random.default_rng(3)
+    rows = [(int(y), float(s)) for y, s in zip(rng.integers(0, 2, 400), rng.random(400))]
+    df = _scores(spark, rows).select(F.col("label").cast("double").alias("label"),
+                                     F.col("pred").cast("double").alias("pred"), "score")
+    ev = MulticlassClassificationEvaluator(labelCol="label", predictionCol="pred", metricName="fMeasureByLabel",
+                                           metricLabel=1.0)
+    assert math.isclose(M.f1_score(df).first()["f1"], ev.evaluate(df), abs_tol=1e-6)
+
+
+def test_nearest_centre_tie_goes_to_lowest_id(spark):
+    from churnlab.operators.cluster import nearest_center
+    pts = spark.createDataFrame([(1, [0.0, 0.0]), (2, [2.0, 0.0]), (3, [1.0, 0.0])], "id int, v array<double>")
+    cen = spark.createDataFrame([(7, [0.0, 0.0]), (5, [2.0, 0.0])], "cid int, cv array<double>")
+    got = {r["id"]: r["cluster"] for r in nearest_center(pts, "v", cen).collect()}
+    assert got == {1: 7, 2: 5, 3: 5}
+
+
+def test_documents_duplicate_golden(spark):
+    from churnlab.operators.profile import duplicate_count
+    from churnlab.sources.tables import load
+    docs = load(spark, "/root/testdata/sf0.001", "documents")
+    assert duplicate_count(docs, ["text"]).first()["n_duplicates"] == 11
+
+
+def test_batch_key_numbers_rows_within_month(spark):
+    from churnlab.operators.drift import batch_key
+    df = spark.createDataFrame([(k, k % 2 + 1) for k in range(10)], "id long, m long")
+    got = {r["id"]: r["batch_key"] for r in batch_key(df, "m", "id").collect()}
+    assert got[0] == "NEW-M01-0000" and got[8] == "NEW-M01-0004" and got[9] == "NEW-M02-0004"

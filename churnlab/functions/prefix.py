@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlab.session import ensure_checkpoint_dir
@@ -30,21 +30,30 @@ from churnlab.session import ensure_checkpoint_dir
 
 def ordered_prefix(units: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str],
                    group_cols: Sequence[str] = (), num_buckets: int | None = None,
-                   prefix: str = "before_", keep_bucket: bool = False) -> DataFrame:
+                   prefix: str = "before_", keep_bucket: bool = False,
+                   bucket: Column | None = None) -> DataFrame:
     """Add ``before_<c>``: sum of ``c`` over earlier rows of the same group.
 
     Rows must be unique in (group, order) for a strict order; ties in the
     order columns are broken arbitrarily but consistently.  ``keep_bucket``
-    also returns the frozen range bucket ``_bucket`` of every row.
+    also returns the bucket ``_bucket`` of every row.
+
+    ``bucket`` may give the bucket as a deterministic expression that is
+    non-decreasing in the order columns (e.g. the leading hex digits of a
+    hash the rows are ordered by).  Then no range sampling and no checkpoint
+    are needed: the bucket is a pure function of the row.
     """
     spark = units.sparkSession
-    ensure_checkpoint_dir(spark)
-    n_buckets = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     group_cols, order_cols, sum_cols = list(group_cols), list(order_cols), list(sum_cols)
-    keys = [F.col(k).asc_nulls_first() for k in group_cols + order_cols]
-    bucketed = (units.repartitionByRange(n_buckets, *keys)
-                .withColumn("_bucket", F.spark_partition_id())
-                .checkpoint(eager=True))
+    if bucket is not None:
+        bucketed = units.withColumn("_bucket", bucket)
+    else:
+        ensure_checkpoint_dir(spark)
+        n_buckets = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        keys = [F.col(k).asc_nulls_first() for k in group_cols + order_cols]
+        bucketed = (units.repartitionByRange(n_buckets, *keys)
+                    .withColumn("_bucket", F.spark_partition_id())
+                    .checkpoint(eager=True))
     totals = bucketed.groupBy(*group_cols, "_bucket").agg(*[F.sum(c).alias(c) for c in sum_cols])
     w_small = (Window.partitionBy(*group_cols).orderBy("_bucket")
                .rowsBetween(Window.unboundedPreceding, -1))

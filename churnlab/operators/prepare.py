@@ -121,8 +121,8 @@ def stratified_split(df: DataFrame, label_col: str, id_col: str, test_size: floa
     size of each class follows the largest-remainder allocation of the train
     total, the rest of the class is test.  Inside a class, rows are ordered
     by md5('<seed>|<id>') and the first ones go to test -- reproducible,
-    independent of partitioning, and computed by the distributed prefix (no
-    single-task sort, no Bernoulli sampling)."""
+    independent of partitioning, and computed by the distributed prefix over
+    hash buckets (no single-task sort, no Bernoulli sampling)."""
     counts = {r[0]: r[1] for r in df.groupBy(label_col).count().collect()}  # one row per class
     n = sum(counts.values())
     n_test = math.ceil(test_size * n)
@@ -130,7 +130,10 @@ def stratified_split(df: DataFrame, label_col: str, id_col: str, test_size: floa
     test_c = {k: counts[k] - train_c[k] for k in counts}
     h = F.md5(F.concat(F.lit(f"{seed}|"), F.col(id_col).cast("string")))
     units = df.withColumn("_h", h).withColumn("_one", F.lit(1))
-    ranked = ordered_prefix(units, ["_h", id_col], ["_one"], [label_col])
+    # md5 is uniform: its first 4 hex digits are 65,536 equal-sized buckets
+    # that follow the order, so the bucket is a pure function of the row
+    hex_bucket = F.conv(F.substring("_h", 1, 4), 16, 10).cast("int")
+    ranked = ordered_prefix(units, ["_h", id_col], ["_one"], [label_col], bucket=hex_bucket)
     limit = None
     for k, v in test_c.items():
         cond = F.col(label_col).eqNullSafe(F.lit(k))

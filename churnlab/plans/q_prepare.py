@@ -23,8 +23,11 @@ def labelled(spark: SparkSession, d: str) -> DataFrame:
 
 
 def split_subs(spark: SparkSession, d: str) -> DataFrame:
-    """Raw subscriber rows + label + exact stratified ``split``."""
-    return D.stratified_split(labelled(spark, d), "label", "c_custkey")
+    """Raw subscriber rows + label + exact stratified ``split``, written once
+    to the shared checkpoint folder: the fit steps (categories, scaler,
+    forest) and the transform all read it instead of re-deriving it from
+    the orders table, and the lineage is cut."""
+    return D.stratified_split(labelled(spark, d), "label", "c_custkey").checkpoint(eager=True)
 
 
 def fitted(spark: SparkSession, d: str, scale_all: bool = False):

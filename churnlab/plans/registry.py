@@ -371,11 +371,3 @@ FROM g"""))
 def e10_segments(spark, d):
     return E.segment_rate(subs(spark, d), SPEC, "tenure", S.SUBS_TENURE_EDGES, S.SUBS_TENURE_LABELS)
 
-
-# further sections register themselves on import
-from churnlab.plans import q_prepare  # noqa: E402,F401
-from churnlab.plans import q_evaluate  # noqa: E402,F401
-from churnlab.plans import q_drift  # noqa: E402,F401
-from churnlab.plans import q_cluster  # noqa: E402,F401
-from churnlab.plans import q_model  # noqa: E402,F401
-from churnlab.plans import q_stream  # noqa: E402,F401

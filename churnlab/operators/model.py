@@ -29,7 +29,12 @@ def forest_pipeline(feature_names: Sequence[str], params: dict | None = None,
                     weight_col: str | None = "weight") -> Pipeline:
     """assembler + random forest (200 trees, depth 10, leaf >= 20,
     square-root feature subsets, seed 42 unless overridden)."""
-    p = dict(S.FOREST)
+    # execution settings (no effect on the model): cache each row's node id
+    # between levels instead of shipping trees to executors -- faster for
+    # deep trees; the cache is checkpointed to the shared folder every 10
+    # iterations, which also bounds lineage
+    p = dict(cacheNodeIds=True, checkpointInterval=10)
+    p.update(S.FOREST)
     p.update(params or {})
     rf = RandomForestClassifier(labelCol="label", featuresCol="features", probabilityCol="probability",
                                 rawPredictionCol="raw", predictionCol="prediction", **p)

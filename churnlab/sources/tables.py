@@ -9,15 +9,25 @@ from pyspark.sql.types import StructType
 from churnlab import spec as S
 
 
+CORRUPT_COL = "_corrupt_record"
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType | str | None = None,
-               fmt: str = "parquet", header: bool = True) -> DataFrame:
+               fmt: str = "parquet", header: bool = True, keep_corrupt: bool = False) -> DataFrame:
     """A1: typed scan.  CSV is read with a declared schema (no inference) in
-    PERMISSIVE mode; a malformed line becomes nulls instead of failing the job."""
+    PERMISSIVE mode; a malformed line becomes nulls instead of failing the
+    job, and with ``keep_corrupt`` its raw text is kept in ``_corrupt_record``
+    so bad input can be reported rather than silently lost."""
     reader = spark.read.format(fmt)
     if schema is not None:
+        if keep_corrupt and fmt == "csv":
+            st = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+            schema = st.add(CORRUPT_COL, "string")
         reader = reader.schema(schema)
     if fmt == "csv":
         reader = reader.option("header", str(header).lower()).option("mode", "PERMISSIVE")
+        if keep_corrupt:
+            reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COL)
     return reader.load(path)
 
 

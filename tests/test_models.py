@@ -93,3 +93,12 @@ def test_split_with_single_row_class(spark):
     df = spark.createDataFrame([(i, 0) for i in range(9)] + [(99, 1)], "key long, label int")
     out = stratified_split(df, "label", "key").groupBy("split").count().collect()
     assert {r["split"]: r["count"] for r in out} == {"train": 8, "test": 2}
+
+
+def test_csv_scan_keeps_corrupt_lines(spark, tmp_path):
+    p = tmp_path / "t.csv"
+    p.write_text("id,amount\n1,2.5\n2,oops\n3,4.0\n")
+    df = T.read_table(spark, str(p), "id int, amount double", fmt="csv", keep_corrupt=True).cache()
+    rows = {r["id"]: r for r in df.collect()}
+    assert rows[1]["amount"] == 2.5 and rows[1]["_corrupt_record"] is None
+    assert rows[2]["amount"] is None and rows[2]["_corrupt_record"] == "2,oops"

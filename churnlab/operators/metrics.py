@@ -8,21 +8,22 @@ and never sort the table in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlab import spec as S
 from churnlab.functions.columns import cut, r6
 from churnlab.functions.prefix import ordered_prefix
 from churnlab.operators.explore import histogram
+from churnlab.operators.profile import attach_scalars
 
 
 def balanced_weights(df: DataFrame, label_col: str, weight_col: str = "weight") -> DataFrame:
     """weight n / (k * n_class) per row (class table: one row per class)."""
     cls = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("_nc"))
-    tot = cls.agg(F.sum("_nc").alias("_n"), F.count(F.lit(1)).alias("_k"))
-    w = cls.join(F.broadcast(tot), how="cross").select(
-        label_col, (F.col("_n") / (F.col("_k") * F.col("_nc"))).alias(weight_col))
+    every = Window.partitionBy()  # over the class table (one row per class)
+    w = cls.select(label_col, (F.sum("_nc").over(every) / (F.count(F.lit(1)).over(every) * F.col("_nc")))
+                   .alias(weight_col))
     return df.join(F.broadcast(w), on=label_col, how="left")
 
 
@@ -106,7 +107,7 @@ def _curve_base(df: DataFrame, label_col: str, score_col: str) -> DataFrame:
     tot = units.agg(F.sum("n0").alias("total_neg"), F.sum("n1").alias("total_pos"),
                     F.count(F.lit(1)).alias("n_units"))
     # at threshold t: rows with score >= t are predicted positive
-    return pref.join(F.broadcast(tot), how="cross").select(
+    return attach_scalars(pref, tot).select(
         "threshold", "n0", "n1", F.col("before_one").alias("rank_asc"), "n_units", "total_neg", "total_pos",
         (F.col("total_neg") - F.col("before_n0")).alias("fp"), (F.col("total_pos") - F.col("before_n1")).alias("tp"))
 
@@ -166,7 +167,7 @@ def evaluate(df: DataFrame, name: str, label_col: str = "label", score_col: str
     acc = c.select(((F.col("tp") + F.col("tn")) / (F.col("tp") + F.col("tn") + F.col("fp") + F.col("fn")))
                    .alias("_acc"), _f1(F.col("tp"), F.col("fp"), F.col("fn")).alias("_f1"))
     auc = roc_auc(df, label_col, score_col)
-    return acc.join(auc, how="cross").select(F.lit(name).alias("label"), r6("_f1").alias("f1"), "auc",
+    return attach_scalars(acc, auc).select(F.lit(name).alias("label"), r6("_f1").alias("f1"), "auc",
                                              r6("_acc").alias("accuracy"))
 
 

@@ -125,7 +125,7 @@ def retrain_rounds(base: DataFrame, test: DataFrame, spec: S.FeatureSpec, month_
         base.unpersist()
     hist = spark.createDataFrame(rows, "month int, data_size bigint, f1_test double, auc_test double, "
                                        "f1_on_new double")
-    first = hist.where(F.col("month") == months[0]).select(F.col("f1_test").alias("_b"))
-    hist = hist.join(F.broadcast(first), how="cross").select(
-        "month", "data_size", "f1_test", "auc_test", "f1_on_new", r6(F.col("f1_test") - F.col("_b")).alias("delta_f1"))
+    first = hist.where(F.col("month") == months[0]).select("f1_test").scalar()
+    hist = hist.select("month", "data_size", "f1_test", "auc_test", "f1_on_new",
+                       r6(F.col("f1_test") - first).alias("delta_f1"))
     return hist, models

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from churnlab import spec as S
 from churnlab.functions.columns import coerce_numeric, is_value, r6
 from churnlab.functions.prefix import ordered_prefix
+from churnlab.operators.profile import attach_scalars
 
 MAX_CATEGORIES = 1000
 
@@ -170,7 +171,7 @@ def scaling_report(before: DataFrame, after: DataFrame, cols: Sequence[str]) ->
                    *[F.stddev_samp(c).alias(f"sb{i}") for i, c in enumerate(cols)])
     a = after.agg(*[F.avg(c).alias(f"ma{i}") for i, c in enumerate(cols)],
                   *[F.stddev_samp(c).alias(f"sa{i}") for i, c in enumerate(cols)])
-    one = b.join(F.broadcast(a), how="cross")  # two one-row aggregates
+    one = attach_scalars(b, a)  # two one-row aggregates
     return one.select(F.inline(F.array(*[F.struct(
         F.lit(c).alias("column"), r6(F.col(f"mb{i}")).alias("mean_before"), r6(F.col(f"sb{i}")).alias("std_before"),
         r6(F.col(f"ma{i}")).alias("mean_after"), r6(F.col(f"sa{i}")).alias("std_after"))

@@ -21,8 +21,13 @@ def _rows(*structs):
 
 
 def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a global aggregate (exactly one row) to every row."""
-    return df.join(F.broadcast(one_row), how="cross")
+    """Attach the columns of a global aggregate to every row.
+
+    The aggregate becomes ONE scalar subquery (a struct): Spark runs it once,
+    inlines the value into the projection and raises an error if it ever
+    returns more than one row -- no join, and a size bound Spark enforces."""
+    packed = one_row.select(F.struct(*one_row.columns).alias("_s")).scalar()
+    return df.select("*", *[packed[c].alias(c) for c in one_row.columns])
 
 
 def table_shape(df: DataFrame, spec: S.FeatureSpec) -> DataFrame:

@@ -167,8 +167,7 @@ def k2_silhouette(spark, d):
     finally:
         v.unpersist()
     best = res.agg(F.min_by("k", F.struct(-F.col("silhouette"), F.col("k"))).alias("_best"))
-    return res.join(F.broadcast(best), how="cross").select(
-        "k", "silhouette", (F.col("k") == F.col("_best")).alias("chosen"))
+    return res.select("k", "silhouette", (F.col("k") == best.scalar()).alias("chosen"))
 
 
 @query("k3_assign")

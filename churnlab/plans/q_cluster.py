@@ -87,8 +87,8 @@ def _scaled_all_cte() -> str:
     return SPLIT_CTE + f""",
 st AS (SELECT {stats} FROM split WHERE split = 'train'),
 scaled AS (SELECT c_custkey, label, split, {outs} FROM split, st),
-cen AS (SELECT * FROM (SELECT row_number() OVER (ORDER BY md5('42|' || CAST(c_custkey AS VARCHAR)), c_custkey) - 1
-                              AS cid, * EXCLUDE (c_custkey, label, split)
+cen AS (SELECT * FROM (SELECT CAST(row_number() OVER (ORDER BY md5('42|' || CAST(c_custkey AS VARCHAR)), c_custkey) - 1
+                              AS INTEGER) AS cid, * EXCLUDE (c_custkey, label, split)
                        FROM scaled WHERE split = 'train') WHERE cid < {N_CENTRES}),
 dd AS (SELECT s.*, c.cid, round({dist}, 9) AS dist FROM scaled s, cen c),
 assigned AS (SELECT * EXCLUDE (cid, dist, rn), cid AS cluster, dist AS distance FROM (
@@ -123,7 +123,8 @@ def k6_cluster_rate(spark, d):
 gstat AS (SELECT feature, avg(x) AS gm, stddev_pop(x) AS gs FROM long GROUP BY feature),
 per AS (SELECT cluster, feature, avg(x) AS cm FROM long GROUP BY cluster, feature),
 z AS (SELECT p.cluster, p.feature, (p.cm - g.gm) / nullif(g.gs, 0) AS z FROM per p JOIN gstat g ON p.feature = g.feature),
-r AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY abs(z) DESC NULLS LAST, feature) AS rank FROM z)""",
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY cluster ORDER BY abs(z) DESC NULLS LAST, feature) AS INTEGER)
+             AS rank FROM z)""",
     f"""
 SELECT cluster, rank, feature, round(z, 6) + 0.0 AS z,
        CASE WHEN z > 0 THEN 'high' WHEN z < 0 THEN 'low' ELSE 'average' END AS direction

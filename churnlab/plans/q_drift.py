@@ -108,7 +108,7 @@ a AS (SELECT commitment AS value, count(*) AS n_a, count(*) * 100.0 / sum(count(
 b AS (SELECT commitment AS value, count(*) * 100.0 / sum(count(*)) OVER () AS s_b
       FROM subs WHERE commitment IS NOT NULL AND batch_month = 6 AND tenure > 40 GROUP BY commitment)""", f"""
 SELECT a.value, {R('s_a')} AS share_a, {R('coalesce(s_b, 0.0)')} AS share_b,
-       row_number() OVER (ORDER BY n_a DESC, a.value) AS order_a
+       CAST(row_number() OVER (ORDER BY n_a DESC, a.value) AS INTEGER) AS order_a
 FROM a LEFT JOIN b ON a.value = b.value"""))
 def g10_category_drift(spark, d):
     s = subs(spark, d)

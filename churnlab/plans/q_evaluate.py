@@ -229,7 +229,7 @@ pu AS (SELECT *, coalesce(sum(n0) OVER (PARTITION BY round ORDER BY t
 auc AS (SELECT round, CASE WHEN sum(n0) * sum(n1) > 0 THEN sum(n1 * (b0 + 0.5 * n0)) / (sum(n0) * sum(n1)) END AS auc
         FROM pu GROUP BY round),
 newc AS ({_conf_sql('(SELECT * FROM pred WHERE batch_month = round + 1)', 'round')}),
-hist0 AS (SELECT cuts.round AS month, cuts.data_size, {R(_f1_sql('conf.tp', 'conf.fp', 'conf.fn'))} AS f1_test,
+hist0 AS (SELECT CAST(cuts.round AS INTEGER) AS month, cuts.data_size, {R(_f1_sql('conf.tp', 'conf.fp', 'conf.fn'))} AS f1_test,
                  {R('auc.auc')} AS auc_test, {R(_f1_sql('newc.tp', 'newc.fp', 'newc.fn'))} AS f1_on_new
           FROM cuts JOIN conf ON cuts.round = conf.round JOIN auc ON cuts.round = auc.round
           LEFT JOIN newc ON cuts.round = newc.round),
@@ -250,7 +250,7 @@ def h5_history(spark, d):
 @query("h6_select", W(_HIST_CTE + """,
 best AS (SELECT month AS best_month, f1_test AS best_f1 FROM history WHERE month <> 1
          ORDER BY f1_test DESC, month LIMIT 1)""", """
-SELECT best_month, best_f1, b.f1_test AS baseline_f1, best_f1 > b.f1_test AS deploy
+SELECT CAST(best_month AS INTEGER) AS best_month, best_f1, b.f1_test AS baseline_f1, best_f1 > b.f1_test AS deploy
 FROM best, (SELECT f1_test FROM history WHERE month = 1) b"""))
 def h6_select(spark, d):
     return H.select_model(_history(spark, d))

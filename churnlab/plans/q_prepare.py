@@ -122,7 +122,7 @@ def d7_collapse(spark, d):
 
 
 @query("d8_align", W(ENC_CTE, f"""
-SELECT c_custkey, {', '.join('0.0 AS region_ASIA' if f == 'region_ASIA' else f for f in FEATURES)}
+SELECT c_custkey, {', '.join('CAST(0.0 AS DOUBLE) AS region_ASIA' if f == 'region_ASIA' else f for f in FEATURES)}
 FROM enc"""))
 def d8_align(spark, d):
     """A batch whose encoding lacks one fitted category and carries an extra

@@ -134,7 +134,7 @@ def b4_describe(spark, d):
 
 @query("b5_value_counts", W(SUBS_CTE, f"""
 SELECT commitment AS value, count(*) AS n, {R('count(*) / sum(count(*)) OVER ()')} AS share,
-       row_number() OVER (ORDER BY count(*) DESC, commitment) AS freq_rank
+       CAST(row_number() OVER (ORDER BY count(*) DESC, commitment) AS INTEGER) AS freq_rank
 FROM subs WHERE commitment IS NOT NULL GROUP BY commitment"""))
 def b5_value_counts(spark, d):
     return P.value_counts(subs(spark, d), "commitment")
@@ -256,7 +256,7 @@ def _e4_sql() -> str:
     return W(_E4_CTE, f"""
 SELECT feature, value, n, {R('rate')} AS churn_rate, {R('o')} AS overall_rate,
        CASE WHEN rate > 40 THEN 'high' WHEN rate > 25 THEN 'mid' ELSE 'low' END AS band,
-       row_number() OVER (PARTITION BY feature ORDER BY rate, value) AS rate_order
+       CAST(row_number() OVER (PARTITION BY feature ORDER BY rate, value) AS INTEGER) AS rate_order
 FROM g, ov""")
 
 
@@ -341,7 +341,7 @@ def e7_corr_matrix(spark, d):
 @query("e8_target_corr", W(_CORR_CTE + ",\nt AS (" + "\nUNION ALL\n".join(
     f"SELECT '{a}' AS feature, {R(_pair_r('churn_bin', a))} AS r FROM cf" for a in _CORR_COLS[:-1]) + ")", """
 SELECT feature, r, CASE WHEN r > 0 THEN '+' WHEN r < 0 THEN '-' ELSE '0' END AS sign,
-       row_number() OVER (ORDER BY abs(r) DESC NULLS LAST, feature) AS abs_rank
+       CAST(row_number() OVER (ORDER BY abs(r) DESC NULLS LAST, feature) AS INTEGER) AS abs_rank
 FROM t"""))
 def e8_target_corr(spark, d):
     return E.target_correlation(E.correlation_matrix(_corr_frame(spark, d), _CORR_COLS), "churn_bin")

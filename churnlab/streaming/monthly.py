@@ -43,19 +43,38 @@ def stream_batches(spark: SparkSession, landing: str, schema: StructType | str,
     q = (src.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(sink)
+    # read back with the stream's schema: partition values keep their type
+    return spark.read.schema(src.schema).parquet(sink)
+
+
+def utc_instant(c: Column) -> Column:
+    """TIMESTAMP_NTZ -> TIMESTAMP, reading the wall clock as UTC whatever the
+    session time zone is (watermarks need TIMESTAMP; a plain cast would go
+    through the session zone)."""
+    secs = F.date_format(c, "ss.SSSSSS").cast("decimal(8,6)")
+    return F.make_timestamp(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c), secs, F.lit("UTC"))
+
+
+def utc_label(ts: Column) -> Column:
+    """'yyyy-MM-dd HH:mm' of an instant in UTC, by date arithmetic on epoch
+    seconds (no session-zone formatting)."""
+    s = F.unix_seconds(ts)
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(s / 86400).cast("int")).cast("string")
+    hm = F.format_string("%02d:%02d", F.floor(F.pmod(s, F.lit(86400)) / 3600).cast("int"),
+                         F.floor(F.pmod(s, F.lit(3600)) / 60).cast("int"))
+    return F.concat_ws(" ", day, hm)
 
 
 def window_rates(events: DataFrame, ts_col: str, flag: Column, window: str = "1 day",
                  watermark: str = "1 hour") -> DataFrame:
     """S2 plan: per tumbling event-time window the number of rows, flagged
-    rows and their rate.  NTZ timestamps are cast to session-zone timestamps
-    (watermarks need them); rows later than the watermark are dropped."""
-    ts = F.col(ts_col).cast("timestamp")
+    rows and their rate.  Rows later than the watermark are dropped."""
+    c = F.col(ts_col)
+    ts = utc_instant(c) if events.schema[ts_col].dataType.typeName() == "timestamp_ntz" else c
     e = events.withColumn("_ts", ts).withWatermark("_ts", watermark)
     g = e.groupBy(F.window("_ts", window).alias("w")).agg(
         F.count(F.lit(1)).alias("n_events"), F.count_if(flag).alias("n_flagged"))
-    return g.select(F.date_format(F.col("w.start"), "yyyy-MM-dd HH:mm").alias("window_start"), "n_events",
+    return g.select(utc_label(F.col("w.start")).alias("window_start"), "n_events",
                     "n_flagged", (F.round(F.col("n_flagged") / F.col("n_events"), 6) + F.lit(0.0)).alias("rate"))
 
 
@@ -76,7 +95,7 @@ def stream_window_rates(spark: SparkSession, landing: str, schema: StructType |
     q = (rates.writeStream.outputMode("update").foreachBatch(upsert).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(sink)
+    return spark.read.schema(rates.schema).parquet(sink)
 
 
 def stream_score(spark: SparkSession, landing: str, schema: StructType | str, sink: str, checkpoint: str,
@@ -92,4 +111,4 @@ def stream_score(spark: SparkSession, landing: str, schema: StructType | str, si
     q = (scored.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(sink)
+    return spark.read.schema(scored.schema).parquet(sink)

@@ -35,3 +35,19 @@ def test_window_rates_drop_late_rows(spark):
            ST.stream_window_rates(spark, landing, schema, sink, ckpt, "ts", F.col("kind") == "error").collect()}
     assert out["2024-01-01 00:00"]["n_events"] == 1
     assert out["2024-01-03 00:00"]["n_events"] == 2
+
+
+def test_window_rates_do_not_depend_on_session_zone(spark):
+    rows = [(dt.datetime(2024, 1, 1, 23, 30), "error"), (dt.datetime(2024, 1, 2, 0, 30), "ok"),
+            (dt.datetime(2024, 1, 2, 12, 0), "error")]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, kind string")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        out = {}
+        for tz in ("UTC", "America/Los_Angeles", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            out[tz] = sorted(map(tuple, ST.window_rates(df, "ts", F.col("kind") == "error").collect()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert out["UTC"] == out["America/Los_Angeles"] == out["Asia/Kolkata"]
+    assert out["UTC"][0][:3] == ("2024-01-01 00:00", 1, 1)

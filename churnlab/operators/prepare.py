@@ -104,6 +104,19 @@ def align_to_schema(df: DataFrame, feature_names: Sequence[str], keep: Sequence[
                               for f in feature_names])
 
 
+def unseen_categories(df: DataFrame, categories: dict) -> DataFrame:
+    """D8 report: per nominal column, rows of a new batch whose (non-null)
+    value was not seen at fit time -- they encode as all zeros, so they are
+    counted instead of silently widening the feature list.  One pass."""
+    cols = list(categories)
+    one = df.agg(F.count(F.lit(1)).alias("_n"), *[
+        F.count_if(F.col(c).isNotNull() & ~F.col(c).cast("string").isin(*categories[c])).alias(f"u{i}")
+        for i, c in enumerate(cols)])
+    return one.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col("_n").alias("n_rows"), F.col(f"u{i}").alias("n_unseen"))
+        for i, c in enumerate(cols)])))
+
+
 def largest_remainder(counts: dict, n_draws: int) -> dict:
     """Integer allocation of ``n_draws`` proportional to ``counts`` (floor,
     then one extra for the largest remainders; ties by class order)."""

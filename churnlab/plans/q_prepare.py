@@ -133,6 +133,25 @@ def d8_align(spark, d):
     return D.align_to_schema(enc, model.feature_names, ["c_custkey"])
 
 
+@query("d8_unseen", W(SUBS_CTE + """,
+fit AS (SELECT * FROM subs WHERE tenure <= 40),
+new AS (SELECT * FROM subs WHERE tenure > 40)""", """
+SELECT 'segment' AS column, count(*) AS n_rows,
+       count(*) FILTER (WHERE segment IS NOT NULL AND segment NOT IN (SELECT DISTINCT segment FROM fit
+                                                                     WHERE segment IS NOT NULL)) AS n_unseen
+FROM new
+UNION ALL
+SELECT 'region' AS column, count(*) AS n_rows,
+       count(*) FILTER (WHERE region IS NOT NULL AND region NOT IN (SELECT DISTINCT region FROM fit
+                                                                   WHERE region IS NOT NULL)) AS n_unseen
+FROM new"""))
+def d8_unseen(spark, d):
+    """Categories fitted on short-tenure customers, checked on the rest."""
+    s = subs(spark, d)
+    cats = D.fit_one_hot(s.where(F.col("tenure") <= 40), SPEC.nominal)
+    return D.unseen_categories(s.where(F.col("tenure") > 40), cats)
+
+
 # ----------------------------------------------------------------- D9-D14
 @query("d9_split", W(RAW_SPLIT_CTE, "SELECT c_custkey, label, split FROM split"))
 def d9_split(spark, d):

@@ -123,3 +123,9 @@ def test_batch_key_numbers_rows_within_month(spark):
     df = spark.createDataFrame([(k, k % 2 + 1) for k in range(10)], "id long, m long")
     got = {r["id"]: r["batch_key"] for r in batch_key(df, "m", "id").collect()}
     assert got[0] == "NEW-M01-0000" and got[8] == "NEW-M01-0004" and got[9] == "NEW-M02-0004"
+
+
+def test_unseen_categories_are_counted(spark):
+    df = spark.createDataFrame([("a",), ("z",), (None,), ("z",)], "c string")
+    r = D.unseen_categories(df, {"c": ["a", "b"]}).first()
+    assert r["column"] == "c" and r["n_rows"] == 4 and r["n_unseen"] == 2

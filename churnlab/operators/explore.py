@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -132,23 +133,31 @@ def dict_encode(c: str, mapping: dict):
     return out
 
 
-def correlation_matrix(df: DataFrame, cols: Sequence[str], lower_only: bool = True) -> DataFrame:
-    """Pearson r for every pair in ONE aggregation, pairwise-complete,
-    null (not an error) when a column is constant on the complete pairs."""
-    aggs, pairs = [], []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            if j >= i:
-                continue
+# covar_pop keeps 4 buffer fields, stddev_pop 3: 10 per pair, so 9 pairs stay
+# under spark.sql.codegen.maxFields (100) and each aggregate keeps codegen
+PAIRS_PER_PASS = 9
+
+
+def correlation_matrix(df: DataFrame, cols: Sequence[str], lower_only: bool = True,
+                       pairs_per_pass: int = PAIRS_PER_PASS) -> DataFrame:
+    """Pearson r for every pair, pairwise-complete, null (not an error)
+    when a column is constant on the complete pairs.  Pairs are computed in
+    blocks of ``pairs_per_pass`` per aggregation so every aggregate stays in
+    whole-stage codegen; the blocks share the input's exchanges (reuse)."""
+    pairs = [(a, b) for i, a in enumerate(cols) for j, b in enumerate(cols) if j < i]
+    blocks = []
+    for start in range(0, len(pairs), pairs_per_pass):
+        block = pairs[start:start + pairs_per_pass]
+        aggs = []
+        for k, (a, b) in enumerate(block):
             both = F.col(a).isNotNull() & F.col(b).isNotNull()
             xa = F.when(both, F.col(a).cast("double"))
             xb = F.when(both, F.col(b).cast("double"))
-            aggs.append(F.try_divide(F.covar_pop(xa, xb), F.stddev_pop(xa) * F.stddev_pop(xb)).alias(f"r{len(pairs)}"))
-            pairs.append((a, b))
-    one = df.agg(*aggs)
-    out = one.select(F.inline(F.array(*[
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r6(F.col(f"r{k}")).alias("r"))
-        for k, (a, b) in enumerate(pairs)])))
+            aggs.append(F.try_divide(F.covar_pop(xa, xb), F.stddev_pop(xa) * F.stddev_pop(xb)).alias(f"r{k}"))
+        blocks.append(df.agg(*aggs).select(F.inline(F.array(*[
+            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r6(F.col(f"r{k}")).alias("r"))
+            for k, (a, b) in enumerate(block)]))))
+    out = reduce(lambda x, y: x.unionByName(y), blocks)
     if lower_only:
         return out
     return out.unionByName(out.select(F.col("b").alias("a"), F.col("a").alias("b"), "r"))

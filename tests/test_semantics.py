@@ -87,3 +87,13 @@ def test_group_by_drops_null_category(spark):
     df = spark.createDataFrame([(1, "Yes", "a"), (2, "No", None), (3, "No", "a")], "id int, y string, c string")
     out = E.target_rate_by(df, sp, ["c"]).collect()
     assert len(out) == 1 and out[0]["value"] == "a" and out[0]["n"] == 2
+
+
+def test_describe_approx_close_to_exact(spark):
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame([(float(v),) for v in rng.normal(50, 10, 2000)], "x double")
+    ex = P.describe_numeric(df, ["x"]).first()
+    ap = P.describe_numeric(df, ["x"], exact=False).first()
+    assert ex["count"] == ap["count"] == 2000 and ex["mean"] == ap["mean"]
+    for c in ("p25", "p50", "p75"):
+        assert abs(ex[c] - ap[c]) < 0.5

@@ -12,12 +12,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnlab import spec as S
 from churnlab.functions.columns import r6
 from churnlab.functions.prefix import exact_quantiles, ordered_prefix
+from churnlab.functions.ranking import group_row_number
 from churnlab.operators.explore import histogram
 from churnlab.operators.profile import attach_scalars
 
@@ -26,9 +27,12 @@ def marginals(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """G1: share of every category of every categorical column (one shuffle)."""
     long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
                                          for c in cols])))
-    g = long.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("column")  # category table only
-    return g.select("column", "value", "n", r6(F.col("n") / F.sum("n").over(w)).alias("share"))
+    g = (long.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+         .checkpoint(eager=True))
+    # one row per listed column: broadcast, so no column's categories meet in one task
+    tot = g.groupBy(F.col("column").alias("_c")).agg(F.sum("n").alias("_t"))
+    j = g.join(F.broadcast(tot), g["column"] == tot["_c"])
+    return j.select("column", "value", "n", r6(F.col("n") / F.col("_t")).alias("share"))
 
 
 def moments(df: DataFrame, n_months: int = S.N_BATCHES, tenure_col: str = "tenure", spend_col: str = "monthly_spend",
@@ -142,15 +146,15 @@ def category_drift(a: DataFrame, b: DataFrame, col: str) -> DataFrame:
     """Category shares in ``a`` vs ``b``; categories absent from ``b``
     get 0, rows keep ``a``'s frequency order."""
     def shares(df, tag):
-        g = df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("string").alias("value")).agg(
-            F.count(F.lit(1)).alias(f"_n_{tag}"))
-        total = F.sum(f"_n_{tag}").over(Window.partitionBy())  # category table only
+        g = (df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("string").alias("value"))
+             .agg(F.count(F.lit(1)).alias(f"_n_{tag}")).checkpoint(eager=True))
+        total = g.agg(F.sum(f"_n_{tag}")).scalar()
         return g.select("value", (F.col(f"_n_{tag}") * 100.0 / total).alias(f"_s_{tag}"), F.col(f"_n_{tag}"))
     sa, sb = shares(a, "a"), shares(b, "b")
     j = sa.join(sb.drop("_n_b"), on="value", how="left")
-    w = Window.orderBy(F.col("_n_a").desc(), F.col("value"))  # category table only
-    return j.select("value", r6("_s_a").alias("share_a"), r6(F.coalesce(F.col("_s_b"), F.lit(0.0))).alias("share_b"),
-                    F.row_number().over(w).alias("order_a"))
+    ranked = group_row_number(j, [], [("_n_a", True), ("value", False)], "order_a")
+    return ranked.select("value", r6("_s_a").alias("share_a"),
+                         r6(F.coalesce(F.col("_s_b"), F.lit(0.0))).alias("share_b"), "order_a")
 
 
 def union_batches(frames: Sequence[DataFrame]) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from churnlab import spec as S
 from churnlab.functions.columns import bands, cut, r6
 from churnlab.functions.prefix import exact_quantiles
+from churnlab.functions.ranking import group_row_number
 from churnlab.operators.profile import attach_scalars
 
 
@@ -104,13 +105,15 @@ def target_rate_by(df: DataFrame, spec: S.FeatureSpec, features: Sequence[str],
         F.struct(F.lit(_ALL).alias("feature"), F.lit(_ALL).alias("value")))))
     g = (long.where(F.col("value").isNotNull()).groupBy("feature", "value")
          .agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("_pos")))
-    rate = F.col("_pos") * F.lit(100.0) / F.col("n")
-    everything = Window.partitionBy()  # over the category table (sum of categories of all features)
-    overall = F.max(F.when(F.col("feature") == _ALL, rate)).over(everything)
-    w = Window.partitionBy("feature").orderBy(rate, F.col("value"))  # bounded by categories per feature
-    out = g.select("feature", "value", "n", r6(rate).alias("churn_rate"), r6(overall).alias("overall_rate"),
-                   bands(rate, *band).alias("band"), F.row_number().over(w).alias("rate_order"))
-    return out.where(F.col("feature") != _ALL)
+    g = g.select("*", (F.col("_pos") * F.lit(100.0) / F.col("n")).alias("_rate"))
+    # position in ascending-rate order per feature: exact for any number of
+    # categories (a window only when every feature is provably small)
+    ranked = group_row_number(g, ["feature"], [("_rate", False), ("value", False)], "rate_order")
+    overall = ranked.where(F.col("feature") == _ALL).select("_rate").scalar()
+    rate = F.col("_rate")
+    out = ranked.where(F.col("feature") != _ALL)
+    return out.select("feature", "value", "n", r6(rate).alias("churn_rate"), r6(overall).alias("overall_rate"),
+                      bands(rate, *band).alias("band"), "rate_order")
 
 
 def category_spread(rates: DataFrame, min_spread: float = S.MIN_SPREAD) -> DataFrame:

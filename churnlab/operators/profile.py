@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlab import spec as S
 from churnlab.functions.columns import r6
 from churnlab.functions.prefix import exact_quantiles
+from churnlab.functions.ranking import group_row_number
 
 
 def _rows(*structs):
@@ -89,10 +90,10 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
     position in frequency order (ties by value)."""
     g = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("value")).agg(
         F.count(F.lit(1)).alias("n"))
-    # both windows run over the category table only (one row per value)
-    total = F.sum("n").over(Window.partitionBy())
-    w = Window.orderBy(F.col("n").desc(), F.col("value"))
-    return g.select("value", "n", r6(F.col("n") / total).alias("share"), F.row_number().over(w).alias("freq_rank"))
+    # the rank is exact for any number of values (window only when provably small)
+    ranked = group_row_number(g, [], [("n", True), ("value", False)], "freq_rank")
+    total = ranked.agg(F.sum("n")).scalar()
+    return ranked.select("value", "n", r6(F.col("n") / total).alias("share"), "freq_rank")
 
 
 def imbalance_check(df: DataFrame, spec: S.FeatureSpec, threshold: float = S.IMBALANCE_THRESHOLD) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlab import spec as S
-from churnlab.functions.columns import coerce_numeric, cut, r6
+from churnlab.functions.columns import coerce_numeric, cut
 from churnlab.operators import explore as E
 from churnlab.operators import profile as P
 from churnlab.plans.sql import NUM_RE, SUBS_CTE

@@ -97,3 +97,15 @@ def test_describe_approx_close_to_exact(spark):
     assert ex["count"] == ap["count"] == 2000 and ex["mean"] == ap["mean"]
     for c in ("p25", "p50", "p75"):
         assert abs(ex[c] - ap[c]) < 0.5
+
+
+def test_group_row_number_same_in_both_plans(spark):
+    from churnlab.functions.ranking import group_row_number
+    rows = [(g, i, (i * 37) % 11) for g in ("a", "b") for i in range(300)]
+    df = spark.createDataFrame(rows, "g string, v int, n int")
+    order = [("n", True), ("v", False)]
+    small = {(r["g"], r["v"]): r["k"] for r in group_row_number(df, ["g"], order, "k").collect()}
+    big = {(r["g"], r["v"]): r["k"] for r in group_row_number(df, ["g"], order, "k", small_group=10).collect()}
+    assert small == big
+    a = sorted((r for r in rows if r[0] == "a"), key=lambda r: (-r[2], r[1]))
+    assert [small[("a", r[1])] for r in a] == list(range(1, 301))

@@ -56,6 +56,15 @@ def train_forest(train: DataFrame, feature_names: Sequence[str], params: dict |
     return forest_pipeline(feature_names, params, "weight" if balanced else None).fit(data)
 
 
+def churn_pipeline(spec: S.FeatureSpec, feature_names: Sequence[str], params: dict | None = None,
+                   keep: Sequence[str] = ()) -> Pipeline:
+    """A5/D14/F2 as ONE Spark ML pipeline: preparation stage, assembler and
+    forest, fitted together and persisted as one ``PipelineModel``.  Class
+    weights (F1) are a column of the training rows (see ``balanced_weights``)."""
+    prep = D.ChurnPrepare(specJson=D.spec_to_json(spec), keepCols=[*keep, "weight"])
+    return Pipeline(stages=[prep, *forest_pipeline(feature_names, params, "weight").getStages()])
+
+
 def predict(model: PipelineModel, df: DataFrame, threshold: float = 0.5) -> DataFrame:
     """probability of class 1 as ``score`` and the 0/1 decision
     (class 1 only above the threshold; a tie goes to class 0)."""

@@ -257,3 +257,79 @@ def fit_prepare(df: DataFrame, spec: S.FeatureSpec, scale: Sequence[str] | None
     if cols:
         model.scale_stats = fit_scaler(model.encode(df), cols)
     return model
+
+
+# ---------------------------------------------------------------- Spark ML stage
+def spec_to_json(spec: S.FeatureSpec) -> str:
+    from dataclasses import asdict
+    return json.dumps(asdict(spec))
+
+
+def spec_from_json(text: str) -> S.FeatureSpec:
+    d = json.loads(text)
+    tuples = ("numeric", "numeric_text", "fill_zero", "flags", "nominal", "column_order")
+    kw = {k: (tuple(v) if k in tuples else v) for k, v in d.items()}
+    kw["ordinal"] = {k: tuple(v) for k, v in kw.get("ordinal", {}).items()}
+    return S.FeatureSpec(**kw)
+
+
+from pyspark.ml import Estimator, Model  # noqa: E402
+from pyspark.ml.param import Param, Params, TypeConverters  # noqa: E402
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable  # noqa: E402
+
+
+class _PrepareParams(Params):
+    specJson = Param(Params._dummy(), "specJson", "column roles (FeatureSpec as JSON)",
+                     typeConverter=TypeConverters.toString)
+    scaleAll = Param(Params._dummy(), "scaleAll", "standardise every feature, not only numeric ones",
+                     typeConverter=TypeConverters.toBoolean)
+    keepCols = Param(Params._dummy(), "keepCols", "extra input columns passed through",
+                     typeConverter=TypeConverters.toListString)
+
+
+class ChurnPrepare(Estimator, _PrepareParams, DefaultParamsReadable, DefaultParamsWritable):
+    """D14 as a Spark ML Estimator: fit = :func:`fit_prepare` on the rows it
+    is given (the training split), producing a :class:`ChurnPrepareModel`."""
+
+    def __init__(self, specJson: str | None = None, scaleAll: bool = False, keepCols: list | None = None):
+        super().__init__()
+        self._setDefault(scaleAll=False, keepCols=[])
+        if specJson is not None:
+            self._set(specJson=specJson)
+        self._set(scaleAll=scaleAll, keepCols=list(keepCols or []))
+
+    def _fit(self, dataset: DataFrame) -> "ChurnPrepareModel":
+        spec = spec_from_json(self.getOrDefault(self.specJson))
+        fitted = fit_prepare(dataset, spec, scale_all=self.getOrDefault(self.scaleAll))
+        return ChurnPrepareModel(specJson=self.getOrDefault(self.specJson), modelJson=fitted.to_json(),
+                                 keepCols=self.getOrDefault(self.keepCols))
+
+
+class ChurnPrepareModel(Model, _PrepareParams, DefaultParamsReadable, DefaultParamsWritable):
+    """Fitted D14 stage: encodes, aligns and scales with the frozen constants.
+    A pure projection, so it also runs on streaming DataFrames."""
+
+    modelJson = Param(Params._dummy(), "modelJson", "fitted constants (categories, features, scaler)",
+                      typeConverter=TypeConverters.toString)
+
+    def __init__(self, specJson: str | None = None, modelJson: str | None = None, keepCols: list | None = None):
+        super().__init__()
+        self._setDefault(scaleAll=False, keepCols=[])
+        if specJson is not None:
+            self._set(specJson=specJson)
+        if modelJson is not None:
+            self._set(modelJson=modelJson)
+        self._set(keepCols=list(keepCols or []))
+
+    def prepare_model(self) -> PrepareModel:
+        spec = spec_from_json(self.getOrDefault(self.specJson))
+        d = json.loads(self.getOrDefault(self.modelJson))
+        return PrepareModel(spec, d["categories"], d["feature_names"],
+                            {k: tuple(v) for k, v in d["scale_stats"].items()})
+
+    @property
+    def feature_names(self) -> list:
+        return list(json.loads(self.getOrDefault(self.modelJson))["feature_names"])
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return self.prepare_model().transform(dataset, keep=self.getOrDefault(self.keepCols))

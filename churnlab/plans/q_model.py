@@ -58,12 +58,21 @@ def f13_predictions_forest(spark, d):
 
 @query("a5_model_roundtrip")
 def a5_model_roundtrip(spark, d):
-    pred, (sp, prep, forest) = _test_predictions(spark, d)
-    path = ML.save_models(prep, forest, work_path(spark, "a5"))
-    prep2, forest2 = ML.load_models(path, SPEC)
+    """Preparation + assembler + forest fitted as one Spark ML pipeline on the
+    train split, saved to the shared folder, loaded back, and both models
+    score the test split: scores must be identical."""
+    from pyspark.ml import PipelineModel
+    sp, prep = fitted(spark, d)
+    train = M.balanced_weights(sp.where(F.col("split") == "train"), "label")
     test = sp.where(F.col("split") == "test")
-    again = ML.predict(forest2, prep2.transform(test)).select("c_custkey", F.col("score").alias("score_loaded"))
-    return pred.select("c_custkey", "score").join(again, "c_custkey", "inner").select(
+    model = ML.churn_pipeline(SPEC, prep.feature_names).fit(train.repartition(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), "c_custkey"))
+    path = work_path(spark, "a5-pipeline")
+    model.write().overwrite().save(path)
+    loaded = PipelineModel.load(path)
+    a = ML.predict(model, test).select("c_custkey", "score")
+    b = ML.predict(loaded, test).select("c_custkey", F.col("score").alias("score_loaded"))
+    return a.join(b, "c_custkey", "inner").select(
         "c_custkey", r6("score").alias("score"), r6("score_loaded").alias("score_loaded"),
         (F.col("score") == F.col("score_loaded")).alias("same"))
 

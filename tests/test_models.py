@@ -102,3 +102,22 @@ def test_csv_scan_keeps_corrupt_lines(spark, tmp_path):
     rows = {r["id"]: r for r in df.collect()}
     assert rows[1]["amount"] == 2.5 and rows[1]["_corrupt_record"] is None
     assert rows[2]["amount"] is None and rows[2]["_corrupt_record"] == "2,oops"
+
+
+def test_churn_pipeline_fits_saves_and_loads(spark):
+    from pyspark.ml import PipelineModel
+    from churnlab.operators.prepare import fit_prepare
+    from churnlab.spec import FeatureSpec
+    sp = FeatureSpec(id_col="id", target="churn", numeric=("a", "b", "c"), nominal=("g",),
+                     column_order=("id", "churn", "a", "b", "c", "g"))
+    raw = _planted(spark).select("id", F.when(F.col("label") == 1, "Yes").otherwise("No").alias("churn"),
+                                 "a", "b", "c", F.when(F.col("b") > 0, "p").otherwise("q").alias("g"))
+    names = fit_prepare(raw, sp, scale=()).feature_names
+    train = M.balanced_weights(raw.withColumn("label", (F.col("churn") == "Yes").cast("int")), "label").drop("label")
+    model = ML.churn_pipeline(sp, names, SMALL_FOREST).fit(train)
+    path = work_path(spark, "t-pipe")
+    model.write().overwrite().save(path)
+    again = PipelineModel.load(path)
+    a = {r["id"]: r["score"] for r in ML.predict(model, train).collect()}
+    b = {r["id"]: r["score"] for r in ML.predict(again, train).collect()}
+    assert a == b and M.roc_auc(ML.predict(model, train)).first()["auc"] > 0.9

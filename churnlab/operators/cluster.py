@@ -34,15 +34,17 @@ def fit_kmeans(vectors: DataFrame, k: int, seed: int = S.SEED, features: str = "
     return KMeans(k=k, seed=seed, featuresCol=features, predictionCol="cluster", maxIter=max_iter).fit(vectors)
 
 
-def elbow(vectors: DataFrame, ks: Sequence[int], seed: int = S.SEED, features: str = "features") -> DataFrame:
-    """K1 + K2: inertia (training cost) and silhouette per k.  One distributed
-    fit per k over the cached vectors; the result is one row per k."""
+def elbow(vectors: DataFrame, ks: Sequence[int], seed: int = S.SEED, features: str = "features",
+          silhouette: bool = True) -> DataFrame:
+    """K1 + K2: inertia (training cost) and, optionally, silhouette per k.
+    One distributed fit per k over the cached vectors; one row per k."""
     from pyspark.ml.evaluation import ClusteringEvaluator
     ev = ClusteringEvaluator(featuresCol=features, predictionCol="cluster")
     rows = []
     for k in ks:
         m = fit_kmeans(vectors, k, seed, features)
-        rows.append((int(k), float(m.summary.trainingCost), float(ev.evaluate(m.transform(vectors)))))
+        sil = float(ev.evaluate(m.transform(vectors))) if silhouette else None
+        rows.append((int(k), float(m.summary.trainingCost), sil))
     return vectors.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 

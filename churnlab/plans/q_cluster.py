@@ -155,7 +155,7 @@ def train_vectors(spark: SparkSession, d: str) -> DataFrame:
 def k1_elbow(spark, d):
     v = train_vectors(spark, d).persist()
     try:
-        return K.elbow(v, range(2, 7)).select("k", "inertia")
+        return K.elbow(v, range(2, 7), silhouette=False).select("k", "inertia")
     finally:
         v.unpersist()
 

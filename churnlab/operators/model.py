@@ -127,14 +127,16 @@ def retrain_rounds(base: DataFrame, test: DataFrame, spec: S.FeatureSpec, month_
             scored = predict(forest, prep.transform(test, keep=[month_col]))
             ev = M.grouped_evaluate(scored.withColumn("_g", F.lit(m)), "_g").first()
             new = grouped_f1(scored.where(F.col(month_col) == m + 1).withColumn("_g", F.lit(m)), "_g").first()
+            last = grouped_f1(scored.where(F.col(month_col) == months[-1]).withColumn("_g", F.lit(m)), "_g").first()
             size = train_raw.count()
-            rows.append((int(m), int(size), ev["f1"], ev["auc"], None if new is None else new["f1"]))
+            rows.append((int(m), int(size), ev["f1"], ev["auc"], None if new is None else new["f1"],
+                         None if last is None else last["f1"], bool(m >= months[-1])))
             models[m] = (prep, forest)
     finally:
         base.unpersist()
     hist = spark.createDataFrame(rows, "month int, data_size bigint, f1_test double, auc_test double, "
-                                       "f1_on_new double")
+                                       "f1_on_new double, f1_latest double, latest_seen boolean")
     first = hist.where(F.col("month") == months[0]).select("f1_test").scalar()
-    hist = hist.select("month", "data_size", "f1_test", "auc_test", "f1_on_new",
+    hist = hist.select("month", "data_size", "f1_test", "auc_test", "f1_on_new", "f1_latest", "latest_seen",
                        r6(F.col("f1_test") - first).alias("delta_f1"))
     return hist, models

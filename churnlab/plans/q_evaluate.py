@@ -229,10 +229,12 @@ pu AS (SELECT *, coalesce(sum(n0) OVER (PARTITION BY round ORDER BY t
 auc AS (SELECT round, CASE WHEN sum(n0) * sum(n1) > 0 THEN sum(n1 * (b0 + 0.5 * n0)) / (sum(n0) * sum(n1)) END AS auc
         FROM pu GROUP BY round),
 newc AS ({_conf_sql('(SELECT * FROM pred WHERE batch_month = round + 1)', 'round')}),
+latc AS ({_conf_sql(f'(SELECT * FROM pred WHERE batch_month = {S.N_BATCHES})', 'round')}),
 hist0 AS (SELECT CAST(cuts.round AS INTEGER) AS month, cuts.data_size, {R(_f1_sql('conf.tp', 'conf.fp', 'conf.fn'))} AS f1_test,
-                 {R('auc.auc')} AS auc_test, {R(_f1_sql('newc.tp', 'newc.fp', 'newc.fn'))} AS f1_on_new
+                 {R('auc.auc')} AS auc_test, {R(_f1_sql('newc.tp', 'newc.fp', 'newc.fn'))} AS f1_on_new,
+                 {R(_f1_sql('latc.tp', 'latc.fp', 'latc.fn'))} AS f1_latest, cuts.round >= {S.N_BATCHES} AS latest_seen
           FROM cuts JOIN conf ON cuts.round = conf.round JOIN auc ON cuts.round = auc.round
-          LEFT JOIN newc ON cuts.round = newc.round),
+          LEFT JOIN newc ON cuts.round = newc.round LEFT JOIN latc ON cuts.round = latc.round),
 history AS (SELECT h.*, {R('h.f1_test - b.f1_test')} AS delta_f1 FROM hist0 h, (SELECT f1_test FROM hist0 WHERE month = 1) b)"""
 
 

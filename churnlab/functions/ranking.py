@@ -16,7 +16,8 @@ SMALL_GROUP = 200_000
 def group_row_number(df: DataFrame, group_cols: Sequence[str], order: Sequence[tuple[str, bool]],
                      name: str, small_group: int = SMALL_GROUP) -> DataFrame:
     """``name`` = 1-based position of each row inside its group in ``order``
-    (a list of (column, descending) pairs; rows must be unique in that order).
+    (a list of (column, descending) pairs; descending only for numeric
+    columns; rows must be unique in that order).
 
     The input is written once to the shared checkpoint folder; the size of
     the largest group (one number) decides the plan: a window when every
@@ -24,6 +25,10 @@ def group_row_number(df: DataFrame, group_cols: Sequence[str], order: Sequence[t
     which never puts a whole group in one task.  Both give the same result.
     """
     group_cols = list(group_cols)
+    from pyspark.sql.types import NumericType
+    for c, desc in order:
+        if desc and not isinstance(df.schema[c].dataType, NumericType):
+            raise ValueError(f"descending order needs a numeric column, got {c}: {df.schema[c].dataType}")
     t = df.checkpoint(eager=True)
     largest = t.groupBy(*group_cols).count().agg(F.max("count")).first()[0] or 0
     keys: list[Column] = [F.col(c).desc() if desc else F.col(c).asc() for c, desc in order]

@@ -51,6 +51,10 @@ def test_entry_smoke(spark):
 def test_matches_sql_twin(spark, con, key):
     sdf = entry.queries()[key](spark, SF)
     srows = [tuple(r) for r in sdf.collect()]
+    # plan invariants: no Python evaluation, no cartesian product
+    plan = sdf._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    for node in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct"):
+        assert node not in plan, f"{key}: {node} in plan"
     res = con.execute(entry.oracle_sql()[key])
     ocols = [d[0] for d in res.description]
     assert sorted(sdf.columns) == sorted(ocols)

@@ -80,6 +80,15 @@ def a3_roundtrip(spark, d):
     return back.select(*SPEC.column_order)
 
 
+@query("a1_scan_csv", W(SUBS_CTE, "SELECT * FROM subs"))
+def a1_scan_csv(spark, d):
+    """The subscriber table as header CSV (the original delivery format), read
+    back with the declared schema in PERMISSIVE mode; blanks stay text."""
+    from churnlab.session import work_path
+    path = T.write_table(subs(spark, d), work_path(spark, "a1csv"), fmt="csv")
+    return T.read_table(spark, path, schema=T.SUBS_SCHEMA, fmt="csv").select(*SPEC.column_order)
+
+
 @query("a4_batches", W(SUBS_CTE, "SELECT c_custkey, churn, CAST(batch_month AS INTEGER) AS batch_month FROM subs"))
 def a4_batches(spark, d):
     from churnlab.session import work_path

@@ -25,7 +25,8 @@ def read_table(spark: SparkSession, path: str, schema: StructType | str | None =
             schema = st.add(CORRUPT_COL, "string")
         reader = reader.schema(schema)
     if fmt == "csv":
-        reader = reader.option("header", str(header).lower()).option("mode", "PERMISSIVE")
+        reader = (reader.option("header", str(header).lower()).option("mode", "PERMISSIVE")
+                  .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false"))
         if keep_corrupt:
             reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COL)
     return reader.load(path)
@@ -40,7 +41,9 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by=(),
     if partition_by:
         w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     if fmt == "csv":
-        w = w.option("header", "true")
+        # keep blank text (' ') as written: it is data for the numeric coercion
+        w = (w.option("header", "true").option("ignoreLeadingWhiteSpace", "false")
+             .option("ignoreTrailingWhiteSpace", "false"))
     w.save(path)
     return path
 

@@ -51,8 +51,11 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by=(),
 def write_batch_files(df: DataFrame, root: str, month_col: str, fmt: str = "csv") -> str:
     """Land one folder per month, named ``month_MM`` like monthly delivery files."""
     staged = df.withColumn("_month_dir", F.format_string("month_%02d", F.col(month_col).cast("int")))
-    (staged.drop(month_col).write.mode("overwrite").format(fmt).option("header", "true")
-     .partitionBy("_month_dir").save(root))
+    w = staged.drop(month_col).write.mode("overwrite").format(fmt).partitionBy("_month_dir")
+    if fmt == "csv":
+        w = (w.option("header", "true").option("ignoreLeadingWhiteSpace", "false")
+             .option("ignoreTrailingWhiteSpace", "false"))
+    w.save(root)
     return root
 
 
@@ -61,6 +64,7 @@ def read_batches(spark: SparkSession, root: str, schema: StructType | str, fmt:
     """A4: read every delivered month; the month comes from the file path
     (``month_MM``), never from list position, so a gap does not shift months."""
     df = (spark.read.format(fmt).schema(schema).option("header", "true")
+          .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
           .option("recursiveFileLookup", "true").load(root))
     month = F.regexp_extract(F.col("_metadata.file_path"), r"month_(\d+)", 1).cast("int")
     return df.withColumn(month_col, month)

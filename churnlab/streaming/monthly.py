@@ -28,7 +28,8 @@ def stream_batches(spark: SparkSession, landing: str, schema: StructType | str,
     replaying a batch is idempotent.  Returns the sink as a batch table."""
     reader = spark.readStream.format(fmt).schema(schema).option("recursiveFileLookup", "true")
     if fmt == "csv":
-        reader = reader.option("header", "true")
+        reader = (reader.option("header", "true").option("ignoreLeadingWhiteSpace", "false")
+                  .option("ignoreTrailingWhiteSpace", "false"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     src = reader.load(landing)

@@ -51,3 +51,15 @@ def test_window_rates_do_not_depend_on_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", before)
     assert out["UTC"] == out["America/Los_Angeles"] == out["Asia/Kolkata"]
     assert out["UTC"][0][:3] == ("2024-01-01 00:00", 1, 1)
+
+
+def test_stream_ingest_reads_csv_deliveries(spark):
+    df = spark.createDataFrame([(i, " " if i % 5 == 0 else f"{i}.50", i % 3 + 1) for i in range(30)],
+                               "c_custkey bigint, total_spend string, batch_month bigint")
+    root = work_path(spark, "t-csv-landing")
+    T.write_batch_files(df, root, "batch_month", fmt="csv")
+    out = ST.stream_batches(spark, root, "c_custkey bigint, total_spend string", work_path(spark, "t-csv-sink"),
+                            work_path(spark, "t-csv-ckpt"), fmt="csv")
+    got = sorted(map(tuple, out.select("c_custkey", "total_spend", "batch_month").collect()))
+    assert len(got) == 30 and {r[2] for r in got} == {1, 2, 3}
+    assert got[0] == (0, " ", 1) and got[1] == (1, "1.50", 2)

@@ -129,3 +129,26 @@ def test_unseen_categories_are_counted(spark):
     df = spark.createDataFrame([("a",), ("z",), (None,), ("z",)], "c string")
     r = D.unseen_categories(df, {"c": ["a", "b"]}).first()
     assert r["column"] == "c" and r["n_rows"] == 4 and r["n_unseen"] == 2
+
+
+def test_clip_round_is_half_to_even(spark):
+    from churnlab.operators.drift import clip_round
+    df = spark.createDataFrame([(0.125,), (0.135,), (150.0,), (-3.0,)], "x double")
+    got = [r[0] for r in df.select(clip_round("x", 0.0, 120.0, 2)).collect()]
+    assert got == [0.12, 0.14, 120.0, 0.0]
+    ints = [r[0] for r in spark.createDataFrame([(71.9,), (80.0,)], "x double")
+            .select(clip_round("x", 0, 72, truncate_int=True)).collect()]
+    assert ints == [71, 72]
+
+
+def test_balanced_weights(spark):
+    df = spark.createDataFrame([(i, 0 if i < 3 else 1) for i in range(4)], "id int, label int")
+    w = {r["id"]: r["weight"] for r in M.balanced_weights(df, "label").collect()}
+    assert math.isclose(w[0], 4 / 6) and math.isclose(w[3], 2.0)
+
+
+def test_documents_duplicate_golden_sf001(spark):
+    from churnlab.operators.profile import duplicate_count
+    from churnlab.sources.tables import load
+    docs = load(spark, "/root/testdata/sf0.01", "documents")
+    assert duplicate_count(docs, ["text"]).first()["n_duplicates"] == 73

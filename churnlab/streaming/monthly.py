@@ -81,10 +81,15 @@ def window_rates(events: DataFrame, ts_col: str, flag: Column, window: str = "1
 
 def stream_window_rates(spark: SparkSession, landing: str, schema: StructType | str, sink: str, checkpoint: str,
                         ts_col: str, flag: Column, window: str = "1 day", watermark: str = "1 hour",
-                        max_files_per_trigger: int | None = None) -> DataFrame:
+                        max_files_per_trigger: int | None = None, state_partitions: int = 16) -> DataFrame:
     """Windowed rates from a file stream in update mode; each micro-batch
     upserts the windows it changed (partition overwrite keyed by window),
-    so the sink always holds the latest value of every window."""
+    so the sink always holds the latest value of every window.
+
+    The state is one row per window and the input is partially aggregated
+    before the shuffle, so a few state partitions suffice at any input
+    volume; the number is fixed when the query first starts (it is stored
+    in the checkpoint), not taken from the batch-sized shuffle setting."""
     reader = spark.readStream.format("parquet").schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -93,8 +98,14 @@ def stream_window_rates(spark: SparkSession, landing: str, schema: StructType |
     def upsert(batch: DataFrame, batch_id: int) -> None:
         _overwrite_partitions(batch, sink, "window_start")
 
-    q = (rates.writeStream.outputMode("update").foreachBatch(upsert).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))  # captured by the stream at start
+    try:
+        q = (rates.writeStream.outputMode("update").foreachBatch(upsert).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+    finally:
+        spark.conf.set(key, before)
     q.awaitTermination()
     return spark.read.schema(rates.schema).parquet(sink)
 

@@ -47,9 +47,10 @@ def forest_pipeline(feature_names: Sequence[str], params: dict | None = None,
 def train_forest(train: DataFrame, feature_names: Sequence[str], params: dict | None = None,
                  balanced: bool = True, key: str | None = None) -> PipelineModel:
     """F2 with F1: balanced class weights n / (k * n_class) as ``weightCol``.
-    Rows are put in a fixed partitioning by key so a seed reproduces the fit."""
+    Rows are put in a fixed partitioning by key (one partition per core:
+    every tree level is a pass over the data) so a seed reproduces the fit."""
     spark = train.sparkSession
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_parts = spark.sparkContext.defaultParallelism
     data = train.repartition(n_parts, key or train.columns[0])
     if balanced:
         data = M.balanced_weights(data, "label")

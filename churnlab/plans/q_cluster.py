@@ -144,9 +144,10 @@ def k8_attach(spark, d):
 
 # ------------------------------------------------------------- Spark ML KMeans (rows-only)
 def train_vectors(spark: SparkSession, d: str) -> DataFrame:
-    """Train rows as vectors, in a fixed partitioning so a seed reproduces the fit."""
+    """Train rows as vectors, one partition per core in a fixed key
+    partitioning, so a seed reproduces the fit."""
     scaled = subs_scaled(spark, d)
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_parts = spark.sparkContext.defaultParallelism
     train = scaled.where(F.col("split") == "train").repartition(n_parts, "c_custkey")
     return K.as_vector(train, FEATURES).select("c_custkey", "label", "features")
 

@@ -51,7 +51,10 @@ def train_forest(train: DataFrame, feature_names: Sequence[str], params: dict |
     every tree level is a pass over the data) so a seed reproduces the fit."""
     spark = train.sparkSession
     n_parts = spark.sparkContext.defaultParallelism
-    data = train.repartition(n_parts, key or train.columns[0])
+    k = key or train.columns[0]
+    # fixed partitioning AND fixed order inside each partition (a shuffle
+    # delivers rows in fetch order); bootstrap sampling depends on both
+    data = train.repartition(n_parts, k).sortWithinPartitions(k)
     if balanced:
         data = M.balanced_weights(data, "label")
     return forest_pipeline(feature_names, params, "weight" if balanced else None).fit(data)

@@ -148,7 +148,8 @@ def train_vectors(spark: SparkSession, d: str) -> DataFrame:
     partitioning, so a seed reproduces the fit."""
     scaled = subs_scaled(spark, d)
     n_parts = spark.sparkContext.defaultParallelism
-    train = scaled.where(F.col("split") == "train").repartition(n_parts, "c_custkey")
+    train = (scaled.where(F.col("split") == "train").repartition(n_parts, "c_custkey")
+             .sortWithinPartitions("c_custkey"))
     return K.as_vector(train, FEATURES).select("c_custkey", "label", "features")
 
 

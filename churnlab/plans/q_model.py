@@ -66,7 +66,7 @@ def a5_model_roundtrip(spark, d):
     train = M.balanced_weights(sp.where(F.col("split") == "train"), "label")
     test = sp.where(F.col("split") == "test")
     model = ML.churn_pipeline(SPEC, prep.feature_names).fit(train.repartition(
-        spark.sparkContext.defaultParallelism, "c_custkey"))
+        spark.sparkContext.defaultParallelism, "c_custkey").sortWithinPartitions("c_custkey"))
     path = work_path(spark, "a5-pipeline")
     model.write().overwrite().save(path)
     loaded = PipelineModel.load(path)

@@ -42,6 +42,9 @@ def op5_sharding(spark, d):
 # --------------------------------------------------------------- URL filters
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
              ("allow", "com/fr/"), ("block", "com/de/")]
+#: Words in a host that block it where no rule above decides.
+BLOCKED_WORDS = ("adult", "ads", "bets", "betting", "casino", "escort", "gambling", "malware", "phishing", "pills",
+                 "poker", "porn", "spam", "track", "tracker", "viagra", "warez", "xxx")
 
 
 @query("op6_url_filter", """
@@ -60,14 +63,17 @@ judged AS (
     WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/') THEN 'org/'
   END AS rule FROM parts)
 SELECT page_id, host, path, rule,
-       CASE WHEN rule IN ('example.org/en/1', 'example.org/es/', 'com/de/') THEN 'block' ELSE 'allow' END AS verdict
+       CASE WHEN rule IN ('example.org/en/1', 'example.org/es/', 'com/de/') THEN 'block'
+            WHEN rule IS NULL AND len(list_intersect(regexp_split_to_array(host, '[^a-z0-9]+'), [""" + ", ".join(
+    f"'{w}'" for w in BLOCKED_WORDS) + """])) > 0 THEN 'block' ELSE 'allow' END AS verdict
 FROM judged
 """)
 def op6_url_filter(spark, d):
-    """Every page's URL judged by the rules; no rule: allowed."""
+    """Every page's URL judged by the rules, then by the blocked words in its host; else allowed."""
     from churnlab.llm.url_filter import judge_urls, rule_table
     pages = table(spark, d, "pages").select("page_id", "url")
-    return judge_urls(pages, rule_table(spark, URL_RULES)).select("page_id", "host", "path", "rule", "verdict")
+    rules = rule_table(spark, [*URL_RULES, *(("block", f"~{w}") for w in BLOCKED_WORDS)])
+    return judge_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
 # ---------------------------------------------------------------------- WARC
@@ -93,3 +99,93 @@ def op7_warc(spark, d):
         "page_id", F.octet_length("payload").cast("long").alias("payload_bytes"),
         F.sha2("payload", 256).alias("payload_digest"), header_field(F.col("header"), "WARC-Type").alias("record_type"),
         refers.try_cast("long").alias("refers_to"))
+
+
+# ------------------------------------------------------------ decontamination
+@query("op1_decontamination")
+def op1_decontamination(spark, d):
+    """Every (document, benchmark item) pair where the document holds the item."""
+    from churnlab.llm.decontaminate import contaminated
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    found = contaminated(docs, table(spark, d, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "item_id", F.round("similarity", 9).alias("similarity"),
+                        F.col("at").alias("first_word"))
+
+
+# --------------------------------------------------------------- token counts
+#: A public vocabulary whose pieces and scores are taken as a unigram vocabulary.
+TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query("op2_token_count")
+def op2_token_count(spark, d):
+    """Tokens of every document under the unigram vocabulary."""
+    from churnlab.llm.token_count import add_token_count, read_vocabulary
+    pieces, _ = read_vocabulary(TOKENIZER)
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return add_token_count(docs, pieces).select("doc_id", "n_tokens", "token_score")
+
+
+# --------------------------------------------------------------------- mixing
+@query("op3_mixing")
+def op3_mixing(spark, d):
+    """The corpus mixed to 98 % of the greatest entropy, no source run through more than four times."""
+    from churnlab.llm.mixing import mix_sources, word_tokens
+    docs = table(spark, d, "documents").select("doc_id", "source", "text")
+    mixed = mix_sources(docs)
+    return mixed.select("doc_id", "source", "epoch", "mix_order", word_tokens(F.col("text")).alias("tokens"))
+
+
+# ------------------------------------------------------------------- licences
+#: Documents of fewer words than this that hold a licence line stand as their folder's licence file.
+NOTICE_WORDS = 20
+
+
+@query("op4_licenses")
+def op4_licenses(spark, d):
+    """The licence of every document: its own, or that of the nearest folder above.
+
+    Folders are source/language/hundreds of the id; a short document with a
+    licence word is the LICENSE file of its folder.
+    """
+    from churnlab.llm.common import words
+    from churnlab.llm.licenses import scan_licenses
+    text = F.coalesce("text", F.lit(""))
+    notice = (F.size(words(F.col("text"))) < NOTICE_WORDS) & F.regexp_like(text, F.lit("(?i)licensed|license"))
+    folder = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")),
+                         F.coalesce(F.floor(F.col("doc_id") / 100).cast("string"), F.lit("none")))
+    name = F.concat(F.when(notice, F.lit("/LICENSE.")).otherwise(F.lit("/text.")),
+                    F.coalesce(F.col("doc_id").cast("string"), F.lit("none")))
+    docs = table(spark, d, "documents").select("doc_id", F.concat(folder, name).alias("path"), "text")
+    return scan_licenses(docs).select("doc_id", "path", "license", "score", "basis", "license_dir")
+
+
+# -------------------------------------------------------------------- secrets
+@query("op8_secret_scan")
+def op8_secret_scan(spark, d):
+    """Secrets of every document: the base kinds, and credentials whose parts lie apart."""
+    from churnlab.llm.secret_scan import scan_secrets
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return scan_secrets(docs, carry_text=False)
+
+
+# -------------------------------------------------------------------- quality
+@query("op9_quality")
+def op9_quality(spark, d):
+    """Text statistics of every document, and whether rules and perplexity bands keep it."""
+    from churnlab.llm.quality import judge_quality
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang")
+    judged = judge_quality(docs, carry_text=False)
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         "base_failed", "kept", F.round("score", 6).alias("score"))
+
+
+# ----------------------------------------------------------- near-duplicates
+@query("op10_simhash")
+def op10_simhash(spark, d):
+    """Fingerprint and group of every document; fingerprints link at three bits or fewer."""
+    from churnlab.llm.near_dup import add_component, add_fingerprint
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    prints = saved(add_fingerprint(docs).select("doc_id", "fingerprint"), "simhash")
+    return add_component(prints).select(
+        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")

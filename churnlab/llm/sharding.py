@@ -1,7 +1,7 @@
 """Sharding: a uniform shuffle into shards of exact size.
 
-The rows lie in blocks (by a hash of the whole row, about ``block_rows``
-each).  How many rows of each block go to each shard is drawn first, from the
+The rows lie in blocks (by a hash of the whole row, ``block_rows`` each or
+fewer on average).  How many rows of each block go to each shard is drawn first, from the
 distribution that a uniform shuffle would give: the block x shard matrix is
 multivariate hypergeometric, drawn by halving the list of blocks again and
 again and splitting every shard's places between the halves.  Then each block
@@ -106,7 +106,11 @@ def communication_matrix(sizes: DataFrame, n_shards: int, total: int, seed: int)
     return node.select(F.get("blocks", F.lit(0)).block.alias("block"), F.col("caps").alias("counts"))
 
 
-def uniform_shards(df: DataFrame, n_shards: int = 24, seed: int = 42, block_rows: int = 16_384) -> DataFrame:
+#: Blocks, and cells of a shard, that even a small table is cut into.
+MIN_BLOCKS, MIN_CELLS = 256, 16
+
+
+def uniform_shards(df: DataFrame, n_shards: int = 24, seed: int = 42, block_rows: int = 65_536) -> DataFrame:
     """Add ``shard`` (0 to ``n_shards`` - 1) and ``slot`` (gapless from 0).
 
     Every arrangement of the rows is equally likely as far as the 64-bit
@@ -119,7 +123,7 @@ def uniform_shards(df: DataFrame, n_shards: int = 24, seed: int = 42, block_rows
     """
     rows = packed(df, ("shard", "slot")).withColumn("h", F.xxhash64("row"))
     total = rows.count()
-    n_blocks = max(1, math.ceil(total / block_rows))
+    n_blocks = max(MIN_BLOCKS, math.ceil(total / block_rows))
     rows = rows.withColumn("block", F.pmod(F.xxhash64(F.lit(seed), "h"), F.lit(n_blocks)).cast("int"))
     sizes = saved(rows.groupBy("block").agg(F.count(F.lit(1)).alias("n")), "shard-blocks")
     matrix = communication_matrix(sizes, n_shards, total, seed)
@@ -131,7 +135,7 @@ def uniform_shards(df: DataFrame, n_shards: int = 24, seed: int = 42, block_rows
     dealt = (rows.withColumn("rank", F.row_number().over(local)).join(matrix, "block")
              .withColumn("shard", F.size(F.filter("upto", lambda c: c < F.col("rank"))))
              .select("row", "h", "shard"))
-    n_cells = max(1, math.ceil(total / n_shards / block_rows))
+    n_cells = max(MIN_CELLS, math.ceil(total / n_shards / block_rows))
     again = F.xxhash64(F.lit(seed + 2), "h")
     dealt = saved(dealt.withColumn("order", again)
                   .withColumn("cell", F.floor(unit(F.col("order")) * n_cells).cast("int")), "shards")

@@ -2,9 +2,11 @@
 
 A rule is ``host/path`` with an action.  It fits its host and all subdomains
 when the URL's path starts with the rule's path; ``*`` in a rule stands for
-any characters.  The rule's literal tokens are its complete host labels and
-its complete path segments, that is, the pieces any fitting URL must hold as
-whole pieces too.  Each rule is filed under the one of its tokens that the
+any characters.  A rule ``~word`` fits the hosts that hold the word between
+characters other than letters and digits; such rules decide only where no
+host rule fits.  A rule's literal tokens are its complete host labels and its
+complete path segments (or its word), that is, the pieces any fitting URL must
+hold as whole pieces too.  Each rule is filed under the one of its tokens that the
 fewest URLs hold; a URL's tokens fetch candidate rules, and only those run
 their regular expression.  Rules without a complete token are filed under the
 empty token, which every URL holds.
@@ -42,6 +44,10 @@ def _tokens(host: Column, segments: Column) -> Column:
     return F.array_distinct(F.concat(labels, parts))
 
 
+def _host_words(host: Column) -> Column:
+    return F.transform(F.split(host, "[^a-z0-9]+"), lambda x: F.concat(F.lit("w:"), x))
+
+
 def _compiled(rules: DataFrame) -> DataFrame:
     """Rules with their regular expression and complete literal tokens."""
     host = ascii_lower(F.regexp_extract("rule", "(?s)^([^/]*)(.*)$", 1))
@@ -50,17 +56,22 @@ def _compiled(rules: DataFrame) -> DataFrame:
     pieces = F.split(path, "/", -1)
     whole = F.slice(pieces, 2, F.greatest(F.size(pieces) - 2, F.lit(0)))
     literal = F.filter(_tokens(host, whole), lambda t: (F.length(t) > 2) & ~t.contains("*"))
-    return (rules.where(F.col("rule").isNotNull()).dropDuplicates(["rule", "action"])
-            .select("rule", "action", F.concat(F.lit("(?s)^(?:[^/]*\\.)?"), quoted).alias("regex"),
-                    F.when(F.size(literal) > 0, literal).otherwise(F.array(F.lit(""))).alias("tokens")))
+    word = F.when(F.col("rule").startswith("~"), ascii_lower(F.substr("rule", F.lit(2))))
+    regex = F.when(word.isNotNull(), F.concat(F.lit("^(?:[^/]*[^a-z0-9/])?\\Q"), word, F.lit("\\E(?:[^a-z0-9]|$)"))).otherwise(
+        F.concat(F.lit("(?s)^(?:[^/]*\\.)?"), quoted))
+    tokens = F.when(word.rlike("^[a-z0-9]+$"), F.array(F.concat(F.lit("w:"), word))).when(
+        word.isNull() & (F.size(literal) > 0), literal).otherwise(F.array(F.lit("")))
+    return rules.where(F.col("rule").isNotNull()).dropDuplicates(["rule", "action"]).select(
+        "rule", "action", regex.alias("regex"), tokens.alias("tokens"))
 
 
 def judge_urls(df: DataFrame, rules: DataFrame, url_col: str = "url", default: str = "allow") -> DataFrame:
     """Add ``host``, ``path``, ``rule`` and ``verdict`` to every row of ``df``.
 
     ``rules`` has ``rule`` and ``action``.  Of the rules that fit, the longest
-    wins (of equally long ones, the first in text order); a row that no rule
-    fits has a null rule and the verdict ``default``.  A null URL, or one
+    wins (of equally long ones, the first in text order).  A row that only
+    ``~word`` rules fit has a null rule and the verdict of the longest of them,
+    a row that no rule fits a null rule and the verdict ``default``.  A null URL, or one
     without ``://``, has empty host and path.  Every row comes back once,
     repeated rows included; input columns with the name of a result column
     are replaced.  Equal URLs are judged once.
@@ -72,7 +83,8 @@ def judge_urls(df: DataFrame, rules: DataFrame, url_col: str = "url", default: s
     rows = rows.withColumn("row", F.col("row").dropFields("__host", "__path"))
     urls = rows.select("host", "path").distinct()
     tokens = urls.select("host", "path", F.explode(F.array_append(
-        F.filter(_tokens(F.col("host"), F.split("path", "/")), lambda t: F.length(t) > 2), F.lit(""))).alias("token"))
+        F.filter(F.array_union(_tokens(F.col("host"), F.split("path", "/")), _host_words(F.col("host"))),
+                 lambda t: F.length(t) > 2), F.lit(""))).alias("token"))
 
     compiled = _compiled(rules)
     known = compiled.select(F.explode("tokens").alias("token")).distinct()
@@ -82,7 +94,9 @@ def judge_urls(df: DataFrame, rules: DataFrame, url_col: str = "url", default: s
              .agg(F.min(F.struct(F.coalesce("count", F.lit(0)).alias("n"), "token"))["token"].alias("token")))
     index = saved(index, "url-rules")
 
-    best = F.min_by(F.struct("rule", "action"), F.struct(-F.length("rule"), "rule", "action"))
+    by_word = F.col("rule").startswith("~")
+    best = F.min_by(F.struct(F.when(~by_word, F.col("rule")).alias("rule"), "action"),
+                    F.struct(by_word, -F.length("rule"), "rule", "action"))
     found = (tokens.join(index, "token")
              .where(F.regexp_like(F.concat("host", "path"), F.col("regex")))
              .groupBy("host", "path").agg(best.alias("best"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from churnlab import spec as S
 from churnlab.functions.columns import r6
 from churnlab.operators import drift as G
 from churnlab.operators import metrics as M
@@ -35,6 +36,38 @@ def s1_stream_ingest(spark, d):
     return out.select(*SPEC.column_order)
 
 
+def _deliver(df, root: str, delivery: int, files: int = 2) -> None:
+    """Land ``files`` files for each month, one month after another."""
+    for month in range(1, S.N_BATCHES + 1):
+        (df.where(F.col("batch_month") == month).drop("batch_month").repartition(files, "c_custkey")
+         .write.mode("append").parquet(f"{root}/delivery_{delivery}/month_{month:02d}"))
+
+
+def _land_twice(spark, d) -> str:
+    """All months in two files each; months 2 and 5 first with wrong rows, then again as delivery 2."""
+    s = subs(spark, d).persist()
+    root = work_path(spark, "landing-twice")
+    again = F.col("batch_month").isin(2, 5)
+    wrong = s.where(F.col("tenure") % 2 == 0).withColumn("churn", F.lit("Yes"))
+    _deliver(s.where(~again).unionByName(wrong.where(again)), root, 1)
+    for month in (2, 5):
+        (s.where(F.col("batch_month") == month).drop("batch_month").repartition(2, "c_custkey")
+         .write.parquet(f"{root}/delivery_2/month_{month:02d}"))
+    s.unpersist()
+    return root
+
+
+@query("s1_stream_redelivery", W(SUBS_CTE, "SELECT * FROM subs"))
+def s1_stream_redelivery(spark, d):
+    """Two files a month, three files a micro-batch, two months delivered again:
+    the stream stops after a first run and goes on from its checkpoint."""
+    landing = _land_twice(spark, d)
+    sink, ckpt = work_path(spark, "s1r-sink"), work_path(spark, "s1r-ckpt")
+    for _ in range(2):
+        out = ST.stream_batches(spark, landing, _LANDED_SCHEMA, sink, ckpt, max_files_per_trigger=3)
+    return out.select(*SPEC.column_order)
+
+
 @query("s2_stream_drift", W("x AS (SELECT 1)", f"""
 SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M') AS window_start, count(*) AS n_events,
        count(*) FILTER (WHERE event_type = 'error') AS n_flagged,
@@ -49,18 +82,65 @@ def s2_stream_drift(spark, d):
     return out.select("window_start", "n_events", "n_flagged", "rate")
 
 
+def _land_in_order(spark, d, files: int = 6):
+    """The events in files of increasing time, landed one after another."""
+    ev = T.load(spark, d, "events")
+    sec = F.unix_seconds(ST.utc_instant(F.col("ts")))
+    lo, hi = ev.agg(F.min(sec), F.max(sec)).first()
+    part = F.least(F.floor((sec - lo) * files / (hi - lo + 1)), F.lit(files - 1))
+    landing = work_path(spark, "events-in-order")
+    for i in range(files):
+        ev.where(part == i).coalesce(1).write.mode("append").parquet(landing)
+    return ev, landing
+
+
+def _ordered_rates(spark, d):
+    ev, landing = _land_in_order(spark, d)
+    return ev, ST.stream_window_rates(spark, landing, ev.schema, work_path(spark, "s2o-sink"),
+                                      work_path(spark, "s2o-ckpt"), "ts", F.col("event_type") == "error",
+                                      max_files_per_trigger=1)
+
+
+@query("s2_stream_ordered", W("x AS (SELECT 1)", f"""
+SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M') AS window_start, count(*) AS n_events,
+       count(*) FILTER (WHERE event_type = 'error') AS n_flagged,
+       {R("count(*) FILTER (WHERE event_type = 'error') / count(*)")} AS rate
+FROM events WHERE ts IS NOT NULL GROUP BY 1"""))
+def s2_stream_ordered(spark, d):
+    """One file a micro-batch, files in event-time order."""
+    return _ordered_rates(spark, d)[1].select("window_start", "n_events", "n_flagged", "rate")
+
+
+@query("s2_stream_dropped", "SELECT count(*) AS landed, count(*) AS counted, CAST(0 AS BIGINT) AS dropped "
+                            "FROM events WHERE ts IS NOT NULL")
+def s2_stream_dropped(spark, d):
+    """What the watermark drops when the files come in order: nothing."""
+    ev, rates = _ordered_rates(spark, d)
+    return ST.dropped_rows(ev.where(F.col("ts").isNotNull()), rates)
+
+
 @query("s3_stream_score", W(SCORE_CTE, f"""
 SELECT c_custkey, batch_month, {R('score')} AS score, pred, {_risk_case('score', False)} AS risk_level FROM pred"""))
 def s3_stream_score(spark, d):
-    s = subs(spark, d)
-    cut = G.quantile_value(s, "monthly_spend", 0.75)  # fit-time constant
+    return _scored(spark, d, _land_subs(spark, d))
+
+
+@query("s3_stream_redelivery", W(SCORE_CTE, f"""
+SELECT c_custkey, batch_month, {R('score')} AS score, pred, {_risk_case('score', False)} AS risk_level FROM pred"""))
+def s3_stream_redelivery(spark, d):
+    """Two months delivered twice, three files a micro-batch: every row has one score, of the last delivery."""
+    return _scored(spark, d, _land_twice(spark, d), max_files_per_trigger=3)
+
+
+def _scored(spark, d, landing, **options):
+    cut = G.quantile_value(subs(spark, d), "monthly_spend", 0.75)  # fit-time constant
     card = G.subs_scorecard(cut)
 
     def score_fn(src):
-        out = src.select("c_custkey", "batch_month", D.encode_target(SPEC).alias("label"), card.score().alias("score"))
-        return out.select("c_custkey", "batch_month", r6("score").alias("score"), M.predict_at().alias("pred"),
-                          M.risk_level().alias("risk_level"))
+        out = src.select("c_custkey", "batch_month", ST.DELIVERY, D.encode_target(SPEC).alias("label"),
+                         card.score().alias("score"))
+        return out.select("c_custkey", "batch_month", ST.DELIVERY, r6("score").alias("score"),
+                          M.predict_at().alias("pred"), M.risk_level().alias("risk_level"))
 
-    landing = _land_subs(spark, d)
     return ST.stream_score(spark, landing, _LANDED_SCHEMA, work_path(spark, "s3-sink"), work_path(spark, "s3-ckpt"),
-                           score_fn).select("c_custkey", "batch_month", "score", "pred", "risk_level")
+                           score_fn, **options).select("c_custkey", "batch_month", "score", "pred", "risk_level")

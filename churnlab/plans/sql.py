@@ -42,8 +42,8 @@ subs AS (
          c.c_custkey % 6 + 1 AS batch_month
   FROM customer c
   LEFT JOIN subs_orders a ON a.o_custkey = c.c_custkey
-  JOIN nation n ON c.c_nationkey = n.n_nationkey
-  JOIN region r ON n.n_regionkey = r.r_regionkey
+  LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+  LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
 )"""
 
 # numeric text guard shared with the Spark side: plain or scientific numbers only

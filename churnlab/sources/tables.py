@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -59,15 +59,19 @@ def write_batch_files(df: DataFrame, root: str, month_col: str, fmt: str = "csv"
     return root
 
 
+def month_of_path(path: Column) -> Column:
+    """The month of the last ``month_N`` in a path (folders above may match too); null without one."""
+    return F.regexp_extract(path, r"^.*month_(\d+)", 1).try_cast("int")
+
+
 def read_batches(spark: SparkSession, root: str, schema: StructType | str, fmt: str = "csv",
                  month_col: str = "batch_month") -> DataFrame:
     """A4: read every delivered month; the month comes from the file path
-    (``month_MM``), never from list position, so a gap does not shift months."""
+    (its last ``month_MM``), never from list position, so a gap does not shift months."""
     df = (spark.read.format(fmt).schema(schema).option("header", "true")
           .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
           .option("recursiveFileLookup", "true").load(root))
-    month = F.regexp_extract(F.col("_metadata.file_path"), r"month_(\d+)", 1).cast("int")
-    return df.withColumn(month_col, month)
+    return df.withColumn(month_col, month_of_path(F.col("_metadata.file_path")))
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,7 +81,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw customer table used by every churn operator.
 
-    customer ⟕ (orders aggregated per customer) ⋈ nation ⋈ region.  Features
+    customer ⟕ (orders aggregated per customer) ⟕ nation ⟕ region.  Features
     use only orders before the snapshot date, the label only orders on or
     after it.  One conditional aggregation pass over orders (partial
     aggregation on ``o_custkey`` absorbs a customer holding many orders); the
@@ -101,8 +105,8 @@ def subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = load(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     region = load(spark, sf_dir, "region").select("r_regionkey", "r_name")
     j = (cust.join(per_cust, cust.c_custkey == per_cust.o_custkey, "left")
-         .join(nation, cust.c_nationkey == nation.n_nationkey)
-         .join(region, nation.n_regionkey == region.r_regionkey))
+         .join(nation, cust.c_nationkey == nation.n_nationkey, "left")
+         .join(region, nation.n_regionkey == region.r_regionkey, "left"))
     n_pre = F.coalesce(F.col("n_pre"), F.lit(0))
     has_pre = n_pre > 0
     tenure = F.when(has_pre, (2000 - F.year("first_pre")) * 12 + 8 - F.month("first_pre")).otherwise(0)

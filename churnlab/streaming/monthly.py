@@ -2,50 +2,84 @@
 
 New monthly deliveries arrive as files in a landing folder.  Each stream
 uses a checkpoint below the shared checkpoint folder, so a restarted query
-picks up exactly the files it has not committed yet, and every sink write
-is idempotent (dynamic partition overwrite keyed by month or window), so a
-replayed micro-batch after an executor or driver loss leaves the same table.
+picks up exactly the files it has not committed yet.
+
+A month may arrive in any number of files and micro-batches.  Sinks are
+partitioned by (month, delivery, micro-batch id): a micro-batch that is
+replayed after an executor or driver loss overwrites what it wrote itself and
+nothing else.  Replacing a month is a statement of the sender, not a side
+effect: a month that is delivered again lies under a ``delivery_N`` folder,
+and reading takes each month from its highest delivery.  Files without such
+a folder are delivery 0.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructType
 
+from churnlab.sources.tables import month_of_path
 
-def _overwrite_partitions(df: DataFrame, path: str, partition_col: str) -> None:
+DELIVERY, MICRO_BATCH = "_delivery", "_micro_batch"
+
+
+def _overwrite_partitions(df: DataFrame, path: str, *partition_cols: str) -> None:
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(path))
+     .partitionBy(*partition_cols).parquet(path))
 
 
-def stream_batches(spark: SparkSession, landing: str, schema: StructType | str, sink: str, checkpoint: str,
-                   fmt: str = "parquet", month_col: str = "batch_month", max_files_per_trigger: int | None = None,
-                   transform=None) -> DataFrame:
-    """Ingest every month file once (Trigger.AvailableNow).  The month
-    comes from the ``month_MM`` path segment; each micro-batch replaces the
-    partitions of the months it carries, so re-delivering a month or
-    replaying a batch is idempotent.  Returns the sink as a batch table."""
+def _file_source(spark: SparkSession, landing: str, schema: StructType | str, fmt: str,
+                 max_files_per_trigger: int | None) -> DataFrame:
+    """Landed files with ``_delivery`` from their folder."""
     reader = spark.readStream.format(fmt).schema(schema).option("recursiveFileLookup", "true")
     if fmt == "csv":
         reader = (reader.option("header", "true").option("ignoreLeadingWhiteSpace", "false")
                   .option("ignoreTrailingWhiteSpace", "false"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    src = reader.load(landing)
-    month = F.regexp_extract(F.col("_metadata.file_path"), r"month_(\d+)", 1).cast("bigint")
-    src = src.withColumn(month_col, month)
-    if transform is not None:
-        src = transform(src)
+    path = F.col("_metadata.file_path")
+    delivery = F.coalesce(F.regexp_extract(path, r"^.*delivery_(\d+)", 1).try_cast("bigint"), F.lit(0))
+    return reader.load(landing).select("*", month_of_path(path).cast("bigint").alias("batch_month"),
+                                       delivery.cast("bigint").alias(DELIVERY))
 
-    def upsert(batch: DataFrame, batch_id: int) -> None:
-        _overwrite_partitions(batch, sink, month_col)
 
-    q = (src.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
+def _append_by_batch(src: DataFrame, sink: str, checkpoint: str, month_col: str) -> DataFrame:
+    """Run ``src`` into ``sink`` and return the rows of each month's last delivery."""
+    def put(batch: DataFrame, batch_id: int) -> None:
+        _overwrite_partitions(batch.withColumn(MICRO_BATCH, F.lit(batch_id).cast("bigint")), sink,
+                              month_col, DELIVERY, MICRO_BATCH)
+
+    q = (src.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    # read back with the stream's schema: partition values keep their type
-    return spark.read.schema(src.schema).parquet(sink)
+    return last_deliveries(src.sparkSession, sink, src.schema, month_col)
+
+
+def last_deliveries(spark: SparkSession, sink: str, schema: StructType, month_col: str = "batch_month") -> DataFrame:
+    """The sink as a batch table: each month from its highest delivery.  The
+    months' last deliveries are found from the partition values alone."""
+    stored = StructType(schema.fields).add(MICRO_BATCH, LongType())
+    rows = spark.read.schema(stored).parquet(sink)
+    last = rows.groupBy(F.col(month_col).alias("_m")).agg(F.max(DELIVERY).alias("_last"))
+    kept = rows.join(last, F.col(month_col).eqNullSafe(F.col("_m")) & (F.col(DELIVERY) == F.col("_last")))
+    return kept.select(*[c for c in schema.names if c != DELIVERY])
+
+
+def stream_batches(spark: SparkSession, landing: str, schema: StructType | str, sink: str, checkpoint: str,
+                   fmt: str = "parquet", month_col: str = "batch_month", max_files_per_trigger: int | None = None,
+                   transform=None) -> DataFrame:
+    """Ingest every month file once (Trigger.AvailableNow).  The month
+    comes from the last ``month_MM`` of the file path, the delivery from the
+    last ``delivery_N`` (0 without).  However the files are spread over
+    micro-batches, every row of a month's last delivery is in the sink once.
+    Returns the sink as a batch table."""
+    src = _file_source(spark, landing, schema, fmt, max_files_per_trigger)
+    if month_col != "batch_month":
+        src = src.withColumnRenamed("batch_month", month_col)
+    if transform is not None:
+        src = transform(src)
+    return _append_by_batch(src, sink, checkpoint, month_col)
 
 
 def utc_instant(c: Column) -> Column:
@@ -86,11 +120,15 @@ def stream_window_rates(spark: SparkSession, landing: str, schema: StructType |
     upserts the windows it changed (partition overwrite keyed by window),
     so the sink always holds the latest value of every window.
 
+    The source must deliver files in event-time order up to the watermark:
+    files are taken oldest first, and rows older than the watermark of the
+    micro-batches before are dropped.  :func:`dropped_rows` counts them.
+
     The state is one row per window and the input is partially aggregated
     before the shuffle, so a few state partitions suffice at any input
     volume; the number is fixed when the query first starts (it is stored
     in the checkpoint), not taken from the batch-sized shuffle setting."""
-    reader = spark.readStream.format("parquet").schema(schema)
+    reader = spark.readStream.format("parquet").schema(schema).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     rates = window_rates(reader.load(landing), ts_col, flag, window, watermark)
@@ -110,17 +148,21 @@ def stream_window_rates(spark: SparkSession, landing: str, schema: StructType |
     return spark.read.schema(rates.schema).parquet(sink)
 
 
+def dropped_rows(landed: DataFrame, rates: DataFrame) -> DataFrame:
+    """One row: rows landed, rows counted in windows, and rows that the
+    watermark dropped (rows without a time are not counted as landed)."""
+    n = rates.agg(F.coalesce(F.sum("n_events"), F.lit(0)).alias("counted"))
+    return landed.agg(F.count(F.lit(1)).alias("landed")).select(
+        "landed", n.scalar().alias("counted"), (F.col("landed") - n.scalar()).alias("dropped"))
+
+
 def stream_score(spark: SparkSession, landing: str, schema: StructType | str, sink: str, checkpoint: str,
-                 score_fn, fmt: str = "parquet") -> DataFrame:
-    """S3: stateless preparation + scoring of every delivered row; the file
-    sink commits each micro-batch exactly once through its metadata log."""
-    reader = spark.readStream.format(fmt).schema(schema).option("recursiveFileLookup", "true")
-    if fmt == "csv":
-        reader = reader.option("header", "true")
-    src = reader.load(landing)
-    month = F.regexp_extract(F.col("_metadata.file_path"), r"month_(\d+)", 1).cast("bigint")
-    scored = score_fn(src.withColumn("batch_month", month))
-    q = (scored.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.schema(scored.schema).parquet(sink)
+                 score_fn, fmt: str = "parquet", max_files_per_trigger: int | None = None) -> DataFrame:
+    """S3: stateless preparation + scoring of every delivered row, into the
+    same kind of sink as S1: a month that is delivered again replaces its
+    earlier scores instead of adding to them."""
+    src = _file_source(spark, landing, schema, fmt, max_files_per_trigger)
+    scored = score_fn(src)
+    if DELIVERY not in scored.columns:
+        raise ValueError(f"score_fn must keep {DELIVERY} and batch_month")
+    return _append_by_batch(scored, sink, checkpoint, "batch_month")

@@ -63,3 +63,51 @@ def test_stream_ingest_reads_csv_deliveries(spark):
     got = sorted(map(tuple, out.select("c_custkey", "total_spend", "batch_month").collect()))
     assert len(got) == 30 and {r[2] for r in got} == {1, 2, 3}
     assert got[0] == (0, " ", 1) and got[1] == (1, "1.50", 2)
+
+
+def test_months_in_many_files_and_micro_batches_keep_every_row(spark):
+    schema = "c_custkey bigint, churn string"
+    rows = [(i, "Yes" if i % 3 else "No", i % 2 + 1) for i in range(40)]
+    df = spark.createDataFrame(rows, schema + ", batch_month bigint")
+    root = work_path(spark, "t-month_9-in")  # a folder above that looks like a month
+    for m in (1, 2):
+        df.where(F.col("batch_month") == m).drop("batch_month").repartition(4).write.parquet(f"{root}/month_{m:02d}")
+    sink, ckpt = work_path(spark, "t-msink"), work_path(spark, "t-mckpt")
+    out = ST.stream_batches(spark, root, schema, sink, ckpt, max_files_per_trigger=1)
+    assert sorted(map(tuple, out.collect())) == rows
+    # a further file of the same delivery adds to the month
+    spark.createDataFrame([(100, "No")], schema).write.parquet(f"{root}/month_02/late")
+    out = ST.stream_batches(spark, root, schema, sink, ckpt, max_files_per_trigger=1)
+    assert out.count() == 41 and out.where("batch_month = 2").count() == 21
+    # a higher delivery replaces the month
+    spark.createDataFrame([(7, "No")], schema).write.parquet(f"{root}/delivery_1/month_02")
+    out = ST.stream_batches(spark, root, schema, sink, ckpt, max_files_per_trigger=1)
+    assert sorted(map(tuple, out.where("batch_month = 2").collect())) == [(7, "No", 2)]
+    assert out.where("batch_month = 1").count() == 20
+
+
+def test_scoring_a_redelivered_month_replaces_its_scores(spark):
+    schema = "c_custkey bigint, x double"
+    root = work_path(spark, "t-score-in")
+    spark.createDataFrame([(i, float(i)) for i in range(10)], schema).write.parquet(f"{root}/month_01")
+    sink, ckpt = work_path(spark, "t-ssink"), work_path(spark, "t-sckpt")
+
+    def score(src):
+        return src.select("c_custkey", "batch_month", ST.DELIVERY, (F.col("x") * 2).alias("score"))
+
+    assert ST.stream_score(spark, root, schema, sink, ckpt, score).count() == 10
+    spark.createDataFrame([(i, float(i + 1)) for i in range(10)], schema).write.parquet(f"{root}/delivery_1/month_01")
+    again = ST.stream_score(spark, root, schema, sink, ckpt, score)
+    assert sorted(r.score for r in again.collect()) == [2.0 * (i + 1) for i in range(10)]
+
+
+def test_dropped_rows_are_reported(spark):
+    schema = "ts timestamp_ntz, kind string"
+    day = dt.datetime(2024, 1, 1)
+    landing = work_path(spark, "t-late")
+    for d in (0, 5, 6, 1):  # the last file is days behind the watermark
+        spark.createDataFrame([(day + dt.timedelta(days=d), "ok")], schema).coalesce(1).write.mode("append").parquet(landing)
+    rates = ST.stream_window_rates(spark, landing, schema, work_path(spark, "t-lsink"), work_path(spark, "t-lckpt"),
+                                   "ts", F.col("kind") == "error", max_files_per_trigger=1)
+    got = ST.dropped_rows(spark.read.parquet(landing), rates).first()
+    assert (got.landed, got.counted, got.dropped) == (4, 3, 1)

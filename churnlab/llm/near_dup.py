@@ -142,7 +142,9 @@ def component_table(prints: DataFrame, id_col: str = "doc_id", print_col: str =
 
 def add_component(df: DataFrame, id_col: str = "doc_id", print_col: str = "fingerprint",
                   radius: int = RADIUS) -> DataFrame:
-    """Add ``component_id`` to every row of ``df`` (which is read twice)."""
+    """Add ``component_id`` to every row of ``df`` (which is read twice); a
+    column of that name is replaced."""
+    df = df.drop("component_id")
     groups = component_table(df, id_col, print_col, radius).select(F.col("fp").alias("__fp"), "component_id")
     return df.join(groups, F.col(print_col) == F.col("__fp")).drop("__fp")
 

@@ -2,9 +2,10 @@
 
 The base kinds are patterns of their own (``BASE``).  Multipart credentials
 have weak parts, each too common to report alone: access identifiers, secret
-strings and endpoints.  A part is reported only when a complementary part of
-another kind lies in the same scope, that is, within ``SCOPE`` code points:
-an identifier with a secret, or an endpoint with a secret.
+strings and endpoints.  A weak part is reported only when a complementary part
+lies in the same scope, that is, within ``SCOPE`` code points: an identifier
+with a secret, or an endpoint with a secret.  Base spans are parts too: an
+``access`` key is an identifier, ``assign`` and ``hex`` are secrets.
 
 Spans come from the match strings and the pieces between them, whose lengths
 add up to the positions.  Linking is an interval join: parts are filed under
@@ -37,6 +38,8 @@ PARTS = (
 )
 SCOPE = 200
 ORDER = [k for k, *_ in BASE] + [k for k, _ in PARTS]
+#: Kinds that stand for the secret; all others complement it.
+SECRETS = [ORDER.index(k) for k in ("assign", "hex", "secret")]
 
 
 def _spans(text: Column, kind: str, pattern: str, group: int = 0, least: int = 0) -> Column:
@@ -71,18 +74,18 @@ def joined(spans: Column) -> Column:
 
 
 def linked_parts(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
-    """The rows of ``parts`` (key, start, end, kind) with a complementary part within ``scope``.
+    """The weak parts among ``parts`` (key, start, end, kind) with a
+    complementary part within ``scope``.
 
     ``kind`` indexes ``ORDER``; a secret complements identifiers and
     endpoints.  Distance is that between the nearest ends, zero where spans
     overlap.
     """
-    secret = ORDER.index("secret")
     parts = parts.distinct()
     binned = parts.select("*", F.explode(F.sequence(
         F.floor((F.col("start") - scope) / scope), F.floor((F.col("end") + scope) / scope))).alias("bin"))
-    secrets = binned.where(F.col("kind") == secret)
-    others = parts.where(F.col("kind") != secret).select(
+    secrets = binned.where(F.col("kind").isin(SECRETS))
+    others = parts.where(~F.col("kind").isin(SECRETS)).select(
         F.col("key").alias("key2"), F.col("start").alias("start2"), F.col("end").alias("end2"),
         F.col("kind").alias("kind2"), F.floor(F.col("start") / scope).alias("bin2"))
     near = (F.col("start2") <= F.col("end") + scope) & (F.col("start") <= F.col("end2") + scope)
@@ -92,7 +95,8 @@ def linked_parts(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
     met = secrets.join(others, (F.col("key") == F.col("key2")) & (F.col("bin") == F.col("bin2")) & near)
     both = F.array(F.struct("start", "end", "kind"),
                    F.struct(F.col("start2").alias("start"), F.col("end2").alias("end"), F.col("kind2").alias("kind")))
-    return met.select("key", F.explode(both).alias("s")).select("key", "s.*").distinct()
+    weak = F.filter(both, lambda s: s.kind >= len(BASE))
+    return met.select("key", F.explode(weak).alias("s")).select("key", "s.*").distinct()
 
 
 def scan_secrets(df: DataFrame, text_col: str = "text", scope: int = SCOPE, carry_text: bool = True) -> DataFrame:
@@ -116,13 +120,14 @@ def scan_secrets(df: DataFrame, text_col: str = "text", scope: int = SCOPE, carr
     weak = F.filter(F.concat(*[F.col(f"w_{p[0]}") for p in PARTS]),
                     lambda s: ~F.array_contains(F.col("taken"), F.struct(s.start, s.end)))
     rows = rows.withColumns({"base": base, "taken": taken}).withColumn("weak", weak)
-    pair = (F.size("w_secret") > 0) & (F.size("w_identifier") + F.size("w_endpoint") > 0)
-    pair = pair & F.exists("weak", lambda s: s.kind == ORDER.index("secret"))
+    parts = F.concat("base", "weak")
+    pair = (F.size("weak") > 0) & F.exists(parts, lambda s: s.kind.isin(SECRETS)) & F.exists(
+        parts, lambda s: ~s.kind.isin(SECRETS))
     # rows that cannot link get a key of their own, so that none of them share a partition
     key = F.when(pair, F.sha2("text", 256)).otherwise(F.concat(F.lit("-"), F.hex(F.xxhash64("row", "text"))))
-    rows = saved(rows.select("row", "base", key.alias("key"), F.when(pair, F.col("weak")).alias("weak"),
+    rows = saved(rows.select("row", "base", key.alias("key"), F.when(pair, parts).alias("parts"),
                              *[F.size(b[0]).cast("long").alias(f"n_{b[0]}") for b in BASE]), "secret-spans")
-    parts = rows.where("weak is not null").select("key", F.explode("weak").alias("s")).select("key", "s.*")
+    parts = rows.where("parts is not null").select("key", F.explode("parts").alias("s")).select("key", "s.*")
     links = linked_parts(parts, scope).groupBy("key").agg(
         F.collect_list(F.struct("start", "end", "kind")).alias("linked")).withColumnRenamed("key", "k")
     out = rows.join(links, F.col("key") == F.col("k"), "left")

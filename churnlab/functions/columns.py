@@ -32,6 +32,11 @@ def safe_div(a, b) -> Column:
     return F.try_divide(col_(a), col_(b))
 
 
+def full(c) -> Column:
+    """The value as a double at full precision, -0.0 as 0.0; reports round, operators do not."""
+    return col_(c).cast("double") + F.lit(0.0)
+
+
 def r6(c) -> Column:
     """Round to 6 decimals and fold -0.0 into 0.0 (stable value hashing)."""
     return F.round(col_(c).cast("double"), 6) + F.lit(0.0)

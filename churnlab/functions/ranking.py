@@ -1,48 +1,36 @@
-"""Exact row numbers within groups, safe for groups of any size."""
+"""Exact row numbers within groups, for groups of any size."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from churnlab.functions.prefix import ordered_prefix
 
-# largest group a window may sort in one task
-SMALL_GROUP = 200_000
-
 
 def group_row_number(df: DataFrame, group_cols: Sequence[str], order: Sequence[tuple[str, bool]],
-                     name: str, small_group: int = SMALL_GROUP) -> DataFrame:
-    """``name`` = 1-based position of each row inside its group in ``order``
-    (a list of (column, descending) pairs; descending only for numeric
-    columns; rows must be unique in that order).
-
-    The input is written once to the shared checkpoint folder; the size of
-    the largest group (one number) decides the plan: a window when every
-    group is at most ``small_group`` rows, otherwise the distributed prefix,
-    which never puts a whole group in one task.  Both give the same result.
+                     name: str) -> DataFrame:
+    """``name`` = 1-based position (bigint) of each row inside its group in
+    ``order``, a list of (column, descending) pairs; descending only for
+    numeric columns; rows must be unique in that order.
+
+    Nulls come first in ascending and last in descending order.  The
+    distributed prefix is used for every input: no group is ever sorted in
+    one task, and the input is written once to the shared checkpoint folder.
     """
-    group_cols = list(group_cols)
-    for c, desc in order:
-        if desc and not isinstance(df.schema[c].dataType, NumericType):
-            raise ValueError(f"descending order needs a numeric column, got {c}: {df.schema[c].dataType}")
-    t = df.checkpoint(eager=True)
-    largest = t.groupBy(*group_cols).count().agg(F.max("count")).first()[0] or 0
-    keys: list[Column] = [F.col(c).desc() if desc else F.col(c).asc() for c, desc in order]
-    if largest <= small_group:
-        w = Window.partitionBy(*group_cols).orderBy(*keys)
-        return t.withColumn(name, F.row_number().over(w))
-    # ascending sort keys for the prefix: negate numeric descending columns
-    cols, order_names = [], []
+    keys, names = [], []
     for i, (c, desc) in enumerate(order):
-        if desc:
-            cols.append((-F.col(c)).alias(f"_o{i}"))
-            order_names.append(f"_o{i}")
-        else:
-            order_names.append(c)
-    units = t.select("*", *cols, F.lit(1).alias("_one"))
-    pref = ordered_prefix(units, order_names, ["_one"], group_cols)
-    return pref.select(*t.columns, (F.col("before__one") + 1).cast("int").alias(name))
+        if not desc:
+            names.append(c)
+            continue
+        if not isinstance(df.schema[c].dataType, NumericType):
+            raise ValueError(f"descending order needs a numeric column, got {c}: {df.schema[c].dataType}")
+        # ascending keys that put nulls last and the largest value first
+        keys += [F.col(c).isNull().cast("int").alias(f"_null{i}"), (-F.col(c)).alias(f"_neg{i}")]
+        names += [f"_null{i}", f"_neg{i}"]
+    units = df.select("*", *keys, F.lit(1).cast("long").alias("_one"))
+    pref = ordered_prefix(units, names, ["_one"], list(group_cols))
+    return pref.select(*df.columns, (F.col("before__one") + 1).alias(name))

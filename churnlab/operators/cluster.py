@@ -2,9 +2,9 @@
 
 Fitting uses Spark ML ``KMeans`` on an assembled vector column; the
 assignment step for given centres, the profiles and the cluster names are
-plain DataFrame expressions.  Centres are a bounded table (k rows, checked)
-folded into ONE row and attached to every data row, so assignment is a
-map-side projection: no shuffle, no per-row Python.
+plain DataFrame expressions.  Centres are folded into rows of a bounded
+number of centres each and attached to every data row block by block, so
+assignment is a map-side projection: no shuffle, no per-row Python.
 """
 
 from __future__ import annotations
@@ -15,10 +15,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlab import spec as S
-from churnlab.functions.columns import r6
+from churnlab.functions.columns import full
 from churnlab.operators.profile import attach_scalars
+from churnlab.session import materialize
 
-MAX_CENTRES = 4096
+# centres attached to a data row at a time
+CENTRE_BLOCK = 1024
 
 
 def as_vector(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
@@ -48,16 +50,14 @@ def elbow(vectors: DataFrame, ks: Sequence[int], seed: int = S.SEED, features: s
     return vectors.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 
-def centres_row(centres: DataFrame, id_col: str, vec_col: str, max_centres: int = MAX_CENTRES) -> DataFrame:
-    """Fold a centre table (id, array<double>) into one row holding all of
-    them.  Fails loudly when there are more than ``max_centres`` centres, so
-    what is attached to every row has a proven size bound."""
-    packed = centres.agg(F.sort_array(F.collect_list(F.struct(F.col(id_col).alias("cid"),
-                                                              F.col(vec_col).cast("array<double>").alias("cv"))))
-                         .alias("_centres"), F.count(F.lit(1)).alias("_k"))
-    return packed.select(F.when(F.col("_k") <= max_centres, F.col("_centres"))
-                         .otherwise(F.raise_error(F.lit(f"more than {max_centres} centres")))
-                         .alias("_centres"))
+def centre_blocks(centres: DataFrame, id_col: str, vec_col: str, size: int = CENTRE_BLOCK) -> list[DataFrame]:
+    """A centre table (id, array<double>) as one-row tables that hold about
+    ``size`` centres each (cut by a hash of the id)."""
+    rows = materialize(centres.select(F.col(id_col).alias("cid"), F.col(vec_col).cast("array<double>").alias("cv")),
+                       "centres")
+    n = max(1, -(-rows.count() // size))
+    fold = F.sort_array(F.collect_list(F.struct("cid", "cv"))).alias("_centres")
+    return [rows.where(F.pmod(F.xxhash64("cid"), F.lit(n)) == i).agg(fold) for i in range(n)]
 
 
 def sq_distance(x: Column, c: Column) -> Column:
@@ -68,12 +68,17 @@ def sq_distance(x: Column, c: Column) -> Column:
 def nearest_center(df: DataFrame, vec_col: str, centres: DataFrame, id_col: str = "cid",
                    centre_vec: str = "cv", decimals: int = 9, cluster_col: str = "cluster") -> DataFrame:
     """K4: id of the nearest centre (squared Euclidean, rounded to
-    ``decimals`` before the tie-break; lowest id wins a tie) and its distance."""
-    one = centres_row(centres, id_col, centre_vec)
+    ``decimals`` before the tie-break; lowest id wins a tie) and its distance.
+    Any number of centres: rows are held against one block after another and
+    keep the best so far."""
+    blocks = centre_blocks(centres, id_col, centre_vec)
     x = F.col(vec_col).cast("array<double>")
-    best = F.array_min(F.transform(F.col("_centres"), lambda c: F.struct(
-        F.round(sq_distance(x, c["cv"]), decimals).alias("d"), c["cid"].alias("cid"))))
-    out = attach_scalars(df, one).withColumn("_best", best)
+    out, best = df, None
+    for block in blocks:
+        near = F.array_min(F.transform(F.col("_centres"), lambda c: F.struct(
+            F.round(sq_distance(x, c["cv"]), decimals).alias("d"), c["cid"].alias("cid"))))
+        best = near if best is None else F.least(F.col("_best"), near)
+        out = attach_scalars(out, block).withColumn("_best", best).drop("_centres")
     return out.select(*df.columns, F.col("_best.cid").alias(cluster_col), F.col("_best.d").alias("distance"))
 
 
@@ -82,13 +87,13 @@ def cluster_profile(df: DataFrame, cluster_col: str, features: Sequence[str]) ->
     feature, n, mean).  One unpivot + one partial aggregation."""
     long = df.select(F.col(cluster_col).alias("cluster"), F.inline(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x")) for c in features])))
-    return long.groupBy("cluster", "feature").agg(F.count(F.lit(1)).alias("n"), r6(F.avg("x")).alias("mean"))
+    return long.groupBy("cluster", "feature").agg(F.count(F.lit(1)).alias("n"), full(F.avg("x")).alias("mean"))
 
 
 def array_profile(df: DataFrame, cluster_col: str, vec_col: str, prefix: str = "dim_") -> DataFrame:
     """K5 for an array column: mean of every position per cluster."""
     long = df.select(F.col(cluster_col).alias("cluster"), F.posexplode(F.col(vec_col).cast("array<double>")))
-    return long.groupBy("cluster", "pos").agg(F.count(F.lit(1)).alias("n"), r6(F.avg("col")).alias("mean")).select(
+    return long.groupBy("cluster", "pos").agg(F.count(F.lit(1)).alias("n"), full(F.avg("col")).alias("mean")).select(
         "cluster", F.format_string(prefix + "%02d", F.col("pos")).alias("feature"), "n", "mean")
 
 
@@ -98,8 +103,8 @@ def cluster_target_rate(df: DataFrame, cluster_col: str, label_col: str) -> Data
         F.count(F.lit(1)).alias("n"), F.sum(F.col(label_col).cast("long")).alias("_pos"))
     every = Window.partitionBy()  # over the cluster table (k rows)
     overall = F.sum("_pos").over(every) / F.sum("n").over(every)
-    return g.select("cluster", "n", r6(F.col("_pos") / F.col("n") * 100.0).alias("churn_rate"),
-                    r6(overall * 100.0).alias("overall_rate"))
+    return g.select("cluster", "n", full(F.col("_pos") / F.col("n") * 100.0).alias("churn_rate"),
+                    full(overall * 100.0).alias("overall_rate"))
 
 
 def name_clusters(df: DataFrame, cluster_col: str, features: Sequence[str], top: int = S.TOP_K_SHORT) -> DataFrame:
@@ -121,7 +126,7 @@ def name_clusters(df: DataFrame, cluster_col: str, features: Sequence[str], top:
                    F.try_divide(F.col("_cm") - F.col("_gm"), F.when(gs > 0, gs)).alias("_z"))
     w = Window.partitionBy("cluster").orderBy(F.abs(F.col("_z")).desc_nulls_last(), "feature")  # features per cluster
     ranked = z.select("*", F.row_number().over(w).alias("rank")).where(F.col("rank") <= top)
-    return ranked.select("cluster", "rank", "feature", r6("_z").alias("z"),
+    return ranked.select("cluster", "rank", "feature", full("_z").alias("z"),
                          F.when(F.col("_z") > 0, "high").when(F.col("_z") < 0, "low").otherwise("average")
                          .alias("direction"))
 

@@ -16,11 +16,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnlab import spec as S
-from churnlab.functions.columns import r6
+from churnlab.functions.columns import full
 from churnlab.functions.prefix import exact_quantiles, ordered_prefix
 from churnlab.functions.ranking import group_row_number
 from churnlab.operators.explore import histogram
 from churnlab.operators.profile import attach_scalars
+from churnlab.session import materialize
 
 
 def marginals(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -32,20 +33,23 @@ def marginals(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     # one row per listed column: broadcast, so no column's categories meet in one task
     tot = g.groupBy(F.col("column").alias("_c")).agg(F.sum("n").alias("_t"))
     j = g.join(F.broadcast(tot), g["column"] == tot["_c"])
-    return j.select("column", "value", "n", r6(F.col("n") / F.col("_t")).alias("share"))
+    return j.select("column", "value", "n", full(F.col("n") / F.col("_t")).alias("share"))
 
 
-def moments(df: DataFrame, n_months: int = S.N_BATCHES, tenure_col: str = "tenure", spend_col: str = "monthly_spend",
-            tenure_cap: float = 18.0, std_factor: float = 0.6, monthly_uplift: float = 0.005) -> DataFrame:
-    """Expected per-month profile: tenure mean capped, tenure std scaled,
-    spend mean with a monthly uplift, spend std."""
-    one = df.agg(F.avg(F.col(tenure_col).cast("double")).alias("_tm"), F.stddev_samp(tenure_col).alias("_ts"),
-                 F.avg(spend_col).alias("_sm"), F.stddev_samp(spend_col).alias("_ss"))
-    m = one.select("*", F.explode(F.sequence(F.lit(1), F.lit(n_months))).alias("month"))
-    return m.select("month", r6(F.least(F.col("_tm"), F.lit(tenure_cap))).alias("tenure_mean"),
-                    r6(F.col("_ts") * std_factor).alias("tenure_std"),
-                    r6(F.col("_sm") * (1 + F.col("month") * monthly_uplift)).alias("spend_mean"),
-                    r6("_ss").alias("spend_std"))
+def moment_drift(df: DataFrame, month_col: str, cols: Sequence[str], base_month: int = 0) -> DataFrame:
+    """Per batch and numeric column the mean and sample standard deviation
+    next to those of the original table (``base_month``), and how far the
+    mean has moved in units of the original standard deviation."""
+    long = df.select(F.col(month_col).cast("int").alias("month"), F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in cols])))
+    per = materialize(long.groupBy("month", "column").agg(
+        F.count("x").alias("n"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std")), "moments")
+    base = per.where(F.col("month") == base_month).select(
+        F.col("column").alias("of"), F.col("mean").alias("base_mean"), F.col("std").alias("base_std"))
+    j = per.where(F.col("month") != base_month).join(base, F.col("column") == F.col("of"), "left")
+    shift = F.try_divide(F.col("mean") - F.col("base_mean"), F.when(F.col("base_std") > 0, F.col("base_std")))
+    return j.select("month", "column", "n", full("mean").alias("mean"), full("std").alias("std"),
+                    full("base_mean").alias("base_mean"), full("base_std").alias("base_std"), full(shift).alias("shift"))
 
 
 def quantile_value(df: DataFrame, col: str, q: float) -> float | None:
@@ -118,7 +122,7 @@ def batch_summary(df: DataFrame, month_col: str, label_col: str) -> DataFrame:
     """Per month rows, positive rate (%), and the landing file name."""
     return df.groupBy(month_col).agg(
         F.count(F.lit(1)).alias("n_customers"),
-        r6(F.avg(F.col(label_col).cast("double")) * 100.0).alias("churn_rate"),
+        full(F.avg(F.col(label_col).cast("double")) * 100.0).alias("churn_rate"),
     ).select(F.col(month_col).cast("int").alias("month"), "n_customers", "churn_rate",
              F.format_string("month_%02d.csv", F.col(month_col).cast("int")).alias("file"))
 
@@ -130,8 +134,8 @@ def rate_drift(df: DataFrame, month_col: str, label_col: str, reference: DataFra
     base = reference.agg((F.avg(F.col(label_col).cast("double")) * 100.0).alias("_orig"))
     span = per.agg((F.max_by("_rate", "month") - F.min_by("_rate", "month")).alias("_span"))
     return attach_scalars(attach_scalars(per, base), span).select(
-        "month", r6("_rate").alias("churn_rate"), r6("_orig").alias("original_rate"),
-        r6(F.col("_rate") - F.col("_orig")).alias("diff_vs_original"), r6("_span").alias("drift_last_first"))
+        "month", full("_rate").alias("churn_rate"), full("_orig").alias("original_rate"),
+        full(F.col("_rate") - F.col("_orig")).alias("diff_vs_original"), full("_span").alias("drift_last_first"))
 
 
 def numeric_drift(a: DataFrame, b: DataFrame, col: str, bins: int = S.FEATURE_BINS, names=("a", "b"),
@@ -153,8 +157,8 @@ def category_drift(a: DataFrame, b: DataFrame, col: str) -> DataFrame:
     sa, sb = shares(a, "a"), shares(b, "b")
     j = sa.join(sb.drop("_n_b"), on="value", how="left")
     ranked = group_row_number(j, [], [("_n_a", True), ("value", False)], "order_a")
-    return ranked.select("value", r6("_s_a").alias("share_a"),
-                         r6(F.coalesce(F.col("_s_b"), F.lit(0.0))).alias("share_b"), "order_a")
+    return ranked.select("value", full("_s_a").alias("share_a"),
+                         full(F.coalesce(F.col("_s_b"), F.lit(0.0))).alias("share_b"), "order_a")
 
 
 def union_batches(frames: Sequence[DataFrame]) -> DataFrame:

@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlab import spec as S
-from churnlab.functions.columns import bands, cut, r6
+from churnlab.functions.columns import bands, cut, full
 from churnlab.functions.prefix import exact_quantiles
 from churnlab.functions.ranking import group_row_number
 from churnlab.operators.profile import attach_scalars
+from churnlab.session import materialize
 
 
 _ALL = "\u0000all"  # sentinel group name; cannot collide with a column name
@@ -38,26 +38,26 @@ def histogram(df: DataFrame, col: str, by: str | None = None, bins: int = S.FEAT
     rng = data.groupBy(*g).agg(F.min("_x").alias("_mn"), F.max("_x").alias("_mx"),
                                F.count(F.lit(1)).alias("_N"))
     if shared_edges and g:
-        every = Window.partitionBy()  # over the group table (one row per group)
-        rng = rng.select(*g, F.min("_mn").over(every).alias("_mn"), F.max("_mx").over(every).alias("_mx"), "_N")
+        whole = data.agg(F.min("_x").alias("_mn"), F.max("_x").alias("_mx"))
+        rng = attach_scalars(rng.select(*g, "_N"), whole).select(*g, "_mn", "_mx", "_N")
     same = F.col("_mn") == F.col("_mx")
     rng = rng.select(*g, "_N",
                      F.when(same, F.col("_mn") - 0.5).otherwise(F.col("_mn")).alias("_lo"),
                      F.when(same, F.col("_mx") + 0.5).otherwise(F.col("_mx")).alias("_hi"))
-    # one row per group; the output has groups x bins rows, so the group
-    # table is small by construction and is broadcast explicitly (a shuffle
-    # join on a class label would send each class to one task)
-    binned = data.join(F.broadcast(rng), on=g, how="inner") if g else attach_scalars(data, rng)
+    # one row per group: Spark broadcasts the group table when it is small and
+    # splits skewed groups when it is not
+    rng = materialize(rng, "histogram-ranges")
+    binned = data.join(rng, on=g, how="inner") if g else attach_scalars(data, rng)
     b = F.least(F.floor((F.col("_x") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * bins),
                 F.lit(bins - 1)).cast("int")
     counts = binned.groupBy(*g, b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     grid = rng.select(*g, "_N", "_lo", "_hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     out = grid.join(counts, on=[*g, "bin"], how="left").fillna(0, subset=["n"])
     width = (F.col("_hi") - F.col("_lo")) / bins
-    cols = [*g, "bin", r6(F.col("_lo") + F.col("bin") * width).alias("bin_lo"),
-            r6(F.col("_lo") + (F.col("bin") + 1) * width).alias("bin_hi"), F.col("n").cast("long").alias("n")]
+    cols = [*g, "bin", full(F.col("_lo") + F.col("bin") * width).alias("bin_lo"),
+            full(F.col("_lo") + (F.col("bin") + 1) * width).alias("bin_hi"), F.col("n").cast("long").alias("n")]
     if density:
-        cols.append(r6(F.col("n") / (F.col("_N") * width)).alias("density"))
+        cols.append(full(F.col("n") / (F.col("_N") * width)).alias("density"))
     return out.select(*cols)
 
 
@@ -69,13 +69,12 @@ def box_stats(df: DataFrame, col: str, by: str) -> DataFrame:
     q = q.select("*", (F.col("q3") - F.col("q1")).alias("iqr"))
     lo_f = F.col("q1") - 1.5 * F.col("iqr")
     hi_f = F.col("q3") + 1.5 * F.col("iqr")
-    # one row per group (small by construction: one box per group); broadcast
-    # so a group holding most rows is not shuffled into one task
-    j = long.join(F.broadcast(q), on=by, how="inner")
+    # one row per group: broadcast when small, skewed groups split when not
+    j = long.join(materialize(q, "box-quartiles"), on=by, how="inner")
     return j.groupBy(by).agg(
-        *[r6(F.first(c)).alias(c) for c in ("q1", "median", "q3", "iqr")],
-        r6(F.min(F.when(F.col("x") >= lo_f, F.col("x")))).alias("whisker_low"),
-        r6(F.max(F.when(F.col("x") <= hi_f, F.col("x")))).alias("whisker_high"),
+        *[full(F.first(c)).alias(c) for c in ("q1", "median", "q3", "iqr")],
+        full(F.min(F.when(F.col("x") >= lo_f, F.col("x")))).alias("whisker_low"),
+        full(F.max(F.when(F.col("x") <= hi_f, F.col("x")))).alias("whisker_high"),
         F.count_if((F.col("x") < lo_f) | (F.col("x") > hi_f)).alias("n_outliers"))
 
 
@@ -87,8 +86,8 @@ def class_mean_contrast(df: DataFrame, spec: S.FeatureSpec, cols: Sequence[str])
     g = long.groupBy("column").agg(F.avg(F.when(F.col("_y") == 0, F.col("x"))).alias("mean_neg"),
                                    F.avg(F.when(F.col("_y") == 1, F.col("x"))).alias("mean_pos"))
     diff = F.try_divide(F.col("mean_pos") - F.col("mean_neg"), F.col("mean_neg")) * 100.0
-    return g.select("column", r6("mean_neg").alias("mean_neg"), r6("mean_pos").alias("mean_pos"),
-                    r6(diff).alias("diff_pct"),
+    return g.select("column", full("mean_neg").alias("mean_neg"), full("mean_pos").alias("mean_pos"),
+                    full(diff).alias("diff_pct"),
                     F.when(diff > 0, "higher").when(diff < 0, "lower").otherwise("equal").alias("direction"))
 
 
@@ -106,13 +105,12 @@ def target_rate_by(df: DataFrame, spec: S.FeatureSpec, features: Sequence[str],
     g = (long.where(F.col("value").isNotNull()).groupBy("feature", "value")
          .agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("_pos")))
     g = g.select("*", (F.col("_pos") * F.lit(100.0) / F.col("n")).alias("_rate"))
-    # position in ascending-rate order per feature: exact for any number of
-    # categories (a window only when every feature is provably small)
+    # position in ascending-rate order per feature: exact for any number of categories
     ranked = group_row_number(g, ["feature"], [("_rate", False), ("value", False)], "rate_order")
     overall = ranked.where(F.col("feature") == _ALL).select("_rate").scalar()
     rate = F.col("_rate")
     out = ranked.where(F.col("feature") != _ALL)
-    return out.select("feature", "value", "n", r6(rate).alias("churn_rate"), r6(overall).alias("overall_rate"),
+    return out.select("feature", "value", "n", full(rate).alias("churn_rate"), full(overall).alias("overall_rate"),
                       bands(rate, *band).alias("band"), "rate_order")
 
 
@@ -125,7 +123,7 @@ def category_spread(rates: DataFrame, min_spread: float = S.MIN_SPREAD) -> DataF
         F.min_by("value", F.struct(F.col("churn_rate"), F.col("value"))).alias("min_value"),
         F.min("churn_rate").alias("min_rate"))
     spread = F.col("max_rate") - F.col("min_rate")
-    return g.select("*", r6(spread).alias("spread")).where(spread > min_spread)
+    return g.select("*", full(spread).alias("spread")).where(spread > min_spread)
 
 
 def dict_encode(c: str, mapping: dict):
@@ -136,40 +134,32 @@ def dict_encode(c: str, mapping: dict):
     return out
 
 
-# covar_pop keeps 4 buffer fields, stddev_pop 3: 10 per pair, so 9 pairs stay
-# under spark.sql.codegen.maxFields (100) and each aggregate keeps codegen
-PAIRS_PER_PASS = 9
-
-
-def correlation_matrix(df: DataFrame, cols: Sequence[str], lower_only: bool = True,
-                       pairs_per_pass: int = PAIRS_PER_PASS) -> DataFrame:
-    """Pearson r for every pair, pairwise-complete, null (not an error)
-    when a column is constant on the complete pairs.  Pairs are computed in
-    blocks of ``pairs_per_pass`` per aggregation so every aggregate stays in
-    whole-stage codegen; the blocks share the input's exchanges (reuse)."""
-    pairs = [(a, b) for i, a in enumerate(cols) for j, b in enumerate(cols) if j < i]
-    blocks = []
-    for start in range(0, len(pairs), pairs_per_pass):
-        block = pairs[start:start + pairs_per_pass]
-        aggs = []
-        for k, (a, b) in enumerate(block):
-            both = F.col(a).isNotNull() & F.col(b).isNotNull()
-            xa = F.when(both, F.col(a).cast("double"))
-            xb = F.when(both, F.col(b).cast("double"))
-            aggs.append(F.try_divide(F.covar_pop(xa, xb), F.stddev_pop(xa) * F.stddev_pop(xb)).alias(f"r{k}"))
-        blocks.append(df.agg(*aggs).select(F.inline(F.array(*[
-            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r6(F.col(f"r{k}")).alias("r"))
-            for k, (a, b) in enumerate(block)]))))
-    out = reduce(lambda x, y: x.unionByName(y), blocks)
+def _pair_correlation(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """Pearson r of the listed column pairs in one scan: every row is unpivoted
+    into its pairs, which collapse to a row per pair before the shuffle.
+    Pairwise-complete; null when a column is constant on the complete pairs."""
+    def pair(k, a, b):
+        xa, xb = F.col(a).cast("double"), F.col(b).cast("double")
+        both = xa.isNotNull() & xb.isNotNull()
+        return F.struct(F.lit(k).alias("k"), F.when(both, xa).alias("x"), F.when(both, xb).alias("y"))
+
+    long = df.select(F.inline(F.array(*[pair(k, a, b) for k, (a, b) in enumerate(pairs)])))
+    r = long.groupBy("k").agg(full(F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y"))).alias("r"))
+    names = df.sparkSession.createDataFrame([(k, a, b) for k, (a, b) in enumerate(pairs)], "k int, a string, b string")
+    return names.join(r, "k", "left").select("a", "b", "r")
+
+
+def correlation_matrix(df: DataFrame, cols: Sequence[str], lower_only: bool = True) -> DataFrame:
+    """Pearson r for every pair of columns."""
+    out = _pair_correlation(df, [(a, b) for i, a in enumerate(cols) for b in cols[:i]])
     if lower_only:
         return out
     return out.unionByName(out.select(F.col("b").alias("a"), F.col("a").alias("b"), "r"))
 
 
-def target_correlation(corr: DataFrame, target: str) -> DataFrame:
-    """R of every feature with the target, by |r| descending."""
-    t = corr.where((F.col("a") == target) | (F.col("b") == target)).select(
-        F.when(F.col("a") == target, F.col("b")).otherwise(F.col("a")).alias("feature"), "r")
+def target_correlation(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
+    """R of every feature with the target, by |r| descending.  Only these pairs are computed."""
+    t = _pair_correlation(df, [(f, target) for f in features]).select(F.col("a").alias("feature"), "r")
     w = Window.orderBy(F.abs(F.col("r")).desc_nulls_last(), F.col("feature"))  # one row per feature
     return t.select("feature", "r", F.when(F.col("r") > 0, "+").when(F.col("r") < 0, "-").otherwise("0").alias("sign"),
                     F.row_number().over(w).alias("abs_rank"))
@@ -185,5 +175,5 @@ def segment_rate(df: DataFrame, spec: S.FeatureSpec, col: str, edges, labels,
          .where(F.col("segment_order").isNotNull())
          .groupBy("segment_order", "segment").agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("_pos")))
     rate = F.col("_pos") * F.lit(100.0) / F.col("n")
-    return g.select("segment_order", "segment", "n", r6(rate).alias("churn_rate"),
+    return g.select("segment_order", "segment", "n", full(rate).alias("churn_rate"),
                     bands(rate, *band).alias("band"), (rate > alert).alias("alert"))

@@ -8,23 +8,25 @@ and never sort the table in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlab import spec as S
-from churnlab.functions.columns import cut, r6
+from churnlab.functions.columns import cut, full
 from churnlab.functions.prefix import ordered_prefix
 from churnlab.operators.explore import histogram
 from churnlab.operators.profile import attach_scalars
+from churnlab.session import materialize
 
 
 def balanced_weights(df: DataFrame, label_col: str, weight_col: str = "weight") -> DataFrame:
-    """weight n / (k * n_class) per row (class table: one row per class)."""
-    cls = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("_nc"))
-    every = Window.partitionBy()  # over the class table (one row per class)
-    w = cls.select(label_col, (F.sum("_nc").over(every) / (F.count(F.lit(1)).over(every) * F.col("_nc")))
-                   .alias(weight_col))
-    return df.join(F.broadcast(w), on=label_col, how="left")
+    """weight n / (k * n_class) per row.  The class table (one row per
+    class) is broadcast when small; skewed classes are split when not."""
+    cls = df.groupBy(F.col(label_col).alias("_class")).agg(F.count(F.lit(1)).alias("_nc"))
+    total = cls.agg(F.sum("_nc").alias("_n"), F.count(F.lit(1)).alias("_k"))
+    w = attach_scalars(cls, total).select("_class", (F.col("_n") / (F.col("_k") * F.col("_nc"))).alias(weight_col))
+    w = materialize(w, "class-weights")
+    return df.join(w, F.col(label_col).eqNullSafe(F.col("_class")), how="left").drop("_class")
 
 
 def predict_at(score: str = "score", threshold: float = 0.5):
@@ -47,13 +49,13 @@ def _f1(tp, fp, fn):
 
 def accuracy(df: DataFrame, label_col: str = "label", pred_col: str = "pred") -> DataFrame:
     """share of rows where prediction equals the label."""
-    return df.agg(r6(F.avg((F.col(label_col) == F.col(pred_col)).cast("double"))).alias("accuracy"))
+    return df.agg(full(F.avg((F.col(label_col) == F.col(pred_col)).cast("double"))).alias("accuracy"))
 
 
 def f1_score(df: DataFrame, label_col: str = "label", pred_col: str = "pred") -> DataFrame:
     """positive-class F1; 0 when there are no positives at all."""
     c = confusion(df, label_col, pred_col)
-    return c.select(r6(_f1(F.col("tp"), F.col("fp"), F.col("fn"))).alias("f1"))
+    return c.select(full(_f1(F.col("tp"), F.col("fp"), F.col("fn"))).alias("f1"))
 
 
 def classification_report(df: DataFrame, label_col: str = "label", pred_col: str = "pred",
@@ -73,8 +75,8 @@ def classification_report(df: DataFrame, label_col: str = "label", pred_col: str
     acc = ratio(tp + tn, n)
 
     def row(label, p, r, f, s):
-        return F.struct(F.lit(label).alias("row_label"), r6(p).alias("precision"), r6(r).alias("recall"),
-                        r6(f).alias("f1_score"), s.cast("long").alias("support"))
+        return F.struct(F.lit(label).alias("row_label"), full(p).alias("precision"), full(r).alias("recall"),
+                        full(f).alias("f1_score"), s.cast("long").alias("support"))
 
     nul = F.lit(None).cast("double")
     return c.select(F.inline(F.array(
@@ -94,17 +96,17 @@ def _score_units(df: DataFrame, label_col: str, score_col: str) -> DataFrame:
 def roc_auc(df: DataFrame, label_col: str = "label", score_col: str = "score") -> DataFrame:
     """exact ROC AUC = P(score_pos > score_neg) + 0.5 P(equal)."""
     pref = ordered_prefix(_score_units(df, label_col, score_col), ["threshold"], ["n0"])
-    agg = pref.agg(F.sum(F.col("n1") * (F.col("before_n0") + 0.5 * F.col("n0"))).alias("_s"),
+    agg = pref.agg(F.sum(F.col("n1") * (F.col("before_n0").cast("double") + 0.5 * F.col("n0"))).alias("_s"),
                    F.sum("n0").alias("_n0"), F.sum("n1").alias("_n1"))
-    den = F.col("_n0") * F.col("_n1")
-    return agg.select(r6(F.when(den > 0, F.col("_s") / den)).alias("auc"))
+    den = F.col("_n0").cast("double") * F.col("_n1")  # the product of two counts may pass 2^63
+    return agg.select(full(F.when(den > 0, F.col("_s") / den)).alias("auc"))
 
 
 def _curve_base(df: DataFrame, label_col: str, score_col: str) -> DataFrame:
     units = _score_units(df, label_col, score_col)
     pref = ordered_prefix(units, ["threshold"], ["n0", "n1", "one"])
     # totals named apart from n0/n1: column resolution is case-insensitive
-    tot = units.agg(F.sum("n0").alias("total_neg"), F.sum("n1").alias("total_pos"),
+    tot = pref.agg(F.sum("n0").alias("total_neg"), F.sum("n1").alias("total_pos"),
                     F.count(F.lit(1)).alias("n_units"))
     # at threshold t: rows with score >= t are predicted positive
     return attach_scalars(pref, tot).select(
@@ -125,8 +127,8 @@ def roc_curve(df: DataFrame, label_col: str = "label", score_col: str = "score",
         base = base.join(nxt, on="rank_asc", how="left").where(
             (F.col("rank_asc") == 0) | (F.col("rank_asc") == F.col("n_units") - 1) |
             (F.col("_ln0") != F.col("n0")) | (F.col("_ln1") != F.col("n1")))
-    pts = base.select("threshold", r6(F.try_divide(F.col("fp"), F.col("total_neg"))).alias("fpr"),
-                      r6(F.try_divide(F.col("tp"), F.col("total_pos"))).alias("tpr"))
+    pts = base.select("threshold", full(F.try_divide(F.col("fp"), F.col("total_neg"))).alias("fpr"),
+                      full(F.try_divide(F.col("tp"), F.col("total_pos"))).alias("tpr"))
     start = df.sparkSession.createDataFrame([(float("inf"), 0.0, 0.0)], "threshold double, fpr double, tpr double")
     return start.unionByName(pts)
 
@@ -134,8 +136,8 @@ def roc_curve(df: DataFrame, label_col: str = "label", score_col: str = "score",
 def pr_curve(df: DataFrame, label_col: str = "label", score_col: str = "score") -> DataFrame:
     """(threshold, precision, recall) for every distinct score."""
     base = _curve_base(df, label_col, score_col)
-    return base.select("threshold", r6(F.try_divide(F.col("tp"), F.col("tp") + F.col("fp"))).alias("precision"),
-                       r6(F.try_divide(F.col("tp"), F.col("total_pos"))).alias("recall"))
+    return base.select("threshold", full(F.try_divide(F.col("tp"), F.col("tp") + F.col("fp"))).alias("precision"),
+                       full(F.try_divide(F.col("tp"), F.col("total_pos"))).alias("recall"))
 
 
 def risk_level(score_col: str = "score", edges=S.RISK_EDGES, labels=S.RISK_LABELS):
@@ -151,7 +153,7 @@ def risk_summary(df: DataFrame, label_col: str = "label", score_col: str = "scor
          .where(F.col("level_order").isNotNull())
          .groupBy("level_order", "risk_level")
          .agg(F.count(F.lit(1)).alias("count"), F.avg(F.col("_y").cast("double")).alias("_r")))
-    return g.select("level_order", "risk_level", "count", r6(F.col("_r") * 100.0).alias("actual_churn_rate"))
+    return g.select("level_order", "risk_level", "count", full(F.col("_r") * 100.0).alias("actual_churn_rate"))
 
 
 def score_histogram(df: DataFrame, label_col: str = "label", score_col: str = "score",
@@ -167,34 +169,35 @@ def evaluate(df: DataFrame, name: str, label_col: str = "label", score_col: str
     acc = c.select(((F.col("tp") + F.col("tn")) / (F.col("tp") + F.col("tn") + F.col("fp") + F.col("fn")))
                    .alias("_acc"), _f1(F.col("tp"), F.col("fp"), F.col("fn")).alias("_f1"))
     auc = roc_auc(df, label_col, score_col)
-    return attach_scalars(acc, auc).select(F.lit(name).alias("label"), r6("_f1").alias("f1"), "auc",
-                                             r6("_acc").alias("accuracy"))
+    return attach_scalars(acc, auc).select(F.lit(name).alias("label"), full("_f1").alias("f1"), "auc",
+                                             full("_acc").alias("accuracy"))
 
 
-def grouped_evaluate(df: DataFrame, group_col: str, label_col: str = "label", score_col: str = "score",
+def grouped_evaluate(df: DataFrame, group_cols, label_col: str = "label", score_col: str = "score",
                      pred_col: str = "pred") -> DataFrame:
     """F1/AUC/accuracy for many groups at once (one prefix pass for all groups)."""
     y, p = F.col(label_col), F.col(pred_col)
-    conf = df.groupBy(group_col).agg(F.count_if((y == 0) & (p == 0)).alias("tn"),
+    groups = [group_cols] if isinstance(group_cols, str) else list(group_cols)
+    conf = df.groupBy(*groups).agg(F.count_if((y == 0) & (p == 0)).alias("tn"),
                                      F.count_if((y == 0) & (p == 1)).alias("fp"),
                                      F.count_if((y == 1) & (p == 0)).alias("fn"),
                                      F.count_if((y == 1) & (p == 1)).alias("tp"))
-    units = df.groupBy(group_col, F.col(score_col).cast("double").alias("threshold")).agg(
+    units = df.groupBy(*groups, F.col(score_col).cast("double").alias("threshold")).agg(
         F.count_if(y == 0).alias("n0"), F.count_if(y == 1).alias("n1"))
-    pref = ordered_prefix(units, ["threshold"], ["n0"], [group_col])
-    auc = pref.groupBy(group_col).agg(
-        F.sum(F.col("n1") * (F.col("before_n0") + 0.5 * F.col("n0"))).alias("_s"),
+    pref = ordered_prefix(units, ["threshold"], ["n0"], groups)
+    auc = pref.groupBy(*groups).agg(
+        F.sum(F.col("n1") * (F.col("before_n0").cast("double") + 0.5 * F.col("n0"))).alias("_s"),
         F.sum("n0").alias("_n0"), F.sum("n1").alias("_n1"))
-    den = F.col("_n0") * F.col("_n1")
+    den = F.col("_n0").cast("double") * F.col("_n1")
     n = F.col("tp") + F.col("tn") + F.col("fp") + F.col("fn")
-    return conf.join(auc, on=group_col, how="left").select(
-        group_col, r6(_f1(F.col("tp"), F.col("fp"), F.col("fn"))).alias("f1"),
-        r6(F.when(den > 0, F.col("_s") / den)).alias("auc"), r6((F.col("tp") + F.col("tn")) / n).alias("accuracy"))
+    return conf.join(auc, on=groups, how="left").select(
+        *groups, full(_f1(F.col("tp"), F.col("fp"), F.col("fn"))).alias("f1"),
+        full(F.when(den > 0, F.col("_s") / den)).alias("auc"), full((F.col("tp") + F.col("tn")) / n).alias("accuracy"))
 
 
 def prediction_table(df: DataFrame, id_col: str, label_col: str = "label", score_col: str = "score",
                      pred_col: str = "pred", keep=()) -> DataFrame:
     """keyed rows with actual label, probability, decision and risk level
     (all on the same row -- nothing is attached by position)."""
-    return df.select(id_col, *keep, F.col(label_col).alias("actual_churn"), r6(score_col).alias("churn_prob"),
+    return df.select(id_col, *keep, F.col(label_col).alias("actual_churn"), full(score_col).alias("churn_prob"),
                      F.col(pred_col).alias("predicted_churn"), risk_level(score_col).alias("risk_level"))

@@ -13,16 +13,17 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlab import spec as S
-from churnlab.functions.columns import r6
 from churnlab.operators import metrics as M
 from churnlab.operators import prepare as D
-from churnlab.operators.retrain import grouped_f1
+from churnlab.operators.retrain import as_history, evaluation_sets, select_model
+from churnlab.session import materialize
 
 
 def forest_pipeline(feature_names: Sequence[str], params: dict | None = None,
@@ -44,29 +45,57 @@ def forest_pipeline(feature_names: Sequence[str], params: dict | None = None,
                                             handleInvalid="error"), rf])
 
 
+# rows of a partition of the training data, and the fewest partitions: a setting of
+# the fit, the same on every cluster, because sampling depends on the partitions
+FIT_ROWS, FIT_PARTITIONS = 50_000, 8
+
+
+def fit_order(df: DataFrame, key: str, rows: int = FIT_ROWS) -> DataFrame:
+    """Rows in a fixed partitioning by key and a fixed order inside each
+    partition (a shuffle delivers rows in fetch order).  The number of
+    partitions follows the number of rows, not the cluster, so a seed gives
+    the same model anywhere."""
+    n = max(FIT_PARTITIONS, -(-df.count() // rows))
+    return df.repartition(n, key).sortWithinPartitions(key)
+
+
 def train_forest(train: DataFrame, feature_names: Sequence[str], params: dict | None = None,
                  balanced: bool = True, key: str | None = None) -> PipelineModel:
-    """F2 with F1: balanced class weights n / (k * n_class) as ``weightCol``.
-    Rows are put in a fixed partitioning by key (one partition per core:
-    every tree level is a pass over the data) so a seed reproduces the fit."""
-    spark = train.sparkSession
-    n_parts = spark.sparkContext.defaultParallelism
-    k = key or train.columns[0]
-    # fixed partitioning AND fixed order inside each partition (a shuffle
-    # delivers rows in fetch order); bootstrap sampling depends on both
-    data = train.repartition(n_parts, k).sortWithinPartitions(k)
+    """F2 with F1: balanced class weights n / (k * n_class) as ``weightCol``,
+    on rows in :func:`fit_order`."""
     if balanced:
-        data = M.balanced_weights(data, "label")
+        train = M.balanced_weights(train, "label")
+    data = fit_order(train, key or train.columns[0])
     return forest_pipeline(feature_names, params, "weight" if balanced else None).fit(data)
 
 
-def churn_pipeline(spec: S.FeatureSpec, feature_names: Sequence[str], params: dict | None = None,
-                   keep: Sequence[str] = ()) -> Pipeline:
-    """A5/D14/F2 as ONE Spark ML pipeline: preparation stage, assembler and
-    forest, fitted together and persisted as one ``PipelineModel``.  Class
-    weights (F1) are a column of the training rows (see ``balanced_weights``)."""
-    prep = D.ChurnPrepare(specJson=D.spec_to_json(spec), keepCols=[*keep, "weight"])
-    return Pipeline(stages=[prep, *forest_pipeline(feature_names, params, "weight").getStages()])
+def fit_churn_pipeline(train: DataFrame, spec: S.FeatureSpec, params: dict | None = None, keep: Sequence[str] = (),
+                       clusters: int | None = None, key: str | None = None) -> PipelineModel:
+    """A5/D14/F2 as ONE Spark ML pipeline model: preparation, assembler and
+    forest, each fitted once on the raw ``train`` rows (with ``label``).
+
+    With ``clusters`` all features are standardised, KMeans is fitted on the
+    train rows, and the cluster is one more feature of the forest (K3 -> K8
+    -> F2); scoring assigns the cluster again from the raw row."""
+    key = key or spec.id_col
+    data = fit_order(M.balanced_weights(train, "label"), key).persist()
+    try:
+        prep = D.ChurnPrepare(specJson=D.spec_to_json(spec), scaleAll=bool(clusters), keepCols=[*keep, "weight"]).fit(data)
+        names, stages = list(prep.feature_names), []
+        if clusters:
+            stages = [VectorAssembler(inputCols=names, outputCol="scaled", handleInvalid="error"),
+                      KMeans(k=clusters, seed=S.SEED, featuresCol="scaled", predictionCol="cluster")]
+            names = [*names, "cluster"]
+        stages += forest_pipeline(names, params, "weight").getStages()
+        fitted = Pipeline(stages=stages).fit(prep.transform(data))
+    finally:
+        data.unpersist()
+    return PipelineModel(stages=[prep, *fitted.stages])
+
+
+def pipeline_features(model: PipelineModel) -> list[str]:
+    """The forest's input columns, in the order of its importances."""
+    return list(model.stages[-2].getInputCols())
 
 
 def predict(model: PipelineModel, df: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -74,7 +103,7 @@ def predict(model: PipelineModel, df: DataFrame, threshold: float = 0.5) -> Data
     (class 1 only above the threshold; a tie goes to class 0)."""
     out = model.transform(df)
     out = out.withColumn("score", vector_to_array(F.col("probability"))[1])
-    return out.drop("features", "raw", "probability", "prediction").withColumn("pred", M.predict_at("score", threshold))
+    return out.drop("scaled", "features", "raw", "probability", "prediction").withColumn("pred", M.predict_at("score", threshold))
 
 
 def feature_importance(model: PipelineModel, feature_names: Sequence[str], top: int | None = None) -> DataFrame:
@@ -111,36 +140,43 @@ def load_models(path: str, spec: S.FeatureSpec):
     return D.PrepareModel.load(spark, f"{path}/prepare", spec), PipelineModel.load(f"{path}/forest")
 
 
-def retrain_rounds(base: DataFrame, test: DataFrame, spec: S.FeatureSpec, month_col: str,
-                   months: Sequence[int], params: dict | None = None):
-    """H4: per month m refit preparation + forest on base rows with
-    month <= m, score the fixed test rows (raw, prepared once with the
-    round's own fitted constants) and the next month's test rows.
+def retrain_rounds(train: DataFrame, test: DataFrame, spec: S.FeatureSpec, month_col: str,
+                   months: Sequence[int], params: dict | None = None, last_month: int = S.N_BATCHES):
+    """H4: per round m refit preparation + forest on train rows of months
+    <= m (month 0 is the original table, round 0 the baseline) and evaluate
+    on the sets of :func:`evaluation_sets`; test rows are kept raw and
+    prepared with the round's own fitted constants.
 
-    Returns (history DataFrame, {month: (prep model, forest)}).  ``base`` is
+    Returns (history DataFrame, {month: (prep model, forest)}).  ``train`` is
     persisted once and unpersisted at the end; every round is a filter of it.
     """
-    base = base.persist()
-    spark = base.sparkSession
-    rows, models = [], {}
+    train = train.persist()
+    spark = train.sparkSession
+    sizes, models, evaluated = [], {}, None
     try:
         for m in months:
-            train_raw = base.where(F.col(month_col) <= m)
-            prep = D.fit_prepare(train_raw, spec)
-            forest = train_forest(prep.transform(train_raw), prep.feature_names, params)
-            scored = predict(forest, prep.transform(test, keep=[month_col]))
-            ev = M.grouped_evaluate(scored.withColumn("_g", F.lit(m)), "_g").first()
-            new = grouped_f1(scored.where(F.col(month_col) == m + 1).withColumn("_g", F.lit(m)), "_g").first()
-            last = grouped_f1(scored.where(F.col(month_col) == months[-1]).withColumn("_g", F.lit(m)), "_g").first()
-            size = train_raw.count()
-            rows.append((int(m), int(size), ev["f1"], ev["auc"], None if new is None else new["f1"],
-                         None if last is None else last["f1"], bool(m >= months[-1])))
+            rows = train.where(F.col(month_col) <= m)
+            prep = D.fit_prepare(rows, spec)
+            forest = train_forest(prep.transform(rows), prep.feature_names, params)
+            mine = test.select("*", F.lit(m).alias("round"))
+            mine = mine.select("*", F.explode(evaluation_sets(month_col, "round", last_month)).alias("part"))
+            scored = predict(forest, prep.transform(mine, keep=["round", "part"]))
+            ev = materialize(M.grouped_evaluate(scored, ["round", "part"]), "round-metrics")
+            evaluated = ev if evaluated is None else evaluated.unionByName(ev)
+            sizes.append((int(m), rows.count()))
             models[m] = (prep, forest)
     finally:
-        base.unpersist()
-    hist = spark.createDataFrame(rows, "month int, data_size bigint, f1_test double, auc_test double, "
-                                       "f1_on_new double, f1_latest double, latest_seen boolean")
-    first = hist.where(F.col("month") == months[0]).select("f1_test").scalar()
-    hist = hist.select("month", "data_size", "f1_test", "auc_test", "f1_on_new", "f1_latest", "latest_seen",
-                       r6(F.col("f1_test") - first).alias("delta_f1"))
-    return hist, models
+        train.unpersist()
+    sizes = spark.createDataFrame(sizes, "round int, data_size bigint")
+    return as_history(sizes, evaluated, last_month), models
+
+
+def deploy(history: DataFrame, models: dict, path: str) -> int:
+    """H6: save the chosen round's models (the best one if it is strictly
+    better than the baseline, else the baseline) and the history; returns
+    the chosen month."""
+    choice = select_model(history).first()
+    month = choice["best_month"] if choice["deploy"] else 0
+    save_models(*models[month], path)
+    history.write.mode("overwrite").parquet(f"{path}/history")
+    return month

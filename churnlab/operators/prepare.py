@@ -14,15 +14,14 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from churnlab import spec as S
-from churnlab.functions.columns import coerce_numeric, is_value, r6
-from churnlab.functions.prefix import ordered_prefix
+from churnlab.functions.columns import coerce_numeric, is_value, full
+from churnlab.functions.ranking import group_row_number
 from churnlab.operators.profile import attach_scalars
-
-MAX_CATEGORIES = 1000
+from churnlab.session import materialize
 
 
 def drop_identifiers(df: DataFrame, spec: S.FeatureSpec) -> DataFrame:
@@ -45,9 +44,28 @@ def encode_target(spec: S.FeatureSpec) -> Column:
     return is_value(spec.target, spec.positive)
 
 
-def encode_binary(c: str, positive: str) -> Column:
-    """The spec's positive value is 1, everything else (and null) 0."""
-    return is_value(c, positive)
+def encode_binary(c: str, positive: str, negative: str | None = None, handle_unknown: str = "zero") -> Column:
+    """The positive value is 1, the negative 0.  Other values and nulls
+    are 0 ('zero'), null ('null': a new batch keeps what it does not know
+    apart) or, other than null, a runtime error ('error').  Without a
+    declared negative value everything but the positive one counts as such."""
+    if handle_unknown == "zero" or negative is None:
+        return is_value(c, positive)
+    out = F.when(F.col(c) == positive, F.lit(1)).when(F.col(c) == negative, F.lit(0))
+    if handle_unknown == "error":
+        bad = F.raise_error(F.concat(F.lit(f"unknown value in {c}: "), F.col(c).cast("string"))).cast("int")
+        return out.when(F.col(c).isNotNull(), bad)
+    return out
+
+
+def binary_values(df: DataFrame, binary: dict) -> DataFrame:
+    """D4 check before encoding: per column ``binary`` (column -> (positive,
+    negative)) the rows, nulls and rows with any other value, in one pass."""
+    one = df.agg(F.count(F.lit(1)).alias("_n"), *[x for i, (c, (p, n)) in enumerate(binary.items()) for x in (
+        F.count_if(F.col(c).isNull()).alias(f"z{i}"), F.count_if(~F.col(c).isin(p, n)).alias(f"o{i}"))])
+    return one.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col("_n").alias("n_rows"), F.col(f"z{i}").alias("n_null"),
+                 F.col(f"o{i}").alias("n_other")) for i, c in enumerate(binary)])))
 
 
 def encode_ordinal(c: str, levels: Sequence[str], handle_unknown: str = "zero") -> Column:
@@ -67,29 +85,64 @@ def safe_name(s: str) -> str:
     return re.sub(r"[^0-9A-Za-z_]", "_", s)
 
 
-def fit_one_hot(df: DataFrame, cols: Sequence[str], max_categories: int = MAX_CATEGORIES) -> dict:
+def category_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """D6 fit for columns of any width: (column, value, index), one row per
+    non-null category; indices count on from 0 over all columns, in column
+    and value order, and never pass through one task or the driver."""
+    long = df.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("_c"), F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
+        for i, c in enumerate(cols)])))
+    cats = long.where(F.col("value").isNotNull()).distinct()
+    return group_row_number(cats, [], [("_c", False), ("value", False)], "_k").select(
+        "column", "value", (F.col("_k") - 1).alias("index"))
+
+
+def encode_sparse(df: DataFrame, cols: Sequence[str], table: DataFrame, key: str) -> DataFrame:
+    """D6 transform for wide columns: (key, indices), the sorted indices of
+    the indicators that are 1; null and unseen values have none.  Keyed join
+    instead of one output column per category."""
+    long = df.select(key, F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])))
+    hit = long.join(table, ["column", "value"], "left")
+    return hit.groupBy(key).agg(F.sort_array(F.collect_list("index")).alias("indices"))
+
+
+def fit_one_hot(df: DataFrame, cols: Sequence[str]) -> dict:
     """D6 fit: sorted non-null categories of every nominal column in ONE pass
-    (unpivot + distinct).  The collect is bounded by ``max_categories``."""
+    (unpivot + distinct).  They become output columns, so they are read on
+    the driver; for columns too wide for that, :func:`category_table`."""
     if not cols:
         return {}
     long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
                                          for c in cols])))
-    rows = (long.where(F.col("value").isNotNull()).distinct()
-            .limit(max_categories * len(cols) + 1).collect())
     cats: dict[str, list] = {c: [] for c in cols}
-    for r in rows:
+    for r in long.where(F.col("value").isNotNull()).distinct().collect():
         cats[r["column"]].append(r["value"])
-    for c, v in cats.items():
-        if len(v) > max_categories:
-            raise ValueError(f"{c}: more than {max_categories} categories")
+    for v in cats.values():
         v.sort()
     return cats
 
 
-def one_hot_columns(categories: dict) -> list[Column]:
-    """D6 transform: ``col_value`` 0/1 indicator per fitted category, null -> all zeros."""
-    return [is_value(c, v).cast("double").alias(safe_name(f"{c}_{v}"))
-            for c, vals in categories.items() for v in vals]
+def one_hot_names(categories: dict, taken: Sequence[str] = ()) -> dict:
+    """(column, value) -> indicator name: ``col_value`` with other characters
+    than letters, digits and ``_`` as ``_``; where that name is taken (in any
+    case), the first free one of ``name__2``, ``name__3``, ..."""
+    used, names = {t.lower() for t in taken}, {}
+    for c, vals in categories.items():
+        for v in vals:
+            plain = name = safe_name(f"{c}_{v}")
+            n = 1
+            while name.lower() in used:
+                n += 1
+                name = f"{plain}__{n}"
+            used.add(name.lower())
+            names[c, v] = name
+    return names
+
+
+def one_hot_columns(categories: dict, taken: Sequence[str] = ()) -> list[Column]:
+    """D6 transform: 0/1 indicator per fitted category, null -> all zeros."""
+    return [is_value(c, v).cast("double").alias(name) for (c, v), name in one_hot_names(categories, taken).items()]
 
 
 def collapse_service(c: str, positive: str = "Yes") -> Column:
@@ -117,16 +170,18 @@ def unseen_categories(df: DataFrame, categories: dict) -> DataFrame:
         for i, c in enumerate(cols)])))
 
 
-def largest_remainder(counts: dict, n_draws: int) -> dict:
-    """Integer allocation of ``n_draws`` proportional to ``counts`` (floor,
-    then one extra for the largest remainders; ties by class order)."""
-    n = sum(counts.values())
-    cont = {k: v / n * n_draws for k, v in counts.items()}
-    base = {k: math.floor(x) for k, x in cont.items()}
-    need = n_draws - sum(base.values())
-    for k in sorted(counts, key=lambda k: (-(cont[k] - base[k]), k))[:need]:
-        base[k] += 1
-    return base
+def largest_remainder(counts: DataFrame, n: int, n_draws: int) -> DataFrame:
+    """(class, n, drawn): integer allocation of ``n_draws`` proportional to
+    the class sizes (floor, then one extra for the largest remainders; ties
+    by class order, null first).  ``counts`` has (class, n)."""
+    share = F.col("n") / F.lit(float(n)) * F.lit(float(n_draws))
+    base = counts.select("class", "n", F.floor(share).alias("base"), (share - F.floor(share)).alias("rest"))
+    base = materialize(base, "split-shares")
+    need = n_draws - (base.agg(F.sum("base")).first()[0] or 0)
+    extra = base.orderBy(F.col("rest").desc(), F.col("class").asc_nulls_first()).limit(need).select(
+        F.col("class").alias("more"), F.lit(1).alias("one"))
+    return base.join(extra, F.col("class").eqNullSafe(F.col("more")), "left").select(
+        "class", "n", (F.col("base") + F.coalesce("one", F.lit(0))).alias("drawn"))
 
 
 def stratified_split(df: DataFrame, label_col: str, id_col: str, test_size: float = S.TEST_SIZE,
@@ -134,31 +189,47 @@ def stratified_split(df: DataFrame, label_col: str, id_col: str, test_size: floa
     """Exact stratified split.  n_test = ceil(test_size * n); the train
     size of each class follows the largest-remainder allocation of the train
     total, the rest of the class is test.  Inside a class, rows are ordered
-    by md5('<seed>|<id>') and the first ones go to test -- reproducible,
-    independent of partitioning, and computed by the distributed prefix over
-    hash buckets (no single-task sort, no Bernoulli sampling)."""
-    counts = {r[0]: r[1] for r in df.groupBy(label_col).count().collect()}  # one row per class
-    n = sum(counts.values())
-    n_test = math.ceil(test_size * n)
-    train_c = largest_remainder(counts, n - n_test)
-    test_c = {k: counts[k] - train_c[k] for k in counts}
+    by md5('<seed>|<id>') and the first ones go to test -- reproducible and
+    independent of partitioning.  A null label is a class of its own; rows
+    that share an id lie together on one side of the cut.
+
+    md5 is uniform: its first four hex digits are 65,536 equal buckets in
+    the order of the rows.  One aggregation counts the buckets of each class,
+    which gives the bucket that holds the class's last test row; only that
+    bucket is sorted.  The split itself compares each row with its class's
+    cut: a projection, no shuffle of the rows."""
     h = F.md5(F.concat(F.lit(f"{seed}|"), F.col(id_col).cast("string")))
-    units = df.withColumn("_h", h).withColumn("_one", F.lit(1))
-    # md5 is uniform: its first 4 hex digits are 65,536 equal-sized buckets
-    # that follow the order, so the bucket is a pure function of the row
-    hex_bucket = F.conv(F.substring("_h", 1, 4), 16, 10).cast("int")
-    ranked = ordered_prefix(units, ["_h", id_col], ["_one"], [label_col], bucket=hex_bucket)
-    limit = None
-    for k, v in test_c.items():
-        cond = F.col(label_col).eqNullSafe(F.lit(k))
-        limit = F.when(cond, F.lit(v)) if limit is None else limit.when(cond, F.lit(v))
-    return ranked.select(*df.columns, F.when(F.col("before__one") < limit, "test").otherwise("train").alias(split_col))
+    bucket = F.conv(F.substring(h, 1, 4), 16, 10).cast("int")
+    cells = materialize(df.groupBy(F.col(label_col).alias("class"), bucket.alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n")), "split-cells")
+    counts = cells.groupBy("class").agg(F.sum("n").alias("n"))
+    n = cells.agg(F.sum("n")).first()[0] or 0
+    if not n:
+        return df.withColumn(split_col, F.lit("train"))
+    drawn = largest_remainder(counts, n, n - math.ceil(test_size * n)).select(
+        F.col("class").alias("of"), (F.col("n") - F.col("drawn")).alias("n_test"))
+    upto = Window.partitionBy("class").orderBy("bucket")  # at most 65,536 buckets a class
+    cells = cells.withColumn("upto", F.sum("n").over(upto)).join(drawn, F.col("class").eqNullSafe(F.col("of")))
+    edge = cells.where((F.col("upto") >= F.col("n_test")) & (F.col("upto") - F.col("n") < F.col("n_test"))).select(
+        F.col("class").alias("of"), F.col("bucket").alias("at"),
+        (F.col("n_test") - F.col("upto") + F.col("n")).alias("place"))
+    edge = materialize(edge, "split-edges")
+    near = df.select(F.col(label_col).alias("class"), F.col(id_col).alias("id"), h.alias("h"), bucket.alias("bucket"))
+    near = near.join(edge, F.col("class").eqNullSafe(F.col("of")) & (F.col("bucket") == F.col("at")))
+    order = Window.partitionBy("class").orderBy("h", "id")  # one bucket a class
+    cuts = near.withColumn("k", F.row_number().over(order)).where("k = place").select(
+        F.col("class").alias("_class"), F.struct("h", "id").alias("_cut"))
+    cuts = materialize(cuts, "split-cuts")
+    row = F.struct(h.alias("h"), F.col(id_col).alias("id"))
+    test = F.coalesce(row <= F.col("_cut"), F.lit(False))
+    return df.join(cuts, F.col(label_col).eqNullSafe(F.col("_class")), "left").select(
+        *df.columns, F.when(test, "test").otherwise("train").alias(split_col))
 
 
 def split_report(df: DataFrame, label_col: str, split_col: str = "split") -> DataFrame:
     """Size and positive rate (%) per split."""
     return df.groupBy(split_col).agg(F.count(F.lit(1)).alias("n"), F.sum(label_col).cast("long").alias("n_positive"),
-                                     r6(F.avg(F.col(label_col).cast("double")) * 100.0).alias("positive_pct"))
+                                     full(F.avg(F.col(label_col).cast("double")) * 100.0).alias("positive_pct"))
 
 
 def fit_scaler(df: DataFrame, cols: Sequence[str]) -> dict:
@@ -186,8 +257,8 @@ def scaling_report(before: DataFrame, after: DataFrame, cols: Sequence[str]) ->
                   *[F.stddev_samp(c).alias(f"sa{i}") for i, c in enumerate(cols)])
     one = attach_scalars(b, a)  # two one-row aggregates
     return one.select(F.inline(F.array(*[F.struct(
-        F.lit(c).alias("column"), r6(F.col(f"mb{i}")).alias("mean_before"), r6(F.col(f"sb{i}")).alias("std_before"),
-        r6(F.col(f"ma{i}")).alias("mean_after"), r6(F.col(f"sa{i}")).alias("std_after"))
+        F.lit(c).alias("column"), full(F.col(f"mb{i}")).alias("mean_before"), full(F.col(f"sb{i}")).alias("std_before"),
+        full(F.col(f"ma{i}")).alias("mean_after"), full(F.col(f"sa{i}")).alias("std_after"))
         for i, c in enumerate(cols)])))
 
 
@@ -217,7 +288,11 @@ class PrepareModel:
                 cols.append(encode_ordinal(c, sp.ordinal[c]).cast("double").alias(c))
             elif c in sp.tristate:
                 cols.append(collapse_service(c, sp.tristate[c]).cast("double").alias(c))
-        return cols + one_hot_columns(self.categories)
+        return cols + one_hot_columns(self.categories, self._taken())
+
+    def _taken(self) -> list[str]:
+        """Names the indicators must not take."""
+        return [self.spec.id_col, "label", *self.spec.single_features]
 
     def encode(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         sp = self.spec
@@ -251,8 +326,8 @@ def fit_prepare(df: DataFrame, spec: S.FeatureSpec, scale: Sequence[str] | None
                 scale_all: bool = False) -> PrepareModel:
     """D14 fit on the (training) rows: categories, feature list, scaler."""
     cats = fit_one_hot(df, spec.nominal)
-    names = list(spec.single_features) + [safe_name(f"{c}_{v}") for c, vs in cats.items() for v in vs]
-    model = PrepareModel(spec, cats, names)
+    model = PrepareModel(spec, cats, [])
+    model.feature_names = names = [*spec.single_features, *one_hot_names(cats, model._taken()).values()]
     cols = names if scale_all else list(scale if scale is not None else spec.numeric)
     if cols:
         model.scale_stats = fit_scaler(model.encode(df), cols)

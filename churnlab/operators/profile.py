@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlab import spec as S
-from churnlab.functions.columns import r6
+from churnlab.functions.columns import coerce_numeric, full
 from churnlab.functions.prefix import exact_quantiles
 from churnlab.functions.ranking import group_row_number
 
@@ -90,10 +90,9 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
     position in frequency order (ties by value)."""
     g = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("value")).agg(
         F.count(F.lit(1)).alias("n"))
-    # the rank is exact for any number of values (window only when provably small)
     ranked = group_row_number(g, [], [("n", True), ("value", False)], "freq_rank")
     total = ranked.agg(F.sum("n")).scalar()
-    return ranked.select("value", "n", r6(F.col("n") / total).alias("share"), "freq_rank")
+    return ranked.select("value", "n", full(F.col("n") / total).alias("share"), "freq_rank")
 
 
 def imbalance_check(df: DataFrame, spec: S.FeatureSpec, threshold: float = S.IMBALANCE_THRESHOLD) -> DataFrame:
@@ -101,7 +100,7 @@ def imbalance_check(df: DataFrame, spec: S.FeatureSpec, threshold: float = S.IMB
     pos = F.col(spec.target).eqNullSafe(spec.positive)
     one = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(pos).alias("n_positive"))
     pct = F.col("n_positive") * F.lit(100.0) / F.col("n")
-    return one.select("n", "n_positive", r6(pct).alias("positive_pct"), (pct < threshold).alias("imbalanced"))
+    return one.select("n", "n_positive", full(pct).alias("positive_pct"), (pct < threshold).alias("imbalanced"))
 
 
 def null_report(df: DataFrame, only_missing: bool = True) -> DataFrame:
@@ -110,7 +109,7 @@ def null_report(df: DataFrame, only_missing: bool = True) -> DataFrame:
                  *[F.count_if(F.col(c).isNull()).alias(f"z{i}") for i, c in enumerate(df.columns)])
     out = one.select(_rows(*[
         F.struct(F.lit(c).alias("column"), F.col(f"z{i}").alias("n_null"),
-                 r6(F.col(f"z{i}") * F.lit(100.0) / F.col("_n")).alias("pct_null"))
+                 full(F.col(f"z{i}") * F.lit(100.0) / F.col("_n")).alias("pct_null"))
         for i, c in enumerate(df.columns)]))
     return out.where(F.col("n_null") > 0) if only_missing else out
 
@@ -119,7 +118,7 @@ def missing_pattern(df: DataFrame, col: str, by: str) -> DataFrame:
     """How many rows miss ``col`` and the mean of ``by`` on those rows."""
     miss = F.col(col).isNull()
     return df.agg(F.count_if(miss).alias("n_missing"),
-                  r6(F.avg(F.when(miss, F.col(by).cast("double")))).alias(f"mean_{by}_when_missing"))
+                  full(F.avg(F.when(miss, F.col(by).cast("double")))).alias(f"mean_{by}_when_missing"))
 
 
 def duplicate_count(df: DataFrame, cols: Sequence[str] | None = None, digest: bool = True) -> DataFrame:
@@ -143,8 +142,9 @@ def duplicate_count(df: DataFrame, cols: Sequence[str] | None = None, digest: bo
 
 
 def encoding_gate(df: DataFrame, cols: Sequence[str], only_failing: bool = True) -> DataFrame:
-    """C4: after encoding, rows per column that are null or not numeric."""
-    one = df.agg(*[F.count_if(F.col(c).cast("string").try_cast("double").isNull()).alias(f"b{i}")
+    """C4: after encoding, rows per column that are null or not numeric (by
+    the rule of A2: '1d', 'NaN' and 'inf' are not numbers)."""
+    one = df.agg(*[F.count_if(coerce_numeric(c).isNull()).alias(f"b{i}")
                    for i, c in enumerate(cols)])
     out = one.select(_rows(*[F.struct(F.lit(c).alias("column"), F.col(f"b{i}").alias("n_bad"))
                              for i, c in enumerate(cols)]))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from churnlab import spec as S
 from churnlab.operators import cluster as K
+from churnlab.operators.model import fit_order
 from churnlab.plans.q_prepare import FEATURES, fitted
 from churnlab.plans.registry import W, query
 from churnlab.plans.sql import SPLIT_CTE
@@ -50,7 +51,7 @@ def k4_nearest(spark, d):
 
 
 @query("k5_profile_embeddings", W(_EMB_CTE, """
-SELECT cluster, printf('dim_%02d', pos - 1) AS feature, count(*) AS n, round(avg(x), 6) + 0.0 AS mean
+SELECT cluster, printf('dim_%02d', pos - 1) AS feature, count(*) AS n, round(CAST(avg(x) AS DOUBLE), 6) + 0.0 AS mean
 FROM (SELECT cluster, unnest(CAST(embedding AS DOUBLE[])) AS x, unnest(range(1, len(embedding) + 1)) AS pos FROM a)
 GROUP BY cluster, pos"""))
 def k5_profile_embeddings(spark, d):
@@ -59,7 +60,8 @@ def k5_profile_embeddings(spark, d):
 
 # ------------------------------------------------------------- subscribers
 def subs_scaled(spark: SparkSession, d: str) -> DataFrame:
-    """D13 output: every feature standardised with train statistics."""
+    """D13 output: every feature standardised with train statistics.  The
+    split and the fit are made once and shared by all that reads this."""
     sp, model = fitted(spark, d, scale_all=True)
     return model.transform(sp, keep=["split"])
 
@@ -105,13 +107,13 @@ def k4_nearest_subs(spark, d):
 
 @query("k5_profile", W(_SUBS_K + ",\nlong AS (" + "\nUNION ALL\n".join(
     f"SELECT cluster, '{c}' AS feature, {c} AS x FROM assigned" for c in FEATURES) + ")", """
-SELECT cluster, feature, count(*) AS n, round(avg(x), 6) + 0.0 AS mean FROM long GROUP BY cluster, feature"""))
+SELECT cluster, feature, count(*) AS n, round(CAST(avg(x) AS DOUBLE), 6) + 0.0 AS mean FROM long GROUP BY cluster, feature"""))
 def k5_profile(spark, d):
     return K.cluster_profile(subs_assigned(spark, d), "cluster", FEATURES)
 
 
 @query("k6_cluster_rate", W(_SUBS_K, """
-SELECT cluster, count(*) AS n, round(avg(CAST(label AS DOUBLE)) * 100.0, 6) + 0.0 AS churn_rate,
+SELECT cluster, count(*) AS n, round(CAST(avg(CAST(label AS DOUBLE)) * 100.0 AS DOUBLE), 6) + 0.0 AS churn_rate,
        round((SELECT avg(CAST(label AS DOUBLE)) FROM assigned) * 100.0, 6) + 0.0 AS overall_rate
 FROM assigned GROUP BY cluster"""))
 def k6_cluster_rate(spark, d):
@@ -126,7 +128,7 @@ z AS (SELECT p.cluster, p.feature, (p.cm - g.gm) / nullif(g.gs, 0) AS z FROM per
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY cluster ORDER BY abs(z) DESC NULLS LAST, feature) AS INTEGER)
              AS rank FROM z)""",
     f"""
-SELECT cluster, rank, feature, round(z, 6) + 0.0 AS z,
+SELECT cluster, rank, feature, round(CAST(z AS DOUBLE), 6) + 0.0 AS z,
        CASE WHEN z > 0 THEN 'high' WHEN z < 0 THEN 'low' ELSE 'average' END AS direction
 FROM r WHERE rank <= {S.TOP_K_SHORT}"""))
 def k7_cluster_names(spark, d):
@@ -136,26 +138,21 @@ def k7_cluster_names(spark, d):
 @query("k8_attach", W(_SUBS_K, """
 SELECT s.c_custkey, s.split, s.label, a.cluster FROM split s LEFT JOIN assigned a ON s.c_custkey = a.c_custkey"""))
 def k8_attach(spark, d):
-    sp, model = fitted(spark, d)
-    prepared = model.transform(sp, keep=["split"])
-    assignments = subs_assigned(spark, d)
-    return K.attach_cluster(prepared, assignments, "c_custkey").select("c_custkey", "split", "label", "cluster")
+    scaled = subs_scaled(spark, d)
+    assignments = K.nearest_center(scaled.withColumn("_vec", F.array(*FEATURES)), "_vec", subs_centres(scaled))
+    return K.attach_cluster(scaled, assignments, "c_custkey").select("c_custkey", "split", "label", "cluster")
 
 
 # ------------------------------------------------------------- Spark ML KMeans (rows-only)
-def train_vectors(spark: SparkSession, d: str) -> DataFrame:
-    """Train rows as vectors, one partition per core in a fixed key
-    partitioning, so a seed reproduces the fit."""
-    scaled = subs_scaled(spark, d)
-    n_parts = spark.sparkContext.defaultParallelism
-    train = (scaled.where(F.col("split") == "train").repartition(n_parts, "c_custkey")
-             .sortWithinPartitions("c_custkey"))
+def train_vectors(scaled: DataFrame) -> DataFrame:
+    """Train rows as vectors in a fixed partitioning and order, so a seed reproduces the fit."""
+    train = fit_order(scaled.where(F.col("split") == "train"), "c_custkey")
     return K.as_vector(train, FEATURES).select("c_custkey", "label", "features")
 
 
 @query("k1_elbow")
 def k1_elbow(spark, d):
-    v = train_vectors(spark, d).persist()
+    v = train_vectors(subs_scaled(spark, d)).persist()
     try:
         return K.elbow(v, range(2, 7), silhouette=False).select("k", "inertia")
     finally:
@@ -164,7 +161,7 @@ def k1_elbow(spark, d):
 
 @query("k2_silhouette")
 def k2_silhouette(spark, d):
-    v = train_vectors(spark, d).persist()
+    v = train_vectors(subs_scaled(spark, d)).persist()
     try:
         res = K.elbow(v, range(2, 7))
     finally:
@@ -175,10 +172,55 @@ def k2_silhouette(spark, d):
 
 @query("k3_assign")
 def k3_assign(spark, d):
-    v = train_vectors(spark, d).persist()
+    return _assigned(spark, d)[0].select("c_custkey", "split", "cluster")
+
+
+def _assigned(spark, d):
+    """All rows with the cluster of a KMeans fitted on the train rows, and the model."""
+    scaled = subs_scaled(spark, d)
+    v = train_vectors(scaled).persist()
     try:
         model = K.fit_kmeans(v, N_CENTRES)
     finally:
         v.unpersist()
-    scaled = subs_scaled(spark, d)
-    return model.transform(K.as_vector(scaled, FEATURES)).select("c_custkey", "split", "cluster")
+    return model.transform(K.as_vector(scaled, FEATURES)), model
+
+
+@query("k1_inertia_one", W(_SUBS_K, "SELECT count(*) AS n, round(CAST(" + " + ".join(
+    f"var_pop({c}) * count(*)" for c in FEATURES) + " AS DOUBLE), 6) + 0.0 AS inertia FROM scaled WHERE split = 'train'"))
+def k1_inertia_one(spark, d):
+    """Inertia for one cluster, whose centre is the mean."""
+    train = subs_scaled(spark, d).where(F.col("split") == "train")
+    mean = train.agg(F.lit(0).alias("cid"), F.array(*[F.avg(c) for c in FEATURES]).alias("cv"))
+    near = K.nearest_center(train.withColumn("_vec", F.array(*FEATURES)), "_vec", mean, decimals=12)
+    return near.agg(F.count(F.lit(1)).alias("n"), F.sum("distance").alias("inertia"))
+
+
+@query("k1_elbow_check", "SELECT 5 AS n_ks, 0 AS n_above_previous, 0 AS n_above_one_cluster")
+def k1_elbow_check(spark, d):
+    """More clusters never cost more (up to the fit's own tolerance), and less than one cluster."""
+    v = train_vectors(subs_scaled(spark, d)).persist()
+    try:
+        res = K.elbow(v, range(2, 7), silhouette=False)
+        n = v.count()
+    finally:
+        v.unpersist()
+    steps = res.withColumn("before", F.lag("inertia").over(Window.orderBy("k")))  # one row per k
+    return steps.agg(F.count(F.lit(1)).cast("int").alias("n_ks"),
+                     F.count_if(F.col("inertia") > F.col("before") * 1.05).cast("int").alias("n_above_previous"),
+                     F.count_if(F.col("inertia") > n * len(FEATURES)).cast("int").alias("n_above_one_cluster"))
+
+
+@query("k3_assign_check", W(SPLIT_CTE, f"""
+SELECT split, count(*) AS n, CAST({N_CENTRES} AS BIGINT) AS n_clusters, CAST(0 AS BIGINT) AS n_not_nearest
+FROM split GROUP BY split"""))
+def k3_assign_check(spark, d):
+    """Every row has one of the clusters, and it is the nearest of the model's centres."""
+    rows, model = _assigned(spark, d)
+    centres = spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())],
+                                    "cid int, cv array<double>")
+    vec = rows.drop("features").withColumn("_vec", F.array(*FEATURES)).withColumnRenamed("cluster", "given")
+    near = K.nearest_center(vec, "_vec", centres)
+    used = near.agg(F.count_distinct("given").alias("n")).scalar()
+    return near.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("given") != F.col("cluster")).alias("n_not_nearest")
+                                     ).select("split", "n", used.alias("n_clusters"), "n_not_nearest")

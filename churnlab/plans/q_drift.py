@@ -10,7 +10,8 @@ from churnlab.operators import drift as G
 from churnlab.plans.q_evaluate import scored
 from churnlab.plans.q_prepare import labelled
 from churnlab.plans.registry import SPEC, SUBS_CTE, R, W, _hist_sql, query, subs
-from churnlab.plans.sql import SCORE_CTE
+from churnlab.plans.sql import HSUBS_CTE, SCORE_CTE
+from churnlab.sources import tables as T
 
 _CAT = S.SUBS_CATEGORY_FEATURES
 
@@ -23,14 +24,18 @@ def g1_marginals(spark, d):
     return G.marginals(subs(spark, d), _CAT)
 
 
-@query("g2_moments", W(SUBS_CTE + """,
-m AS (SELECT avg(CAST(tenure AS DOUBLE)) AS tm, stddev_samp(tenure) AS ts, avg(monthly_spend) AS sm,
-             stddev_samp(monthly_spend) AS ss FROM subs)""", f"""
-SELECT CAST(month AS INTEGER) AS month, {R('least(tm, 18.0)')} AS tenure_mean, {R('ts * 0.6')} AS tenure_std,
-       {R('sm * (1 + month * 0.005)')} AS spend_mean, {R('ss')} AS spend_std
-FROM m, (SELECT unnest(range(1, {S.N_BATCHES + 1})) AS month)"""))
+_MOMENTS = ("tenure", "monthly_spend", "high_balance")
+
+
+@query("g2_moments", W(HSUBS_CTE + ",\nper AS (" + "\nUNION ALL\n".join(
+    f"SELECT CAST(batch_month AS INTEGER) AS month, '{c}' AS \"column\", count({c}) AS n, avg(CAST({c} AS DOUBLE)) AS mean, "
+    f"stddev_samp(CAST({c} AS DOUBLE)) AS std FROM hsubs GROUP BY batch_month" for c in _MOMENTS) + ")", f"""
+SELECT p.month, p."column", p.n, {R('p.mean')} AS mean, {R('p.std')} AS std, {R('b.mean')} AS base_mean,
+       {R('b.std')} AS base_std, {R('(p.mean - b.mean) / CASE WHEN b.std > 0 THEN b.std END')} AS shift
+FROM per p JOIN per b ON p."column" = b."column" AND b.month = 0 WHERE p.month <> 0"""))
 def g2_moments(spark, d):
-    return G.moments(subs(spark, d))
+    """Mean and standard deviation of every batch against the original table."""
+    return G.moment_drift(T.with_original(subs(spark, d)), "batch_month", _MOMENTS)
 
 
 @query("g3_high_value", W(SUBS_CTE + """,
@@ -77,17 +82,18 @@ def g7_batch_summary(spark, d):
     return G.batch_summary(labelled(spark, d), "batch_month", "label")
 
 
-@query("g8_rate_drift", W(SUBS_CTE + """,
+@query("g8_rate_drift", W(HSUBS_CTE + """,
 per AS (SELECT CAST(batch_month AS INTEGER) AS month, avg(CAST(churn = 'Yes' AS DOUBLE)) * 100.0 AS rate
-        FROM subs GROUP BY batch_month),
-o AS (SELECT avg(CAST(churn = 'Yes' AS DOUBLE)) * 100.0 AS orig FROM subs),
+        FROM hsubs WHERE batch_month <> 0 GROUP BY batch_month),
+o AS (SELECT avg(CAST(churn = 'Yes' AS DOUBLE)) * 100.0 AS orig FROM hsubs WHERE batch_month = 0),
 sp AS (SELECT max_by(rate, month) - min_by(rate, month) AS span FROM per)""", f"""
 SELECT month, {R('rate')} AS churn_rate, {R('orig')} AS original_rate, {R('rate - orig')} AS diff_vs_original,
        {R('span')} AS drift_last_first
 FROM per, o, sp"""))
 def g8_rate_drift(spark, d):
-    lab = labelled(spark, d)
-    return G.rate_drift(lab, "batch_month", "label", lab)
+    """Every batch against the original table, which the batches are not part of."""
+    lab = T.with_original(labelled(spark, d))
+    return G.rate_drift(lab.where(F.col("batch_month") != 0), "batch_month", "label", lab.where(F.col("batch_month") == 0))
 
 
 _G9_SRC = SUBS_CTE + """,
@@ -102,18 +108,28 @@ def g9_numeric_drift(spark, d):
                            names=("month_01", "month_06"), density=True)
 
 
-@query("g10_category_drift", W(SUBS_CTE + """,
+@query("g9_original_vs_new", W(HSUBS_CTE + """,
+tagged AS (SELECT CASE WHEN batch_month = 0 THEN 'original' ELSE 'new' END AS source, tenure FROM hsubs)""" + "," +
+    _hist_sql("tagged", "tenure", "source", S.FEATURE_BINS), ""))
+def g9_original_vs_new(spark, d):
+    """Density of tenure in the original table and in all batches together."""
+    s = T.with_original(subs(spark, d))
+    return G.numeric_drift(s.where(F.col("batch_month") == 0), s.where(F.col("batch_month") != 0), "tenure",
+                           names=("original", "new"), density=True)
+
+
+@query("g10_category_drift", W(HSUBS_CTE + """,
 a AS (SELECT commitment AS value, count(*) AS n_a, count(*) * 100.0 / sum(count(*)) OVER () AS s_a
-      FROM subs WHERE commitment IS NOT NULL GROUP BY commitment),
+      FROM hsubs WHERE commitment IS NOT NULL AND batch_month = 0 GROUP BY commitment),
 b AS (SELECT commitment AS value, count(*) * 100.0 / sum(count(*)) OVER () AS s_b
-      FROM subs WHERE commitment IS NOT NULL AND batch_month = 6 AND tenure > 40 GROUP BY commitment)""", f"""
+      FROM hsubs WHERE commitment IS NOT NULL AND batch_month <> 0 GROUP BY commitment)""", f"""
 SELECT a.value, {R('s_a')} AS share_a, {R('coalesce(s_b, 0.0)')} AS share_b,
-       CAST(row_number() OVER (ORDER BY n_a DESC, a.value) AS INTEGER) AS order_a
+       row_number() OVER (ORDER BY n_a DESC, a.value) AS order_a
 FROM a LEFT JOIN b ON a.value = b.value"""))
 def g10_category_drift(spark, d):
-    s = subs(spark, d)
-    new = s.where((F.col("batch_month") == 6) & (F.col("tenure") > 40))
-    return G.category_drift(s, new, "commitment")
+    """Category shares of the original table against all batches."""
+    s = T.with_original(subs(spark, d))
+    return G.category_drift(s.where(F.col("batch_month") == 0), s.where(F.col("batch_month") != 0), "commitment")
 
 
 @query("g11_union", W(SUBS_CTE, "SELECT * FROM subs"))
@@ -121,7 +137,6 @@ def g11_union(spark, d):
     """Monthly deliveries land as separate folders; each is read on its own
     and the months are stacked by column name."""
     from churnlab.session import work_path
-    from churnlab.sources import tables as T
     root = T.write_batch_files(subs(spark, d), work_path(spark, "g11"), "batch_month", fmt="parquet")
     schema = ", ".join(x for x in T.SUBS_SCHEMA.split(", ") if not x.startswith("batch_month"))
     frames = [T.read_table(spark, f"{root}/_month_dir=month_{m:02d}", schema=schema)

@@ -20,7 +20,8 @@ from churnlab.operators import retrain as H
 from churnlab.operators.profile import attach_scalars
 from churnlab.plans.q_prepare import labelled, split_subs
 from churnlab.plans.registry import SPEC, R, W, _hist_sql, query, subs
-from churnlab.plans.sql import RAW_SPLIT_CTE, SCORE_CTE, score_expr
+from churnlab.plans.sql import HISTORY_CTE, RAW_SPLIT_CTE, SCORE_CTE, score_expr
+from churnlab.sources import tables as T
 
 
 def scored(spark: SparkSession, d: str) -> DataFrame:
@@ -205,54 +206,66 @@ def h2_evaluate_by_month(spark, d):
 
 
 # ------------------------------------------------------------------ H3, H5, H6
-@query("h3_accumulate", W(RAW_SPLIT_CTE, """
+def history_split(spark: SparkSession, d: str):
+    """(train, test) rows with month 0 for the original table."""
+    sp = T.with_original(split_subs(spark, d))
+    return sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
+
+
+@query("h3_accumulate", W(HISTORY_CTE, """
 SELECT CAST(batch_month AS INTEGER) AS month, count(*) AS n_new,
        CAST(sum(count(*)) OVER (ORDER BY batch_month) AS BIGINT) AS data_size
-FROM split WHERE split = 'train' GROUP BY batch_month"""))
+FROM hsplit WHERE split = 'train' GROUP BY batch_month"""))
 def h3_accumulate(spark, d):
-    sp = split_subs(spark, d)
-    return H.accumulate(sp.where(F.col("split") == "train"), "batch_month")
+    """The original table first, then the batches."""
+    return H.accumulate(history_split(spark, d)[0], "batch_month")
 
 
-_HIST_CTE = RAW_SPLIT_CTE + f""",
-rounds AS (SELECT unnest(range(1, {S.N_BATCHES + 1})) AS round),
+_HIST_CTE = HISTORY_CTE + f""",
+rounds AS (SELECT unnest(range(0, {S.N_BATCHES + 1})) AS round),
 cuts AS (SELECT r.round, count(*) AS data_size, quantile_cont(s.monthly_spend, 0.75) AS cut
-         FROM split s JOIN rounds r ON s.batch_month <= r.round WHERE s.split = 'train' GROUP BY r.round),
-t AS (SELECT c.round, s.batch_month, s.label, {score_expr('c.cut', 's.')} AS score
-      FROM split s, cuts c WHERE s.split = 'test'),
+         FROM hsplit s JOIN rounds r ON s.batch_month <= r.round WHERE s.split = 'train' GROUP BY r.round),
+parts AS (SELECT unnest(['test', 'new', 'latest']) AS part),
+t AS (SELECT c.round, p.part, s.label, {score_expr('c.cut', 's.')} AS score
+      FROM hsplit s, cuts c, parts p WHERE s.split = 'test' AND s.batch_month =
+        CASE p.part WHEN 'test' THEN 0 WHEN 'new' THEN c.round + 1 ELSE {S.N_BATCHES} END),
 pred AS (SELECT *, CAST(score > 0.5 AS INTEGER) AS pred FROM t),
-conf AS ({_conf_sql('pred', 'round')}),
-u AS (SELECT round, score AS t, count(*) FILTER (WHERE label = 0) AS n0, count(*) FILTER (WHERE label = 1) AS n1
-      FROM pred GROUP BY round, score),
-pu AS (SELECT *, coalesce(sum(n0) OVER (PARTITION BY round ORDER BY t
+conf AS ({_conf_sql('pred', 'round, part')}),
+u AS (SELECT round, part, score AS t, count(*) FILTER (WHERE label = 0) AS n0, count(*) FILTER (WHERE label = 1) AS n1
+      FROM pred GROUP BY round, part, score),
+pu AS (SELECT *, coalesce(sum(n0) OVER (PARTITION BY round, part ORDER BY t
                                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b0 FROM u),
-auc AS (SELECT round, CASE WHEN sum(n0) * sum(n1) > 0 THEN sum(n1 * (b0 + 0.5 * n0)) / (sum(n0) * sum(n1)) END AS auc
-        FROM pu GROUP BY round),
-newc AS ({_conf_sql('(SELECT * FROM pred WHERE batch_month = round + 1)', 'round')}),
-latc AS ({_conf_sql(f'(SELECT * FROM pred WHERE batch_month = {S.N_BATCHES})', 'round')}),
-hist0 AS (SELECT CAST(cuts.round AS INTEGER) AS month, cuts.data_size, {R(_f1_sql('conf.tp', 'conf.fp', 'conf.fn'))} AS f1_test,
-                 {R('auc.auc')} AS auc_test, {R(_f1_sql('newc.tp', 'newc.fp', 'newc.fn'))} AS f1_on_new,
-                 {R(_f1_sql('latc.tp', 'latc.fp', 'latc.fn'))} AS f1_latest, cuts.round >= {S.N_BATCHES} AS latest_seen
-          FROM cuts JOIN conf ON cuts.round = conf.round JOIN auc ON cuts.round = auc.round
-          LEFT JOIN newc ON cuts.round = newc.round LEFT JOIN latc ON cuts.round = latc.round),
-history AS (SELECT h.*, {R('h.f1_test - b.f1_test')} AS delta_f1 FROM hist0 h, (SELECT f1_test FROM hist0 WHERE month = 1) b)"""
+auc AS (SELECT round, part, CASE WHEN sum(n0) * sum(n1) > 0 THEN sum(n1 * (b0 + 0.5 * n0)) / (sum(n0) * sum(n1)) END AS auc
+        FROM pu GROUP BY round, part),
+ev AS (SELECT conf.round, conf.part, {_f1_sql()} AS f1, auc.auc, CAST(tp + tn AS DOUBLE) / (tp + tn + fp + fn) AS accuracy
+       FROM conf LEFT JOIN auc ON conf.round = auc.round AND conf.part = auc.part),
+hist0 AS (SELECT CAST(cuts.round AS INTEGER) AS month, cuts.data_size,
+                 max(f1) FILTER (WHERE part = 'test') AS f1_test, max(auc) FILTER (WHERE part = 'test') AS auc_test,
+                 max(f1) FILTER (WHERE part = 'new') AS f1_on_new, max(f1) FILTER (WHERE part = 'latest') AS f1_latest,
+                 max(auc) FILTER (WHERE part = 'latest') AS auc_latest,
+                 max(accuracy) FILTER (WHERE part = 'latest') AS accuracy_latest, cuts.round >= {S.N_BATCHES} AS latest_seen
+          FROM cuts JOIN ev ON cuts.round = ev.round GROUP BY cuts.round, cuts.data_size),
+history AS (SELECT h.*, h.f1_test - b.f1_test AS delta_f1 FROM hist0 h, (SELECT f1_test FROM hist0 WHERE month = 0) b)"""
 
 
 def _history(spark, d):
-    sp = split_subs(spark, d)
-    return H.scorecard_history(sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test"),
-                               "batch_month", "monthly_spend", G.subs_scorecard)
+    return H.scorecard_history(*history_split(spark, d), "batch_month", "monthly_spend", G.subs_scorecard)
+
+
+_HIST_METRICS = ("f1_test", "auc_test", "f1_on_new", "f1_latest", "auc_latest", "accuracy_latest", "delta_f1")
 
 
-@query("h5_history", W(_HIST_CTE, "SELECT * FROM history"))
+@query("h5_history", W(_HIST_CTE, f"SELECT month, data_size, latest_seen, {', '.join(f'{R(c)} AS {c}' for c in _HIST_METRICS)} "
+                                  "FROM history"))
 def h5_history(spark, d):
     return _history(spark, d)
 
 
 @query("h6_select", W(_HIST_CTE + """,
-best AS (SELECT month AS best_month, f1_test AS best_f1 FROM history WHERE month <> 1
-         ORDER BY f1_test DESC, month LIMIT 1)""", """
-SELECT CAST(best_month AS INTEGER) AS best_month, best_f1, b.f1_test AS baseline_f1, best_f1 > b.f1_test AS deploy
-FROM best, (SELECT f1_test FROM history WHERE month = 1) b"""))
+best AS (SELECT month AS best_month, f1_test AS best_f1 FROM history WHERE month <> 0
+         ORDER BY f1_test DESC, month LIMIT 1)""", f"""
+SELECT CAST(best_month AS INTEGER) AS best_month, {R('best_f1')} AS best_f1, {R('b.f1_test')} AS baseline_f1,
+       best_f1 > b.f1_test AS deploy
+FROM best, (SELECT f1_test FROM history WHERE month = 0) b"""))
 def h6_select(spark, d):
     return H.select_model(_history(spark, d))

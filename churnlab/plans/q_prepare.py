@@ -55,9 +55,14 @@ def _r6_features(df: DataFrame, cols) -> DataFrame:
 
 # ----------------------------------------------------------------- C4
 def _c4_sql() -> str:
-    parts = [f"SELECT '{c}' AS column, count(*) FILTER (WHERE TRY_CAST(CAST({c} AS VARCHAR) AS DOUBLE) IS NULL) "
-             f"AS n_bad FROM subs" for c in SPEC.column_order]
-    return W(SUBS_CTE, "SELECT * FROM (\n" + "\nUNION ALL\n".join(parts) + "\n) WHERE n_bad > 0")
+    return W(SUBS_CTE, _gate_sql("subs", SPEC.column_order))
+
+
+def _gate_sql(src: str, cols) -> str:
+    """Columns with rows that are null or not a plain number, from the data."""
+    parts = [f"SELECT '{c}' AS column, count(*) FILTER (WHERE {c} IS NULL OR NOT "
+             f"regexp_matches(trim(CAST({c} AS VARCHAR)), '{NUM_RE}')) AS n_bad FROM {src}" for c in cols]
+    return "SELECT * FROM (\n" + "\nUNION ALL\n".join(parts) + "\n) WHERE n_bad > 0"
 
 
 @query("c4_encoding_gate", _c4_sql())
@@ -65,7 +70,7 @@ def c4_encoding_gate(spark, d):
     return P.encoding_gate(subs(spark, d), SPEC.column_order)
 
 
-@query("c4_encoding_gate_encoded", W(SPLIT_CTE, "SELECT 'none' AS column, CAST(0 AS BIGINT) AS n_bad WHERE false"))
+@query("c4_encoding_gate_encoded", W(SPLIT_CTE, _gate_sql("split", FEATURES)))
 def c4_encoding_gate_encoded(spark, d):
     sp, model = fitted(spark, d)
     return P.encoding_gate(model.transform(sp), FEATURES)
@@ -95,6 +100,24 @@ def d4_binary(spark, d):
     return subs(spark, d).select("c_custkey", D.encode_binary("in_debt", "Yes").alias("in_debt"))
 
 
+@query("d4_binary_values", W(SUBS_CTE, """
+SELECT 'in_debt' AS column, count(*) AS n_rows, count(*) FILTER (WHERE in_debt IS NULL) AS n_null,
+       count(*) FILTER (WHERE in_debt NOT IN ('Yes', 'No')) AS n_other FROM subs
+UNION ALL
+SELECT 'urgent_user', count(*), count(*) FILTER (WHERE urgent_user IS NULL),
+       count(*) FILTER (WHERE urgent_user NOT IN ('Yes', 'No')) FROM subs"""))
+def d4_binary_values(spark, d):
+    """Values of the yes/no columns; ``urgent_user`` has a third one."""
+    return D.binary_values(subs(spark, d), {"in_debt": ("Yes", "No"), "urgent_user": ("Yes", "No")})
+
+
+@query("d4_binary_unknown", W(SUBS_CTE, """
+SELECT c_custkey, CASE urgent_user WHEN 'Yes' THEN 1 WHEN 'No' THEN 0 END AS urgent_user FROM subs"""))
+def d4_binary_unknown(spark, d):
+    """On new batches a value that is neither stays null."""
+    return subs(spark, d).select("c_custkey", D.encode_binary("urgent_user", "Yes", "No", "null").alias("urgent_user"))
+
+
 @query("d5_ordinal", W(SUBS_CTE, """
 SELECT c_custkey, CASE commitment WHEN 'Low' THEN 0 WHEN 'Mid' THEN 1 WHEN 'High' THEN 2 ELSE 0 END AS commitment
 FROM subs"""))
@@ -113,6 +136,20 @@ def d6_one_hot(spark, d):
     return s.select("c_custkey", *D.one_hot_columns(cats))
 
 
+@query("d6_sparse", W(SUBS_CTE + """,
+cat AS (SELECT c, v, row_number() OVER (ORDER BY k, v) - 1 AS i FROM (
+          SELECT DISTINCT 0 AS k, 'segment' AS c, segment AS v FROM subs WHERE segment IS NOT NULL
+          UNION ALL SELECT DISTINCT 1, 'region', region FROM subs WHERE region IS NOT NULL))""", """
+SELECT s.c_custkey, coalesce(string_agg(CAST(cat.i AS VARCHAR), ',' ORDER BY cat.i), '') AS indices
+FROM subs s LEFT JOIN cat ON (cat.c = 'segment' AND cat.v = s.segment) OR (cat.c = 'region' AND cat.v = s.region)
+GROUP BY s.c_custkey"""))
+def d6_sparse(spark, d):
+    """The indicators as sparse indices, for columns of any number of categories."""
+    s = subs(spark, d)
+    wide = D.encode_sparse(s, SPEC.nominal, D.category_table(s, SPEC.nominal), "c_custkey")
+    return wide.select("c_custkey", F.array_join(F.transform("indices", lambda i: i.cast("string")), ",").alias("indices"))
+
+
 @query("d7_collapse", W(SUBS_CTE, """
 SELECT c_custkey, CAST(coalesce(urgent_user = 'Yes', false) AS INTEGER) AS urgent_user,
        CAST(coalesce(bulk_buyer = 'Yes', false) AS INTEGER) AS bulk_buyer FROM subs"""))
@@ -134,8 +171,8 @@ def d8_align(spark, d):
 
 
 @query("d8_unseen", W(SUBS_CTE + """,
-fit AS (SELECT * FROM subs WHERE tenure <= 40),
-new AS (SELECT * FROM subs WHERE tenure > 40)""", """
+fit AS (SELECT * FROM subs WHERE batch_month <= 3),
+new AS (SELECT * FROM subs WHERE batch_month > 3)""", """
 SELECT 'segment' AS column, count(*) AS n_rows,
        count(*) FILTER (WHERE segment IS NOT NULL AND segment NOT IN (SELECT DISTINCT segment FROM fit
                                                                      WHERE segment IS NOT NULL)) AS n_unseen
@@ -146,10 +183,10 @@ SELECT 'region' AS column, count(*) AS n_rows,
                                                                    WHERE region IS NOT NULL)) AS n_unseen
 FROM new"""))
 def d8_unseen(spark, d):
-    """Categories fitted on short-tenure customers, checked on the rest."""
+    """Categories fitted on the first three months, checked on the later ones."""
     s = subs(spark, d)
-    cats = D.fit_one_hot(s.where(F.col("tenure") <= 40), SPEC.nominal)
-    return D.unseen_categories(s.where(F.col("tenure") > 40), cats)
+    cats = D.fit_one_hot(s.where(F.col("batch_month") <= 3), SPEC.nominal)
+    return D.unseen_categories(s.where(F.col("batch_month") > 3), cats)
 
 
 # ----------------------------------------------------------------- D9-D14

@@ -23,9 +23,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def rounded(df: DataFrame) -> DataFrame:
+    """Reported doubles to 6 decimals (densities to 12, they may be tiny), as the SQL twins do."""
+    digits = {c: 12 if c == "density" else 6 for c, t in df.dtypes if t == "double"}
+    return df.select(*[(F.round(c, digits[c]) + F.lit(0.0)).alias(c) if c in digits else F.col(c) for c in df.columns])
+
+
 def query(key: str, sql: str | None = None):
+    """Register a query.  Operators work at full precision; where the SQL twin
+    rounds what it reports, so does the query."""
     def deco(fn):
-        QUERIES[key] = fn
+        if sql is not None and "round(CAST(" in sql:
+            def reported(spark, d, fn=fn):
+                return rounded(fn(spark, d))
+            reported.__name__, reported.__doc__ = fn.__name__, fn.__doc__
+            QUERIES[key] = reported
+        else:
+            QUERIES[key] = fn
         if sql is not None:
             ORACLE[key] = sql.strip()
         return fn
@@ -143,7 +157,7 @@ def b4_describe(spark, d):
 
 @query("b5_value_counts", W(SUBS_CTE, f"""
 SELECT commitment AS value, count(*) AS n, {R('count(*) / sum(count(*)) OVER ()')} AS share,
-       CAST(row_number() OVER (ORDER BY count(*) DESC, commitment) AS INTEGER) AS freq_rank
+       row_number() OVER (ORDER BY count(*) DESC, commitment) AS freq_rank
 FROM subs WHERE commitment IS NOT NULL GROUP BY commitment"""))
 def b5_value_counts(spark, d):
     return P.value_counts(subs(spark, d), "commitment")
@@ -186,6 +200,14 @@ def c3_duplicates(spark, d):
     return P.duplicate_count(T.load(spark, d, "documents"), ["text"])
 
 
+@query("c3_duplicates_rows", """
+SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS n_duplicates, count(*) AS n_distinct_rows
+FROM (SELECT event_id, ts, user_id, event_type, value, props, count(*) AS n FROM events GROUP BY ALL)""")
+def c3_duplicates_rows(spark, d):
+    """Whole rows, every column."""
+    return P.duplicate_count(T.load(spark, d, "events"))
+
+
 @query("c3_duplicates_events", """
 SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS n_duplicates, count(*) AS n_distinct_rows
 FROM (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY user_id, event_type)""")
@@ -199,7 +221,8 @@ def _hist_sql(src: str, col: str, by: str | None, bins: int, density: bool = Tru
     gsel = f"{by}" if by else "1"
     jn = f"USING ({by})" if by else "ON TRUE"
     w = f"WHERE {col} IS NOT NULL" + (f" AND {where}" if where else "")
-    dens = f", {R('coalesce(c.n, 0) / (r._N * (r._hi - r._lo) / ' + str(bins) + ')')} AS density" if density else ""
+    dens = (f", round(coalesce(c.n, 0) / (r._N * ((r._hi - r._lo) / {bins})), 12) + CAST(0.0 AS DOUBLE) AS density"
+            if density else "")
     gsel_out = f"r.{by}, " if by else ""
     cjoin = f"c.{by} = r.{by} AND " if by else ""
     return f"""
@@ -265,7 +288,7 @@ def _e4_sql() -> str:
     return W(_E4_CTE, f"""
 SELECT feature, value, n, {R('rate')} AS churn_rate, {R('o')} AS overall_rate,
        CASE WHEN rate > 40 THEN 'high' WHEN rate > 25 THEN 'mid' ELSE 'low' END AS band,
-       CAST(row_number() OVER (PARTITION BY feature ORDER BY rate, value) AS INTEGER) AS rate_order
+       row_number() OVER (PARTITION BY feature ORDER BY rate, value) AS rate_order
 FROM g, ov""")
 
 
@@ -275,12 +298,13 @@ def e4_target_rate(spark, d):
 
 
 @query("e5_spread", W(_E4_CTE + f""",
-e4 AS (SELECT feature, value, {R('rate')} AS churn_rate FROM g),
+e4 AS (SELECT feature, value, rate AS churn_rate FROM g),
 mx AS (SELECT feature, value, churn_rate, row_number() OVER (PARTITION BY feature ORDER BY churn_rate DESC, value) AS k
        FROM e4),
 mn AS (SELECT feature, value, churn_rate, row_number() OVER (PARTITION BY feature ORDER BY churn_rate, value) AS k
        FROM e4)""", f"""
-SELECT mx.feature, mx.value AS max_value, mx.churn_rate AS max_rate, mn.value AS min_value, mn.churn_rate AS min_rate,
+SELECT mx.feature, mx.value AS max_value, {R('mx.churn_rate')} AS max_rate, mn.value AS min_value,
+       {R('mn.churn_rate')} AS min_rate,
        {R('mx.churn_rate - mn.churn_rate')} AS spread
 FROM mx JOIN mn ON mx.feature = mn.feature AND mx.k = 1 AND mn.k = 1
 WHERE mx.churn_rate - mn.churn_rate > 20"""))
@@ -348,12 +372,12 @@ def e7_corr_matrix(spark, d):
 
 
 @query("e8_target_corr", W(_CORR_CTE + ",\nt AS (" + "\nUNION ALL\n".join(
-    f"SELECT '{a}' AS feature, {R(_pair_r('churn_bin', a))} AS r FROM cf" for a in _CORR_COLS[:-1]) + ")", """
-SELECT feature, r, CASE WHEN r > 0 THEN '+' WHEN r < 0 THEN '-' ELSE '0' END AS sign,
+    f"SELECT '{a}' AS feature, {_pair_r('churn_bin', a)} AS r FROM cf" for a in _CORR_COLS[:-1]) + ")", f"""
+SELECT feature, {R('r')} AS r, CASE WHEN r > 0 THEN '+' WHEN r < 0 THEN '-' ELSE '0' END AS sign,
        CAST(row_number() OVER (ORDER BY abs(r) DESC NULLS LAST, feature) AS INTEGER) AS abs_rank
 FROM t"""))
 def e8_target_corr(spark, d):
-    return E.target_correlation(E.correlation_matrix(_corr_frame(spark, d), _CORR_COLS), "churn_bin")
+    return E.target_correlation(_corr_frame(spark, d), _CORR_COLS[:-1], "churn_bin")
 
 
 @query("e9_cut", W(SUBS_CTE, """

@@ -115,6 +115,15 @@ RAW_SPLIT_CTE = SUBS_CTE + """,
 lab AS (SELECT *, CAST(churn = 'Yes' AS INTEGER) AS label FROM subs),""" + split_sql("lab")
 
 
+# the retrain history: three quarters of the customers (by blocks of six keys) are the
+# original table, month 0; the others keep their batch month
+BASE_MONTH = "CASE WHEN (c_custkey // 6) % 4 <> 0 THEN 0 ELSE batch_month END"
+HISTORY_CTE = RAW_SPLIT_CTE + f""",
+hsplit AS (SELECT * REPLACE ({BASE_MONTH} AS batch_month) FROM split)"""
+HSUBS_CTE = SUBS_CTE + f""",
+hsubs AS (SELECT * REPLACE ({BASE_MONTH} AS batch_month) FROM subs)"""
+
+
 def score_expr(q: str, t: str = "") -> str:
     """Scorecard (G4) in SQL: additive rule points, clipped; ``q`` is the
     high-spend cut (75th percentile of monthly_spend of the fitting rows)."""

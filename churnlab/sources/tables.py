@@ -133,6 +133,13 @@ def subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_original(df: DataFrame) -> DataFrame:
+    """Month 0, the original table, for three quarters of the customers (by
+    blocks of six keys); the others are the monthly batches."""
+    original = F.floor(F.col("c_custkey") / 6) % 4 != 0
+    return df.withColumn("batch_month", F.when(original, F.lit(0).cast("bigint")).otherwise(F.col("batch_month")))
+
+
 SUBS_SCHEMA = ("c_custkey bigint, churn string, tenure int, total_spend string, monthly_spend double, "
                "high_balance int, in_debt string, commitment string, segment string, region string, "
                "urgent_user string, bulk_buyer string, batch_month bigint")

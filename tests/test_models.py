@@ -112,12 +112,20 @@ def test_churn_pipeline_fits_saves_and_loads(spark):
                      column_order=("id", "churn", "a", "b", "c", "g"))
     raw = _planted(spark).select("id", F.when(F.col("label") == 1, "Yes").otherwise("No").alias("churn"),
                                  "a", "b", "c", F.when(F.col("b") > 0, "p").otherwise("q").alias("g"))
-    names = fit_prepare(raw, sp, scale=()).feature_names
-    train = M.balanced_weights(raw.withColumn("label", (F.col("churn") == "Yes").cast("int")), "label").drop("label")
-    model = ML.churn_pipeline(sp, names, SMALL_FOREST).fit(train)
+    train = raw.withColumn("label", (F.col("churn") == "Yes").cast("int"))
+    model = ML.fit_churn_pipeline(train, sp, SMALL_FOREST)
+    assert ML.pipeline_features(model) == fit_prepare(raw, sp, scale=()).feature_names
     path = work_path(spark, "t-pipe")
     model.write().overwrite().save(path)
     again = PipelineModel.load(path)
     a = {r["id"]: r["score"] for r in ML.predict(model, train).collect()}
     b = {r["id"]: r["score"] for r in ML.predict(again, train).collect()}
     assert a == b and M.roc_auc(ML.predict(model, train)).first()["auc"] > 0.9
+    # the model does not depend on how the training rows came partitioned, nor on the cores
+    other = ML.fit_churn_pipeline(train.repartition(3), sp, SMALL_FOREST)
+    assert {r["id"]: r["score"] for r in ML.predict(other, train).collect()} == a
+    # with the cluster as a feature, raw rows get their cluster from the pipeline
+    clustered = ML.fit_churn_pipeline(train, sp, SMALL_FOREST, clusters=3)
+    assert ML.pipeline_features(clustered)[-1] == "cluster"
+    out = ML.predict(clustered, raw.limit(20))
+    assert {r.cluster for r in out.collect()} <= {0, 1, 2} and out.count() == 20

@@ -35,3 +35,14 @@ def test_flagship_has_no_python_or_cartesian(spark):
     plan = _plan(entry.entry(spark))
     for node in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in plan
+
+
+def test_correlations_take_one_scan(spark, tmp_path):
+    from churnlab.operators import explore as E
+    path = str(tmp_path / "t")
+    cols = [f"c{i}" for i in range(8)]
+    spark.range(50).selectExpr(*[f"cast(id * {i + 1} % 7 as double) as {c}" for i, c in enumerate(cols)]).write.parquet(path)
+    df = spark.read.parquet(path)
+    matrix = E.correlation_matrix(df, cols)
+    assert matrix.count() == 28 and _plan(matrix).count("FileScan parquet") == 1
+    assert _plan(E.target_correlation(df, cols[1:], "c0")).count("FileScan parquet") == 1

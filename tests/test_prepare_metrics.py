@@ -8,14 +8,77 @@ from pyspark.sql import functions as F
 
 from churnlab.operators import metrics as M
 from churnlab.operators import prepare as D
+from churnlab.spec import FeatureSpec
 
 
 def _labelled(spark, n0, n1):
     return spark.range(n0 + n1).select(F.col("id").alias("key"), (F.col("id") >= n0).cast("int").alias("label"))
 
 
-def test_largest_remainder_golden():
-    assert D.largest_remainder({0: 5174, 1: 1869}, 7043 - math.ceil(0.2 * 7043)) == {0: 4139, 1: 1495}
+def test_largest_remainder_golden(spark):
+    counts = spark.createDataFrame([(0, 5174), (1, 1869)], "class int, n long")
+    got = {r["class"]: r.drawn for r in D.largest_remainder(counts, 7043, 7043 - math.ceil(0.2 * 7043)).collect()}
+    assert got == {0: 4139, 1: 1495}
+
+
+def test_split_is_a_projection_and_takes_null_labels(spark):
+    rows = [(i, None if i % 5 == 0 else i % 2) for i in range(500)] + [(1000, 7)]
+    df = spark.createDataFrame(rows, "key long, label int")
+    out = D.stratified_split(df, "label", "key")
+    n = {(r.label, r.split): r["count"] for r in out.groupBy("label", "split").count().collect()}
+    assert sum(v for (_, s), v in n.items() if s == "test") == math.ceil(0.2 * 501)
+    assert abs(n[(None, "test")] - 20) <= 1 and sum(n.values()) == 501
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    empty = D.stratified_split(df.limit(0), "label", "key")
+    assert empty.columns == ["key", "label", "split"] and empty.count() == 0
+
+
+def test_many_categories_and_colliding_names(spark):
+    rows = [(i, f"v{i % 1500}", "a b" if i % 2 else "a-b") for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, wide string, g string")
+    cats = D.fit_one_hot(df, ["wide", "g"])
+    assert len(cats["wide"]) == 1500
+    names = D.one_hot_names({"g": cats["g"]}, ["x"])
+    assert names == {("g", "a b"): "g_a_b", ("g", "a-b"): "g_a_b__2"}
+    enc = df.select("id", *D.one_hot_columns({"g": cats["g"]})).orderBy("id").limit(2).collect()
+    assert [(r.g_a_b, r.g_a_b__2) for r in enc] == [(0.0, 1.0), (1.0, 0.0)]
+    table = D.category_table(df, ["wide", "g"])
+    assert table.count() == 1502 and {r["index"] for r in table.collect()} == set(range(1502))
+    sparse = D.encode_sparse(df, ["wide", "g"], table, "id")
+    assert sparse.count() == 3000 and {len(r.indices) for r in sparse.collect()} == {2}
+    model = D.fit_prepare(df.withColumn("churn", F.lit("Yes")), FeatureSpec(
+        id_col="id", target="churn", numeric=(), nominal=("g",), column_order=("id", "churn", "g")), scale=())
+    assert model.transform(df).columns == ["id", "g_a_b", "g_a_b__2"]
+
+
+def test_binary_encoder_rules(spark):
+    df = spark.createDataFrame([("Yes",), ("No",), ("Maybe",), (None,)], "c string")
+    assert [r[0] for r in df.select(D.encode_binary("c", "Yes")).collect()] == [1, 0, 0, 0]
+    assert [r[0] for r in df.select(D.encode_binary("c", "Yes", "No", "null")).collect()] == [1, 0, None, None]
+    with pytest.raises(Exception, match="unknown value"):
+        df.select(D.encode_binary("c", "Yes", "No", "error")).collect()
+    assert tuple(D.binary_values(df, {"c": ("Yes", "No")}).first()) == ("c", 4, 1, 1)
+
+
+def test_any_number_of_centres(spark):
+    from churnlab.operators import cluster as K
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(5000, 3))
+    points = rng.normal(size=(40, 3))
+    cdf = spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(centres)], "cid int, cv array<double>")
+    pdf = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in enumerate(points)], "id int, v array<double>")
+    got = {r.id: r.cluster for r in K.nearest_center(pdf, "v", cdf).collect()}
+    want = ((points[:, None, :] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)
+    assert got == {i: int(c) for i, c in enumerate(want)}
+
+
+def test_auc_of_billions_of_rows_does_not_overflow(spark, monkeypatch):
+    units = spark.createDataFrame([(0.1, 3_500_000_000, 500_000_000), (0.9, 500_000_000, 3_500_000_000)],
+                                  "threshold double, n0 long, n1 long")
+    monkeypatch.setattr(M, "_score_units", lambda *a: units)
+    got = M.roc_auc(units).first()["auc"]
+    assert abs(got - (7 / 8 * 7 / 8 + 0.5 * (2 * 7 / 64))) < 1e-12
 
 
 def test_stratified_split_golden_counts(spark):

@@ -99,13 +99,37 @@ def test_describe_approx_close_to_exact(spark):
         assert abs(ex[c] - ap[c]) < 0.5
 
 
-def test_group_row_number_same_in_both_plans(spark):
+def test_group_row_number_orders_and_nulls(spark):
     from churnlab.functions.ranking import group_row_number
     rows = [(g, i, (i * 37) % 11) for g in ("a", "b") for i in range(300)]
     df = spark.createDataFrame(rows, "g string, v int, n int")
-    order = [("n", True), ("v", False)]
-    small = {(r["g"], r["v"]): r["k"] for r in group_row_number(df, ["g"], order, "k").collect()}
-    big = {(r["g"], r["v"]): r["k"] for r in group_row_number(df, ["g"], order, "k", small_group=10).collect()}
-    assert small == big
+    out = group_row_number(df, ["g"], [("n", True), ("v", False)], "k")
+    assert out.schema["k"].dataType.simpleString() == "bigint"
+    got = {(r["g"], r["v"]): r["k"] for r in out.collect()}
     a = sorted((r for r in rows if r[0] == "a"), key=lambda r: (-r[2], r[1]))
-    assert [small[("a", r[1])] for r in a] == list(range(1, 301))
+    assert [got[("a", r[1])] for r in a] == list(range(1, 301))
+    odd = spark.createDataFrame([("a", 1), ("b", None), ("c", 3)], "v string, n int")
+    desc = {r.v: r.k for r in group_row_number(odd, [], [("n", True), ("v", False)], "k").collect()}
+    asc = {r.v: r.k for r in group_row_number(odd, [], [("n", False), ("v", False)], "k").collect()}
+    assert desc == {"c": 1, "a": 2, "b": 3} and asc == {"b": 1, "a": 2, "c": 3}
+
+
+def test_encoding_gate_counts_what_is_not_a_number(spark):
+    df = spark.createDataFrame([("1d",), ("NaN",), ("inf",), ("x",), ("2",), (None,)], "c string")
+    assert [tuple(r) for r in P.encoding_gate(df, ["c"]).collect()] == [("c", 5)]
+
+
+def test_density_integrates_to_one_for_any_range(spark):
+    for scale in (1e-6, 1.0, 1e9):
+        df = spark.createDataFrame([(("a" if i % 3 else "b"), i * i * scale) for i in range(200)], "g string, x double")
+        for shared in (False, True):
+            rows = E.histogram(df, "x", by="g", bins=7, shared_edges=shared).collect()
+            for g in ("a", "b"):
+                area = sum(r.density * (r.bin_hi - r.bin_lo) for r in rows if r.g == g)
+                assert abs(area - 1) < 1e-9
+
+
+def test_rare_shares_are_not_rounded_away(spark):
+    df = spark.range(3_000_000).select(F.when(F.col("id") == 0, "rare").otherwise("common").alias("v"))
+    got = {r.value: r.share for r in P.value_counts(df, "v").collect()}
+    assert got["rare"] == 1 / 3_000_000

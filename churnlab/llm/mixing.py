@@ -8,8 +8,9 @@ rest gives every document ``k`` times, in ``k`` permutations, and of one more
 permutation the documents before the point where the rest is spent.
 
 A permutation is the order of a hash.  A source's rows are cut into blocks by
-that hash; block totals tell which blocks lie before, at and behind the point,
-so that only the one block per source that holds the point is sorted.
+that hash; block totals tell in which block the point lies, so that only that
+one block per source is sorted.  What the rows need to know is one row per
+source.
 """
 
 from __future__ import annotations
@@ -81,7 +82,7 @@ def _small(df: DataFrame) -> DataFrame:
 
 def mix_sources(df: DataFrame, source_col: str = "source", text_col: str = "text", entropy: float | None = 0.98,
                 repetition: float | None = 4.0, budget: float = 1.0, seed: int = 42,
-                block_rows: int = 16_384) -> DataFrame:
+                block_rows: int = 2_048) -> DataFrame:
     """The mixed corpus: every chosen row once per run, with ``epoch`` (the
     number of the run, from 0) and ``mix_order`` (the order within a run).
 
@@ -109,19 +110,24 @@ def mix_sources(df: DataFrame, source_col: str = "source", text_col: str = "text
     alpha = exponent(shares, entropy, repetition, budget)
     z = shares.agg(F.sum(F.exp(F.lit(alpha) * F.col("log")))).first()[0]
     due = F.floor(F.lit(budget * corpus / z) * F.exp(F.lit(alpha) * F.col("log"))).cast("long")
-    shares = shares.withColumn("due", due).select(
+    shares = saved(shares.withColumn("due", due).select(
         F.col("source").alias("of"), F.floor(F.col("due") / F.col("n")).cast("int").alias("runs"),
-        (F.col("due") % F.col("n")).alias("rest"))
-    before = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    plan = blocks.withColumn("before", F.coalesce(F.sum("tokens").over(before), F.lit(0))).join(
-        shares, F.col("source").eqNullSafe(F.col("of")))
-    plan = saved(plan.select(F.col("source").alias("of"), F.col("block").alias("nr"), "before", "runs", "rest",
-                             (F.col("before") + F.col("tokens") <= F.col("rest")).alias("inside"),
-                             (F.col("before") < F.col("rest")).alias("begun")), "mix-plan")
-    rows = rows.join(_small(plan), F.col("source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("nr")))
-    at_point = F.col("begun") & ~F.col("inside")
-    spent = Window.partitionBy("source", "block").orderBy("h").rowsBetween(Window.unboundedPreceding, -1)
-    sure = rows.where(~at_point).select("row", "h", (F.col("runs") + F.col("inside").cast("int")).alias("copies"))
+        (F.col("due") % F.col("n")).alias("rest")), "mix-due")
+    upto = Window.partitionBy("source").orderBy("block")
+    reached = blocks.withColumn("upto", F.sum("tokens").over(upto)).join(
+        _small(shares), F.col("source").eqNullSafe(F.col("of")))
+    # blocks up to the rest are in it; the next one that has tokens is cut at the point
+    inside, cut = F.col("upto") <= F.col("rest"), F.col("upto") - F.col("tokens") < F.col("rest")
+    plan = reached.groupBy("of", "runs", "rest").agg(
+        F.coalesce(F.max(F.when(inside & (F.col("rest") > 0), F.col("block"))), F.lit(-1)).alias("last"),
+        F.max(F.when(cut & ~inside, F.col("block"))).alias("point"),
+        F.max(F.when(cut & ~inside, F.col("upto") - F.col("tokens"))).alias("before"))
+    plan = saved(plan, "mix-plan")
+    rows = rows.join(_small(plan), F.col("source").eqNullSafe(F.col("of")))
+    at_point = F.coalesce(F.col("block") == F.col("point"), F.lit(False))
+    spent = Window.partitionBy("source").orderBy("h").rowsBetween(Window.unboundedPreceding, -1)
+    whole = (F.col("block") <= F.col("last")).cast("int")
+    sure = rows.where(~at_point).select("row", "h", (F.col("runs") + whole).alias("copies"))
     split = rows.where(at_point).withColumn(
         "spent", F.col("before") + F.coalesce(F.sum("tokens").over(spent), F.lit(0))).select(
         "row", "h", (F.col("runs") + (F.col("spent") < F.col("rest")).cast("int")).alias("copies"))

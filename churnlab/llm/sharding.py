@@ -117,7 +117,8 @@ def uniform_shards(df: DataFrame, n_shards: int = 24, seed: int = 42, block_rows
     hash of a row is random; shard sizes differ by one at most.  The result
     depends on the rows, the seed and ``block_rows``, not on partitioning,
     and is the same when a task runs again.  Rows equal in all columns are
-    interchangeable; each gets its own slot.  Null values hash as such.  An
+    numbered in their block and shuffled by that number too, so that they
+    spread like others; each gets its own slot.  Null values hash as such.  An
     empty table stays empty; input columns named ``shard`` or ``slot`` are
     replaced.
     """
@@ -129,19 +130,24 @@ def uniform_shards(df: DataFrame, n_shards: int = 24, seed: int = 42, block_rows
     matrix = communication_matrix(sizes, n_shards, total, seed)
     upto = F.transform(F.sequence(F.lit(1), F.lit(n_shards)), lambda s: F.aggregate(
         F.slice("counts", 1, s), F.lit(0).cast("long"), lambda a, x: a + x))
-    matrix = matrix.select("block", upto.alias("upto"))
-
-    local = Window.partitionBy("block").orderBy(F.xxhash64(F.lit(seed + 1), "h"), "h")
-    dealt = (rows.withColumn("rank", F.row_number().over(local)).join(matrix, "block")
-             .withColumn("shard", F.size(F.filter("upto", lambda c: c < F.col("rank"))))
-             .select("row", "h", "shard"))
+    matrix = saved(matrix.select("block", upto.alias("upto")), "shard-matrix")
     n_cells = max(MIN_CELLS, math.ceil(total / n_shards / block_rows))
-    again = F.xxhash64(F.lit(seed + 2), "h")
-    dealt = saved(dealt.withColumn("order", again)
-                  .withColumn("cell", F.floor(unit(F.col("order")) * n_cells).cast("int")), "shards")
+
+    def deal(some):
+        """Shard and cell of each row; a function of the hashes alone, whatever columns come along."""
+        equal = Window.partitionBy("block").orderBy("h")
+        some = some.withColumn("h", F.xxhash64("h", F.row_number().over(equal) - F.rank().over(equal)))
+        local = Window.partitionBy("block").orderBy(F.xxhash64(F.lit(seed + 1), "h"), "h")
+        some = some.withColumn("rank", F.row_number().over(local)).join(matrix, "block")
+        some = some.withColumns({"shard": F.size(F.filter("upto", lambda c: c < F.col("rank"))),
+                                 "order": F.xxhash64(F.lit(seed + 2), "h")})
+        return some.withColumn("cell", F.floor(unit(F.col("order")) * n_cells).cast("int")).drop("upto", "rank")
+
+    # the cells are counted on the hashes first, so that whole rows move twice and are not written in between
     before = Window.partitionBy("shard").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    cells = dealt.groupBy("shard", "cell").count().select(
+    cells = deal(rows.select("h", "block")).groupBy("shard", "cell").count().select(
         "shard", "cell", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
+    cells = saved(cells, "shard-cells")
     within = Window.partitionBy("shard", "cell").orderBy("order", "h")
-    placed = dealt.withColumn("rank", F.row_number().over(within)).join(cells, ["shard", "cell"])
-    return unpacked(placed, "shard", (F.col("offset") + F.col("rank") - 1).alias("slot"))
+    placed = deal(rows).withColumn("place", F.row_number().over(within)).join(cells, ["shard", "cell"])
+    return unpacked(placed, "shard", (F.col("offset") + F.col("place") - 1).alias("slot"))

@@ -16,6 +16,8 @@ the documents that pass the base rules give a band; documents above it
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -30,6 +32,8 @@ BEGIN, END, OTHER = 1, 3, 0xFFFF
 SLICE = 2_000_000
 #: Keys gathered in a task before they are counted, and distinct keys kept before they are handed on.
 GATHER, HOLD = 1 << 21, 1 << 21
+#: Code points or bytes of a text that are worked on at a time.
+PIECE = 1 << 20
 #: Score bins per unit, for exact medians of the binned scores.
 BINS = 1000
 
@@ -40,26 +44,17 @@ _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
 
 
 # ------------------------------------------------------------ one text at a time
-def _codes(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+def _pieces(text: str) -> Iterator[np.ndarray]:
+    """The code points of a text, ``PIECE`` at a time."""
+    for i in range(0, len(text), PIECE):
+        yield np.frombuffer(text[i:i + PIECE].encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
 def _gap(codes: np.ndarray) -> np.ndarray:
     return (codes == 32) | ((codes >= 9) & (codes <= 13))
 
 
-def packed_grams(text: str | None) -> np.ndarray:
-    """One key for each character and the end; none for a text without words."""
-    codes = _codes(text or "")
-    gap = _gap(codes)
-    keep = ~gap
-    if not keep.any():
-        return np.empty(0, np.int64)
-    # of a run of white space, the last stays, as a space; none at either end
-    first, last = int(keep.argmax()), len(keep) - 1 - int(keep[::-1].argmax())
-    keep[first:last] |= gap[first:last] & ~gap[first + 1:last + 1]
-    codes = np.minimum(np.where(gap, 32, codes)[keep], OTHER).astype(np.uint64)
-    line = np.concatenate([np.full(ORDER - 1, BEGIN, np.uint64), codes, np.array([END], np.uint64)])
+def _grams_of(line: np.ndarray) -> np.ndarray:
     n = len(line) - ORDER + 1
     keys = line[:n].copy()
     for i in range(1, ORDER):
@@ -67,14 +62,48 @@ def packed_grams(text: str | None) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def _repeated_words(words: list[bytes]) -> int:
-    """Words in windows of WINDOW words that occur twice or more."""
-    n = len(words) - WINDOW + 1
-    if n < 2:
+def packed_grams(text: str | None) -> Iterator[np.ndarray]:
+    """A key for each character and one for the end, in arrays of bounded
+    size; none for a text without words."""
+    text = text or ""
+    last, begun, waiting = np.full(ORDER - 1, BEGIN, np.uint64), False, False
+    for nr, codes in enumerate(_pieces(text), 1):
+        gap = _gap(codes)
+        keep = ~gap
+        at = int(keep.argmax()) if keep.any() else len(keep)
+        # of white space before a word, the last stays, as a space; none before the first word
+        keep[:-1] |= gap[:-1] & ~gap[1:]
+        if not begun:
+            keep[:at] = False
+        line = np.minimum(np.where(gap, 32, codes)[keep], OTHER).astype(np.uint64)
+        if begun and waiting and at == 0:
+            line = np.concatenate([np.array([32], np.uint64), line])
+        waiting = bool(gap[-1])
+        begun = begun or at < len(gap)
+        if begun and nr * PIECE >= len(text):
+            line = np.concatenate([line, np.array([END], np.uint64)])
+        if len(line):
+            line = np.concatenate([last, line])
+            yield _grams_of(line)
+            last = line[1 - ORDER:]
+
+
+def _word_lists(text: str) -> Iterator[list[bytes]]:
+    """The words of a text, split ``PIECE`` bytes at a time."""
+    data, at = text.encode("utf-8", "surrogatepass"), 0
+    while at < len(data):
+        end = at + PIECE
+        while end < len(data) and data[end] not in b" \t\n\x0b\x0c\r":
+            end += 1
+        yield data[at:end].split()
+        at = end
+
+
+def _repeated_words(rank: np.ndarray) -> int:
+    """Words in windows of WINDOW words that occur twice or more; words come as numbers."""
+    words, width = len(rank), 1
+    if words < WINDOW + 1:
         return 0
-    ids: dict[bytes, int] = {}
-    rank = np.fromiter((ids.setdefault(w, len(ids)) for w in words), np.int64, len(words))
-    width = 1
     while width < WINDOW:
         # windows of twice the width, numbered by the pair of their halves
         pair = rank[:-width] * (int(rank.max()) + 1) + rank[width:]
@@ -83,7 +112,7 @@ def _repeated_words(words: list[bytes]) -> int:
             return 0
         width *= 2
     again = np.bincount(rank)[rank] > 1
-    edge = np.zeros(len(words) + 1, np.int64)
+    edge = np.zeros(words + 1, np.int64)
     at = np.flatnonzero(again)
     np.add.at(edge, at, 1)
     np.add.at(edge, at + WINDOW, -1)
@@ -93,14 +122,17 @@ def _repeated_words(words: list[bytes]) -> int:
 def text_statistics(text: str | None) -> tuple[int, int, int, int, int]:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
     text = text or ""
-    codes = _codes(text)
-    word_chars = len(codes) - int(_gap(codes).sum())
+    word_chars = symbols = 0
+    for codes in _pieces(text):
+        word_chars += len(codes) - int(_gap(codes).sum())
+        symbols += int(_SYMBOL[codes[codes < 128]].sum())
     if not word_chars:
         return 0, 0, 0, 0, 0
-    low = codes[codes < 128]
-    words = text.encode("utf-8", "surrogatepass").split()
+    ids: dict[bytes, int] = {}
+    words = np.concatenate([np.fromiter((ids.setdefault(w, len(ids)) for w in part), np.int64, len(part))
+                            for part in _word_lists(text)])
     lines = [x for x in text.split("\n") if x.strip(_GAPS)]
-    return len(words), word_chars, int(_SYMBOL[low].sum()), len(lines) - len(set(lines)), _repeated_words(words)
+    return len(words), word_chars, symbols, len(lines) - len(set(lines)), _repeated_words(words)
 
 
 # --------------------------------------------------------------- counting and model
@@ -132,14 +164,14 @@ def count_grams(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -
 
         for batch in batches:
             for lang, text in zip(batch.column(0), batch.column(1), strict=True):
-                keys = packed_grams(text.as_py())
-                held.setdefault(lang.as_py(), []).append(keys)
-                gathered += len(keys)
-                if gathered >= GATHER:
-                    merge()
-                    gathered = 0
-                    if sum(len(k) for k, _ in counts.values()) > HOLD:
-                        yield from rows()
+                for keys in packed_grams(text.as_py()):
+                    held.setdefault(lang.as_py(), []).append(keys)
+                    gathered += len(keys)
+                    if gathered >= GATHER:
+                        merge()
+                        gathered = 0
+                        if sum(len(k) for k, _ in counts.values()) > HOLD:
+                            yield from rows()
         merge()
         yield from rows()
 
@@ -175,7 +207,8 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
             d = i - (i + 1) * y * F.col(f"n{i + 1}") / F.col(f"n{i}")
             return F.when(enough, F.greatest(F.lit(0.0), F.least(F.lit(float(i)), d))).otherwise(0.5).alias(f"d{i}")
 
-        cuts = seen.select(F.col("lang").alias("cut_lang"), *[discount(i) for i in (1, 2, 3)])
+        # a row per language: written, so that its size is known and n-grams are not dealt by language
+        cuts = saved(seen.select(F.col("lang").alias("cut_lang"), *[discount(i) for i in (1, 2, 3)]), "lm-cuts")
         cut = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
         context = F.shiftrightunsigned("gram", BITS) if k > 1 else F.lit(0).cast("long")
         suffix = F.col("gram").bitwiseAND(F.lit(mask[k - 1])) if k > 1 else F.lit(0).cast("long")
@@ -198,15 +231,16 @@ def _scorer(sent):
     def score(langs: pa.Array, texts: pa.Array) -> pa.Array:
         out = np.zeros(len(texts))
         for j, (lang, text) in enumerate(zip(langs, texts, strict=True)):
-            keys, n = np.unique(packed_grams(text.as_py()), return_counts=True)
             grams, logs = sent.value.get(lang.as_py(), (None, None))
-            if grams is None or not len(keys):
+            if grams is None:
                 continue
-            at = np.minimum(np.searchsorted(grams, keys), len(grams) - 1)
-            out[j] = float((np.where(grams[at] == keys, logs[at], 0) * n).sum(dtype=np.float64))
+            for part in packed_grams(text.as_py()):
+                keys, n = np.unique(part, return_counts=True)
+                at = np.minimum(np.searchsorted(grams, keys), len(grams) - 1)
+                out[j] += float((np.where(grams[at] == keys, logs[at], 0) * n).sum(dtype=np.float64))
         return pa.array(out)
 
-    return score
+    return score.asNondeterministic()
 
 
 def add_score(df: DataFrame, model: DataFrame, text_col: str, lang_col: str, name: str) -> DataFrame:
@@ -249,7 +283,8 @@ def add_statistics(df: DataFrame, text_col: str, name: str) -> DataFrame:
         rows = np.array([text_statistics(t.as_py()) for t in texts], np.int64).reshape(-1, len(fields))
         return pa.StructArray.from_arrays([pa.array(rows[:, i]) for i in range(len(fields))], names=list(fields))
 
-    return df.withColumn(name, statistics(F.col(f"`{text_col}`").cast("string")))
+    # marked so that a filter on the result does not make Spark take the statistics twice
+    return df.withColumn(name, statistics.asNondeterministic()(F.col(f"`{text_col}`").cast("string")))
 
 
 def _median(binned: DataFrame, value: str) -> DataFrame:
@@ -281,7 +316,7 @@ NEW = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "b
 
 
 def judge_quality(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
-                  carry_text: bool = True, width: float = 8.0, least: float = 0.35) -> DataFrame:
+                  carry_text: bool = True, width: float = 8.0, least: float = 0.5) -> DataFrame:
     """Add the text statistics, ``base_failed``, ``score`` and ``kept``.
 
     ``base_failed``: fewer than 20 words, or over 30 % of the words in
@@ -290,8 +325,10 @@ def judge_quality(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     passes the base rules has no band and rejects none beyond them.  ``score``
     is null for texts without words.  Every row comes back once; null texts
     have no words, a null language is a language of its own; input columns
-    named like a result column are replaced.  ``carry_text=False`` leaves
-    the text out of what is written in between and of the result.
+    named like a result column are replaced.  With ``carry_text`` the texts
+    are scored twice, for the bands and for the verdicts, rather than
+    written in between; without it the text is left out of the result, and
+    the scored rows are written.
     """
     model = saved(kneser_ney(count_grams(df, text_col, lang_col)), "lm-scoring")
     rows = packed(df, NEW).withColumns({
@@ -305,8 +342,11 @@ def judge_quality(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     rows = rows.withColumn("chars", F.length(F.trim(F.regexp_replace("text", "[\\x20\\x09-\\x0D]+", " "))) + 1)
     rows = rows.select("row", "lang", "s.*", F.when(F.col("s.n_words") > 0, -F.col("logp") / chars).alias("score"))
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT)
-    rows = saved(rows.withColumn("base_failed", failed), "quality")
-    band = saved(bands(rows.where(~F.col("base_failed")), width, least), "lm-bands").withColumnRenamed("lang", "l")
+    rows = rows.withColumn("base_failed", failed)
+    if not carry_text:
+        rows = saved(rows, "quality")
+    passed = rows.where(~F.col("base_failed")).select("lang", "score")
+    band = saved(bands(passed, width, least), "lm-bands").withColumnRenamed("lang", "l")
     inside = F.abs(F.col("score") - F.col("mid")) <= F.col("reach")
     judged = rows.join(band, F.col("lang") == F.col("l"), "left").withColumn(
         "kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True)))

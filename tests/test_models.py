@@ -67,10 +67,11 @@ def test_kmeans_recovers_separated_blobs(spark):
 
 
 def test_select_model_ties_and_baseline(spark):
-    hist = spark.createDataFrame([(1, 0.5), (2, 0.6), (3, 0.6), (4, 0.4)], "month int, f1_test double")
+    # round 0, the original table's model, is the baseline
+    hist = spark.createDataFrame([(0, 0.5), (1, 0.55), (2, 0.6), (3, 0.6), (4, 0.4)], "month int, f1_test double")
     r = H.select_model(hist).first()
-    assert r["best_month"] == 2 and r["deploy"] is True
-    same = spark.createDataFrame([(1, 0.6), (2, 0.6)], "month int, f1_test double")
+    assert r["best_month"] == 2 and r["deploy"] is True and r["baseline_f1"] == 0.5
+    same = spark.createDataFrame([(0, 0.6), (2, 0.6)], "month int, f1_test double")
     assert H.select_model(same).first()["deploy"] is False
 
 

@@ -342,6 +342,30 @@ def test_perplexity_bands_reject_garbled_texts(spark):
     assert got[950] and not got[951]
 
 
+def test_bands_reject_wrong_language_and_mildly_garbled_texts(spark):
+    """Long texts are held to the deviations of their language; short clean ones are not rejected for being short."""
+    from churnlab.llm.quality import judge_quality
+    r = random.Random(11)
+    parts = {"en": ["th", "er", "ing", "an", "wh", "ed", "ou", "sh", "ly", "st"],
+             "fr": ["é", "eau", "eux", "ch", "le", "qu", "oi", "tr", "ai", "è"]}
+    words = {lang: ["".join(r.choices(p, k=r.randint(1, 3))) for _ in range(300)] for lang, p in parts.items()}
+
+    def text(lang, k):
+        return " ".join(r.choices(words[lang], k=k))
+
+    def garbled(t, share):
+        return "".join(r.choice("aeiourstln") if c != " " and r.random() < share else c for c in t)
+
+    rows = [(i, text(lang, r.randint(100, 300)), lang) for i, lang in enumerate(["en"] * 300 + ["fr"] * 300)]
+    rows += [(1000 + i, text(lang, 22), lang) for i, lang in enumerate(["en", "fr"] * 10)]
+    rows += [(2000, text("en", 150), "fr"), (2001, text("fr", 150), "en")]
+    rows += [(3000 + i, garbled(text(lang, 200), 0.15), lang) for i, lang in enumerate(["en", "fr"] * 2)]
+    rows += [(4000, text("en", 100), "x"), (4001, text("fr", 100), "x")]
+    got = {x.doc_id: x for x in judge_quality(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert not any(x.base_failed for x in got.values())
+    assert all(x.kept == (i < 2000 or i >= 4000) for i, x in got.items()), [(i, x.kept, x.score) for i, x in got.items() if i >= 1000]
+
+
 def test_kneser_ney_is_a_distribution(spark):
     """The probabilities equal a plain version's, and those after a context add up to one with the unseen rest."""
     from churnlab.llm import quality as L

@@ -32,8 +32,9 @@ BASE = (
 #: Weak parts: kind, pattern.  An identifier or secret is a whole run of its characters.
 PARTS = (
     ("identifier", "(?<![A-Za-z0-9])(?=[A-Z0-9]{0,31}[0-9])(?=[A-Z0-9]{0,31}[A-Z])[A-Z0-9]{16,32}(?![A-Za-z0-9])"),
-    ("secret", "(?<![A-Za-z0-9+/])(?=[A-Za-z0-9+/]{0,64}[0-9])(?=[A-Za-z0-9+/]{0,64}[A-Za-z])"
-               "[A-Za-z0-9+/]{32,64}={0,2}(?![A-Za-z0-9+/=])"),
+    # of any length: the looks ahead and the run are possessive, so each passes over a run once
+    ("secret", "(?<![A-Za-z0-9+/])(?=[A-Za-z+/]*+[0-9])(?=[0-9+/]*+[A-Za-z])"
+               "[A-Za-z0-9+/]{32,}+={0,2}(?![A-Za-z0-9+/=])"),
     ("endpoint", r"https?://[A-Za-z0-9](?:[A-Za-z0-9.-]{0,252}[A-Za-z0-9])?(?::[0-9]{1,5})?"),
 )
 SCOPE = 200

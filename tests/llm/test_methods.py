@@ -329,6 +329,26 @@ def test_matrix_has_exact_margins_and_equal_rows_spread(spark):
     assert set(spread.values()) == {100}
 
 
+# ------------------------------------------------------------------------- secrets
+def test_long_secrets_are_parts(spark):
+    from churnlab.llm.secret_scan import scan_secrets
+    r = random.Random(5)
+    run = "".join(r.choices("GHIJKLMNOPqrstuvwxyz0123456789+/", k=86))
+    url, far = "https://acme.blob.example.net", "x" * 3000 + "7"
+    texts = [f"DefaultEndpointsProtocol=https;AccountName=acme;AccountKey={run}==;BlobEndpoint={url}/",
+             f"{url} {far}", f"{url} {'+' * 2999}7q", f"only {run}==", f"{run}== {'y ' * 150}{url}",
+             f"{url} {run}===", f"{url} {'x' * 88}", f"{url} {'7' * 88}", f"{url} {'Zx9+' * 100_000}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: x.spans for x in scan_secrets(df).collect()}
+    key, end = texts[0].index(run), texts[0].index(url)
+    assert got[0] == f"secret:{key}:{key + 88},endpoint:{end}:{end + len(url)}"
+    n = len(url)
+    assert got[1] == got[2] == f"endpoint:0:{n},secret:{n + 1}:{n + 3002}"
+    assert got[3] == got[4] == got[5] == got[6] == ""
+    assert "secret" not in got[7]
+    assert got[8] == f"endpoint:0:{n},secret:{n + 1}:{n + 400_001}"
+
+
 # ----------------------------------------------------------------- quality and WARC
 def test_perplexity_bands_reject_garbled_texts(spark):
     from churnlab.llm.quality import judge_quality

@@ -32,11 +32,9 @@ def op5_sharding(spark, d):
     """Every document in shards 0 to 23 by an exact uniform shuffle (law ``rows``)."""
     from churnlab.llm.sharding import uniform_shards
     text = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
-    slim = table(spark, d, "documents").select(
-        "doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
-    return uniform_shards(slim, N_SHARDS).select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
-        F.lit(None).cast("int").alias("grown_shard"))
+    return uniform_shards(table(spark, d, "documents"), N_SHARDS).select(
+        "doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 # --------------------------------------------------------------- URL filters

@@ -329,6 +329,13 @@ def test_matrix_has_exact_margins_and_equal_rows_spread(spark):
     assert set(spread.values()) == {100}
 
 
+def test_sharding_query_deals_whole_documents(spark):
+    from churnlab.llm.sharding import uniform_shards
+    whole = uniform_shards(table(spark, SF, "documents"), 24).select("doc_id", "shard", "slot")
+    got = Q.op5_sharding(spark, SF).select("doc_id", "shard", "slot")
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, whole.collect()))
+
+
 # ------------------------------------------------------------------------- secrets
 def test_long_secrets_are_parts(spark):
     from churnlab.llm.secret_scan import scan_secrets

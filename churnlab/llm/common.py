@@ -50,6 +50,32 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _scan(sizes: Column, start: Column) -> Column:
+    state = F.struct(start.cast("long").alias("at"), F.array().cast("array<bigint>").alias("out"))
+    return F.aggregate(sizes, state, lambda acc, n: F.struct(
+        (acc.at + n).alias("at"), F.array_append(acc.out, acc.at).alias("out"))).out
+
+
+def running_sum(sizes: Column, block: int = 256) -> Column:
+    """The sum of the elements before each element of an array of longs.
+
+    Appending to an array copies it, so sums are taken within blocks of
+    ``block`` elements and over the blocks' totals: arrays of millions of
+    elements stay cheap.
+    """
+    def of_blocks(blocks):
+        totals = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0).cast("long"), lambda a, n: a + n))
+        return let(_scan(totals, F.lit(0)), lambda starts: F.flatten(
+            F.transform(blocks, lambda b, i: _scan(b, F.get(starts, i)))))
+
+    def of(bound):
+        cut = F.transform(F.sequence(F.lit(0), F.size(bound) - 1, F.lit(block)),
+                          lambda i: F.slice(bound, i + 1, F.lit(block)))
+        return F.when(F.size(bound) > 0, let(cut, of_blocks)).otherwise(F.array().cast("array<bigint>"))
+
+    return let(sizes, of)
+
+
 def unit(hashed: Column) -> Column:
     """A 64-bit hash as a number in [0, 1)."""
     return F.shiftrightunsigned(hashed, 11).cast("double") * F.lit(2.0 ** -53)

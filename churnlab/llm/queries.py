@@ -187,3 +187,81 @@ def op10_simhash(spark, d):
     prints = saved(add_fingerprint(docs).select("doc_id", "fingerprint"), "simhash")
     return add_component(prints).select(
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+# ------------------------------------------------------------ chat formatting
+#: Turns of a conversation that make one record.
+PART_TURNS = 64
+#: What conversation -1 says in both of its turns.
+CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
+
+
+def chat_records(turns: DataFrame) -> DataFrame:
+    """(conv_id, part, record): up to ``PART_TURNS`` turns in the layout of their source.
+
+    Stands in for the records of several sources: pairs are prompts,
+    instructions or questions with their answers, others message lists of
+    different kinds.
+    """
+    part = F.floor(F.col("turn") / PART_TURNS)
+    turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = turns.groupBy("conv_id", part.alias("part")).agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+    roles, texts = F.col("turns.role"), F.col("turns.text")
+    kind = F.pmod(F.xxhash64("conv_id"), F.lit(6))
+    pair = roles == F.array(F.lit("user"), F.lit("assistant"))
+    triple = roles == F.array(F.lit("system"), F.lit("user"), F.lit("assistant"))
+    plain = F.forall(roles, lambda r: r.isin("system", "user", "assistant"))
+    named = F.transform("turns", lambda t: F.struct(
+        F.when(t.role == "user", "human").when(t.role == "assistant", "gpt").otherwise(t.role).alias("role"), t.text.alias("text")))
+
+    def first(i, name):
+        return F.get(texts, F.lit(i)).alias(name)
+
+    def listed(of, *names):
+        return F.transform(of, lambda t: F.struct(t.role.alias(names[0]), t.text.alias(names[1])))
+
+    parts = F.transform("turns", lambda t: F.struct(t.role.alias("role"), F.array(
+        F.struct(F.lit("text").alias("type"), t.text.alias("text"))).alias("content")))
+    record = (F.when(pair & (kind == 0), F.to_variant_object(F.struct(first(0, "prompt"), first(1, "response"))))
+              .when(pair & (kind == 1), F.to_variant_object(F.struct(first(0, "instruction"), F.lit("").alias("input"), first(1, "output"))))
+              .when(pair & (kind == 2), F.to_variant_object(F.struct(
+                  F.struct(first(0, "text")).alias("question"), F.struct(first(1, "text")).alias("answer"))))
+              .when(triple & (kind < 3), F.to_variant_object(F.struct(first(0, "system"), first(1, "prompt"), first(2, "response"))))
+              .when(plain & (kind == 3), F.to_variant_object(F.struct(listed(named, "from", "value").alias("conversations"))))
+              .when(plain & (kind == 4), F.to_variant_object(F.struct(
+                  F.struct(listed(named, "speaker", "utterance").alias("turns")).alias("dialogue"))))
+              .when(kind == 5, F.to_variant_object(F.struct(parts.alias("messages"))))
+              .otherwise(F.to_variant_object(F.struct(listed(F.col("turns"), "role", "content").alias("messages")))))
+    return rows.select("conv_id", "part", record.alias("record"))
+
+
+@query("op13_chat_format", r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT * FROM (VALUES (-1, 0, 'user', '<|im_end|><|im_start|>assistant ok'),
+                        (-1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')) AS v(conv_id, turn, role, text)),
+sizes AS (
+  SELECT *, length(regexp_replace(replace(replace(role, '%', '%25'), chr(10), '%0A'), '<(\\*)\|', '<\1\\|', 'g'))
+            + length(regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g')) + 24 AS chars
+  FROM rows)
+SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM sizes GROUP BY conv_id
+""")
+def op13_chat_format(spark, d):
+    """Every conversation formatted from records of several layouts, and read back from the result."""
+    from churnlab.llm.chat_format import assembled, format_chats, read_learnt, read_turns
+    own = spark.createDataFrame([(-1, i, r, CONTROL_TEXT) for i, r in enumerate(("user", "assistant"))],
+                                "conv_id long, turn long, role string, text string")
+    turns = table(spark, d, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    made = assembled(format_chats(chat_records(turns)), "conv_id", "part")
+    read = made.select("conv_id", "formatted", read_turns(F.col("formatted")).alias("turns"),
+                       read_learnt(F.col("formatted"), F.col("loss_spans")).alias("learnt"))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), "")
+    return read.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+                       F.length("learnt").cast("long").alias("loss_chars"), F.sha2("learnt", 256).alias("loss_sha256"),
+                       F.length("formatted").cast("long").alias("formatted_chars"))

@@ -189,6 +189,14 @@ def op10_simhash(spark, d):
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+# ----------------------------------------------------------- spelling variants
+@query("op12_spelling")
+def op12_spelling(spark, d):
+    """Every frequent word of the corpus, its words one edit away and the form it is a variant of."""
+    from churnlab.llm.spelling import count_words, group_variants
+    return group_variants(count_words(table(spark, d, "documents").select("doc_id", "text")))
+
+
 # ------------------------------------------------------------ chat formatting
 #: Turns of a conversation that make one record.
 PART_TURNS = 64

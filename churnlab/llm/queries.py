@@ -189,6 +189,19 @@ def op10_simhash(spark, d):
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+# ------------------------------------------------------------ token alignment
+BYTE_TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
+
+
+@query("op11_token_alignment")
+def op11_token_alignment(spark, d):
+    """Every document's tokens under two tokenizers, aligned, and its links rated by their corpus-wide counts."""
+    from churnlab.llm.align_tokens import rate_links
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return rate_links(docs, BYTE_TOKENIZER, TOKENIZER).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 # ----------------------------------------------------------- spelling variants
 @query("op12_spelling")
 def op12_spelling(spark, d):

@@ -36,6 +36,20 @@ def s1_stream_ingest(spark, d):
     return out.select(*SPEC.column_order)
 
 
+@query("s1_stream_recovery", W(SUBS_CTE, "SELECT * FROM subs"))
+def s1_stream_recovery(spark, d):
+    """Months in two files each, two of them delivered again.  The stream runs over a part of
+    the files, loses its checkpoint, runs again with another batch size, the sink is compacted, and the stream
+    loses its checkpoint once more: every row is there once."""
+    landing = _land_twice(spark, d)
+    sink = work_path(spark, "s1c-sink")
+    for files in (5, 2):
+        out = ST.stream_batches(spark, landing, _LANDED_SCHEMA, sink, work_path(spark, "s1c-ckpt"), max_files_per_trigger=files)
+    ST.compact_batches(spark, sink, T.StructType.fromDDL(f"{T.SUBS_SCHEMA}, {ST.DELIVERY} string"), key="c_custkey")
+    out = ST.stream_batches(spark, landing, _LANDED_SCHEMA, sink, work_path(spark, "s1c-ckpt"))
+    return out.select(*SPEC.column_order)
+
+
 def _deliver(df, root: str, delivery: int, files: int = 2) -> None:
     """Land ``files`` files for each month, one month after another."""
     for month in range(1, S.N_BATCHES + 1):
@@ -82,14 +96,14 @@ def s2_stream_drift(spark, d):
     return out.select("window_start", "n_events", "n_flagged", "rate")
 
 
-def _land_in_order(spark, d, files: int = 6):
+def _land_in_order(spark, d, files: int = 6, latest_first: bool = False):
     """The events in files of increasing time, landed one after another."""
     ev = T.load(spark, d, "events")
     sec = F.unix_seconds(ST.utc_instant(F.col("ts")))
     lo, hi = ev.agg(F.min(sec), F.max(sec)).first()
     part = F.least(F.floor((sec - lo) * files / (hi - lo + 1)), F.lit(files - 1))
     landing = work_path(spark, "events-in-order")
-    for i in range(files):
+    for i in sorted(range(files), reverse=latest_first):
         ev.where(part == i).coalesce(1).write.mode("append").parquet(landing)
     return ev, landing
 
@@ -111,6 +125,20 @@ def s2_stream_ordered(spark, d):
     return _ordered_rates(spark, d)[1].select("window_start", "n_events", "n_flagged", "rate")
 
 
+@query("s2_stream_deltas", W("x AS (SELECT 1)", f"""
+SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M') AS window_start, count(*) AS n_events,
+       count(*) FILTER (WHERE event_type = 'error') AS n_flagged,
+       {R("count(*) FILTER (WHERE event_type = 'error') / count(*)")} AS rate
+FROM events WHERE ts IS NOT NULL GROUP BY 1"""))
+def s2_stream_deltas(spark, d):
+    """The latest events first, two files a micro-batch, then compacted, then all again from a lost checkpoint."""
+    ev, landing = _land_in_order(spark, d, latest_first=True)
+    sink, flag = work_path(spark, "s2d-sink"), F.col("event_type") == "error"
+    ST.stream_window_deltas(spark, landing, ev.schema, sink, work_path(spark, "s2d-ckpt"), "ts", flag, max_files_per_trigger=2)
+    ST.compact_deltas(spark, sink)
+    return ST.stream_window_deltas(spark, landing, ev.schema, sink, work_path(spark, "s2d-ckpt"), "ts", flag)
+
+
 @query("s2_stream_dropped", "SELECT count(*) AS landed, count(*) AS counted, CAST(0 AS BIGINT) AS dropped "
                             "FROM events WHERE ts IS NOT NULL")
 def s2_stream_dropped(spark, d):

@@ -4,24 +4,29 @@ New monthly deliveries arrive as files in a landing folder.  Each stream
 uses a checkpoint below the shared checkpoint folder, so a restarted query
 picks up exactly the files it has not committed yet.
 
-A month may arrive in any number of files and micro-batches.  Sinks are
-partitioned by (month, delivery, micro-batch id): a micro-batch that is
-replayed after an executor or driver loss overwrites what it wrote itself and
-nothing else.  Replacing a month is a statement of the sender, not a side
-effect: a month that is delivered again lies under a ``delivery_N`` folder,
-and reading takes each month from its highest delivery.  Files without such
-a folder are delivery 0.
+Sinks are ledgers (:mod:`churnlab.sources.ledger`): what is in a sink is known
+by source file, not by micro-batch.  A month may arrive in any number of files
+and micro-batches; a replayed micro-batch, a lost checkpoint and another batch
+size add nothing twice.  Replacing a month is a statement of the sender, not a
+side effect: a month that is delivered again lies under a ``delivery_N``
+folder, and reading takes each month from its highest delivery.  Files without
+such a folder are delivery 0.  A file rewritten under its path replaces its rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import StructType
 
+from churnlab.sources.ledger import FILE, Ledger, file_columns, latest
 from churnlab.sources.tables import month_of_path
 
-DELIVERY, MICRO_BATCH = "_delivery", "_micro_batch"
+#: The column that tells a row's source file, hence its delivery; transforms must keep it.
+DELIVERY = FILE
+ENTRY = (("_month", "bigint"), ("_delivery", "bigint"))
 
 
 def _overwrite_partitions(df: DataFrame, path: str, *partition_cols: str) -> None:
@@ -31,7 +36,7 @@ def _overwrite_partitions(df: DataFrame, path: str, *partition_cols: str) -> Non
 
 def _file_source(spark: SparkSession, landing: str, schema: StructType | str, fmt: str,
                  max_files_per_trigger: int | None) -> DataFrame:
-    """Landed files with ``_delivery`` from their folder."""
+    """Landed files with ``batch_month`` and the ledger's columns of their file."""
     reader = spark.readStream.format(fmt).schema(schema).option("recursiveFileLookup", "true")
     if fmt == "csv":
         reader = (reader.option("header", "true").option("ignoreLeadingWhiteSpace", "false")
@@ -39,31 +44,38 @@ def _file_source(spark: SparkSession, landing: str, schema: StructType | str, fm
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     path = F.col("_metadata.file_path")
+    month = month_of_path(path).cast("bigint")
     delivery = F.coalesce(F.regexp_extract(path, r"^.*delivery_(\d+)", 1).try_cast("bigint"), F.lit(0))
-    return reader.load(landing).select("*", month_of_path(path).cast("bigint").alias("batch_month"),
-                                       delivery.cast("bigint").alias(DELIVERY))
+    return reader.load(landing).select("*", month.alias("batch_month"), *file_columns(), month.alias("_month"),
+                                       delivery.cast("bigint").alias("_delivery"))
+
+
+def _last_of_month(entries: DataFrame) -> DataFrame:
+    """The files of each month's highest delivery; without a month, of the highest of those."""
+    files = latest(entries)
+    last = files.groupBy(F.col("_month").alias("_m")).agg(F.max("_delivery").alias("_last"))
+    return files.join(last, F.col("_month").eqNullSafe(F.col("_m")) & (F.col("_delivery") == F.col("_last")))
 
 
-def _append_by_batch(src: DataFrame, sink: str, checkpoint: str, month_col: str) -> DataFrame:
-    """Run ``src`` into ``sink`` and return the rows of each month's last delivery."""
+def _into_ledger(src: DataFrame, ledger: Ledger, checkpoint: str, make: Callable[[DataFrame], DataFrame],
+                 partition_by: tuple[str, ...] = ()) -> StructType:
+    """Run ``src`` to its end, ``make`` of every micro-batch into the ledger; the rows' schema."""
+    entry = [c for c in ledger.names if c != FILE]
+
     def put(batch: DataFrame, batch_id: int) -> None:
-        _overwrite_partitions(batch.withColumn(MICRO_BATCH, F.lit(batch_id).cast("bigint")), sink,
-                              month_col, DELIVERY, MICRO_BATCH)
+        ledger.add(batch, lambda rows: make(rows.drop(*entry)), partition_by)
 
     q = (src.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return last_deliveries(src.sparkSession, sink, src.schema, month_col)
+    return make(src.drop(*entry)).schema
 
 
-def last_deliveries(spark: SparkSession, sink: str, schema: StructType, month_col: str = "batch_month") -> DataFrame:
+def last_deliveries(spark: SparkSession, sink: str, schema: StructType) -> DataFrame:
     """The sink as a batch table: each month from its highest delivery.  The
-    months' last deliveries are found from the partition values alone."""
-    stored = StructType(schema.fields).add(MICRO_BATCH, LongType())
-    rows = spark.read.schema(stored).parquet(sink)
-    last = rows.groupBy(F.col(month_col).alias("_m")).agg(F.max(DELIVERY).alias("_last"))
-    kept = rows.join(last, F.col(month_col).eqNullSafe(F.col("_m")) & (F.col(DELIVERY) == F.col("_last")))
-    return kept.select(*[c for c in schema.names if c != DELIVERY])
+    deliveries are known from the ledger alone."""
+    rows = Ledger(spark, sink, ENTRY).rows(schema, _last_of_month)
+    return rows.select(*[c for c in schema.names if c != DELIVERY])
 
 
 def stream_batches(spark: SparkSession, landing: str, schema: StructType | str, sink: str, checkpoint: str,
@@ -72,14 +84,23 @@ def stream_batches(spark: SparkSession, landing: str, schema: StructType | str,
     """Ingest every month file once (Trigger.AvailableNow).  The month
     comes from the last ``month_MM`` of the file path, the delivery from the
     last ``delivery_N`` (0 without).  However the files are spread over
-    micro-batches, every row of a month's last delivery is in the sink once.
-    Returns the sink as a batch table."""
+    micro-batches and checkpoints, every row of a month's last delivery is in
+    the sink once.  Returns the sink as a batch table."""
     src = _file_source(spark, landing, schema, fmt, max_files_per_trigger)
-    if month_col != "batch_month":
-        src = src.withColumnRenamed("batch_month", month_col)
-    if transform is not None:
-        src = transform(src)
-    return _append_by_batch(src, sink, checkpoint, month_col)
+
+    def make(rows):
+        rows = rows if month_col == "batch_month" else rows.withColumnRenamed("batch_month", month_col)
+        return rows if transform is None else transform(rows)
+
+    stored = _into_ledger(src, Ledger(spark, sink, ENTRY), checkpoint, make, (month_col,))
+    return last_deliveries(spark, sink, stored)
+
+
+def compact_batches(spark: SparkSession, sink: str, schema: StructType, month_col: str = "batch_month",
+                    key: str | None = None) -> int:
+    """Rewrite a sink of S1 or S3 (``schema`` as stored, with ``DELIVERY``) as
+    one part without replaced rows, within months sorted by ``key``."""
+    return Ledger(spark, sink, ENTRY).compact(schema, (month_col,), [month_col, *([key] if key else [])], _last_of_month)
 
 
 def utc_instant(c: Column) -> Column:
@@ -156,13 +177,65 @@ def dropped_rows(landed: DataFrame, rates: DataFrame) -> DataFrame:
         "landed", n.scalar().alias("counted"), (F.col("landed") - n.scalar()).alias("dropped"))
 
 
+# --------------------------------------------------- windowed rates, late rows
+DELTA = "window_start string, n_events bigint, n_flagged bigint"
+
+
+def stream_window_deltas(spark: SparkSession, landing: str, schema: StructType | str, sink: str, checkpoint: str,
+                         ts_col: str, flag: Column, window: str = "1 day", fmt: str = "parquet",
+                         max_files_per_trigger: int | None = None) -> DataFrame:
+    """S2 without a watermark: windowed rates that late rows correct.
+
+    A micro-batch leaves what its files add to each window, one delta per (file,
+    window), in a ledger; the rates are sums over the deltas of the files that
+    count.  There is no state and nothing is late: files may come in any order,
+    in any number of micro-batches, and a file that is rewritten replaces its
+    deltas.  Rows without a time belong to no window.  Returns the rates.
+    """
+    src = _file_source(spark, landing, schema, fmt, max_files_per_trigger)
+
+    def make(rows):
+        c = F.col(ts_col)
+        ts = utc_instant(c) if rows.schema[ts_col].dataType.typeName() == "timestamp_ntz" else c
+        timed = rows.withColumn("_ts", ts).where("_ts is not null")
+        return timed.groupBy(FILE, F.window("_ts", window).alias("w")).agg(
+            F.count(F.lit(1)).alias("n_events"), F.count_if(flag).alias("n_flagged")).select(
+            utc_label(F.col("w.start")).alias("window_start"), "n_events", "n_flagged", FILE)
+
+    _into_ledger(src, Ledger(spark, sink, ENTRY), checkpoint, make)
+    return window_totals(spark, sink)
+
+
+def window_totals(spark: SparkSession, sink: str) -> DataFrame:
+    """The rates that the deltas add up to."""
+    stored = StructType.fromDDL(f"{DELTA}, {FILE} string")
+    deltas = Ledger(spark, sink, ENTRY).rows(stored)
+    sums = deltas.groupBy("window_start").agg(F.sum("n_events").alias("n_events"), F.sum("n_flagged").alias("n_flagged"))
+    return sums.select("*", (F.round(F.col("n_flagged") / F.col("n_events"), 6) + F.lit(0.0)).alias("rate"))
+
+
+def compact_deltas(spark: SparkSession, sink: str) -> int:
+    """Rewrite the deltas that count as one part sorted by window."""
+    stored = StructType.fromDDL(f"{DELTA}, {FILE} string")
+    return Ledger(spark, sink, ENTRY).compact(stored, sort_by=["window_start"])
+
+
 def stream_score(spark: SparkSession, landing: str, schema: StructType | str, sink: str, checkpoint: str,
                  score_fn, fmt: str = "parquet", max_files_per_trigger: int | None = None) -> DataFrame:
     """S3: stateless preparation + scoring of every delivered row, into the
     same kind of sink as S1: a month that is delivered again replaces its
-    earlier scores instead of adding to them."""
+    earlier scores instead of adding to them.
+
+    ``score_fn`` is called for every micro-batch, so what it looks up (the
+    model in force, say) may change between micro-batches; its columns may not.
+    """
     src = _file_source(spark, landing, schema, fmt, max_files_per_trigger)
-    scored = score_fn(src)
-    if DELIVERY not in scored.columns:
-        raise ValueError(f"score_fn must keep {DELIVERY} and batch_month")
-    return _append_by_batch(scored, sink, checkpoint, "batch_month")
+
+    def make(rows):
+        scored = score_fn(rows)
+        if DELIVERY not in scored.columns or "batch_month" not in scored.columns:
+            raise ValueError(f"score_fn must keep {DELIVERY} and batch_month")
+        return scored
+
+    stored = _into_ledger(src, Ledger(spark, sink, ENTRY), checkpoint, make, ("batch_month",))
+    return last_deliveries(spark, sink, stored)

@@ -11,11 +11,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from churnlab import spec as S
+from churnlab.functions.columns import r6
 from churnlab.operators import cluster as K
+from churnlab.operators import lloyd as L
 from churnlab.operators.model import fit_order
 from churnlab.plans.q_prepare import FEATURES, fitted
 from churnlab.plans.registry import W, query
 from churnlab.plans.sql import SPLIT_CTE
+from churnlab.session import materialize
 from churnlab.sources import tables as T
 
 N_CENTRES = 4
@@ -224,3 +227,87 @@ def k3_assign_check(spark, d):
     used = near.agg(F.count_distinct("given").alias("n")).scalar()
     return near.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("given") != F.col("cluster")).alias("n_not_nearest")
                                      ).select("split", "n", used.alias("n_clusters"), "n_not_nearest")
+
+
+# ------------------------------------------------------------- deterministic k-means
+LLOYD_KS = range(2, 7)
+LLOYD_STEPS = 5
+
+
+def _seeded_runs(scaled: DataFrame) -> DataFrame:
+    """For every k the first k train rows in md5('42|key') order."""
+    seeds = subs_centres(scaled, max(LLOYD_KS))
+    runs = F.explode(F.lit(list(LLOYD_KS))).alias("run")
+    return seeds.select(runs, F.col("cid").cast("int").alias("cid"), "cv").where(F.col("cid") < F.col("run"))
+
+
+def _lloyd(spark, d):
+    scaled = subs_scaled(spark, d).withColumn("_vec", F.array(*FEATURES))
+    train = scaled.where(F.col("split") == "train")
+    return scaled, train, L.lloyd(train, "_vec", len(FEATURES), _seeded_runs(scaled), LLOYD_STEPS, tolerance=-1.0)
+
+
+def _lloyd_cte() -> str:
+    """Every step written out: centres, nearest centres, means."""
+    dist = ("list_reduce(list_transform(range(1, len(cv) + 1), lambda i: (x[i] - cv[i]) * (x[i] - cv[i])), "
+            "lambda a, b: a + b)")
+    means = ", ".join(f"round(avg(x[{i + 1}]), 9)" for i in range(len(FEATURES)))
+    ks = ", ".join(f"({k})" for k in LLOYD_KS)
+    sql = _SUBS_K + f""",
+pts AS MATERIALIZED (SELECT c_custkey, split, [{', '.join(f'CAST({c} AS DOUBLE)' for c in FEATURES)}] AS x FROM scaled),
+seed AS (SELECT * FROM (SELECT CAST(row_number() OVER (ORDER BY md5('42|' || CAST(c_custkey AS VARCHAR)), c_custkey) - 1
+                               AS INTEGER) AS cid, x AS cv FROM pts WHERE split = 'train') WHERE cid < {max(LLOYD_KS)}),
+c0 AS MATERIALIZED (SELECT CAST(run AS INTEGER) AS run, cid, cv FROM seed, (VALUES {ks}) AS t(run) WHERE cid < run)"""
+    for i in range(LLOYD_STEPS + 1):
+        sql += f""",
+a{i} AS MATERIALIZED (SELECT c_custkey, run, cid, d, x FROM (
+  SELECT c_custkey, x, run, cid, d, row_number() OVER (PARTITION BY c_custkey, run ORDER BY d, cid) AS rn
+  FROM (SELECT c_custkey, x, run, cid, round({dist}, 9) AS d FROM pts, c{i} WHERE split = 'train')) WHERE rn = 1),
+s{i} AS MATERIALIZED (SELECT run, cid, count(*) AS n, sum(d) AS inertia, [{means}] AS mean FROM a{i} GROUP BY run, cid),
+c{i + 1} AS MATERIALIZED (SELECT c.run, c.cid, coalesce(mean, cv) AS cv FROM c{i} c LEFT JOIN s{i} s ON c.run = s.run AND c.cid = s.cid)"""
+    return sql
+
+
+_LLOYD = _lloyd_cte()
+
+
+@query("k1_lloyd_steps", W(_LLOYD, "\nUNION ALL\n".join(
+    f"SELECT c.run AS k, {i} AS step, c.cid AS cluster, coalesce(n, 0) AS n, round(coalesce(inertia, 0.0), 6) + 0.0 AS inertia "
+    f"FROM c{i} c LEFT JOIN s{i} s ON c.run = s.run AND c.cid = s.cid" for i in range(LLOYD_STEPS + 1))))
+def k1_lloyd_steps(spark, d):
+    """Size and inertia of every cluster at every step, for each k of the elbow."""
+    steps = _lloyd(spark, d)[2].steps
+    return steps.select(F.col("run").alias("k"), "step", F.col("cid").alias("cluster"), "n", r6("inertia").alias("inertia"))
+
+
+@query("k2_silhouette_exact", W(_LLOYD + f""",
+pairs AS MATERIALIZED (
+  SELECT a.c_custkey AS i, b.c_custkey AS j, list_reduce(list_transform(range(1, len(a.x) + 1), lambda q: (a.x[q] - b.x[q]) * (a.x[q] - b.x[q])),
+         lambda u, v: u + v) AS d2 FROM pts a, pts b WHERE a.split = 'train' AND b.split = 'train' AND a.c_custkey <> b.c_custkey),
+lab AS MATERIALIZED (SELECT c_custkey, run, cid FROM a{LLOYD_STEPS}),
+away AS (SELECT li.run, p.i, li.cid AS own, lj.cid AS other, avg(d2) AS mean FROM pairs p
+         JOIN lab li ON li.c_custkey = p.i JOIN lab lj ON lj.c_custkey = p.j AND lj.run = li.run GROUP BY 1, 2, 3, 4),
+ab AS (SELECT run, i, max(mean) FILTER (own = other) AS a, min(mean) FILTER (own <> other) AS b FROM away GROUP BY run, i),
+sil AS (SELECT l.run, count(*) AS n, avg(CASE WHEN a IS NULL OR b IS NULL OR greatest(a, b) = 0 THEN 0.0 ELSE (b - a) / greatest(a, b) END) AS s
+        FROM lab l LEFT JOIN ab ON ab.run = l.run AND ab.i = l.c_custkey GROUP BY l.run)""", """
+SELECT run AS k, n, round(s, 6) + 0.0 AS silhouette,
+       run = (SELECT run FROM sil ORDER BY round(s, 9) DESC, run LIMIT 1) AS chosen FROM sil"""))
+def k2_silhouette_exact(spark, d):
+    """Silhouette of the clusters of each k, and the k that it chooses; the twin averages over all pairs of rows."""
+    _, train, fit = _lloyd(spark, d)
+    res = materialize(L.silhouette(train, "_vec", len(FEATURES), fit.centres), "silhouette")
+    best = res.agg(F.min_by("run", F.struct(-F.round("silhouette", 9), F.col("run"))).alias("_best"))
+    return res.select(F.col("run").alias("k"), "n", r6("silhouette").alias("silhouette"), (F.col("run") == best.scalar()).alias("chosen"))
+
+
+@query("k3_lloyd_assign", W(_LLOYD, f"""
+SELECT c_custkey, cid AS cluster, d AS distance FROM (
+  SELECT c_custkey, cid, d, row_number() OVER (PARTITION BY c_custkey ORDER BY d, cid) AS rn FROM (
+    SELECT c_custkey, cid, round(list_reduce(list_transform(range(1, len(cv) + 1), lambda i: (x[i] - cv[i]) * (x[i] - cv[i])),
+                                             lambda a, b: a + b), 6) + 0.0 AS d
+    FROM pts, c{LLOYD_STEPS} WHERE run = {N_CENTRES})) WHERE rn = 1"""))
+def k3_lloyd_assign(spark, d):
+    """Every row, train and test, with its cluster after the last step."""
+    scaled, _, fit = _lloyd(spark, d)
+    near = K.nearest_center(scaled, "_vec", fit.centres.where(F.col("run") == N_CENTRES), decimals=6)
+    return near.select("c_custkey", "cluster", F.col("distance"))

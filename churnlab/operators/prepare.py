@@ -107,16 +107,24 @@ def encode_sparse(df: DataFrame, cols: Sequence[str], table: DataFrame, key: str
     return hit.groupBy(key).agg(F.sort_array(F.collect_list("index")).alias("indices"))
 
 
-def fit_one_hot(df: DataFrame, cols: Sequence[str]) -> dict:
+#: Indicator columns that a dense one-hot may have in all.
+MAX_INDICATORS = 10_000
+
+
+def fit_one_hot(df: DataFrame, cols: Sequence[str], limit: int = MAX_INDICATORS) -> dict:
     """D6 fit: sorted non-null categories of every nominal column in ONE pass
     (unpivot + distinct).  They become output columns, so they are read on
-    the driver; for columns too wide for that, :func:`category_table`."""
+    the driver; with more than ``limit`` of them the fit fails and names the way
+    for wide columns, :mod:`churnlab.operators.wide`."""
     if not cols:
         return {}
     long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
                                          for c in cols])))
     cats: dict[str, list] = {c: [] for c in cols}
-    for r in long.where(F.col("value").isNotNull()).distinct().collect():
+    rows = long.where(F.col("value").isNotNull()).distinct().limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} categories in {', '.join(cols)}: use WideOneHot for wide columns")
+    for r in rows:
         cats[r["column"]].append(r["value"])
     for v in cats.values():
         v.sort()
@@ -270,6 +278,8 @@ class PrepareModel:
     categories: dict
     feature_names: list
     scale_stats: dict = field(default_factory=dict)
+    #: what binary values other than the declared two become (see :func:`encode_binary`)
+    handle_unknown: str = "zero"
 
     def encoded_columns(self, df: DataFrame) -> list[Column]:
         sp = self.spec
@@ -283,13 +293,19 @@ class PrepareModel:
             elif c in sp.flags:
                 cols.append(F.col(c).cast("double").alias(c))
             elif c in sp.binary:
-                cols.append(encode_binary(c, sp.binary[c]).cast("double").alias(c))
+                cols.append(self._binary(c).cast("double").alias(c))
             elif c in sp.ordinal:
                 cols.append(encode_ordinal(c, sp.ordinal[c]).cast("double").alias(c))
             elif c in sp.tristate:
                 cols.append(collapse_service(c, sp.tristate[c]).cast("double").alias(c))
         return cols + one_hot_columns(self.categories, self._taken())
 
+    def _binary(self, c: str) -> Column:
+        positive, negative = self.spec.binary[c], self.spec.binary_negative.get(c)
+        if self.handle_unknown != "zero" and negative is None:
+            raise ValueError(f"binary column {c} has no declared negative value")
+        return encode_binary(c, positive, negative, self.handle_unknown)
+
     def _taken(self) -> list[str]:
         """Names the indicators must not take."""
         return [self.spec.id_col, "label", *self.spec.single_features]
@@ -309,7 +325,8 @@ class PrepareModel:
 
     def to_json(self) -> str:
         return json.dumps({"categories": self.categories, "feature_names": self.feature_names,
-                           "scale_stats": {k: list(v) for k, v in self.scale_stats.items()}})
+                           "scale_stats": {k: list(v) for k, v in self.scale_stats.items()},
+                           "handle_unknown": self.handle_unknown})
 
     def save(self, spark: SparkSession, path: str) -> str:
         """A5: stored as one JSON text file through Spark, so any shared FS works."""
@@ -318,15 +335,21 @@ class PrepareModel:
 
     @classmethod
     def load(cls, spark: SparkSession, path: str, spec: S.FeatureSpec) -> "PrepareModel":
-        d = json.loads(spark.read.text(path).first()[0])
-        return cls(spec, d["categories"], d["feature_names"], {k: tuple(v) for k, v in d["scale_stats"].items()})
+        return cls.from_json(spec, spark.read.text(path).first()[0])
+
+    @classmethod
+    def from_json(cls, spec: S.FeatureSpec, text: str) -> "PrepareModel":
+        d = json.loads(text)
+        return cls(spec, d["categories"], d["feature_names"], {k: tuple(v) for k, v in d["scale_stats"].items()},
+                   d.get("handle_unknown", "zero"))
 
 
 def fit_prepare(df: DataFrame, spec: S.FeatureSpec, scale: Sequence[str] | None = None,
-                scale_all: bool = False) -> PrepareModel:
-    """D14 fit on the (training) rows: categories, feature list, scaler."""
+                scale_all: bool = False, handle_unknown: str = "zero") -> PrepareModel:
+    """D14 fit on the (training) rows: categories, feature list, scaler.
+    ``handle_unknown`` is kept by the model for its binary columns (D4)."""
     cats = fit_one_hot(df, spec.nominal)
-    model = PrepareModel(spec, cats, [])
+    model = PrepareModel(spec, cats, [], handle_unknown=handle_unknown)
     model.feature_names = names = [*spec.single_features, *one_hot_names(cats, model._taken()).values()]
     cols = names if scale_all else list(scale if scale is not None else spec.numeric)
     if cols:
@@ -360,22 +383,26 @@ class _PrepareParams(Params):
                      typeConverter=TypeConverters.toBoolean)
     keepCols = Param(Params._dummy(), "keepCols", "extra input columns passed through",
                      typeConverter=TypeConverters.toListString)
+    handleUnknown = Param(Params._dummy(), "handleUnknown", "what other values of binary columns become: zero, null or error",
+                          typeConverter=TypeConverters.toString)
 
 
 class ChurnPrepare(Estimator, _PrepareParams, DefaultParamsReadable, DefaultParamsWritable):
     """D14 as a Spark ML Estimator: fit = :func:`fit_prepare` on the rows it
     is given (the training split), producing a :class:`ChurnPrepareModel`."""
 
-    def __init__(self, specJson: str | None = None, scaleAll: bool = False, keepCols: list | None = None):
+    def __init__(self, specJson: str | None = None, scaleAll: bool = False, keepCols: list | None = None,
+                 handleUnknown: str = "zero"):
         super().__init__()
-        self._setDefault(scaleAll=False, keepCols=[])
+        self._setDefault(scaleAll=False, keepCols=[], handleUnknown="zero")
         if specJson is not None:
             self._set(specJson=specJson)
-        self._set(scaleAll=scaleAll, keepCols=list(keepCols or []))
+        self._set(scaleAll=scaleAll, keepCols=list(keepCols or []), handleUnknown=handleUnknown)
 
     def _fit(self, dataset: DataFrame) -> "ChurnPrepareModel":
         spec = spec_from_json(self.getOrDefault(self.specJson))
-        fitted = fit_prepare(dataset, spec, scale_all=self.getOrDefault(self.scaleAll))
+        fitted = fit_prepare(dataset, spec, scale_all=self.getOrDefault(self.scaleAll),
+                             handle_unknown=self.getOrDefault(self.handleUnknown))
         return ChurnPrepareModel(specJson=self.getOrDefault(self.specJson), modelJson=fitted.to_json(),
                                  keepCols=self.getOrDefault(self.keepCols))
 
@@ -398,9 +425,7 @@ class ChurnPrepareModel(Model, _PrepareParams, DefaultParamsReadable, DefaultPar
 
     def prepare_model(self) -> PrepareModel:
         spec = spec_from_json(self.getOrDefault(self.specJson))
-        d = json.loads(self.getOrDefault(self.modelJson))
-        return PrepareModel(spec, d["categories"], d["feature_names"],
-                            {k: tuple(v) for k, v in d["scale_stats"].items()})
+        return PrepareModel.from_json(spec, self.getOrDefault(self.modelJson))
 
     @property
     def feature_names(self) -> list:

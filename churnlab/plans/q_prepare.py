@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlab.functions.columns import r6
 from churnlab.operators import prepare as D
 from churnlab.operators import profile as P
+from churnlab.operators import wide as X
 from churnlab.plans.registry import NUM_RE, SPEC, SUBS_CTE, R, W, query, subs
 from churnlab.plans.sql import ENC_CTE, RAW_SPLIT_CTE, SPLIT_CTE
+from churnlab.session import work_path
+from churnlab.sources import tables as T
+from churnlab.streaming import monthly as ST
 
 FEATURES = ("tenure", "total_spend", "monthly_spend", "high_balance", "in_debt", "commitment", "urgent_user",
             "bulk_buyer", "segment_AUTOMOBILE", "segment_BUILDING", "segment_FURNITURE", "segment_HOUSEHOLD",
@@ -118,6 +124,18 @@ def d4_binary_unknown(spark, d):
     return subs(spark, d).select("c_custkey", D.encode_binary("urgent_user", "Yes", "No", "null").alias("urgent_user"))
 
 
+@query("d4_prepared_unknown", W(SUBS_CTE, """
+SELECT c_custkey, CAST(CASE urgent_user WHEN 'Yes' THEN 1 WHEN 'No' THEN 0 END AS DOUBLE) AS urgent_user,
+       CAST(CASE in_debt WHEN 'Yes' THEN 1 WHEN 'No' THEN 0 END AS DOUBLE) AS in_debt FROM subs"""))
+def d4_prepared_unknown(spark, d):
+    """A fitted preparation, saved and loaded, that keeps what it does not know apart."""
+    spec = replace(SPEC, binary={"in_debt": "Yes", "urgent_user": "Yes"}, binary_negative={"in_debt": "No", "urgent_user": "No"},
+                   tristate={"bulk_buyer": "Yes"})
+    s = subs(spark, d)
+    path = D.fit_prepare(s, spec, scale=(), handle_unknown="null").save(spark, work_path(spark, "d4-prepare"))
+    return D.PrepareModel.load(spark, path, spec).encode(s).select("c_custkey", "urgent_user", "in_debt")
+
+
 @query("d5_ordinal", W(SUBS_CTE, """
 SELECT c_custkey, CASE commitment WHEN 'Low' THEN 0 WHEN 'Mid' THEN 1 WHEN 'High' THEN 2 ELSE 0 END AS commitment
 FROM subs"""))
@@ -150,6 +168,28 @@ def d6_sparse(spark, d):
     return wide.select("c_custkey", F.array_join(F.transform("indices", lambda i: i.cast("string")), ",").alias("indices"))
 
 
+_WIDE = ("total_spend", "segment")
+
+
+@query("d6_wide_stream", W(RAW_SPLIT_CTE + "".join(f""",
+w_{c} AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS i FROM (
+  SELECT DISTINCT {c} AS v FROM split WHERE split = 'train' AND {c} IS NOT NULL))""" for c in _WIDE),
+    "SELECT s.c_custkey, " + ", ".join(f"coalesce(w_{c}.i, (SELECT count(*) FROM w_{c})) AS {c}_index" for c in _WIDE)
+    + " FROM split s " + " ".join(f"LEFT JOIN w_{c} ON w_{c}.v = s.{c}" for c in _WIDE)))
+def d6_wide_stream(spark, d):
+    """Wide columns (a category per amount spent): fitted on the train rows, saved, loaded and applied to
+    the stream of monthly deliveries."""
+    model = X.WideOneHot(_WIDE).fit(split_subs(spark, d).where(F.col("split") == "train"))
+    path = work_path(spark, "d6-wide")
+    model.save(path)
+    loaded = X.WideOneHotModel.load(path)
+    landing = T.write_batch_files(subs(spark, d), work_path(spark, "d6-landing"), "batch_month", fmt="parquet")
+    schema = ", ".join(x for x in T.SUBS_SCHEMA.split(", ") if not x.startswith("batch_month"))
+    out = ST.stream_batches(spark, landing, schema, work_path(spark, "d6-sink"), work_path(spark, "d6-ckpt"),
+                            transform=loaded.transform, max_files_per_trigger=4)
+    return out.select("c_custkey", *[F.col(c + X.INDEX).cast("long").alias(f"{c}_index") for c in _WIDE])
+
+
 @query("d7_collapse", W(SUBS_CTE, """
 SELECT c_custkey, CAST(coalesce(urgent_user = 'Yes', false) AS INTEGER) AS urgent_user,
        CAST(coalesce(bulk_buyer = 'Yes', false) AS INTEGER) AS bulk_buyer FROM subs"""))

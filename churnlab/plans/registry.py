@@ -13,10 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlab import spec as S
-from churnlab.functions.columns import coerce_numeric, cut
+from churnlab.functions.columns import coerce_numeric, cut, r6
+from churnlab.functions.prefix import exact_quantiles
 from churnlab.operators import explore as E
 from churnlab.operators import profile as P
 from churnlab.plans.sql import NUM_RE, SUBS_CTE
+from churnlab.session import materialize
 from churnlab.sources import tables as T
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,6 +136,24 @@ def b2_columns(spark, d):
     return P.column_report(subs(spark, d), SPEC)
 
 
+#: Columns with few and with many values.
+_SKETCHED = ("c_custkey", "tenure", "total_spend", "monthly_spend", "commitment", "segment")
+
+
+@query("b2_sketch_merge", W(SUBS_CTE, "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column, count({c}) AS non_null, count(DISTINCT {c}) AS n_distinct, true AS within_bound FROM subs"
+    for c in _SKETCHED)))
+def b2_sketch_merge(spark, d):
+    """Distinct counts from sketches kept per month and merged, beside the exact ones: within four
+    standard errors of 1.04 / 2**7."""
+    s = subs(spark, d)
+    kept = materialize(P.distinct_sketches(s, _SKETCHED, ["batch_month"]), "distinct-sketches")
+    merged = P.merged_distinct(kept).select(F.col("column").alias("c"), "non_null", F.col("n_distinct").alias("estimate"))
+    exact = P.column_report(s.select(*_SKETCHED), SPEC).select("column", "n_distinct")
+    return exact.join(merged, F.col("column") == F.col("c")).select("column", "non_null", "n_distinct", (
+        F.abs(F.col("estimate") - F.col("n_distinct")) <= 4 * 1.04 / 2 ** 7 * F.col("n_distinct")).alias("within_bound"))
+
+
 @query("b3_preview", W(SUBS_CTE, "SELECT * FROM subs ORDER BY c_custkey LIMIT 5"))
 def b3_preview(spark, d):
     return P.preview(subs(spark, d), SPEC)
@@ -155,6 +175,32 @@ def b4_describe(spark, d):
     return P.describe_numeric(subs_num(spark, d), _NUM)
 
 
+_PROBS = (0.05, 0.25, 0.5, 0.75, 0.95)
+
+
+@query("b4_sketch_merge", W(SUBS_NUM_CTE, "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column, CAST({q} AS DOUBLE) AS q, count({c}) AS count, {R(f'quantile_cont({c}, {q})')} AS exact, "
+    "true AS within_bound FROM subs_num" for c in _NUM for q in _PROBS)))
+def b4_sketch_merge(spark, d):
+    """Quantiles from sketches kept per month and merged, beside the exact ones: the rank of the
+    sketch's value lies within the stated error (doubled) of the rank asked for."""
+    s = materialize(subs_num(spark, d).select(*_NUM, "batch_month"), "sketched")
+    kept = materialize(P.quantile_sketches(s, _NUM, ["batch_month"]), "quantile-sketches")
+    merged = materialize(P.merged_quantiles(kept, _PROBS), "merged-quantiles")
+    long = s.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in _NUM])))
+    held = long.groupBy("column", "x").agg(F.count(F.lit(1)).alias("n")).where("x is not null")
+    at = merged.select(F.col("column").alias("c"), "q", "count", "value")
+    rank = held.join(at, F.col("column") == F.col("c")).groupBy("c", "q", "count").agg(
+        (F.sum(F.when(F.col("x") < F.col("value"), F.col("n")).otherwise(0)) / F.col("count")).alias("below"),
+        (F.sum(F.when(F.col("x") <= F.col("value"), F.col("n")).otherwise(0)) / F.col("count")).alias("upto"))
+    error = 2 * P.rank_error()
+    exact = exact_quantiles(long, "x", _PROBS, ["column"]).select("column", F.inline(F.array(*[
+        F.struct(F.lit(p).alias("p"), F.col(f"q_{i}").alias("exact")) for i, p in enumerate(_PROBS)])))
+    return rank.join(exact, (F.col("column") == F.col("c")) & (F.col("q") == F.col("p"))).select(
+        "column", "q", "count", r6("exact").alias("exact"),
+        ((F.col("below") <= F.col("q") + error) & (F.col("upto") >= F.col("q") - error)).alias("within_bound"))
+
+
 @query("b5_value_counts", W(SUBS_CTE, f"""
 SELECT commitment AS value, count(*) AS n, {R('count(*) / sum(count(*)) OVER ()')} AS share,
        row_number() OVER (ORDER BY count(*) DESC, commitment) AS freq_rank

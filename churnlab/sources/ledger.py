@@ -46,16 +46,12 @@ class Moved(RuntimeError):
     """Another commit took the number."""
 
 
-class Ledger:
-    """``extra`` names further columns of a file that the entries keep (its month, say)."""
+class Log:
+    """Numbered entries below ``root/log``, each published by one rename that fails if the number is taken."""
 
-    def __init__(self, spark: SparkSession, root: str, extra: Sequence[tuple[str, str]] = ()):
+    def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        self.names = [FILE, "_path", "_length", "_modified", *(n for n, _ in extra)]
-        self.entry = StructType.fromDDL(f"{FILE} string, _path string, _length bigint, _modified timestamp, " + "".join(
-            f"{n} {t}, " for n, t in extra) + "part string")
 
-    # ------------------------------------------------------------- file system
     def _context(self):
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         path = jvm.org.apache.hadoop.fs.Path
@@ -70,19 +66,33 @@ class Ledger:
         numbers = [int(n.split(".")[0]) for n in names]
         return max(numbers, default=0), max((int(n[:-4]) for n in names if n.endswith(".all")), default=0)
 
-    def _publish(self, entries: DataFrame, name: str) -> None:
+    def _rename(self, staged: str, target: str) -> None:
+        """Move a folder to a place that must be free; :class:`Moved` if it is not."""
         path, fs, context = self._context()
-        staged = f"{self.root}/staged/{uuid.uuid4().hex}"
-        entries.write.parquet(staged)
-        fs.mkdirs(path(f"{self.root}/log"))
+        fs.mkdirs(path(target).getParent())
         none = self.spark.sparkContext._gateway.new_array(self.spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
         try:
-            context.rename(path(staged), path(f"{self.root}/log/{name}"), none)
+            context.rename(path(staged), path(target), none)
         except Exception as e:  # py4j wraps the file system's exception
             if "FileAlreadyExists" in str(e):
-                raise Moved(name) from e
+                raise Moved(target) from e
             raise
 
+    def _publish(self, entries: DataFrame, name: str) -> None:
+        staged = f"{self.root}/staged/{uuid.uuid4().hex}"
+        entries.write.parquet(staged)
+        self._rename(staged, f"{self.root}/log/{name}")
+
+
+class Ledger(Log):
+    """``extra`` names further columns of a file that the entries keep (its month, say)."""
+
+    def __init__(self, spark: SparkSession, root: str, extra: Sequence[tuple[str, str]] = ()):
+        super().__init__(spark, root)
+        self.names = [FILE, "_path", "_length", "_modified", *(n for n, _ in extra)]
+        self.entry = StructType.fromDDL(f"{FILE} string, _path string, _length bigint, _modified timestamp, " + "".join(
+            f"{n} {t}, " for n, t in extra) + "part string")
+
     # ------------------------------------------------------------------ reading
     def entries(self) -> DataFrame:
         """One row per file in the table, with the part that holds its rows."""

@@ -62,6 +62,7 @@ class FeatureSpec:
     fill_zero: tuple[str, ...] = ()             # structural nulls -> 0
     flags: tuple[str, ...] = ()                 # already 0/1 integers
     binary: dict = field(default_factory=dict)  # column -> value encoded as 1
+    binary_negative: dict = field(default_factory=dict)  # column -> value encoded as 0, where unknown values are kept apart
     ordinal: dict = field(default_factory=dict)  # column -> levels in rank order
     nominal: tuple[str, ...] = ()               # one-hot encoded
     tristate: dict = field(default_factory=dict)  # column -> value encoded as 1

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Plain decimal or scientific number with optional sign; anything else
@@ -63,3 +63,16 @@ def bands(rate, mid: float, high: float, names=("low", "mid", "high")) -> Column
     """'high' above ``high``, 'mid' above ``mid``, else 'low'."""
     r = col_(rate)
     return F.when(r > high, names[2]).when(r > mid, names[1]).otherwise(names[0])
+
+
+def join_groups(left: DataFrame, right: DataFrame, groups: Sequence[str], plain: Sequence[str] = (),
+                how: str = "inner") -> DataFrame:
+    """Join on ``groups``, where a null is a group like any other, and on ``plain``
+    columns; the columns of ``right`` come without the keys."""
+    keys = [*groups, *plain]
+    names = {k: f"_on_{i}" for i, k in enumerate(keys)}
+    renamed = right.select(*[F.col(k).alias(names[k]) for k in keys], *[c for c in right.columns if c not in names])
+    on = F.lit(True)
+    for k in keys:
+        on = on & (F.col(k).eqNullSafe(F.col(names[k])) if k in groups else F.col(k) == F.col(names[k]))
+    return left.join(renamed, on, how).drop(*names.values())

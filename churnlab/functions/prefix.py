@@ -25,6 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from churnlab.functions.columns import join_groups
 from churnlab.session import ensure_checkpoint_dir
 
 
@@ -35,7 +36,8 @@ def ordered_prefix(units: DataFrame, order_cols: Sequence[str], sum_cols: Sequen
     """Add ``before_<c>``: sum of ``c`` over earlier rows of the same group.
 
     Rows must be unique in (group, order) for a strict order; ties in the
-    order columns are broken arbitrarily but consistently.  ``keep_bucket``
+    order columns are broken arbitrarily but consistently; a null group is a
+    group like any other.  ``keep_bucket``
     also returns the bucket ``_bucket`` of every row.
 
     ``bucket`` may give the bucket as a deterministic expression that is
@@ -62,7 +64,7 @@ def ordered_prefix(units: DataFrame, order_cols: Sequence[str], sum_cols: Sequen
                               for c in sum_cols])
     w_in = (Window.partitionBy(*group_cols, "_bucket").orderBy(*order_cols)
             .rowsBetween(Window.unboundedPreceding, -1))
-    joined = bucketed.join(offsets, on=[*group_cols, "_bucket"], how="inner")
+    joined = join_groups(bucketed, offsets, group_cols, ["_bucket"])
     return joined.select(
         *units.columns, *(["_bucket"] if keep_bucket else []),
         *[(F.col(f"_off_{c}") + F.coalesce(F.sum(c).over(w_in), F.lit(0))).alias(prefix + c)
@@ -127,7 +129,7 @@ def exact_quantiles(long: DataFrame, value_col: str, probs: Sequence[float],
              F.col("before__c") <= F.col("_pos"), F.col("_pos") < F.col("before__c") + F.col("_c")]))
         picks.append(j.select(*[F.col(t_names[g]).alias(g) for g in group_cols], "_qi", "_frac", "n",
                               F.col(value_col).alias("_v" + side)))
-    both = picks[0].join(picks[1].drop("_frac", "n"), on=[*group_cols, "_qi"], how="inner")
+    both = join_groups(picks[0], picks[1].drop("_frac", "n"), group_cols, ["_qi"])
     q = both.select(*group_cols, "n", "_qi",
                     (F.col("_v_lo") + (F.col("_v_hi") - F.col("_v_lo")) * F.col("_frac")).alias("_q"))
     return q.groupBy(*group_cols).agg(

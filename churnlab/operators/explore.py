@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlab import spec as S
-from churnlab.functions.columns import bands, cut, full
+from churnlab.functions.columns import bands, cut, full, join_groups
 from churnlab.functions.prefix import exact_quantiles
 from churnlab.functions.ranking import group_row_number
 from churnlab.operators.profile import attach_scalars
@@ -29,7 +29,7 @@ def histogram(df: DataFrame, col: str, by: str | None = None, bins: int = S.FEAT
 
     Bin of x = min(floor((x - lo) / (hi - lo) * bins), bins - 1).  A group
     with a single distinct value uses [x - 0.5, x + 0.5].  Density is
-    n / (N * width).  Pass 1 aggregates the ranges (one row per group), pass 2
+    n / (N * width).  A null group is a group; null values are left out.  Pass 1 aggregates the ranges (one row per group), pass 2
     bins with plain arithmetic and aggregates per (group, bin).
     """
     g = [by] if by else []
@@ -47,12 +47,12 @@ def histogram(df: DataFrame, col: str, by: str | None = None, bins: int = S.FEAT
     # one row per group: Spark broadcasts the group table when it is small and
     # splits skewed groups when it is not
     rng = materialize(rng, "histogram-ranges")
-    binned = data.join(rng, on=g, how="inner") if g else attach_scalars(data, rng)
+    binned = join_groups(data, rng, g) if g else attach_scalars(data, rng)
     b = F.least(F.floor((F.col("_x") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * bins),
                 F.lit(bins - 1)).cast("int")
     counts = binned.groupBy(*g, b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     grid = rng.select(*g, "_N", "_lo", "_hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    out = grid.join(counts, on=[*g, "bin"], how="left").fillna(0, subset=["n"])
+    out = join_groups(grid, counts, g, ["bin"], "left").fillna(0, subset=["n"])
     width = (F.col("_hi") - F.col("_lo")) / bins
     cols = [*g, "bin", full(F.col("_lo") + F.col("bin") * width).alias("bin_lo"),
             full(F.col("_lo") + (F.col("bin") + 1) * width).alias("bin_hi"), F.col("n").cast("long").alias("n")]
@@ -70,7 +70,7 @@ def box_stats(df: DataFrame, col: str, by: str) -> DataFrame:
     lo_f = F.col("q1") - 1.5 * F.col("iqr")
     hi_f = F.col("q3") + 1.5 * F.col("iqr")
     # one row per group: broadcast when small, skewed groups split when not
-    j = long.join(materialize(q, "box-quartiles"), on=by, how="inner")
+    j = join_groups(long, materialize(q, "box-quartiles"), [by])
     return j.groupBy(by).agg(
         *[full(F.first(c)).alias(c) for c in ("q1", "median", "q3", "iqr")],
         full(F.min(F.when(F.col("x") >= lo_f, F.col("x")))).alias("whisker_low"),

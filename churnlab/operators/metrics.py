@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlab import spec as S
-from churnlab.functions.columns import cut, full
+from churnlab.functions.columns import cut, full, join_groups
 from churnlab.functions.prefix import ordered_prefix
 from churnlab.operators.explore import histogram
 from churnlab.operators.profile import attach_scalars
@@ -87,14 +87,26 @@ def classification_report(df: DataFrame, label_col: str = "label", pred_col: str
             ratio(f1_0 * s0 + f1_1 * s1, n), n))))
 
 
+def unscored(df: DataFrame, label_col: str = "label", score_col: str = "score") -> DataFrame:
+    """One row: rows in all, and rows without a score or without a 0/1 label, which the ranking
+    measures (AUC, ROC, precision-recall) leave out."""
+    return df.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(score_col).isNull()).alias("n_no_score"),
+                  F.count_if(~F.coalesce(F.col(label_col).isin(0, 1), F.lit(False))).alias("n_no_label"))
+
+
+def _ranked_rows(df: DataFrame, label_col: str, score_col: str) -> DataFrame:
+    return df.where(F.col(score_col).isNotNull() & F.col(label_col).isin(0, 1))
+
+
 def _score_units(df: DataFrame, label_col: str, score_col: str) -> DataFrame:
     y = F.col(label_col)
-    return df.groupBy(F.col(score_col).cast("double").alias("threshold")).agg(
+    return _ranked_rows(df, label_col, score_col).groupBy(F.col(score_col).cast("double").alias("threshold")).agg(
         F.count_if(y == 0).alias("n0"), F.count_if(y == 1).alias("n1"), F.lit(1).alias("one"))
 
 
 def roc_auc(df: DataFrame, label_col: str = "label", score_col: str = "score") -> DataFrame:
-    """exact ROC AUC = P(score_pos > score_neg) + 0.5 P(equal)."""
+    """exact ROC AUC = P(score_pos > score_neg) + 0.5 P(equal), of the rows that have a
+    score and a label (:func:`unscored` counts the others)."""
     pref = ordered_prefix(_score_units(df, label_col, score_col), ["threshold"], ["n0"])
     agg = pref.agg(F.sum(F.col("n1") * (F.col("before_n0").cast("double") + 0.5 * F.col("n0"))).alias("_s"),
                    F.sum("n0").alias("_n0"), F.sum("n1").alias("_n1"))
@@ -182,7 +194,7 @@ def grouped_evaluate(df: DataFrame, group_cols, label_col: str = "label", score_
                                      F.count_if((y == 0) & (p == 1)).alias("fp"),
                                      F.count_if((y == 1) & (p == 0)).alias("fn"),
                                      F.count_if((y == 1) & (p == 1)).alias("tp"))
-    units = df.groupBy(*groups, F.col(score_col).cast("double").alias("threshold")).agg(
+    units = _ranked_rows(df, label_col, score_col).groupBy(*groups, F.col(score_col).cast("double").alias("threshold")).agg(
         F.count_if(y == 0).alias("n0"), F.count_if(y == 1).alias("n1"))
     pref = ordered_prefix(units, ["threshold"], ["n0"], groups)
     auc = pref.groupBy(*groups).agg(
@@ -190,7 +202,7 @@ def grouped_evaluate(df: DataFrame, group_cols, label_col: str = "label", score_
         F.sum("n0").alias("_n0"), F.sum("n1").alias("_n1"))
     den = F.col("_n0").cast("double") * F.col("_n1")
     n = F.col("tp") + F.col("tn") + F.col("fp") + F.col("fn")
-    return conf.join(auc, on=groups, how="left").select(
+    return join_groups(conf, auc, groups, how="left").select(
         *groups, full(_f1(F.col("tp"), F.col("fp"), F.col("fn"))).alias("f1"),
         full(F.when(den > 0, F.col("_s") / den)).alias("auc"), full((F.col("tp") + F.col("tn")) / n).alias("accuracy"))
 

@@ -9,8 +9,10 @@ encoded base (no growing union lineage) followed by distributed fits.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.clustering import KMeans
@@ -23,7 +25,7 @@ from churnlab import spec as S
 from churnlab.operators import metrics as M
 from churnlab.operators import prepare as D
 from churnlab.operators.retrain import as_history, evaluation_sets, select_model
-from churnlab.session import materialize
+from churnlab.sources.models import FitStore, ModelRegistry, Version, digests_by, input_columns, rows_digest
 
 
 def forest_pipeline(feature_names: Sequence[str], params: dict | None = None,
@@ -127,56 +129,145 @@ def forest_summary(model: PipelineModel) -> DataFrame:
                                  "num_trees int, max_depth int, total_nodes int, n_features int")
 
 
-def save_models(prep: D.PrepareModel, forest: PipelineModel, path: str) -> str:
+def save_models(prep: D.PrepareModel, forest: PipelineModel, path: str, spark: SparkSession | None = None) -> str:
     """A5: preparation constants + forest below one folder on shared storage."""
-    spark = SparkSession.getActiveSession()
-    prep.save(spark, f"{path}/prepare")
+    prep.save(spark or SparkSession.getActiveSession(), f"{path}/prepare")
     forest.write().overwrite().save(f"{path}/forest")
     return path
 
 
-def load_models(path: str, spec: S.FeatureSpec):
-    spark = SparkSession.getActiveSession()
-    return D.PrepareModel.load(spark, f"{path}/prepare", spec), PipelineModel.load(f"{path}/forest")
+def load_models(path: str, spec: S.FeatureSpec, spark: SparkSession | None = None):
+    prep = D.PrepareModel.load(spark or SparkSession.getActiveSession(), f"{path}/prepare", spec)
+    return prep, PipelineModel.load(f"{path}/forest")
+
+
+def fit_models(train: DataFrame, spec: S.FeatureSpec, params: dict | None = None, store: FitStore | None = None,
+               digest=None):
+    """D14 + F2 on the raw ``train`` rows (with ``label``), fitted once per rows and parameters:
+    (preparation, forest) from the store, where another report has fitted them before.
+    ``digest`` stands for the rows where the caller has it already."""
+    spark = train.sparkSession
+    store = store or FitStore(spark)
+    return load_models(models_path(train, spec, params, store, digest), spec, spark)
+
+
+def models_path(train: DataFrame, spec: S.FeatureSpec, params: dict | None, store: FitStore, digest=None) -> str:
+    """Where the models of :func:`fit_models` lie, fitted if need be."""
+    path = store.path("models", digest or rows_digest(train), D.spec_to_json(spec), S.FOREST, params)
+
+    def fit(place: str) -> None:
+        prep = D.fit_prepare(train, spec)
+        save_models(prep, train_forest(prep.transform(train), prep.feature_names, params, key=spec.id_col), place, train.sparkSession)
+
+    return store.make(path, fit)
+
+
+class Models(Mapping):
+    """{round: (preparation, forest)}, read from the store when asked for."""
+
+    def __init__(self, paths: dict[int, str], spec: S.FeatureSpec, spark: SparkSession):
+        self.paths, self.spec, self.spark, self.read = paths, spec, spark, {}
+
+    def __getitem__(self, m):
+        if m not in self.read:
+            self.read[m] = load_models(self.paths[m], self.spec, self.spark)
+        return self.read[m]
+
+    def __iter__(self):
+        return iter(self.paths)
+
+    def __len__(self):
+        return len(self.paths)
+
+
+def stored_pipeline(train: DataFrame, spec: S.FeatureSpec, params: dict | None = None, keep: Sequence[str] = (),
+                    clusters: int | None = None, store: FitStore | None = None) -> PipelineModel:
+    """:func:`fit_churn_pipeline`, fitted once per rows and parameters."""
+    store = store or FitStore(train.sparkSession)
+    path = store.path("pipeline", rows_digest(train), D.spec_to_json(spec), S.FOREST, params, list(keep), clusters)
+    return PipelineModel.load(store.make(path, lambda place: fit_churn_pipeline(
+        train, spec, params, keep, clusters).write().save(place)))
+
+
+#: Rounds fitted at a time: each is a chain of small jobs that leaves most of a cluster idle.
+ROUNDS_AT_A_TIME = 4
 
 
 def retrain_rounds(train: DataFrame, test: DataFrame, spec: S.FeatureSpec, month_col: str,
-                   months: Sequence[int], params: dict | None = None, last_month: int = S.N_BATCHES):
+                   months: Sequence[int], params: dict | None = None, last_month: int = S.N_BATCHES,
+                   store: FitStore | None = None):
     """H4: per round m refit preparation + forest on train rows of months
     <= m (month 0 is the original table, round 0 the baseline) and evaluate
     on the sets of :func:`evaluation_sets`; test rows are kept raw and
     prepared with the round's own fitted constants.
 
-    Returns (history DataFrame, {month: (prep model, forest)}).  ``train`` is
+    Returns (history DataFrame, :class:`Models`).  ``train`` is
     persisted once and unpersisted at the end; every round is a filter of it.
+    Sizes and digests of all months come from one pass.  A round's models and
+    metrics are kept in the store under the digests of its months, so that reports
+    on the same rounds fit them once; rounds run beside each other.
     """
     train = train.persist()
     spark = train.sparkSession
-    sizes, models, evaluated = [], {}, None
+    store = store or FitStore(spark)
     try:
-        for m in months:
-            rows = train.where(F.col(month_col) <= m)
-            prep = D.fit_prepare(rows, spec)
-            forest = train_forest(prep.transform(rows), prep.feature_names, params)
-            mine = test.select("*", F.lit(m).alias("round"))
-            mine = mine.select("*", F.explode(evaluation_sets(month_col, "round", last_month)).alias("part"))
-            scored = predict(forest, prep.transform(mine, keep=["round", "part"]))
-            ev = materialize(M.grouped_evaluate(scored, ["round", "part"]), "round-metrics")
-            evaluated = ev if evaluated is None else evaluated.unionByName(ev)
-            sizes.append((int(m), rows.count()))
-            models[m] = (prep, forest)
+        found = {int(k): v for k, v in digests_by(train, month_col).items() if k is not None}
+        tested = rows_digest(test)
+
+        def one(m: int):
+            seen = sorted((k, *v) for k, v in found.items() if k <= m)
+            models = models_path(train.where(F.col(month_col) <= m), spec, params, store, seen)
+
+            def evaluate(place: str) -> None:
+                mine = test.select("*", F.lit(m).alias("round"))
+                mine = mine.select("*", F.explode(evaluation_sets(month_col, "round", last_month)).alias("part"))
+                prep, forest = load_models(models, spec, spark)
+                scored = predict(forest, prep.transform(mine, keep=["round", "part"]))
+                M.grouped_evaluate(scored, ["round", "part"]).write.parquet(place)
+
+            path = store.path("round", seen, tested, D.spec_to_json(spec), S.FOREST, params, m, last_month)
+            return m, sum(v[1] for v in seen), models, store.make(path, evaluate)
+
+        with ThreadPoolExecutor(ROUNDS_AT_A_TIME) as pool:
+            done = list(pool.map(inheritable_thread_target(spark)(one), months))
     finally:
         train.unpersist()
-    sizes = spark.createDataFrame(sizes, "round int, data_size bigint")
-    return as_history(sizes, evaluated, last_month), models
+    sizes = spark.createDataFrame([(int(m), int(n)) for m, n, *_ in done], "round int, data_size bigint")
+    evaluated = spark.read.parquet(*[path for *_, path in done])
+    return as_history(sizes, evaluated, last_month), Models({m: path for m, _, path, _ in done}, spec, spark)
 
 
-def deploy(history: DataFrame, models: dict, path: str) -> int:
-    """H6: save the chosen round's models (the best one if it is strictly
-    better than the baseline, else the baseline) and the history; returns
-    the chosen month."""
+def deploy(history: DataFrame, models: dict, path: str, rows: DataFrame, spec: S.FeatureSpec) -> Version:
+    """H6: publish the chosen round's models (the best one if it is strictly
+    better than the baseline, else the baseline) with the history as a new version
+    of the registry at ``path``; ``info`` has the chosen month.  ``rows`` shows the raw input columns."""
     choice = select_model(history).first()
     month = choice["best_month"] if choice["deploy"] else 0
-    save_models(*models[month], path)
-    history.write.mode("overwrite").parquet(f"{path}/history")
-    return month
+    spark = history.sparkSession
+
+    def save(place: str) -> None:
+        save_models(*models[month], place, spark)
+        history.write.parquet(f"{place}/history")
+
+    inputs = input_columns(rows, [spec.id_col, *[c for c in spec.raw_features if c in rows.columns]])
+    return ModelRegistry(spark, path).deploy(save, inputs, {"month": int(month)})
+
+
+def current_scorer(registry: ModelRegistry, spec: S.FeatureSpec, keep: Sequence[str]) -> Callable[[DataFrame], DataFrame]:
+    """S3: scores rows by the version in force when it is called, for
+    :func:`churnlab.streaming.monthly.stream_score`, which calls it for every micro-batch.  Rows without the
+    version's input columns are refused.  Returns key, ``keep``, score, pred, risk_level and model_version."""
+    loaded: dict[int, tuple] = {}
+
+    def score(rows: DataFrame) -> DataFrame:
+        version = registry.current()
+        version.check(rows)
+        if version.number not in loaded:
+            loaded.clear()
+            loaded[version.number] = load_models(version.path, spec, registry.spark)
+        prep, forest = loaded[version.number]
+        out = predict(forest, prep.transform(rows, keep=list(keep)))
+        return out.select(spec.id_col, *keep, "score", "pred", M.risk_level().alias("risk_level"),
+                          F.lit(version.number).alias("model_version"))
+
+    return score

@@ -19,7 +19,7 @@ from churnlab.operators import prepare as D
 from churnlab.operators import retrain as H
 from churnlab.operators.profile import attach_scalars
 from churnlab.plans.q_prepare import labelled, split_subs
-from churnlab.plans.registry import SPEC, R, W, _hist_sql, query, subs
+from churnlab.plans.registry import SPEC, R, W, _hist_sql, null_group_sql, query, subs, with_null_group
 from churnlab.plans.sql import HISTORY_CTE, RAW_SPLIT_CTE, SCORE_CTE, score_expr
 from churnlab.sources import tables as T
 
@@ -205,6 +205,60 @@ def h2_evaluate_by_month(spark, d):
     return M.grouped_evaluate(scored(spark, d), "batch_month")
 
 
+# ------------------------------------------------------------------ null scores and groups
+_SCORED_ONLY = "FROM (SELECT * FROM pred WHERE segment <> 'BUILDING') AS pred"
+
+
+def _some_unscored(spark, d):
+    """Scored rows, those of one segment without a score."""
+    return scored(spark, d).withColumn("score", F.when(F.col("segment") != "BUILDING", F.col("score")))
+
+
+@query("f5_auc_null_scores", W(SCORE_CTE + "," + _AUC_UNITS.replace("FROM pred", _SCORED_ONLY), f"""
+SELECT {R('auc')} AS auc, (SELECT count(*) FROM pred) AS n,
+       (SELECT count(*) FROM pred WHERE segment = 'BUILDING') AS n_no_score, CAST(0 AS BIGINT) AS n_no_label FROM auc"""))
+def f5_auc_null_scores(spark, d):
+    """Rows without a score take no part and are counted."""
+    rows = _some_unscored(spark, d)
+    return attach_scalars(M.roc_auc(rows), M.unscored(rows))
+
+
+@query("f9_roc_null_scores", W(SCORE_CTE + "," + _CURVE.replace("FROM pred", _SCORED_ONLY), f"""
+SELECT CAST('inf' AS DOUBLE) AS threshold, 0.0 AS fpr, 0.0 AS tpr
+UNION ALL
+SELECT {R('t')} AS threshold, {R('CAST(fp AS DOUBLE) / total_neg')} AS fpr, {R('CAST(tp AS DOUBLE) / total_pos')} AS tpr
+FROM c, tot WHERE rn = 1 OR rn = n_units OR ln0 <> n0 OR ln1 <> n1"""))
+def f9_roc_null_scores(spark, d):
+    return M.roc_curve(_some_unscored(spark, d))
+
+
+@query("f14_pr_null_scores", W(SCORE_CTE + "," + _CURVE.replace("FROM pred", _SCORED_ONLY), f"""
+SELECT {R('t')} AS threshold, {R('CAST(tp AS DOUBLE) / (tp + fp)')} AS precision, {R('CAST(tp AS DOUBLE) / total_pos')} AS recall
+FROM c, tot"""))
+def f14_pr_null_scores(spark, d):
+    return M.pr_curve(_some_unscored(spark, d))
+
+
+_H2_NULL = SCORE_CTE + f""",
+odd AS (SELECT * REPLACE (CASE WHEN region = 'ASIA' OR region IS NULL THEN '~none' ELSE region END AS region) FROM pred),
+c AS ({_conf_sql(group='region').replace('FROM pred', 'FROM odd')}),
+u AS (SELECT region, score AS t, count(*) FILTER (WHERE label = 0) AS n0,
+             count(*) FILTER (WHERE label = 1) AS n1 FROM odd GROUP BY region, score),
+pu AS (SELECT *, coalesce(sum(n0) OVER (PARTITION BY region ORDER BY t
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b0 FROM u),
+auc AS (SELECT region, CASE WHEN sum(n0) * sum(n1) > 0
+                            THEN sum(n1 * (b0 + 0.5 * n0)) / (sum(n0) * sum(n1)) END AS auc FROM pu GROUP BY region)"""
+
+
+@query("h2_evaluate_null_group", null_group_sql(W(_H2_NULL, f"""
+SELECT c.region, {R(_f1_sql())} AS f1, {R('auc')} AS auc,
+       {R('CAST(tp + tn AS DOUBLE) / (tp + tn + fp + fn)')} AS accuracy
+FROM c LEFT JOIN auc ON c.region = auc.region"""), "region"))
+def h2_evaluate_null_group(spark, d):
+    """A null region is evaluated like any other."""
+    return M.grouped_evaluate(with_null_group(scored(spark, d), "region", "ASIA"), "region")
+
+
 # ------------------------------------------------------------------ H3, H5, H6
 def history_split(spark: SparkSession, d: str):
     """(train, test) rows with month 0 for the original table."""

@@ -15,16 +15,16 @@ from churnlab.plans.q_evaluate import history_split
 from churnlab.plans.registry import SPEC, W, query
 from churnlab.plans.sql import HISTORY_CTE, RAW_SPLIT_CTE
 from churnlab.session import work_path
+from churnlab.sources.models import ModelRegistry, SchemaMismatch
 
 
-def _forest(spark, d, params=None):
-    sp, prep = fitted(spark, d)
-    train = prep.transform(sp.where(F.col("split") == "train"))
-    return sp, prep, ML.train_forest(train, prep.feature_names, params, key="c_custkey")
+def _forest(spark, d):
+    sp = split_subs(spark, d)
+    return sp, *ML.fit_models(sp.where(F.col("split") == "train"), SPEC)
 
 
-def _test_predictions(spark, d, params=None):
-    sp, prep, forest = _forest(spark, d, params)
+def _test_predictions(spark, d):
+    sp, prep, forest = _forest(spark, d)
     test = prep.transform(sp.where(F.col("split") == "test"), keep=["batch_month"])
     return ML.predict(forest, test), (sp, prep, forest)
 
@@ -79,18 +79,14 @@ def a5_model_roundtrip(spark, d):
     train split, saved to the shared folder, loaded back, and both models
     score the test split: scores must be identical."""
     train, test = _raw_split(spark, d)
-    out = _round_trip(spark, ML.fit_churn_pipeline(train, SPEC), test, "a5-pipeline")
+    out = _round_trip(spark, ML.stored_pipeline(train, SPEC), test, "a5-pipeline")
     return out.select("c_custkey", r6("score").alias("score"), r6("score_loaded").alias("score_loaded"), "same")
 
 
-#: A smaller forest for the keys that check properties of a fit, not the fit itself.
-SMALL = {"numTrees": 20}
-
-
 @query("a5_model_check", W(RAW_SPLIT_CTE, "SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_different FROM split WHERE split = 'test'"))
 def a5_model_check(spark, d):
     train, test = _raw_split(spark, d)
-    out = _round_trip(spark, ML.fit_churn_pipeline(train, SPEC, SMALL), test, "a5-check")
+    out = _round_trip(spark, ML.stored_pipeline(train, SPEC), test, "a5-check")
     return out.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("same")).alias("n_different"))
 
 
@@ -101,7 +97,7 @@ def k8_cluster_forest(spark, d):
     """Prepare, cluster and classify as one pipeline: the cluster is a feature
     of the forest, and the saved pipeline assigns it to raw rows of a new batch."""
     sp = split_subs(spark, d)
-    model = ML.fit_churn_pipeline(sp.where(F.col("split") == "train"), SPEC, SMALL, clusters=4)
+    model = ML.stored_pipeline(sp.where(F.col("split") == "train"), SPEC, clusters=4)
     out = _round_trip(spark, model, sp.where(F.col("batch_month") == 6).drop("split"), "k8-pipeline")
     names = ML.pipeline_features(model)
     return out.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("same")).alias("n_different"),
@@ -111,7 +107,7 @@ def k8_cluster_forest(spark, d):
 @query("f10_importance_cluster")
 def f10_importance_cluster(spark, d):
     """Importances of the forest that has the cluster as a feature."""
-    model = ML.fit_churn_pipeline(_raw_split(spark, d)[0], SPEC, clusters=4)
+    model = ML.stored_pipeline(_raw_split(spark, d)[0], SPEC, clusters=4)
     return ML.feature_importance(model, ML.pipeline_features(model))
 
 
@@ -119,7 +115,7 @@ def f10_importance_cluster(spark, d):
     f"SELECT '{f}' AS feature, true AS in_range, true AS sums_to_one" for f in FEATURES))
 def f10_importance_check(spark, d):
     """One importance per feature, between 0 and 1, summing to 1."""
-    _, prep, forest = _forest(spark, d, SMALL)
+    _, prep, forest = _forest(spark, d)
     imp = ML.feature_importance(forest, prep.feature_names)
     total = imp.agg(F.sum("importance")).scalar()
     return imp.select("feature", F.col("importance").between(0, 1).alias("in_range"),
@@ -130,7 +126,7 @@ def f10_importance_check(spark, d):
 SELECT c_custkey, label, true AS score_in_range, true AS follows_rule FROM split WHERE split = 'test'"""))
 def f3_predict_check(spark, d):
     """Every test row once, its score a probability, its class the side of 0.5 it lies on."""
-    pred, _ = _test_predictions(spark, d, SMALL)
+    pred, _ = _test_predictions(spark, d)
     return pred.select("c_custkey", "label", F.col("score").between(0, 1).alias("score_in_range"),
                        (F.col("pred") == (F.col("score") > 0.5).cast("int")).alias("follows_rule"))
 
@@ -142,8 +138,8 @@ def h1_prepare_batch(spark, d):
     return _r6_features(out, NUMERIC).select("c_custkey", "label", "split", *FEATURES)
 
 
-def _rounds(spark, d, months=range(S.N_BATCHES + 1), params=None):
-    return ML.retrain_rounds(*history_split(spark, d), SPEC, "batch_month", list(months), params)
+def _rounds(spark, d):
+    return ML.retrain_rounds(*history_split(spark, d), SPEC, "batch_month", range(S.N_BATCHES + 1))
 
 
 @query("h4_rounds")
@@ -155,11 +151,11 @@ def h4_rounds(spark, d):
 SELECT CAST(r.month AS INTEGER) AS month, count(*) AS data_size, r.month >= {S.N_BATCHES} AS latest_seen,
        (SELECT count(*) FROM hsplit t WHERE t.split = 'test' AND t.batch_month = r.month + 1) > 0 AS has_new,
        true AS in_range
-FROM hsplit s JOIN (SELECT unnest([0, 1, {S.N_BATCHES}]) AS month) r ON s.batch_month <= r.month
+FROM hsplit s JOIN (SELECT unnest(range(0, {S.N_BATCHES + 1})) AS month) r ON s.batch_month <= r.month
 WHERE s.split = 'train' GROUP BY r.month"""))
 def h4_rounds_check(spark, d):
-    """Sizes and flags of the baseline, the first and the last round, metrics between 0 and 1."""
-    hist, _ = _rounds(spark, d, (0, 1, S.N_BATCHES), SMALL)
+    """Sizes and flags of every round, metrics between 0 and 1."""
+    hist, _ = _rounds(spark, d)
     metrics = ("f1_test", "auc_test", "f1_latest", "auc_latest", "accuracy_latest")
     in_range = F.lit(True)
     for m in metrics:
@@ -173,16 +169,51 @@ def h6_select_forest(spark, d):
     """The choice between the rounds; the chosen models and the history are
     saved, and the saved models score the test rows again."""
     hist, models = _rounds(spark, d)
-    path = work_path(spark, "deployed")
-    month = ML.deploy(hist, models, path)
-    prep, forest = ML.load_models(path, SPEC)
     test = history_split(spark, d)[1].where(F.col("batch_month") == 0)
+    version = ML.deploy(hist, models, work_path(spark, "deployed"), test, SPEC)
+    month = version.info["month"]
+    prep, forest = ML.load_models(version.path, SPEC)
     again = M.f1_score(ML.predict(forest, prep.transform(test))).scalar()
-    saved = spark.read.parquet(f"{path}/history").where(F.col("month") == month).select("f1_test").scalar()
+    saved = spark.read.parquet(f"{version.path}/history").where(F.col("month") == month).select("f1_test").scalar()
     return H.select_model(hist).select("*", F.lit(month).alias("deployed_month"),
                                        (F.abs(again - saved) < 1e-9).alias("deployed_scores_alike"))
 
 
+@query("h6_deploy_check", W(HISTORY_CTE, f"""
+SELECT CAST(v AS INTEGER) AS version, v = 2 AS in_force, true AS is_chosen_round, true AS refuses_other_types,
+       (SELECT count(*) FROM hsplit WHERE split = 'test' AND batch_month = 0) AS n_scored, CAST(0 AS BIGINT) AS n_different
+FROM (VALUES (1), (2)) AS t(v)"""))
+def h6_deploy_check(spark, d):
+    """The baseline is deployed, then the chosen round: each version, read back from the registry, scores
+    the original test rows as the models it was made of; rows of another schema are refused."""
+    hist, models = _rounds(spark, d)
+    test = history_split(spark, d)[1].where(F.col("batch_month") == 0)
+    root = work_path(spark, "registry")
+    choice = H.select_model(hist).first()
+    chosen = choice["best_month"] if choice["deploy"] else 0
+    wanted = {1: 0, 2: chosen}
+    ML.deploy(hist.where(F.col("month") == 0).unionByName(hist.withColumn("f1_test", F.lit(-1.0)).where(F.col("month") > 0)),
+              models, root, test, SPEC)
+    ML.deploy(hist, models, root, test, SPEC)
+    registry, out = ModelRegistry(spark, root), None
+    for n, month in wanted.items():
+        version = registry.version(n)
+        a, b = (ML.predict(f, p.transform(test)).select("c_custkey", "score") for p, f in (
+            ML.load_models(version.path, SPEC), models[month]))
+        try:
+            version.check(test.withColumn("tenure", F.col("tenure").cast("string")))
+            refuses = False
+        except SchemaMismatch:
+            refuses = True
+        same = a.join(b.withColumnRenamed("score", "other"), "c_custkey").agg(
+            F.count(F.lit(1)).alias("n_scored"), F.count_if(F.col("score") != F.col("other")).alias("n_different"))
+        row = same.select(F.lit(n).alias("version"), F.lit(registry.current().number == n).alias("in_force"),
+                          F.lit(version.info["month"] == month).alias("is_chosen_round"),
+                          F.lit(refuses).alias("refuses_other_types"), "n_scored", "n_different")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 @query("h7_importance_diff")
 def h7_importance_diff(spark, d):
     """The baseline's importances next to those of the best later round."""
@@ -195,7 +226,7 @@ def h7_importance_diff(spark, d):
 @query("h7_importance_check", "\nUNION ALL\n".join(f"SELECT '{f}' AS feature, true AS ranked" for f in FEATURES))
 def h7_importance_check(spark, d):
     """With room for all, every feature has a rank on both sides."""
-    _, models = _rounds(spark, d, (0, S.N_BATCHES), SMALL)
+    _, models = _rounds(spark, d)
     a, b = (ML.feature_importance(f, p.feature_names) for p, f in (models[0], models[S.N_BATCHES]))
     out = H.compare_importance(a, b, top=len(FEATURES))
     n = len(FEATURES)

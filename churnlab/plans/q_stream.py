@@ -13,12 +13,14 @@ from churnlab import spec as S
 from churnlab.functions.columns import r6
 from churnlab.operators import drift as G
 from churnlab.operators import metrics as M
+from churnlab.operators import model as ML
 from churnlab.operators import prepare as D
-from churnlab.plans.q_evaluate import _risk_case
+from churnlab.plans.q_evaluate import _risk_case, history_split
 from churnlab.plans.registry import SPEC, SUBS_CTE, R, W, query, subs
 from churnlab.plans.sql import SCORE_CTE
 from churnlab.session import work_path
 from churnlab.sources import tables as T
+from churnlab.sources.models import ModelRegistry, input_columns
 from churnlab.streaming import monthly as ST
 
 _LANDED_SCHEMA = ", ".join(x for x in T.SUBS_SCHEMA.split(", ") if not x.startswith("batch_month"))
@@ -172,3 +174,30 @@ def _scored(spark, d, landing, **options):
 
     return ST.stream_score(spark, landing, _LANDED_SCHEMA, work_path(spark, "s3-sink"), work_path(spark, "s3-ckpt"),
                            score_fn, **options).select("c_custkey", "batch_month", "score", "pred", "risk_level")
+
+
+@query("s3_stream_model", W(SUBS_CTE, """
+SELECT c_custkey, batch_month, CAST(CASE WHEN batch_month <= 3 THEN 1 ELSE 2 END AS INTEGER) AS model_version,
+       true AS scored_as_in_batch FROM subs"""))
+def s3_stream_model(spark, d):
+    """The stream scores by the model version in force: months 1 to 3 by the first, the others by the one
+    deployed meanwhile; every score is that of the same version over the same rows at rest."""
+    train, _ = history_split(spark, d)
+    registry = ModelRegistry(spark, work_path(spark, "s3-registry"))
+    inputs = input_columns(train, [SPEC.id_col, *SPEC.raw_features])
+    landing = work_path(spark, "s3m-landing")
+    sink, ckpt = work_path(spark, "s3m-sink"), work_path(spark, "s3m-ckpt")
+    scorer = ML.current_scorer(registry, SPEC, ["batch_month", ST.DELIVERY])
+    rows, at_rest = subs(spark, d), None
+    for last, months in ((0, (1, 2, 3)), (S.N_BATCHES, (4, 5, 6))):
+        prep, forest = ML.fit_models(train.where(F.col("batch_month") <= last), SPEC)
+        version = registry.deploy(lambda place, p=prep, f=forest: ML.save_models(p, f, place, spark), inputs, {"month": last})
+        mine = rows.where(F.col("batch_month").isin(*months))
+        for month in months:
+            mine.where(F.col("batch_month") == month).drop("batch_month").write.parquet(f"{landing}/month_{month:02d}")
+        out = ST.stream_score(spark, landing, _LANDED_SCHEMA, sink, ckpt, scorer, max_files_per_trigger=2)
+        batch = ML.predict(forest, prep.transform(mine)).select("c_custkey", F.col("score").alias("want"), F.lit(version.number).alias("v"))
+        at_rest = batch if at_rest is None else at_rest.unionByName(batch)
+    return out.join(at_rest, "c_custkey", "left").select(
+        "c_custkey", "batch_month", "model_version",
+        (F.col("score").eqNullSafe(F.col("want")) & (F.col("model_version") == F.col("v"))).alias("scored_as_in_batch"))

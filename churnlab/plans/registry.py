@@ -290,6 +290,41 @@ def e1_histogram(spark, d):
     return E.histogram(subs(spark, d), "monthly_spend", by="churn", bins=S.FEATURE_BINS)
 
 
+def with_null_group(df: DataFrame, col: str, value: str) -> DataFrame:
+    """One value of a column set to null: input of the keys on null groups."""
+    return df.withColumn(col, F.when(F.col(col) != value, F.col(col)))
+
+
+def null_group_sql(sql: str, col: str) -> str:
+    """A twin on rows whose null group is called '~none'; its result with the null."""
+    return f"SELECT * REPLACE (nullif({col}, '~none') AS {col}) FROM (\n{sql}\n)"
+
+
+_NO_ASIA = SUBS_NUM_CTE + """,
+odd AS (SELECT * REPLACE (CASE WHEN region = 'ASIA' OR region IS NULL THEN '~none' ELSE region END AS region) FROM subs_num)"""
+
+
+@query("e1_histogram_null_group", null_group_sql(W(_NO_ASIA + "," + _hist_sql("odd", "monthly_spend", "region", 30), ""), "region"))
+def e1_histogram_null_group(spark, d):
+    """A null region has its own range and bins."""
+    return E.histogram(with_null_group(subs_num(spark, d), "region", "ASIA"), "monthly_spend", by="region", bins=S.FEATURE_BINS)
+
+
+@query("e2_box_null_group", null_group_sql(W(_NO_ASIA + """,
+q AS (SELECT region, quantile_cont(total_spend, 0.25) AS q1, quantile_cont(total_spend, 0.5) AS median,
+             quantile_cont(total_spend, 0.75) AS q3 FROM odd WHERE total_spend IS NOT NULL GROUP BY region)""", f"""
+SELECT q.region, {R('q.q1')} AS q1, {R('q.median')} AS median, {R('q.q3')} AS q3, {R('q.q3 - q.q1')} AS iqr,
+       {R('min(s.total_spend) FILTER (WHERE s.total_spend >= q.q1 - 1.5 * (q.q3 - q.q1))')} AS whisker_low,
+       {R('max(s.total_spend) FILTER (WHERE s.total_spend <= q.q3 + 1.5 * (q.q3 - q.q1))')} AS whisker_high,
+       count(*) FILTER (WHERE s.total_spend < q.q1 - 1.5 * (q.q3 - q.q1)
+                           OR s.total_spend > q.q3 + 1.5 * (q.q3 - q.q1)) AS n_outliers
+FROM odd s JOIN q ON s.region = q.region WHERE s.total_spend IS NOT NULL
+GROUP BY q.region, q.q1, q.median, q.q3"""), "region"))
+def e2_box_null_group(spark, d):
+    """A null region has its own quartiles."""
+    return E.box_stats(with_null_group(subs_num(spark, d), "region", "ASIA"), "total_spend", "region")
+
+
 @query("e2_box_stats", W(SUBS_NUM_CTE + """,
 q AS (SELECT churn, quantile_cont(total_spend, 0.25) AS q1, quantile_cont(total_spend, 0.5) AS median,
              quantile_cont(total_spend, 0.75) AS q3 FROM subs_num WHERE total_spend IS NOT NULL GROUP BY churn)""", f"""

@@ -98,10 +98,16 @@ class ModelRegistry(Log):
 def rows_digest(df: DataFrame) -> str:
     """A digest of a table's rows in any order: their number and the sums of two hashes of every row,
     beside the schema.  One aggregation, no shuffle of rows."""
-    cols = [F.col(f"`{c}`") for c in df.columns]
-    sums = df.agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.xxhash64(F.lit(seed), *cols).cast("decimal(38,0)")).cast("string").alias(
-        f"h{seed}") for seed in (1, 2)]).first()
-    return hashlib.sha256(json.dumps([df.schema.json(), sums["n"], sums["h1"], sums["h2"]]).encode()).hexdigest()
+    return digests_by(df.withColumn("_all", F.lit(0)), "_all").get(0, (0, "empty"))[1]
+
+
+def digests_by(df: DataFrame, group_col: str) -> dict:
+    """(rows, digest) of every value of ``group_col``, one of few (months): all digests in one pass."""
+    cols = [F.col(f"`{c}`") for c in df.columns if c != group_col]
+    hashes = [F.sum(F.xxhash64(F.lit(seed), *cols).cast("decimal(38,0)")).cast("string").alias(f"h{seed}") for seed in (1, 2)]
+    found = df.groupBy(group_col).agg(F.count(F.lit(1)).alias("n"), *hashes).collect()
+    schema = df.drop(group_col).schema.simpleString()
+    return {r[0]: (r["n"], hashlib.sha256(json.dumps([schema, r["n"], r["h1"], r["h2"]]).encode()).hexdigest()) for r in found}
 
 
 class FitStore(Log):

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnlab import spec as S
-from churnlab.functions.columns import full
+from churnlab.functions.columns import full, join_groups
 from churnlab.functions.prefix import exact_quantiles, ordered_prefix
 from churnlab.functions.ranking import group_row_number
 from churnlab.operators.explore import histogram
@@ -108,6 +108,27 @@ def clip_round(c: str, lo: float, hi: float, decimals: int | None = 2, truncate_
     return F.bround(x, decimals)
 
 
+def winsorized(df: DataFrame, cols: Sequence[str], lo: float = 0.05, hi: float = 0.95, decimals: int = 2) -> DataFrame:
+    """G5 on data: every column bounded by its own exact ``lo`` and ``hi`` quantile, then rounded half to
+    even.  All bounds come from one prefix pass; nulls stay null."""
+    long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in cols])))
+    q = exact_quantiles(long, "x", [lo, hi], ["column"])
+    bounds = q.agg(*[F.max(F.when(F.col("column") == c, F.col(f"q_{i}"))).alias(f"_b{j}_{i}")
+                     for j, c in enumerate(cols) for i in (0, 1)])
+    out = attach_scalars(df, bounds)
+    clipped = {c: F.when(F.col(c).isNotNull(), F.bround(F.least(F.greatest(
+        F.col(c).cast("double"), F.col(f"_b{j}_0")), F.col(f"_b{j}_1")), decimals)) for j, c in enumerate(cols)}
+    return out.select(*[clipped[c].alias(c) if c in clipped else F.col(c) for c in df.columns])
+
+
+def batch_position(df: DataFrame, month_col: str, id_col: str) -> DataFrame:
+    """Every row's 1-based position in its batch in key order and the batch's size (distributed
+    prefix, exact for batches of any size; rows without a month are one batch)."""
+    pref = ordered_prefix(df.withColumn("_one", F.lit(1).cast("long")), [id_col], ["_one"], [month_col])
+    sizes = materialize(df.groupBy(month_col).agg(F.count(F.lit(1)).alias("batch_size")), "batch-sizes")
+    return join_groups(pref.select(*df.columns, (F.col("before__one") + 1).alias("position")), sizes, [month_col])
+
+
 def batch_key(df: DataFrame, month_col: str, id_col: str, fmt: str = "NEW-M%02d-%04d",
               name: str = "batch_key") -> DataFrame:
     """Id '<month>-<i>' with i the 0-based position of the row inside its

@@ -64,6 +64,26 @@ def g5_clip(spark, d):
                     G.clip_round("tn", 0, 72, truncate_int=True).alias("tenure_next"))
 
 
+@query("g5_winsor", W(SUBS_CTE + """,
+b AS (SELECT quantile_cont(monthly_spend, 0.05) AS l1, quantile_cont(monthly_spend, 0.95) AS h1,
+             quantile_cont(CAST(tenure AS DOUBLE), 0.05) AS l2, quantile_cont(CAST(tenure AS DOUBLE), 0.95) AS h2 FROM subs)""", f"""
+SELECT c_custkey, {R('round_even(least(greatest(monthly_spend, l1), h1), 2)')} AS monthly_spend,
+       {R('round_even(least(greatest(CAST(tenure AS DOUBLE), l2), h2), 2)')} AS tenure FROM subs, b"""))
+def g5_winsor(spark, d):
+    """Spend and tenure bounded by their own 5th and 95th percentile."""
+    return G.winsorized(subs(spark, d).select("c_custkey", "monthly_spend", "tenure"), ["monthly_spend", "tenure"])
+
+
+@query("g6_position", W(SUBS_CTE + """,
+odd AS (SELECT c_custkey, CASE WHEN batch_month <> 3 THEN batch_month END AS batch_month FROM subs)""", """
+SELECT c_custkey, batch_month, row_number() OVER (PARTITION BY batch_month ORDER BY c_custkey) AS position,
+       count(*) OVER (PARTITION BY batch_month) AS batch_size FROM odd"""))
+def g6_position(spark, d):
+    """Position and batch size; the rows of one month have lost it and are a batch of their own."""
+    s = subs(spark, d).select("c_custkey", F.when(F.col("batch_month") != 3, F.col("batch_month")).alias("batch_month"))
+    return G.batch_position(s, "batch_month", "c_custkey")
+
+
 @query("g6_batch_key", W(SUBS_CTE, """
 SELECT c_custkey, batch_month,
        printf('NEW-M%02d-%04d', CAST(batch_month AS INTEGER),

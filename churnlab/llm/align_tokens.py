@@ -2,9 +2,10 @@
 
 A byte-level BPE (A) reads space + text, a sentencepiece model (B) reads the
 text and adds the space itself.  The character offsets of A's tokens and the
-byte spans of B's pieces cut the text coarsely; tokens between two cuts, that is
+spans of B's pieces (those of its immutable proto, which the installed library
+hands out as an offset mapping) cut the text coarsely; tokens between two cuts, that is
 those that share a multibyte character and byte-fallback pieces, are laid out
-by their decoded bytes, which must equal the text's bytes there.
+by their decoded bytes.  All tokens' bytes together must be the text's.
 
 Neither tokenizer joins a character with the space that follows it (A's
 pattern ends a token there, no piece of B holds such a pair; the latter is
@@ -17,9 +18,12 @@ links and rating each text's links by them are joins and sums in Spark.
 
 from __future__ import annotations
 
+import gc
 import hashlib
+import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +32,10 @@ from pyspark.sql import functions as F
 
 from churnlab.llm.common import packed, saved, unpacked
 
-#: Pieces of text that a worker keeps, and the longest of them.
-KNOWN, KNOWN_LENGTH = 200_000, 64
+#: Pieces of text that a worker keeps (up to twice as many for a time), the longest of them, and how many are aligned at a time.
+KNOWN, KNOWN_LENGTH, AT_A_TIME = 150_000, 64, 20_000
+#: Before a space that follows other than white space.
+CUT = re.compile(r"(?<=\S)(?= )")
 #: Ids of B are the lower bits of a pair's code.
 SHIFT = 32
 
@@ -43,69 +49,32 @@ def byte_of_char() -> dict[str, int]:
     return table
 
 
-class Misfit(ValueError):
-    """The tokens' bytes are not those of the text."""
-
-
-def byte_ends(data: bytes, cuts: list[int], tokens: list[bytes]) -> list[int]:
-    """Where each token ends in ``data``.
+class Aligner:
+    """Aligns texts of two tokenizer files.
 
-    ``cuts[i]`` is the coarse end of token i (in bytes, of whole characters);
-    tokens that share an end, or whose bytes do not reach it, are laid out one
-    after the other by their own bytes.
+    An alignment of a piece of text is (tokens of A, tokens of B, groups, codes of
+    its links as bytes, groups as text).  Pieces are aligned many at a time, as
+    one string of bytes in which every token has a place.
     """
-    ends, at = [], 0
-    for cut, token in zip(cuts, tokens, strict=True):
-        end = at + len(token)
-        if end > cut or data[at:end] != token:
-            raise Misfit
-        ends.append(end)
-        at = end
-    if at != len(data):
-        raise Misfit
-    return ends
-
-
-class Piece:
-    """The alignment of one piece of text."""
-    __slots__ = ("a", "b", "groups", "codes", "shown")
-
-    def __init__(self, ids_a: list[int], ends_a: list[int], ids_b: list[int], ends_b: list[int]):
-        self.a, self.b, self.groups = len(ids_a), len(ids_b), 0
-        shown, codes = [], []
-        i = j = first_a = first_b = 0
-        while i < len(ids_a) and j < len(ids_b):
-            codes.append(ids_a[i] << SHIFT | ids_b[j])
-            end_a, end_b = ends_a[i], ends_b[j]
-            if end_a <= end_b:
-                i += 1
-            if end_b <= end_a:
-                j += 1
-            if end_a == end_b:
-                shown.append(",".join(map(str, ids_a[first_a:i])) + "|" + ",".join(map(str, ids_b[first_b:j])))
-                first_a, first_b = i, j
-        self.groups = len(shown)
-        self.codes = np.array(codes, np.int64)
-        self.shown = ";".join(shown)
-
-
-class Aligner:
-    """Aligns texts of two tokenizer files."""
 
     def __init__(self, path_a: str, path_b: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a worker per core
         import sentencepiece
         import tokenizers
         self.a = tokenizers.Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         table = byte_of_char()
-        self.bytes_a = {i: bytes(table[c] for c in t) for t, i in self.a.get_vocab(with_added_tokens=False).items()}
-        n = self.b.get_piece_size()
-        names = [self.b.id_to_piece(i) for i in range(n)]
+        vocabulary = self.a.get_vocab(with_added_tokens=False)
+        self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
+        for token, i in vocabulary.items():
+            self.bytes_a[i] = bytes(table[c] for c in token)
+        names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(names)]
         self.cuts = not any(re.search("[^▁]▁", p) for p in names)
-        self.known: dict[str, Piece | None] = {}
+        self.young: dict[str, tuple | None] = {}
+        self.old: dict[str, tuple | None] = {}
 
     def pieces(self, text: str) -> list[str]:
         """Space + text, cut before every space that follows other than white space and
@@ -114,55 +83,112 @@ class Aligner:
         if not self.cuts:
             return [line]
         body = line.rstrip()
-        parts = re.split(r"(?<=\S)(?= )", body) if body else [""]
+        parts = CUT.split(body) if body else [""]
         parts[-1] += line[len(body):]
         return parts
 
-    def align(self, pieces: list[str]) -> list[Piece | None]:
-        """The alignment of each piece; none where the tokens' bytes differ from it."""
+    def align(self, pieces: list[str]) -> list[tuple | None]:
+        """The alignment of each piece; none where a tokenizer's bytes differ from it."""
         of_a = self.a.encode_batch(pieces, add_special_tokens=False)
-        of_b = self.b.encode([p[1:] for p in pieces], return_type="proto", num_threads=1)
-        return [self._one(p, a, b) for p, a, b in zip(pieces, of_a, of_b, strict=True)]
-
-    def _one(self, text: str, of_a, of_b) -> Piece | None:
-        data = text.encode()
-        ids_a = of_a.ids
-        ids_b = [p.id for p in of_b.pieces]
-        chars = [end for _, end in of_a.offsets]
-        if len(data) != len(text):
-            at = np.concatenate([[0], np.cumsum([len(c.encode()) for c in text])])
-            chars = at[chars].tolist()
-        try:
-            # B's spans are those of the text without the space that it adds
-            return Piece(ids_a, byte_ends(data, chars, [self.bytes_a[i] for i in ids_a]),
-                         ids_b, byte_ends(data, [p.end + 1 for p in of_b.pieces], [self.bytes_b[i] for i in ids_b]))
-        except Misfit:
-            return None
-
-    def texts(self, texts: list[str | None]) -> Iterator[list[Piece]]:
-        """The pieces of each text; none for null and empty texts and those that do not fit."""
+        of_b = self.b.encode([p[1:] for p in pieces], return_type="offset_mapping", num_threads=1)
+        ids_a, ends_a = [x.ids for x in of_a], [[end for _, end in x.offsets] for x in of_a]
+        # B's spans are those of the piece without the space that it adds
+        ids_b, ends_b = [x["ids"] for x in of_b], [[end + 1 for _, end in x["offsets"]] for x in of_b]
+        data = [p.encode() for p in pieces]
+        fits = [_same(d, a, self.bytes_a) and _same(d, b, self.bytes_b) for d, a, b in zip(data, ids_a, ids_b, strict=True)]
+        if not all(fits):
+            good = [i for i, ok in enumerate(fits) if ok]
+            pieces, data, ids_a, ends_a, ids_b, ends_b = ([xs[i] for i in good] for xs in (
+                pieces, data, ids_a, ends_a, ids_b, ends_b))
+        made = iter(_aligned_pieces(pieces, data, _Side(ids_a, ends_a, self.bytes_a), _Side(ids_b, ends_b, self.bytes_b)))
+        return [next(made) if ok else None for ok in fits]
+
+    def texts(self, texts: list[str | None]) -> Iterator[list[tuple]]:
+        """The alignments of each text's pieces; none for null and empty texts and those that do not fit."""
         parts = [self.pieces(t) if t else [] for t in texts]
-        fresh = {p for ps in parts for p in ps if p not in self.known}
-        if len(self.known) + len(fresh) > KNOWN:
-            self.known.clear()
-            fresh = {p for ps in parts for p in ps}
-        todo = sorted(fresh)
-        now = dict(zip(todo, self.align(todo), strict=True)) if todo else {}
-        self.known.update((p, x) for p, x in now.items() if len(p) <= KNOWN_LENGTH)
+        now, fresh, young, old = {}, [], self.young, self.old
+        for p in set().union(*parts):
+            if p in young:
+                now[p] = young[p]
+            elif p in old:
+                now[p] = young[p] = old[p]
+            else:
+                fresh.append(p)
+        for at in range(0, len(fresh), AT_A_TIME):
+            some = fresh[at:at + AT_A_TIME]
+            now.update(zip(some, self.align(some), strict=True))
+        young.update((p, now[p]) for p in fresh if len(p) <= KNOWN_LENGTH)
+        if len(young) > KNOWN:
+            self.young, self.old = {}, young
         for ps in parts:
-            found = [now[p] if p in now else self.known[p] for p in ps]
+            found = [now[p] for p in ps]
             yield [] if None in found else found
 
 
+def _same(data: bytes, ids: list[int], table: list[bytes]) -> bool:
+    return b"".join([table[i] for i in ids]) == data
+
+
+class _Side:
+    """One tokenizer's tokens of many pieces: ids and coarse ends, all in a row."""
+
+    def __init__(self, ids: list[list[int]], ends: list[list[int]], table: list[bytes]):
+        self.count = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.ids = np.fromiter(chain.from_iterable(ids), np.int64, int(self.count.sum()))
+        self.coarse = np.fromiter(chain.from_iterable(ends), np.int64, len(self.ids))
+        self.sizes = np.fromiter((len(table[i]) for i in self.ids.tolist()), np.int64, len(self.ids))
+
+    def ends(self, coarse: np.ndarray) -> np.ndarray:
+        """Where tokens end in the bytes of all pieces.  ``coarse`` are the ends that the tokenizer
+        tells, of whole characters; tokens that end inside a character (they share its end with the
+        tokens after them) are laid out by their decoded bytes."""
+        decoded = np.cumsum(self.sizes)
+        inside = decoded < coarse
+        return np.where(inside, decoded, coarse)
+
+
+def _aligned_pieces(pieces: list[str], data: list[bytes], a: _Side, b: _Side) -> Iterator[tuple]:
+    """Alignments of pieces whose tokens' bytes are theirs."""
+    if not pieces:
+        return
+    line = np.frombuffer(b"".join(data), np.uint8)
+    piece_ends = np.cumsum(np.fromiter(map(len, data), np.int64, len(data)))
+    # coarse ends are characters: the byte at which each character of the line starts, and the line's end
+    of_char = np.append(np.flatnonzero((line & 0xC0) != 0x80), len(line))
+    chars = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    first = np.cumsum(chars) - chars
+    ends_a = a.ends(of_char[np.repeat(first, a.count) + a.coarse])
+    ends_b = b.ends(of_char[np.repeat(first, b.count) + b.coarse])
+
+    # between two neighbouring ends lies one token of A and one of B: a link
+    ends = np.union1d(ends_a, ends_b)
+    at_a, at_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+    codes = (a.ids[at_a] << SHIFT | b.ids[at_b]).tobytes()
+    links = np.searchsorted(ends, piece_ends, side="right").tolist()
+    # groups end where tokens of both end
+    cut = (ends_a[at_a] == ends) & (ends_b[at_b] == ends)
+    cut_a, cut_b = (at_a[cut] + 1).tolist(), (at_b[cut] + 1).tolist()
+    groups = np.searchsorted(ends[cut], piece_ends, side="right").tolist()
+    shown_a, shown_b = list(map(str, a.ids.tolist())), list(map(str, b.ids.tolist()))
+    shown, i, j = [], 0, 0
+    for to_i, to_j in zip(cut_a, cut_b, strict=True):
+        shown.append(",".join(shown_a[i:to_i]) + "|" + ",".join(shown_b[j:to_j]))
+        i, j = to_i, to_j
+    link = group = 0
+    for n_a, n_b, to_link, to_group in zip(a.count.tolist(), b.count.tolist(), links, groups, strict=True):
+        yield n_a, n_b, to_group - group, codes[8 * link:8 * to_link], ";".join(shown[group:to_group])
+        link, group = to_link, to_group
+
+
 def _aligned(aligner: Aligner, texts: list[str | None]) -> pa.StructArray:
     numbers, digests, codes, ends = [], [], [], [0]
     for pieces in aligner.texts(texts):
-        digests.append(hashlib.sha256(";".join(p.shown for p in pieces).encode()).hexdigest() if pieces else "")
-        code, times = (np.unique(np.concatenate([p.codes for p in pieces]), return_counts=True) if pieces
-                       else (np.empty(0, np.int64), np.empty(0, np.int64)))
+        n_a, n_b, groups, links, shown = zip(*pieces, strict=True) if pieces else ((), (), (), (), ())
+        digests.append(hashlib.sha256(";".join(shown).encode()).hexdigest() if pieces else "")
+        code, times = np.unique(np.frombuffer(b"".join(links), np.int64), return_counts=True)
         codes.append((code, times))
         ends.append(ends[-1] + len(code))
-        numbers.append((sum(p.a for p in pieces), sum(p.b for p in pieces), sum(p.groups for p in pieces), int(times.sum())))
+        numbers.append((sum(n_a), sum(n_b), sum(groups), int(times.sum())))
     cols = [pa.array(c, pa.int64()) for c in zip(*numbers, strict=True)] if numbers else [pa.array([], pa.int64())] * 4
     pair = pa.StructArray.from_arrays(
         [pa.array(np.concatenate([c[k] for c in codes]) if codes else [], pa.int64()) for k in (0, 1)], names=["pair", "n"])
@@ -189,7 +215,11 @@ def align_tokens(df: DataFrame, path_a: str, path_b: str, text_col: str = "text"
     def aligned(texts: pa.Array) -> pa.Array:
         if not held:
             held.append(Aligner(path_a, path_b))
-        out = [_aligned(held[0], texts.slice(i, 256).to_pylist()) for i in range(0, len(texts), 256)]
+        gc.disable()  # millions of short-lived lists and no cycles: the collector would only count them
+        try:
+            out = [_aligned(held[0], texts.slice(i, 256).to_pylist()) for i in range(0, len(texts), 256)]
+        finally:
+            gc.enable()
         return pa.concat_arrays(out) if out else _aligned(held[0], [])
 
     new = ["n_a", "n_b", "n_groups", "n_links", "groups_sha256", "links"]

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnlab.llm.common import packed, saved, unpacked
+from churnlab.llm.common import let, packed, running_sum, saved, unpacked
 
 #: kind, pattern, group that must have the least length, least length.  Where the pattern itself demands the
 #: length, matches are the same as those of the open pattern with short ones dropped.
@@ -44,26 +44,36 @@ SECRETS = [ORDER.index(k) for k in ("assign", "hex", "secret")]
 
 
 def _spans(text: Column, kind: str, pattern: str, group: int = 0, least: int = 0) -> Column:
-    """Array of (start, end, kind) of the pattern's matches, code points, end exclusive."""
+    """Array of (start, end, kind) of the pattern's matches, code points, end exclusive.
+
+    The text is matched and cut once; positions are the running sum of the lengths of the pieces between
+    matches and of the matches, so that the work is in proportion to the text's length."""
     regex = F.lit(pattern)
     whole = F.regexp_extract_all(text, regex, F.lit(0))
-    tested = F.regexp_extract_all(text, regex, F.lit(group)) if group else whole
+    tested = F.regexp_extract_all(text, regex, F.lit(group)) if group and least else F.lit(None).cast("array<string>")
     between = F.split(text, pattern, -1)
-    state = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
-
-    def step(acc, i):
-        start = acc.at + F.length(F.get(between, i))
-        end = start + F.length(F.get(whole, i))
-        return F.struct(end.alias("at"), F.array_append(
-            acc.out, F.struct(start.alias("start"), end.alias("end"))).alias("out"))
-
-    placed = F.aggregate(F.sequence(F.lit(0), F.size(whole) - 1), state, step).out
-    if least and group:
-        placed = F.filter(placed, lambda s, i: F.length(F.get(tested, i)) >= least)
-    typed = F.transform(placed, lambda s: F.struct(
-        s.start.alias("start"), s.end.alias("end"), F.lit(ORDER.index(kind)).alias("kind")))
+
+    def sizes(x):
+        return F.struct(F.transform(x.whole, lambda m: F.length(m).cast("long")).alias("whole"),
+                        F.transform(x.gaps, lambda p: F.length(p).cast("long")).alias("gaps"), x.tested.alias("tested"))
+
+    def placed(x):
+        steps = F.zip_with(x.whole, F.slice(x.gaps, 1, F.size(x.whole)), lambda m, p: m + p)
+
+        def spans(before):
+            every = F.transform(x.whole, lambda n, i: F.struct(
+                (F.get(before, i) + F.get(x.gaps, i)).cast("int").alias("start"),
+                (F.get(before, i) + F.get(x.gaps, i) + n).cast("int").alias("end"),
+                F.lit(ORDER.index(kind)).alias("kind")))
+            if not (group and least):
+                return every
+            return F.filter(every, lambda s, i: F.length(F.get(x.tested, i)) >= least)
+
+        return let(running_sum(steps), spans)
+
+    found = let(F.struct(whole.alias("whole"), between.alias("gaps"), tested.alias("tested")), lambda x: let(sizes(x), placed))
     empty = F.array().cast("array<struct<start:int,end:int,kind:int>>")
-    return F.when(F.regexp_like(text, regex), typed).otherwise(empty)
+    return F.when(F.regexp_like(text, regex), found).otherwise(empty)
 
 
 def joined(spans: Column) -> Column:
@@ -80,9 +90,9 @@ def linked_parts(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
 
     ``kind`` indexes ``ORDER``; a secret complements identifiers and
     endpoints.  Distance is that between the nearest ends, zero where spans
-    overlap.
+    overlap.  Of parts in one place the first kind stays, a base kind before a weak one.
     """
-    parts = parts.distinct()
+    parts = parts.groupBy("key", "start", "end").agg(F.min("kind").alias("kind"))
     binned = parts.select("*", F.explode(F.sequence(
         F.floor((F.col("start") - scope) / scope), F.floor((F.col("end") + scope) / scope))).alias("bin"))
     secrets = binned.where(F.col("kind").isin(SECRETS))
@@ -117,10 +127,7 @@ def scan_secrets(df: DataFrame, text_col: str = "text", scope: int = SCOPE, carr
     rows = rows.select("row", "text", *[_spans(F.col("text"), *b).alias(b[0]) for b in BASE],
                        *[_spans(F.col("text"), *p).alias(f"w_{p[0]}") for p in PARTS])
     base = F.concat(*[F.col(b[0]) for b in BASE])
-    taken = F.transform(base, lambda s: F.struct(s.start, s.end))
-    weak = F.filter(F.concat(*[F.col(f"w_{p[0]}") for p in PARTS]),
-                    lambda s: ~F.array_contains(F.col("taken"), F.struct(s.start, s.end)))
-    rows = rows.withColumns({"base": base, "taken": taken}).withColumn("weak", weak)
+    rows = rows.withColumn("base", base).withColumn("weak", F.concat(*[F.col(f"w_{p[0]}") for p in PARTS]))
     parts = F.concat("base", "weak")
     pair = (F.size("weak") > 0) & F.exists(parts, lambda s: s.kind.isin(SECRETS)) & F.exists(
         parts, lambda s: ~s.kind.isin(SECRETS))

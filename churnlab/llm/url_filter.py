@@ -2,7 +2,7 @@
 
 A rule is ``host/path`` with an action.  It fits its host and all subdomains
 when the URL's path starts with the rule's path; ``*`` in a rule stands for
-any characters.  A rule ``~word`` fits the hosts that hold the word between
+any characters, and a rule without a path fits its host up to the host's end.  A rule ``~word`` fits the hosts that hold the word between
 characters other than letters and digits; such rules decide only where no
 host rule fits.  A rule's literal tokens are its complete host labels and its
 complete path segments (or its word), that is, the pieces any fitting URL must
@@ -53,6 +53,8 @@ def _compiled(rules: DataFrame) -> DataFrame:
     host = ascii_lower(F.regexp_extract("rule", "(?s)^([^/]*)(.*)$", 1))
     path = F.regexp_extract("rule", "(?s)^([^/]*)(.*)$", 2)
     quoted = F.concat(F.lit("\\Q"), F.replace(F.concat(host, path), F.lit("*"), F.lit("\\E.*\\Q")), F.lit("\\E"))
+    # a rule that is a host alone fits up to that host's end
+    quoted = F.when(path == "", F.concat(quoted, F.lit("(?:/|$)"))).otherwise(quoted)
     pieces = F.split(path, "/", -1)
     whole = F.slice(pieces, 2, F.greatest(F.size(pieces) - 2, F.lit(0)))
     literal = F.filter(_tokens(host, whole), lambda t: (F.length(t) > 2) & ~t.contains("*"))

@@ -45,7 +45,7 @@ def odd_dir(spark, tmp_path_factory):
 @pytest.fixture(scope="module")
 def empty_dir(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("empty")
-    for name in ("documents", "pages", "benchmark"):
+    for name in ("documents", "pages", "benchmark", "conversations"):
         spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(f"{root}/{name}.parquet")
     return str(root)
 
@@ -57,10 +57,12 @@ def some_dir(request, odd_dir):
 
 @pytest.mark.parametrize("key", sorted(Q.QUERIES))
 def test_empty_tables(spark, empty_dir, key):
-    assert Q.QUERIES[key](spark, empty_dir).collect() == []
+    rows = Q.QUERIES[key](spark, empty_dir).collect()
+    # op13 adds a conversation of its own
+    assert [r.conv_id for r in rows] == [-1] if key == "op13_chat_format" else rows == []
 
 
-@pytest.mark.parametrize("key", sorted(Q.ORACLE))
+@pytest.mark.parametrize("key", sorted(set(Q.ORACLE) - {"op13_chat_format"}))  # see test_new_operators
 def test_sql_twin_on_odd_rows(spark, odd_dir, key):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{odd_dir}/pages.parquet/*.parquet')")

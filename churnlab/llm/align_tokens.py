@@ -24,6 +24,7 @@ import os
 import re
 from collections.abc import Iterator
 from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,7 @@ from churnlab.llm.common import packed, saved, unpacked
 KNOWN, KNOWN_LENGTH, AT_A_TIME = 150_000, 64, 20_000
 #: Before a space that follows other than white space.
 CUT = re.compile(r"(?<=\S)(?= )")
+END = itemgetter(1)
 #: Ids of B are the lower bits of a pair's code.
 SHIFT = 32
 
@@ -72,6 +74,7 @@ class Aligner:
         names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(names)]
+        self.sizes_a, self.sizes_b = (np.array(list(map(len, x)), np.int64) for x in (self.bytes_a, self.bytes_b))
         self.cuts = not any(re.search("[^▁]▁", p) for p in names)
         self.young: dict[str, tuple | None] = {}
         self.old: dict[str, tuple | None] = {}
@@ -91,16 +94,19 @@ class Aligner:
         """The alignment of each piece; none where a tokenizer's bytes differ from it."""
         of_a = self.a.encode_batch(pieces, add_special_tokens=False)
         of_b = self.b.encode([p[1:] for p in pieces], return_type="offset_mapping", num_threads=1)
-        ids_a, ends_a = [x.ids for x in of_a], [[end for _, end in x.offsets] for x in of_a]
         # B's spans are those of the piece without the space that it adds
-        ids_b, ends_b = [x["ids"] for x in of_b], [[end + 1 for _, end in x["offsets"]] for x in of_b]
+        found_a = [(x.ids, x.offsets) for x in of_a]
+        found_b = [(x["ids"], x["offsets"]) for x in of_b]
         data = [p.encode() for p in pieces]
-        fits = [_same(d, a, self.bytes_a) and _same(d, b, self.bytes_b) for d, a, b in zip(data, ids_a, ids_b, strict=True)]
-        if not all(fits):
-            good = [i for i, ok in enumerate(fits) if ok]
-            pieces, data, ids_a, ends_a, ids_b, ends_b = ([xs[i] for i in good] for xs in (
-                pieces, data, ids_a, ends_a, ids_b, ends_b))
-        made = iter(_aligned_pieces(pieces, data, _Side(ids_a, ends_a, self.bytes_a), _Side(ids_b, ends_b, self.bytes_b)))
+        a, b = _Side(found_a, 0, self.bytes_a, self.sizes_a), _Side(found_b, 1, self.bytes_b, self.sizes_b)
+        if a.same(data) and b.same(data):
+            return list(_aligned_pieces(pieces, data, a, b))
+        # some piece does not come back: the others without it
+        fits = [_same(d, x, self.bytes_a) and _same(d, y, self.bytes_b) for d, (x, _), (y, _) in zip(data, found_a, found_b, strict=True)]
+        good = [i for i, ok in enumerate(fits) if ok]
+        pieces, data, found_a, found_b = ([xs[i] for i in good] for xs in (pieces, data, found_a, found_b))
+        made = iter(_aligned_pieces(pieces, data, _Side(found_a, 0, self.bytes_a, self.sizes_a),
+                                    _Side(found_b, 1, self.bytes_b, self.sizes_b)))
         return [next(made) if ok else None for ok in fits]
 
     def texts(self, texts: list[str | None]) -> Iterator[list[tuple]]:
@@ -121,7 +127,7 @@ class Aligner:
         if len(young) > KNOWN:
             self.young, self.old = {}, young
         for ps in parts:
-            found = [now[p] for p in ps]
+            found = list(map(now.__getitem__, ps))
             yield [] if None in found else found
 
 
@@ -130,20 +136,28 @@ def _same(data: bytes, ids: list[int], table: list[bytes]) -> bool:
 
 
 class _Side:
-    """One tokenizer's tokens of many pieces: ids and coarse ends, all in a row."""
-
-    def __init__(self, ids: list[list[int]], ends: list[list[int]], table: list[bytes]):
-        self.count = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.ids = np.fromiter(chain.from_iterable(ids), np.int64, int(self.count.sum()))
-        self.coarse = np.fromiter(chain.from_iterable(ends), np.int64, len(self.ids))
-        self.sizes = np.fromiter((len(table[i]) for i in self.ids.tolist()), np.int64, len(self.ids))
+    """One tokenizer's tokens of many pieces, (ids, offsets) of each: ids, coarse ends (``shift``
+    characters on) and sizes, all in a row."""
+
+    def __init__(self, found: list[tuple], shift: int, table: list[bytes], sizes: np.ndarray):
+        ids = list(chain.from_iterable([x for x, _ in found]))
+        self.table, self.count = table, np.fromiter([len(x) for x, _ in found], np.int64, len(found))
+        self.ids = np.array(ids, np.int64)
+        self.coarse = np.array(list(map(END, chain.from_iterable([x for _, x in found]))), np.int64) + shift
+        self.sizes = sizes[self.ids]
+        self.text = b"".join([table[i] for i in ids])
+
+    def same(self, data: list[bytes]) -> bool:
+        """Whether the tokens' bytes are those of the pieces, each piece for itself."""
+        totals = np.diff(np.concatenate([[0], np.cumsum(self.sizes)])[np.concatenate([[0], np.cumsum(self.count)])])
+        return self.text == b"".join(data) and totals.tolist() == list(map(len, data))
 
     def ends(self, coarse: np.ndarray) -> np.ndarray:
         """Where tokens end in the bytes of all pieces.  ``coarse`` are the ends that the tokenizer
-        tells, of whole characters; tokens that end inside a character (they share its end with the
-        tokens after them) are laid out by their decoded bytes."""
+        tells, of whole characters; a token that ends inside a character is told that character's end
+        (A) or start (B) and is laid out by its decoded bytes."""
         decoded = np.cumsum(self.sizes)
-        inside = decoded < coarse
+        inside = decoded != coarse
         return np.where(inside, decoded, coarse)
 
 
@@ -252,7 +266,8 @@ def rate_links(df: DataFrame, path_a: str, path_b: str, text_col: str = "text")
     rows = saved(rows.withColumn("id", F.monotonically_increasing_id()), "token-links")
     counts = pair_counts(rows)
     links = rows.select("id", F.explode("links").alias("l")).select("id", "l.pair", "l.n")
-    sums = links.join(counts, "pair").groupBy("id").agg(
+    # by shuffle at every size: the table of pairs has no bound but the vocabularies' product
+    sums = links.join(counts.hint("shuffle_merge"), "pair").groupBy("id").agg(
         F.sum(F.when(F.col("best"), F.col("n")).otherwise(0)).alias("n_best"), F.sum(F.col("n") * F.col("count")).alias("count_sum"))
     out = rows.join(sums.withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left")
     return unpacked(out, *new[:5], *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in new[5:]])

@@ -7,6 +7,8 @@ sink; the SQL twin is the equivalent batch query.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from churnlab import spec as S
@@ -98,20 +100,29 @@ def s2_stream_drift(spark, d):
     return out.select("window_start", "n_events", "n_flagged", "rate")
 
 
-def _land_in_order(spark, d, files: int = 6, latest_first: bool = False):
-    """The events in files of increasing time, landed one after another."""
+#: Events of a landed file, where several may make up a slice of time.
+LAND_ROWS = 1_000_000
+
+
+def _land_in_order(spark, d, files: int = 6, latest_first: bool = False, whole: bool = True):
+    """The events in ``files`` slices of increasing time, landed one after another, each as one file or, unless
+    ``whole``, as one file for every ``LAND_ROWS`` events of an average slice; and how many that is."""
     ev = T.load(spark, d, "events")
-    sec = F.unix_seconds(ST.utc_instant(F.col("ts")))
-    lo, hi = ev.agg(F.min(sec), F.max(sec)).first()
-    part = F.least(F.floor((sec - lo) * files / (hi - lo + 1)), F.lit(files - 1))
+    first, last, n = ev.agg(F.min("ts"), F.max("ts"), F.count("ts")).select(
+        *[F.unix_seconds(ST.utc_instant(F.col(c))).alias(c[:3]) for c in ("min(ts)", "max(ts)")], "count(ts)").first()
+    span, each = last - first + 1, 1 if whole else max(1, -(-n // (files * LAND_ROWS)))
+    # a slice's first second; times are held against whole seconds as they are stored
+    edges = [F.lit(str(dt.datetime(1970, 1, 1) + dt.timedelta(seconds=first - (-i * span // files)))).cast("timestamp_ntz")
+             for i in range(files)]
     landing = work_path(spark, "events-in-order")
     for i in sorted(range(files), reverse=latest_first):
-        ev.where(part == i).coalesce(1).write.mode("append").parquet(landing)
-    return ev, landing
+        mine = (F.col("ts") >= edges[i]) & (F.col("ts") < edges[i + 1] if i + 1 < files else F.lit(True))
+        ev.where(mine).repartition(each).write.mode("append").parquet(landing)
+    return ev, landing, each
 
 
 def _ordered_rates(spark, d):
-    ev, landing = _land_in_order(spark, d)
+    ev, landing, _ = _land_in_order(spark, d)
     return ev, ST.stream_window_rates(spark, landing, ev.schema, work_path(spark, "s2o-sink"),
                                       work_path(spark, "s2o-ckpt"), "ts", F.col("event_type") == "error",
                                       max_files_per_trigger=1)
@@ -133,10 +144,11 @@ SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M') AS window_start, count(
        {R("count(*) FILTER (WHERE event_type = 'error') / count(*)")} AS rate
 FROM events WHERE ts IS NOT NULL GROUP BY 1"""))
 def s2_stream_deltas(spark, d):
-    """The latest events first, two files a micro-batch, then compacted, then all again from a lost checkpoint."""
-    ev, landing = _land_in_order(spark, d, latest_first=True)
+    """The latest events first, two slices a micro-batch, then compacted, then all again from a lost checkpoint."""
+    ev, landing, each = _land_in_order(spark, d, latest_first=True, whole=False)
     sink, flag = work_path(spark, "s2d-sink"), F.col("event_type") == "error"
-    ST.stream_window_deltas(spark, landing, ev.schema, sink, work_path(spark, "s2d-ckpt"), "ts", flag, max_files_per_trigger=2)
+    ST.stream_window_deltas(spark, landing, ev.schema, sink, work_path(spark, "s2d-ckpt"), "ts", flag,
+                            max_files_per_trigger=2 * each)
     ST.compact_deltas(spark, sink)
     return ST.stream_window_deltas(spark, landing, ev.schema, sink, work_path(spark, "s2d-ckpt"), "ts", flag)
 

@@ -24,16 +24,27 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 FILE = "_file"
+#: What a file is known by.
+PLACE = ("_path", "_length", "_modified")
 #: Log entries after which a commit writes all entries anew.
 LOG_RUN = 16
 
 
+def place_columns() -> list[Column]:
+    """What ``_file`` stands for, of a scan's rows: constant within a file, nothing is computed per row."""
+    return [F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_size").alias("_length"),
+            F.col("_metadata.file_modification_time").alias("_modified")]
+
+
+def file_key(path: Column, length: Column, modified: Column) -> Column:
+    key = F.sha2(F.concat_ws("|", path, length.cast("string"), F.unix_micros(modified).cast("string")), 256)
+    return F.substring(key, 1, 32).alias(FILE)
+
+
 def file_columns() -> list[Column]:
     """``_file`` and what it stands for, of a scan's rows."""
     meta = [F.col("_metadata.file_path"), F.col("_metadata.file_size"), F.col("_metadata.file_modification_time")]
-    key = F.sha2(F.concat_ws("|", meta[0], meta[1].cast("string"), F.unix_micros(meta[2]).cast("string")), 256)
-    return [F.substring(key, 1, 32).alias(FILE), meta[0].alias("_path"), meta[1].alias("_length"),
-            meta[2].alias("_modified")]
+    return [file_key(*meta), *place_columns()]
 
 
 def latest(entries: DataFrame) -> DataFrame:
@@ -120,16 +131,20 @@ class Ledger(Log):
         return rows.join(picked, F.col(FILE) == F.col("_live"), "left_semi")
 
     # ------------------------------------------------------------------ writing
-    def add(self, batch: DataFrame, make: Callable[[DataFrame], DataFrame], partition_by: Sequence[str] = ()) -> int:
+    def add(self, batch: DataFrame, make: Callable[[DataFrame], DataFrame], partition_by: Sequence[str] = (),
+            describe: Callable[[DataFrame], DataFrame] | None = None) -> int:
         """Commit the rows that ``make`` gives for the rows of ``batch`` whose files are not in yet.
 
         ``batch`` has the columns of an entry but ``part``; ``make`` must keep
-        ``_file``.  Returns the commit's number, 0 where every file was in.
+        ``_file``.  With ``describe`` it has only ``PLACE`` of them, and ``describe``
+        adds the others to a table of files: once per file, not per row.
+        Returns the commit's number, 0 where every file was in.
         """
         while True:
             last, whole = self._numbers()
             known = self._entries(last).select(F.col(FILE).alias("_known"))
-            files = batch.select(*self.names).distinct().join(known, F.col(FILE) == F.col("_known"), "left_anti")
+            files = describe(batch.select(*PLACE).distinct()) if describe else batch.select(*self.names).distinct()
+            files = files.select(*self.names).join(known, F.col(FILE) == F.col("_known"), "left_anti")
             part = uuid.uuid4().hex
             # one small row per file; written first, so that a replay reads what this attempt saw
             staged = f"{self.root}/staged/{part}"
@@ -137,7 +152,10 @@ class Ledger(Log):
             files = self.spark.read.schema(self.entry).parquet(staged)
             if files.isEmpty():
                 return 0
-            fresh = batch.join(files.select(F.col(FILE).alias("_fresh")), F.col(FILE) == F.col("_fresh"), "left_semi")
+            if describe:
+                fresh = batch.join(files.drop("part"), list(PLACE))
+            else:
+                fresh = batch.join(files.select(F.col(FILE).alias("_fresh")), F.col(FILE) == F.col("_fresh"), "left_semi")
             made = make(fresh)
             if FILE not in made.columns:
                 raise ValueError(f"rows must keep {FILE}")

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from churnlab.sources.ledger import FILE, Ledger, file_columns, latest
+from churnlab.sources.ledger import FILE, PLACE, Ledger, file_key, latest, place_columns
 from churnlab.sources.tables import month_of_path
 
 #: The column that tells a row's source file, hence its delivery; transforms must keep it.
@@ -36,18 +36,22 @@ def _overwrite_partitions(df: DataFrame, path: str, *partition_cols: str) -> Non
 
 def _file_source(spark: SparkSession, landing: str, schema: StructType | str, fmt: str,
                  max_files_per_trigger: int | None) -> DataFrame:
-    """Landed files with ``batch_month`` and the ledger's columns of their file."""
+    """Landed rows with the place of their file; :func:`_described` tells the rest once per file."""
     reader = spark.readStream.format(fmt).schema(schema).option("recursiveFileLookup", "true")
     if fmt == "csv":
         reader = (reader.option("header", "true").option("ignoreLeadingWhiteSpace", "false")
                   .option("ignoreTrailingWhiteSpace", "false"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    path = F.col("_metadata.file_path")
-    month = month_of_path(path).cast("bigint")
+    return reader.load(landing).select("*", *place_columns())
+
+
+def _described(files: DataFrame) -> DataFrame:
+    """Files with their key, month and delivery."""
+    path = F.col("_path")
     delivery = F.coalesce(F.regexp_extract(path, r"^.*delivery_(\d+)", 1).try_cast("bigint"), F.lit(0))
-    return reader.load(landing).select("*", month.alias("batch_month"), *file_columns(), month.alias("_month"),
-                                       delivery.cast("bigint").alias("_delivery"))
+    return files.select("*", file_key(*map(F.col, PLACE)), month_of_path(path).cast("bigint").alias("_month"),
+                        delivery.cast("bigint").alias("_delivery"))
 
 
 def _last_of_month(entries: DataFrame) -> DataFrame:
@@ -59,16 +63,17 @@ def _last_of_month(entries: DataFrame) -> DataFrame:
 
 def _into_ledger(src: DataFrame, ledger: Ledger, checkpoint: str, make: Callable[[DataFrame], DataFrame],
                  partition_by: tuple[str, ...] = ()) -> StructType:
-    """Run ``src`` to its end, ``make`` of every micro-batch into the ledger; the rows' schema."""
-    entry = [c for c in ledger.names if c != FILE]
+    """Run ``src`` to its end, ``make`` of every micro-batch (its rows with ``batch_month`` and
+    the key of their file) into the ledger; the rows' schema."""
+    data = [c for c in src.columns if c not in PLACE]
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        ledger.add(batch, lambda rows: make(rows.drop(*entry)), partition_by)
+        ledger.add(batch, lambda rows: make(rows.select(*data, F.col("_month").alias("batch_month"), FILE)), partition_by, _described)
 
     q = (src.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return make(src.drop(*entry)).schema
+    return make(src.select(*data, F.lit(None).cast("bigint").alias("batch_month"), F.lit(None).cast("string").alias(FILE))).schema
 
 
 def last_deliveries(spark: SparkSession, sink: str, schema: StructType) -> DataFrame:
@@ -191,16 +196,19 @@ def stream_window_deltas(spark: SparkSession, landing: str, schema: StructType |
     count.  There is no state and nothing is late: files may come in any order,
     in any number of micro-batches, and a file that is rewritten replaces its
     deltas.  Rows without a time belong to no window.  Returns the rates.
+
+    Only the time and the flag are read.  Windows of times without a zone are cut
+    on the wall clock, which is that of UTC; their starts alone become instants.
     """
     src = _file_source(spark, landing, schema, fmt, max_files_per_trigger)
+    src = src.select(F.col(ts_col).alias("_ts"), flag.alias("_flagged"), *PLACE)
+    start = F.col("w.start")
+    start = utc_instant(start) if src.schema["_ts"].dataType.typeName() == "timestamp_ntz" else start
 
     def make(rows):
-        c = F.col(ts_col)
-        ts = utc_instant(c) if rows.schema[ts_col].dataType.typeName() == "timestamp_ntz" else c
-        timed = rows.withColumn("_ts", ts).where("_ts is not null")
-        return timed.groupBy(FILE, F.window("_ts", window).alias("w")).agg(
-            F.count(F.lit(1)).alias("n_events"), F.count_if(flag).alias("n_flagged")).select(
-            utc_label(F.col("w.start")).alias("window_start"), "n_events", "n_flagged", FILE)
+        return rows.where("_ts is not null").groupBy(FILE, F.window("_ts", window).alias("w")).agg(
+            F.count(F.lit(1)).alias("n_events"), F.count_if("_flagged").alias("n_flagged")).select(
+            utc_label(start).alias("window_start"), "n_events", "n_flagged", FILE)
 
     _into_ledger(src, Ledger(spark, sink, ENTRY), checkpoint, make)
     return window_totals(spark, sink)

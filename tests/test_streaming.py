@@ -111,3 +111,46 @@ def test_dropped_rows_are_reported(spark):
                                    "ts", F.col("kind") == "error", max_files_per_trigger=1)
     got = ST.dropped_rows(spark.read.parquet(landing), rates).first()
     assert (got.landed, got.counted, got.dropped) == (4, 3, 1)
+
+
+def test_window_deltas_read_two_columns_and_compute_nothing_about_files_per_row(spark, monkeypatch):
+    schema = "ts timestamp_ntz, kind string, note string"
+    rows = [(dt.datetime(2024, 1, 1 + i % 3, 23, 59, 59, 999999), "error" if i % 2 else "ok", "n") for i in range(12)]
+    landing = work_path(spark, "t-thin")
+    spark.createDataFrame([*rows, (None, "error", "n")], schema).repartition(2).write.parquet(f"{landing}/delivery_1/month_02")
+    seen, add = [], ST.Ledger.add
+
+    def spied(self, batch, *args):
+        seen.append((batch.columns, batch._jdf.queryExecution().toString()))
+        return add(self, batch, *args)
+
+    monkeypatch.setattr(ST.Ledger, "add", spied)
+    sink = work_path(spark, "t-thin-sink")
+    out = ST.stream_window_deltas(spark, landing, schema, sink, work_path(spark, "t-thin-ckpt"), "ts", F.col("kind") == "error")
+    assert sorted((r.window_start, r.n_events, r.n_flagged) for r in out.collect()) == [
+        ("2024-01-01 00:00", 4, 2), ("2024-01-02 00:00", 4, 2), ("2024-01-03 00:00", 4, 2)]
+    assert [c for c, _ in seen] == [["_ts", "_flagged", "_path", "_length", "_modified"]]
+    assert not any(f in plan for _, plan in seen for f in ("sha2", "regexp_extract"))
+    entries = ST.Ledger(spark, sink, ST.ENTRY).entries().select("_month", "_delivery").collect()
+    assert {tuple(r) for r in entries} == {(2, 1)}
+
+
+def test_slices_of_time_land_in_several_files(spark, monkeypatch, tmp_path):
+    from churnlab.plans import q_stream as Q
+    start = dt.datetime(2024, 1, 1)
+    rows = [(i, start + dt.timedelta(seconds=7 * i, microseconds=i), "error") for i in range(600)]
+    spark.createDataFrame([*rows, (600, None, "error")], "event_id bigint, ts timestamp_ntz, event_type string").write.parquet(
+        f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(Q, "LAND_ROWS", 50)
+    _, landing, each = Q._land_in_order(spark, str(tmp_path), whole=False)
+    landed = spark.read.parquet(landing)
+    assert each == 2 and len(landed.inputFiles()) == 12
+    span = (rows[-1][1] - rows[0][1]).seconds + 1
+    slices = landed.select("event_id", F.input_file_name().alias("f")).collect()
+    assert sorted(r.event_id for r in slices) == list(range(600))
+    of = {}
+    for r in slices:
+        of.setdefault(r.f, set()).add(min(7 * r.event_id * 6 // span, 5))
+    assert sorted(min(s) for s in of.values()) == [0, 0, 1, 1, 2, 2, 3, 3, 4, 4, 5, 5] and all(len(s) == 1 for s in of.values())
+    _, landing, each = Q._land_in_order(spark, str(tmp_path))
+    assert each == 1 and len(spark.read.parquet(landing).inputFiles()) == 6

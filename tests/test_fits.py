@@ -238,3 +238,20 @@ def test_rows_without_a_score_are_left_out_and_counted(spark):
     assert M.roc_auc(df).first()["auc"] == 1.0
     assert all(r.threshold is not None for r in M.roc_curve(df).collect() + M.pr_curve(df).collect())
     assert tuple(M.unscored(df).first()) == (5, 2, 1)
+
+
+def test_lloyd_reads_points_once_and_sums_batches(spark):
+    """Points with nulls, of another length, alone in a cluster; many points of many parts."""
+    rows = [([float(i % 7), float(i % 5)],) for i in range(300)] + [([1.0],), (None,), ([None, 1.0],), ([1e6, 1e6],)]
+    made = spark.sparkContext.accumulator(0)
+    schema = "v array<double>"
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, 3).map(lambda r: (made.add(1), r)[1]), schema)
+    centres = spark.createDataFrame([(2, 0, [0.0, 0.0]), (2, 1, [1e6, 1e6]), (1, 0, [0.0, 0.0])], "run int, cid int, cv array<double>")
+    fit = L.lloyd(df, "v", 2, centres, max_steps=3, tolerance=-1.0)
+    assert made.value <= 2 * len(rows)  # counted and written, not made again at every step
+    last = {(r.run, r.cid): (r.n, r.inertia) for r in fit.steps.where("step = 3").collect()}
+    assert {k: n for k, (n, _) in last.items()} == {(1, 0): 302, (2, 0): 301, (2, 1): 1} and last[2, 1][1] == 0
+    cv = {(r.run, r.cid): r.cv for r in fit.centres.collect()}
+    assert cv[2, 0] == [round(sum(i % 7 for i in range(300)) / 300, 9), round((sum(i % 5 for i in range(300)) + 1) / 301, 9)]
+    sil = {r.run: (r.n, r.silhouette) for r in L.silhouette(df, "v", 2, fit.centres).collect()}
+    assert sil[1] == (302, 0.0) and sil[2][0] == 302 and 0.99 < sil[2][1] < 1

@@ -255,3 +255,8 @@ def test_lloyd_reads_points_once_and_sums_batches(spark):
     assert cv[2, 0] == [round(sum(i % 7 for i in range(300)) / 300, 9), round((sum(i % 5 for i in range(300)) + 1) / 301, 9)]
     sil = {r.run: (r.n, r.silhouette) for r in L.silhouette(df, "v", 2, fit.centres).collect()}
     assert sil[1] == (302, 0.0) and sil[2][0] == 302 and 0.99 < sil[2][1] < 1
+
+
+def test_rounds_beside_each_other_follow_their_rows():
+    from churnlab.operators import model as ML
+    assert [ML.rounds_at_a_time(n) for n in (0, 10, 750_000, 1_000_000, 4_300_000)] == [4, 4, 4, 3, 1]

@@ -10,7 +10,8 @@ by their decoded bytes.  All tokens' bytes together must be the text's.
 Neither tokenizer joins a character with the space that follows it (A's
 pattern ends a token there, no piece of B holds such a pair; the latter is
 tested).  A text is therefore cut before those spaces, and a worker keeps the
-alignment of short pieces of text that it has seen.
+alignment of short pieces of text that it has seen.  For the same reason pieces not seen before
+are given to the tokenizers many in a row, as one line.
 
 What a text holds is written as a list of (token pair, number).  Counting a pair's
 links and rating each text's links by them are joins and sums in Spark.
@@ -23,7 +24,7 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 from operator import itemgetter
 
 import numpy as np
@@ -35,6 +36,8 @@ from churnlab.llm.common import packed, saved, unpacked
 
 #: Pieces of text that a worker keeps (up to twice as many for a time), the longest of them, and how many are aligned at a time.
 KNOWN, KNOWN_LENGTH, AT_A_TIME = 150_000, 64, 20_000
+#: Pieces of a line.
+TOGETHER = 64
 #: Before a space that follows other than white space.
 CUT = re.compile(r"(?<=\S)(?= )")
 END = itemgetter(1)
@@ -55,8 +58,8 @@ class Aligner:
     """Aligns texts of two tokenizer files.
 
     An alignment of a piece of text is (tokens of A, tokens of B, groups, codes of
-    its links as bytes, groups as text).  Pieces are aligned many at a time, as
-    one string of bytes in which every token has a place.
+    its links as bytes, groups as text in bytes, each with a semicolon behind it).  Pieces are aligned
+    many at a time, as one string of bytes in which every token has a place.
     """
 
     def __init__(self, path_a: str, path_b: str):
@@ -75,6 +78,9 @@ class Aligner:
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(names)]
         self.sizes_a, self.sizes_b = (np.array(list(map(len, x)), np.int64) for x in (self.bytes_a, self.bytes_b))
+        # every id's digits with each of the marks that can follow them, padded by zeros
+        said = np.array([f"{i}{m}".encode() for i in range(max(len(self.bytes_a), len(names))) for m in ",|;"])
+        self.said = said.view(np.uint8).reshape(len(said), -1)
         self.cuts = not any(re.search("[^▁]▁", p) for p in names)
         self.young: dict[str, tuple | None] = {}
         self.old: dict[str, tuple | None] = {}
@@ -90,24 +96,48 @@ class Aligner:
         parts[-1] += line[len(body):]
         return parts
 
-    def align(self, pieces: list[str]) -> list[tuple | None]:
+    def lines(self, pieces: list[str], together: int) -> Iterator[list[str]]:
+        """The pieces in lines: the next piece starts where a text would be cut, unless white space comes before it."""
+        if not self.cuts:
+            together = 1
+        line: list[str] = []
+        for p in pieces:
+            alone = p[-1].isspace()
+            if line and (alone or len(line) >= together):
+                yield line
+                line = []
+            line.append(p)
+            if alone:
+                yield line
+                line = []
+        if line:
+            yield line
+
+    def align(self, pieces: list[str], together: int = TOGETHER) -> list[tuple | None]:
         """The alignment of each piece; none where a tokenizer's bytes differ from it."""
-        of_a = self.a.encode_batch(pieces, add_special_tokens=False)
-        of_b = self.b.encode([p[1:] for p in pieces], return_type="offset_mapping", num_threads=1)
-        # B's spans are those of the piece without the space that it adds
+        lines = list(self.lines(pieces, together))
+        texts = ["".join(x) for x in lines]
+        of_a = self.a.encode_batch(texts, add_special_tokens=False)
+        of_b = self.b.encode([x[1:] for x in texts], return_type="offset_mapping", num_threads=1)
+        # B's spans are those of the line without the space that it adds
         found_a = [(x.ids, x.offsets) for x in of_a]
         found_b = [(x["ids"], x["offsets"]) for x in of_b]
-        data = [p.encode() for p in pieces]
+        data = [x.encode() for x in texts]
         a, b = _Side(found_a, 0, self.bytes_a, self.sizes_a), _Side(found_b, 1, self.bytes_b, self.sizes_b)
         if a.same(data) and b.same(data):
-            return list(_aligned_pieces(pieces, data, a, b))
-        # some piece does not come back: the others without it
+            return list(_aligned_pieces(lines, data, a, b, self.said))
+        # some line does not come back: the others without it, then its pieces one by one
         fits = [_same(d, x, self.bytes_a) and _same(d, y, self.bytes_b) for d, (x, _), (y, _) in zip(data, found_a, found_b, strict=True)]
         good = [i for i, ok in enumerate(fits) if ok]
-        pieces, data, found_a, found_b = ([xs[i] for i in good] for xs in (pieces, data, found_a, found_b))
-        made = iter(_aligned_pieces(pieces, data, _Side(found_a, 0, self.bytes_a, self.sizes_a),
-                                    _Side(found_b, 1, self.bytes_b, self.sizes_b)))
-        return [next(made) if ok else None for ok in fits]
+        kept, data, found_a, found_b = ([xs[i] for i in good] for xs in (lines, data, found_a, found_b))
+        made = _aligned_pieces(kept, data, _Side(found_a, 0, self.bytes_a, self.sizes_a),
+                               _Side(found_b, 1, self.bytes_b, self.sizes_b), self.said)
+        parted = [p for x, ok in zip(lines, fits, strict=True) if not ok and len(x) > 1 for p in x]
+        single = iter(self.align(parted, 1) if parted else ())
+        out: list[tuple | None] = []
+        for x, ok in zip(lines, fits, strict=True):
+            out += islice(made, len(x)) if ok else islice(single, len(x)) if len(x) > 1 else [None]
+        return out
 
     def texts(self, texts: list[str | None]) -> Iterator[list[tuple]]:
         """The alignments of each text's pieces; none for null and empty texts and those that do not fit."""
@@ -136,24 +166,24 @@ def _same(data: bytes, ids: list[int], table: list[bytes]) -> bool:
 
 
 class _Side:
-    """One tokenizer's tokens of many pieces, (ids, offsets) of each: ids, coarse ends (``shift``
+    """One tokenizer's tokens of many lines, (ids, offsets) of each: ids, coarse ends (``shift``
     characters on) and sizes, all in a row."""
 
     def __init__(self, found: list[tuple], shift: int, table: list[bytes], sizes: np.ndarray):
         ids = list(chain.from_iterable([x for x, _ in found]))
         self.table, self.count = table, np.fromiter([len(x) for x, _ in found], np.int64, len(found))
         self.ids = np.array(ids, np.int64)
-        self.coarse = np.array(list(map(END, chain.from_iterable([x for _, x in found]))), np.int64) + shift
+        self.coarse = np.fromiter(map(END, chain.from_iterable([x for _, x in found])), np.int64, len(ids)) + shift
         self.sizes = sizes[self.ids]
-        self.text = b"".join([table[i] for i in ids])
+        self.text = b"".join(map(table.__getitem__, ids))
 
     def same(self, data: list[bytes]) -> bool:
-        """Whether the tokens' bytes are those of the pieces, each piece for itself."""
+        """Whether the tokens' bytes are those of the lines, each line for itself."""
         totals = np.diff(np.concatenate([[0], np.cumsum(self.sizes)])[np.concatenate([[0], np.cumsum(self.count)])])
         return self.text == b"".join(data) and totals.tolist() == list(map(len, data))
 
     def ends(self, coarse: np.ndarray) -> np.ndarray:
-        """Where tokens end in the bytes of all pieces.  ``coarse`` are the ends that the tokenizer
+        """Where tokens end in the bytes of all lines.  ``coarse`` are the ends that the tokenizer
         tells, of whole characters; a token that ends inside a character is told that character's end
         (A) or start (B) and is laid out by its decoded bytes."""
         decoded = np.cumsum(self.sizes)
@@ -161,44 +191,53 @@ class _Side:
         return np.where(inside, decoded, coarse)
 
 
-def _aligned_pieces(pieces: list[str], data: list[bytes], a: _Side, b: _Side) -> Iterator[tuple]:
-    """Alignments of pieces whose tokens' bytes are theirs."""
-    if not pieces:
+def _aligned_pieces(lines: list[list[str]], data: list[bytes], a: _Side, b: _Side, said: np.ndarray) -> Iterator[tuple]:
+    """Alignments of the pieces of lines whose tokens' bytes are theirs."""
+    if not lines:
         return
-    line = np.frombuffer(b"".join(data), np.uint8)
-    piece_ends = np.cumsum(np.fromiter(map(len, data), np.int64, len(data)))
-    # coarse ends are characters: the byte at which each character of the line starts, and the line's end
-    of_char = np.append(np.flatnonzero((line & 0xC0) != 0x80), len(line))
-    chars = np.fromiter(map(len, pieces), np.int64, len(pieces))
-    first = np.cumsum(chars) - chars
+    row = np.frombuffer(b"".join(data), np.uint8)
+    # coarse ends are characters: the byte at which each character of the row starts, and the row's end
+    of_char = np.append(np.flatnonzero((row & 0xC0) != 0x80), len(row))
+    piece_chars = np.cumsum(np.fromiter(map(len, chain.from_iterable(lines)), np.int64))
+    piece_ends = of_char[piece_chars]
+    first = np.append(0, piece_chars[np.cumsum(np.fromiter(map(len, lines), np.int64, len(lines))) - 1])[:-1]
     ends_a = a.ends(of_char[np.repeat(first, a.count) + a.coarse])
     ends_b = b.ends(of_char[np.repeat(first, b.count) + b.coarse])
 
     # between two neighbouring ends lies one token of A and one of B: a link
-    ends = np.union1d(ends_a, ends_b)
+    ends = np.concatenate([ends_a, ends_b])
+    ends.sort(kind="stable")
+    ends = ends[np.append(ends[1:] != ends[:-1], True)]
     at_a, at_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
     codes = (a.ids[at_a] << SHIFT | b.ids[at_b]).tobytes()
-    links = np.searchsorted(ends, piece_ends, side="right").tolist()
+    links = np.searchsorted(ends, piece_ends, side="right")
+    n_a, n_b = at_a[links - 1] + 1, at_b[links - 1] + 1
     # groups end where tokens of both end
     cut = (ends_a[at_a] == ends) & (ends_b[at_b] == ends)
-    cut_a, cut_b = (at_a[cut] + 1).tolist(), (at_b[cut] + 1).tolist()
-    groups = np.searchsorted(ends[cut], piece_ends, side="right").tolist()
-    shown_a, shown_b = list(map(str, a.ids.tolist())), list(map(str, b.ids.tolist()))
-    shown, i, j = [], 0, 0
-    for to_i, to_j in zip(cut_a, cut_b, strict=True):
-        shown.append(",".join(shown_a[i:to_i]) + "|" + ",".join(shown_b[j:to_j]))
-        i, j = to_i, to_j
-    link = group = 0
-    for n_a, n_b, to_link, to_group in zip(a.count.tolist(), b.count.tolist(), links, groups, strict=True):
-        yield n_a, n_b, to_group - group, codes[8 * link:8 * to_link], ";".join(shown[group:to_group])
-        link, group = to_link, to_group
+    cut_a, cut_b = at_a[cut] + 1, at_b[cut] + 1
+    groups = np.searchsorted(ends[cut], piece_ends, side="right")
+    # a group's tokens of A with a comma between and a bar behind them, then those of B and a semicolon
+    of_a, of_b = np.diff(cut_a, prepend=0), np.diff(cut_b, prepend=0)
+    shown = np.empty(len(a.ids) + len(b.ids), np.int64)
+    shown[np.arange(len(a.ids)) + np.repeat(cut_b - of_b, of_a)] = 3 * a.ids
+    shown[np.arange(len(b.ids)) + np.repeat(cut_a, of_b)] = 3 * b.ids
+    shown[cut_a + cut_b - of_b - 1] += 1
+    shown[cut_a + cut_b - 1] += 2
+    digits = said[shown]
+    there = digits != 0
+    text, text_ends = digits[there].tobytes(), np.cumsum(there.sum(1))[n_a + n_b - 1]
+    link = at = 0
+    for a_n, b_n, n, to_link, to in zip(*(np.diff(x, prepend=0).tolist() for x in (n_a, n_b, groups)),
+                                        (8 * links).tolist(), text_ends.tolist(), strict=True):
+        yield a_n, b_n, n, codes[link:to_link], text[at:to]
+        link, at = to_link, to
 
 
 def _aligned(aligner: Aligner, texts: list[str | None]) -> pa.StructArray:
     numbers, digests, codes, ends = [], [], [], [0]
     for pieces in aligner.texts(texts):
         n_a, n_b, groups, links, shown = zip(*pieces, strict=True) if pieces else ((), (), (), (), ())
-        digests.append(hashlib.sha256(";".join(shown).encode()).hexdigest() if pieces else "")
+        digests.append(hashlib.sha256(b"".join(shown)[:-1]).hexdigest() if pieces else "")
         code, times = np.unique(np.frombuffer(b"".join(links), np.int64), return_counts=True)
         codes.append((code, times))
         ends.append(ends[-1] + len(code))

@@ -141,6 +141,34 @@ def test_alignment_forgets_pieces_without_changing_results(monkeypatch):
     assert len(small.young) <= 12
 
 
+def test_alignment_in_lines_is_that_of_single_pieces():
+    al = A.Aligner(Q.BYTE_TOKENIZER, Q.TOKENIZER)
+    texts = ["one  two é😀 x1  \n", "  ", "it's don 't\u00a0a\u3000b", "▁ bad", " \n lead", "<|endoftext|> <s> \t<0x41>", "naïve 中文 字", "\r\n a"]
+    texts += [f"w{i} ▁{i}" if i % 40 == 0 else f"w{i} {i}ö" for i in range(200)]
+    pieces = list(dict.fromkeys(p for t in texts for p in al.pieces(t)))
+    single = al.align(pieces, 1)
+    assert al.align(pieces) == single and al.align(pieces, 7) == single
+    assert sum(x is None for x in single) >= 6
+    whole = A._aligned(al, [t for t in texts if "▁" not in t]).to_pylist()
+    al.cuts = False
+    al.young, al.old = {}, {}
+    assert A._aligned(al, [t for t in texts if "▁" not in t]).to_pylist() == whole
+
+
+def test_alignment_gives_many_pieces_to_the_tokenizers_at_once():
+    al = A.Aligner(Q.BYTE_TOKENIZER, Q.TOKENIZER)
+    given, real = [], al.a
+
+    class Counted:
+        def encode_batch(self, lines, **how):
+            given.extend(lines)
+            return real.encode_batch(lines, **how)
+
+    al.a = Counted()
+    assert len(next(al.texts([" ".join(f"word{i}" for i in range(640))]))) == 640
+    assert len(given) == 640 // A.TOGETHER
+
+
 def test_alignment_replaces_columns_and_keeps_others(spark):
     df = spark.createDataFrame([(1, "a b", 7, "x"), (1, "a b", 7, "x"), (2, None, 8, "y")], "doc_id long, text string, n_a int, links string")
     out = A.rate_links(df, Q.BYTE_TOKENIZER, Q.TOKENIZER)

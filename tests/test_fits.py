@@ -260,3 +260,13 @@ def test_lloyd_reads_points_once_and_sums_batches(spark):
 def test_rounds_beside_each_other_follow_their_rows():
     from churnlab.operators import model as ML
     assert [ML.rounds_at_a_time(n) for n in (0, 10, 750_000, 1_000_000, 4_300_000)] == [4, 4, 4, 3, 1]
+
+
+def test_split_reads_the_rows_written_once(spark, monkeypatch):
+    from churnlab.plans import q_prepare as Q
+    seen, split = [], D.stratified_split
+    monkeypatch.setattr(D, "stratified_split", lambda df, *a: seen.append(df) or split(df, *a))
+    want = Q.labelled(spark, "/root/testdata/sf0.001")
+    got = Q.split_subs(spark, "/root/testdata/sf0.001")
+    assert not any("orders.parquet" in f for f in seen[0].inputFiles())  # not the joins that make the rows
+    assert sorted(map(str, got.drop("split").collect())) == sorted(map(str, want.collect()))

@@ -83,6 +83,17 @@ def test_rounds_share_fits_and_a_lost_fit_leaves_nothing(spark, monkeypatch):
     assert a == b
 
 
+def test_a_round_scores_its_rows_once(spark, monkeypatch):
+    """The evaluation reads the scores several times; the trees run over a row once."""
+    df, store = rows(spark), R.FitStore(spark, work_path(spark, "t-scores"))
+    real, plans = M.grouped_evaluate, []
+    monkeypatch.setattr(M, "grouped_evaluate", lambda scored, *a: plans.append(
+        scored._jdf.queryExecution().optimizedPlan().toString()) or real(scored, *a))
+    hist, _ = ML.retrain_rounds(df.where("id % 5 <> 0"), df.where("id % 5 = 0"), SPEC, "batch_month", range(2), FOREST, 3, store)
+    assert hist.count() == 2 and len(plans) == 2
+    assert not any("UDF" in p for p in plans)
+
+
 # ------------------------------------------------------------------ registry
 def test_registry_switches_in_one_step(spark):
     df = rows(spark)
